@@ -404,3 +404,22 @@ SQL["latest_events"] = """
 SELECT ts AS timestamp, event_type, CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'INFO' END AS level,
   props AS message, event_id
 FROM events ORDER BY ts DESC, event_id ASC LIMIT 100"""
+
+# --------------------------------------------------------- connector queries
+SQL["history_stream_apply"] = SQL["employee_history"]
+
+SQL["reviews_stream_ingest"] = with_feeds("reviews") + """
+SELECT review_id, product_id, customer_id, CAST(rating AS BIGINT) AS rating, comment, review_date, tags
+FROM s_reviews"""
+
+SQL["sales_stream_rejects"] = "WITH " + ",\n".join(FEEDS["sales"][:2]) + f"""
+SELECT 'sales' AS source_table, f[1] AS reason, array_to_string(f, '|') AS failed_rules, sale_id AS record_key
+FROM (SELECT {_fails(_REJECTS['sales'][2])} AS f, sale_id FROM t_sales) WHERE len(f) > 0"""
+
+SQL["products_json_snapshot"] = with_feeds("products") + """
+SELECT product_id, product_name, category, brand, CAST(list_price AS DOUBLE) AS list_price, source_file
+FROM s_products"""
+
+SQL["tracking_jdbc"] = with_feeds("tracking") + """
+SELECT tracking_id, order_id, courier, delivery_state, origin_branch, updated_at_src, source_system
+FROM s_tracking"""

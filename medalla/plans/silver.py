@@ -293,7 +293,12 @@ def rejects(spec: SourceSpec, bronze: DataFrame, run_ts: dt.datetime | None = No
     ``reason`` is the first failed rule, ``failed_rules`` all of them (S10);
     the payload is the raw row with NULL fields kept (S12).
     """
-    bad = quality.rejected(classified(spec, bronze))
+    return rejects_of(spec, classified(spec, bronze), run_ts)
+
+
+def rejects_of(spec: SourceSpec, classified_rows: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
+    """Quarantine rows from an already classified frame (raw struct kept)."""
+    bad = quality.rejected(classified_rows)
     stamp = F.lit(run_ts).cast("timestamp") if run_ts is not None else F.lit(None).cast("timestamp")
     key = F.col(f"{RAW}.{spec.key}") if spec.key else F.col(f"{RAW}.{spec.raw_columns[0]}")
     return bad.select(
