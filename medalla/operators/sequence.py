@@ -5,7 +5,13 @@ one task; a key holding a third of the table would stall the job in a single
 sort.  Here the rows are *range*-partitioned on ``(key, seq)`` instead, so a hot
 key is spread over many equally sized, contiguous partitions:
 
-1. ``repartitionByRange(n, key, seq)`` + ``sortWithinPartitions`` - one shuffle;
+1. ``repartitionByRange(n, key, seq)`` + ``sortWithinPartitions`` - one shuffle
+   - materialised once with a reliable ``checkpoint()`` into the shared
+   ``spark.checkpoint.dir``.  Both branches below read these exact partitions;
+   a second evaluation of the range exchange would re-sample its bounds (AQE
+   does not always reuse the exchange) and could number partitions
+   differently, and a lost executor re-reads the checkpoint instead of
+   re-sampling;
 2. inside each partition a vectorised (Arrow) pass computes the successor of
    every row whose successor lives in the same partition;
 3. the first ``(key, seq)`` of every non-empty partition - at most ``n`` rows,
@@ -21,6 +27,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..config import checkpoint_root
+
 PID = "__pid"
 LAST = "__last"
 
@@ -54,29 +62,12 @@ def _local_successor(key: str, seq: str, out: str):
     return run
 
 
-def _partition_head(key: str, seq: str):
-    def run(batches):
-        import pyarrow as pa
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        head = None
-        for batch in batches:  # drain the input; only the first row matters
-            if head is None and batch.num_rows:
-                head = pa.StructArray.from_arrays(
-                    [batch.column(key).slice(0, 1), batch.column(seq).slice(0, 1)], names=[key, seq]
-                )
-        if head is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), head], names=[PID, "h"])
-
-    return run
-
-
 def next_in_sequence(df: DataFrame, key: str, seq: str, out: str, partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     seq_type = df.schema[seq].dataType
-    ranged = df.repartitionByRange(n, F.col(key), F.col(seq)).sortWithinPartitions(key, seq)
+    checkpoint_root(spark)
+    ranged = df.repartitionByRange(n, F.col(key), F.col(seq)).sortWithinPartitions(key, seq).checkpoint(eager=True)
 
     schema = T.StructType(
         list(df.schema.fields)
@@ -88,16 +79,10 @@ def next_in_sequence(df: DataFrame, key: str, seq: str, out: str, partitions: in
     )
     local = ranged.mapInPandas(_local_successor(key, seq, out), schema)
 
-    # Heads read the *same* range-partitioned input (all columns, so the
-    # exchange is reused and the partition bounds are identical).
-    heads = ranged.mapInArrow(
-        _partition_head(key, seq),
-        T.StructType(
-            [
-                T.StructField(PID, T.IntegerType(), False),
-                T.StructField("h", T.StructType([df.schema[key], df.schema[seq]]), True),
-            ]
-        ),
+    heads = (
+        ranged.select(F.spark_partition_id().alias(PID), F.struct(key, seq).alias("h"))
+        .groupBy(PID)
+        .agg(F.min("h").alias("h"))
     )
     w = Window.orderBy(PID)  # at most n rows: one per non-empty partition
     next_heads = heads.select(
