@@ -118,3 +118,13 @@ QUERIES = {
     "products_json_snapshot": products_json_snapshot,
     "tracking_jdbc": tracking_jdbc,
 }
+
+
+def stage_landing(spark: SparkSession, cfg: PipelineConfig, sf_dir: str, drop: str = "drop=0") -> None:
+    """Write every file feed derived from the test tables into the landing
+    folder of ``cfg`` (sales/returns/employees CSV, reviews multi-line JSON,
+    products JSON Lines) under the sub-folder ``drop``."""
+    for name in ("sales", "returns", "employees"):
+        files.write_csv(_raw(adapters.BY_SOURCE[name](spark, sf_dir), name), f"{cfg.landing_path(name)}/{drop}")
+    files.write_json_arrays(_raw(adapters.reviews(spark, sf_dir), "reviews"), f"{cfg.landing_path('reviews')}/{drop}")
+    files.write_json_lines(_raw(adapters.products(spark, sf_dir), "products"), cfg.landing_path("products"), mode="overwrite")
