@@ -240,15 +240,21 @@ def clean(
     dedup_first: bool = False,
     run_ts: dt.datetime | None = None,
 ) -> DataFrame:
-    """The Silver table of one feed."""
-    cls = classified(spec, bronze).drop(RAW)
+    """The Silver table of one feed.
+
+    The accept side filters on the conjunction of the drop rules (each NULL
+    verdict a failure) - the same verdict ``classify`` gives, without building
+    the per-row failure arrays only the reject side needs.
+    """
+    typed = prepare(spec, bronze).drop(RAW)
+    valid = quality.valid_predicate(spec.rules)
     if spec.key is None:
-        out = quality.accepted(cls)
+        out = typed.filter(valid)
     elif dedup_first:
-        kept = dedup.keep_first(cls.drop(quality.WARNED), [spec.key], spec.order)
-        out = kept.filter(quality.is_valid()).drop(quality.FAILED)
+        kept = dedup.keep_first(typed.withColumn(INVALID, ~valid), [spec.key], spec.order)
+        out = kept.filter(~F.col(INVALID)).drop(INVALID)
     else:
-        out = dedup.keep_first(quality.accepted(cls), [spec.key], spec.order)
+        out = dedup.keep_first(typed.filter(valid), [spec.key], spec.order)
     out = out.select(*_business(spec))
     if run_ts is not None:
         out = out.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
@@ -262,8 +268,8 @@ def first_copies(spec: SourceSpec, bronze: DataFrame) -> DataFrame:
     S14): they pick the same copy as the Silver table whenever a valid one
     exists.
     """
-    cls = classified(spec, bronze).drop(RAW).withColumn(INVALID, ~quality.is_valid())
-    kept = dedup.keep_first(cls.drop(quality.FAILED, quality.WARNED), [spec.key], [INVALID, *spec.order])
+    typed = prepare(spec, bronze).drop(RAW).withColumn(INVALID, ~quality.valid_predicate(spec.rules))
+    kept = dedup.keep_first(typed, [spec.key], [INVALID, *spec.order])
     return kept.select(*_business(spec))
 
 
@@ -293,7 +299,8 @@ def rejects(spec: SourceSpec, bronze: DataFrame, run_ts: dt.datetime | None = No
     ``reason`` is the first failed rule, ``failed_rules`` all of them (S10);
     the payload is the raw row with NULL fields kept (S12).
     """
-    return rejects_of(spec, classified(spec, bronze), run_ts)
+    bad = prepare(spec, bronze).filter(~quality.valid_predicate(spec.rules))
+    return rejects_of(spec, quality.classify(bad, spec.rules), run_ts)
 
 
 def rejects_of(spec: SourceSpec, classified_rows: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:

@@ -81,14 +81,6 @@ def start_bronze(
     return _sink(df, cfg.table_path("bronze", source), cfg.checkpoint_path(f"bronze_{source}"), trigger, f"bronze_{source}")
 
 
-def _observed(df: DataFrame, source: str, rules) -> DataFrame:
-    counts = [F.count(F.lit(1)).alias("rows_in")]
-    for r in rules:
-        arr = quality.FAILED if r.policy == quality.DROP else quality.WARNED
-        counts.append(F.count_if(F.array_contains(F.col(arr), r.name)).alias(f"failed_{r.name}"))
-    return df.observe(f"rules_{source}", *counts)
-
-
 def start_silver(
     spark: SparkSession,
     cfg: PipelineConfig,
@@ -98,8 +90,8 @@ def start_silver(
 ) -> StreamingQuery:
     spec = silver.SPECS[source]
     bronze = read_bronze_stream(spark, cfg, source, max_files)
-    cls = _observed(silver.classified(spec, bronze).drop(silver.RAW), source, spec.rules)
-    out = quality.accepted(cls).dropDuplicates([spec.key]).select(*silver._business(spec))
+    typed = quality.observe_rules(silver.prepare(spec, bronze).drop(silver.RAW), f"rules_{source}", spec.rules)
+    out = typed.filter(quality.valid_predicate(spec.rules)).dropDuplicates([spec.key]).select(*silver._business(spec))
     out = out.withColumn("updated_at", F.lit(cfg.run_ts).cast("timestamp"))
     return _sink(out, cfg.table_path("silver", source), cfg.checkpoint_path(f"silver_{source}"), trigger, f"silver_{source}")
 
