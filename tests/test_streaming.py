@@ -92,3 +92,19 @@ def test_ragged_csv_and_json_types(spark, tmp_path):
     feed = files.FEEDS["reviews"]
     got = {r["review_id"]: r["rating"] for r in files.read_snapshot(spark, feed, str(j)).collect()}
     assert got == {"a": None, "b": None, "c": 3}
+
+
+def test_views_and_sql_row_counts(spark):
+    from medalla.plans import views
+
+    cfg = connectors.scratch_config(spark, "t-views")
+    connectors.stage_landing(spark, cfg, SF_SMOKE)
+    run.run_once(spark, cfg)
+    names = views.register_views(spark, cfg)
+    assert "gold_sales_by_branch_month" in names and "silver_employee_history" in names
+    sql_counts = {r["table_name"]: r["rows"] for r in views.gold_row_counts_sql(spark).collect() if r["rows"]}
+    stored = {r["table_name"]: r["rows"] for r in spark.read.parquet(cfg.table_path("ops", "gold_row_counts")).collect()}
+    # tracking is absent in this run, every Gold table is present
+    assert {k: v for k, v in stored.items()} == {k: sql_counts[k] for k in stored}
+    v = views.masked_staff_view(spark, spark.table("silver_employees_current"), privileged=False)
+    assert spark.sql(f"SELECT DISTINCT national_id FROM {v}").first()[0] == "***REDACTADO***"
