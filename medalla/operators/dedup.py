@@ -29,6 +29,25 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
     return picked.select(*out).select(*cols)
 
 
-def keep_first_stream(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Streaming form: first arrival per key wins; state grows with keys."""
-    return df.dropDuplicates(list(keys))
+def _first_per_batch(keys: list[str]):
+    def run(batches):
+        for pdf in batches:
+            yield pdf.drop_duplicates(subset=keys, keep="first")
+
+    return run
+
+
+def keep_first_stream(df: DataFrame, keys: Sequence[str], combine: bool = True) -> DataFrame:
+    """Streaming form: first arrival per key wins; state grows with keys.
+
+    ``dropDuplicates`` on a stream has no map-side step: every copy of a key
+    is shuffled to the task owning its state.  With ``combine`` a stateless
+    Arrow pass first drops repeated keys inside each input batch (bounded
+    memory: one Arrow batch), so a key copied a million times reaches the
+    shuffle at most once per batch.  The earliest copy in arrival order is the
+    one kept, so the first-arrival semantics do not change.
+    """
+    keys = list(keys)
+    if combine:
+        df = df.mapInPandas(_first_per_batch(keys), df.schema)
+    return df.dropDuplicates(keys)

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import PipelineConfig
-from ..operators import quality, scd2
+from ..operators import dedup, quality
 from ..plans import employees, silver
 from ..sources import files, schemas
 
@@ -91,7 +91,8 @@ def start_silver(
     spec = silver.SPECS[source]
     bronze = read_bronze_stream(spark, cfg, source, max_files)
     typed = quality.observe_rules(silver.prepare(spec, bronze).drop(silver.RAW), f"rules_{source}", spec.rules)
-    out = typed.filter(quality.valid_predicate(spec.rules)).dropDuplicates([spec.key]).select(*silver._business(spec))
+    valid = typed.filter(quality.valid_predicate(spec.rules)).select(*silver._business(spec))
+    out = dedup.keep_first_stream(valid, [spec.key])
     out = out.withColumn("updated_at", F.lit(cfg.run_ts).cast("timestamp"))
     return _sink(out, cfg.table_path("silver", source), cfg.checkpoint_path(f"silver_{source}"), trigger, f"silver_{source}")
 
@@ -111,7 +112,7 @@ def start_review_replies(spark: SparkSession, cfg: PipelineConfig, trigger: dict
     separate flow over the Bronze reviews."""
     spec = silver.REVIEWS
     reviews = silver.prepare(spec, read_bronze_stream(spark, cfg, "reviews")).drop(silver.RAW)
-    reviews = reviews.filter(F.col(spec.key).isNotNull()).dropDuplicates([spec.key])
+    reviews = dedup.keep_first_stream(reviews.filter(F.col(spec.key).isNotNull()), [spec.key])
     out = reviews.select("review_id", F.posexplode("replies").alias("reply_pos", "reply"), *spec.lineage).select(
         "review_id",
         F.col("reply_pos").cast("int").alias("reply_pos"),

@@ -48,3 +48,27 @@ def test_hot_key_is_combined_map_side(spark):
     assert "partial_min" in plan
     got = {r["k"]: r["v"] for r in out.collect()}
     assert got[0] == 0 and len(got) == 1 + 20000 // 3
+
+
+def test_stream_dedup_combines_before_the_shuffle(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    src = tmp_path / "in"
+    spark.range(0, 5000).selectExpr(
+        "CASE WHEN id % 4 = 0 THEN CAST(id AS STRING) ELSE 'hot' END AS k", "id AS v"
+    ).repartition(4).write.parquet(str(src))
+    stream = spark.readStream.schema("k string, v long").parquet(str(src))
+    q = (
+        dedup.keep_first_stream(stream, ["k"])
+        .writeStream.format("memory")
+        .queryName("dedup_hot")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    out = spark.table("dedup_hot")
+    assert out.count() == 1 + 5000 // 4
+    assert out.filter(F.col("k") == "hot").count() == 1
+    plan = q.lastProgress and q.explain  # query ran
+    q.stop()
