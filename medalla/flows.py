@@ -17,7 +17,7 @@ import time
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .config import PipelineConfig
@@ -101,10 +101,10 @@ def run_once(
         if _exists(spark, cfg.table_path("bronze", "employees")):
             qs.append(flows.start_employee_history(spark, cfg))
         progress = flows.run_streams(qs)
-        for name, p in progress.items():
-            metrics = (p or {}).get("observedMetrics")
+        for name, reports in progress.items():
+            metrics = flows.summed_metrics(reports)
             if metrics:
-                log.add("rule_counters", json.dumps({"flow": name, "metrics": metrics}, default=str))
+                log.add("rule_counters", json.dumps({"flow": name, "batches": len(reports), "metrics": metrics}))
         return progress
 
     step("silver_streams", silver_streams)
@@ -114,7 +114,10 @@ def run_once(
         if _exists(spark, cfg.table_path("bronze", s)):
             def snap(s=s):
                 bronze = read_table(spark, cfg, "bronze", s)
-                _overwrite(silver.clean(silver.SPECS[s], bronze, run_ts=cfg.run_ts), cfg.table_path("silver", s))
+                obs = Observation(f"rules_{s}")
+                clean = silver.clean(silver.SPECS[s], bronze, dedup_first=cfg.dedup_first, run_ts=cfg.run_ts, observation=obs)
+                _overwrite(clean, cfg.table_path("silver", s))
+                log.add("rule_counters", json.dumps({"flow": f"silver_{s}", "batches": 1, "metrics": {f"rules_{s}": obs.get}}))
                 _overwrite(silver.rejects(silver.SPECS[s], bronze, cfg.run_ts), cfg.table_path("quarantine", s))
 
             step(f"silver_{s}", snap)
@@ -153,7 +156,7 @@ def run_once(
     if gold_out:
         counts = monitoring.row_counts({n: read_table(spark, cfg, "gold", n) for n in gold_out})
         _overwrite(counts, cfg.table_path("ops", "gold_row_counts"))
-        rows = counts.collect()  # one row per Gold table
+        rows = read_table(spark, cfg, "ops", "gold_row_counts").collect()  # one row per Gold table
         summary["gold_row_counts"] = {r["table_name"]: r["rows"] for r in rows}
         for r in rows:
             log.add("row_count", json.dumps({"table": r["table_name"], "rows": r["rows"]}), "INFO" if r["ok"] else "ERROR")

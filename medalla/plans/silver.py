@@ -239,14 +239,19 @@ def clean(
     *,
     dedup_first: bool = False,
     run_ts: dt.datetime | None = None,
+    observation=None,
 ) -> DataFrame:
     """The Silver table of one feed.
 
     The accept side filters on the conjunction of the drop rules (each NULL
     verdict a failure) - the same verdict ``classify`` gives, without building
-    the per-row failure arrays only the reject side needs.
+    the per-row failure arrays only the reject side needs.  ``observation``
+    (a ``pyspark.sql.Observation``) receives the pass/fail counters of every
+    rule over all input rows.
     """
     typed = prepare(spec, bronze).drop(RAW)
+    if observation is not None:  # rule counters, filled by the action that writes
+        typed = typed.observe(observation, *quality.counter_columns(spec.rules))
     valid = quality.valid_predicate(spec.rules)
     if spec.key is None:
         out = typed.filter(valid)

@@ -21,6 +21,7 @@ has arrived, then stop - a scheduled incremental job.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import PipelineConfig
 from ..operators import dedup, quality
-from ..plans import employees, silver
+from ..plans import employees, monitoring, silver
 from ..sources import files, schemas
 
 BUCKET = "bucket"
@@ -91,8 +92,12 @@ def start_silver(
     spec = silver.SPECS[source]
     bronze = read_bronze_stream(spark, cfg, source, max_files)
     typed = quality.observe_rules(silver.prepare(spec, bronze).drop(silver.RAW), f"rules_{source}", spec.rules)
-    valid = typed.filter(quality.valid_predicate(spec.rules)).select(*silver._business(spec))
-    out = dedup.keep_first_stream(valid, [spec.key])
+    if cfg.dedup_first:  # reference order: first arrival, then the rules
+        first = dedup.keep_first_stream(typed, [spec.key])
+        out = first.filter(quality.valid_predicate(spec.rules)).select(*silver._business(spec))
+    else:
+        valid = typed.filter(quality.valid_predicate(spec.rules)).select(*silver._business(spec))
+        out = dedup.keep_first_stream(valid, [spec.key])
     out = out.withColumn("updated_at", F.lit(cfg.run_ts).cast("timestamp"))
     return _sink(out, cfg.table_path("silver", source), cfg.checkpoint_path(f"silver_{source}"), trigger, f"silver_{source}")
 
@@ -146,6 +151,10 @@ def apply_employee_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFr
         )
         # at most ``history_buckets`` small integers reach the driver
         touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
+        counters = cls.agg(*quality.counter_columns(spec.rules)).first().asDict()  # one row
+        log = monitoring.RunLog(spark, cfg.table_path("ops", "run_log"))
+        log.add("rule_counters", json.dumps({"flow": "silver_employee_history", "batch_id": batch_id, "metrics": {"rules_employees": counters}}))
+        log.flush()
     finally:
         cls.unpersist()
     if touched:
@@ -192,16 +201,31 @@ def start_employee_history(
     )
 
 
-def run_streams(queries: list[StreamingQuery], timeout_s: float | None = None) -> dict[str, dict]:
-    """Wait for availableNow queries; return each one's last progress."""
+def run_streams(queries: list[StreamingQuery], timeout_s: float | None = None) -> dict[str, list[dict]]:
+    """Wait for availableNow queries; return each one's progress reports (one
+    per micro-batch, as many as ``spark.sql.streaming.numRecentProgressUpdates``
+    keeps)."""
     progress = {}
     for q in queries:
         q.awaitTermination(timeout_s)
         if q.exception() is not None:
             raise q.exception()
-        progress[q.name] = q.lastProgress or {}
+        progress[q.name] = list(q.recentProgress or [])
     return progress
 
 
+def summed_metrics(reports: list[dict]) -> dict[str, dict[str, int]]:
+    """Observed metrics of all micro-batches of a run, summed per name."""
+    total: dict[str, dict[str, int]] = {}
+    for rep in reports:
+        observed = rep.get("observedMetrics") if isinstance(rep, dict) else getattr(rep, "observedMetrics", None)
+        for name, row in (observed or {}).items():
+            acc = total.setdefault(name, {})
+            values = row if isinstance(row, dict) else row.asDict()
+            for k, v in values.items():
+                acc[k] = acc.get(k, 0) + int(v or 0)
+    return total
+
+
 def stamp(now: dt.datetime | None = None) -> dt.datetime:
     return (now or dt.datetime.now(dt.timezone.utc)).replace(tzinfo=None)
