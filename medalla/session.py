@@ -25,3 +25,29 @@ def local_session(cores: int | str = 8, shuffle_partitions: int | None = None, a
         )
         .getOrCreate()
     )
+
+
+# Runtime settings the pipeline is designed around.  ``apply_defaults`` only
+# fills keys the cluster has not set, so the cluster's own tuning wins.
+RUNTIME_DEFAULTS: dict[str, str] = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.sources.partitionOverwriteMode": "static",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}
+
+
+def apply_defaults(spark: SparkSession) -> dict[str, str]:
+    """Set each of ``RUNTIME_DEFAULTS`` that the session does not define yet;
+    returns what was set."""
+    applied = {}
+    for key, value in RUNTIME_DEFAULTS.items():
+        if spark.conf.get(key, None) in (None, ""):
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied
