@@ -55,6 +55,7 @@ class PipelineConfig:
     ``run_ts``      one timestamp stamped on every row written by this run
     ``history_buckets`` number of key buckets of the employee history table
     ``dedup_first`` reference order: de-duplicate before the rules (S4)
+    ``full_refresh`` recompute incremental Gold marts from all of Silver
     ``privileged``  reader may see personal data unmasked
     """
 
@@ -64,6 +65,7 @@ class PipelineConfig:
     run_ts: dt.datetime = field(default_factory=lambda: dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
     history_buckets: int = 64
     dedup_first: bool = False
+    full_refresh: bool = False
     privileged: bool = False
     jdbc_options: tuple[tuple[str, str], ...] = ()
 
@@ -96,6 +98,7 @@ class PipelineConfig:
             checkpoints=normalise_path(checkpoints),
             history_buckets=int(get("history_buckets", "64")),
             dedup_first=(get("dedup_first", "false").lower() == "true"),
+            full_refresh=(get("full_refresh", "false").lower() == "true"),
             privileged=(get("privileged", "false").lower() == "true"),
         )
         jdbc = {k[len(PREFIX + "jdbc."):]: v for k, v in _conf_items(spark) if k.startswith(PREFIX + "jdbc.")}

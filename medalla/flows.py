@@ -35,6 +35,20 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def _readable(spark: SparkSession, path: str) -> bool:
+    """The table exists and holds at least one data file (a stream that has
+    only committed empty batches leaves a folder Spark cannot read)."""
+    if not _exists(spark, path):
+        return False
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception as err:  # AnalysisException: no schema to infer
+        if "UNABLE_TO_INFER_SCHEMA" in str(err) or "Unable to infer schema" in str(err):
+            return False
+        raise
+
+
 def _overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -47,11 +61,55 @@ def read_quarantine(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     parts = []
     for name in silver.SPECS:
         path = cfg.table_path("quarantine", name)
-        if _exists(spark, path):
+        if _readable(spark, path):
             parts.append(spark.read.parquet(path).drop(flows.BATCH))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
+def touched_months(spark: SparkSession, cfg: PipelineConfig) -> tuple[list, bool]:
+    """Months of the Silver sales rows written by this run (``updated_at`` is
+    the run stamp) - at most one entry per calendar month - and whether an
+    undated sale arrived."""
+    rows = (
+        read_table(spark, cfg, "silver", "sales")
+        .filter(F.col("updated_at") == F.lit(cfg.run_ts).cast("timestamp"))
+        .select("sale_month")
+        .distinct()
+        .collect()
+    )
+    months = sorted(r[0] for r in rows if r[0] is not None)
+    return months, any(r[0] is None for r in rows)
+
+
+def _monthly_sales(spark: SparkSession, cfg: PipelineConfig, summary: dict) -> None:
+    """Monthly branch sales, recomputed only for the months this run touched.
+
+    Silver sales are partitioned by ``sale_month`` and the mart by
+    (``year``, ``month``): the touched months are read with partition pruning
+    and their Gold partitions replaced (dynamic overwrite); other months keep
+    their files.  The first run, or ``cfg.full_refresh``, recomputes all.
+    """
+    target = cfg.table_path("gold", "sales_by_branch_month")
+    sales = read_table(spark, cfg, "silver", "sales")
+    full = cfg.full_refresh or not _readable(spark, target)
+    if not full:
+        months, undated = touched_months(spark, cfg)
+        summary["gold_months_recomputed"] = len(months) + int(undated)
+        if not months and not undated:
+            return
+        cond = F.col("sale_month").isin(months) if months else F.lit(False)
+        if undated:
+            cond = cond | F.col("sale_month").isNull()
+        sales = sales.filter(cond)
+    (
+        gold.sales_by_branch_month(sales)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static" if full else "dynamic")
+        .partitionBy("year", "month")
+        .parquet(target)
+    )
+
+
 def run_once(
     spark: SparkSession,
     cfg: PipelineConfig,
@@ -94,11 +152,11 @@ def run_once(
     def silver_streams():
         qs = []
         for s in ("sales", "returns", "reviews"):
-            if _exists(spark, cfg.table_path("bronze", s)):
+            if _readable(spark, cfg.table_path("bronze", s)):
                 qs += [flows.start_silver(spark, cfg, s), flows.start_rejects(spark, cfg, s)]
-        if _exists(spark, cfg.table_path("bronze", "reviews")):
+        if _readable(spark, cfg.table_path("bronze", "reviews")):
             qs.append(flows.start_review_replies(spark, cfg))
-        if _exists(spark, cfg.table_path("bronze", "employees")):
+        if _readable(spark, cfg.table_path("bronze", "employees")):
             qs.append(flows.start_employee_history(spark, cfg))
         progress = flows.run_streams(qs)
         for name, reports in progress.items():
@@ -111,7 +169,7 @@ def run_once(
 
     # 4. Silver snapshots
     for s in ("products", "tracking"):
-        if _exists(spark, cfg.table_path("bronze", s)):
+        if _readable(spark, cfg.table_path("bronze", s)):
             def snap(s=s):
                 bronze = read_table(spark, cfg, "bronze", s)
                 obs = Observation(f"rules_{s}")
@@ -123,7 +181,7 @@ def run_once(
             step(f"silver_{s}", snap)
 
     # 5. Current staff (snapshot of the history), tagged personal data
-    if _exists(spark, cfg.table_path("silver", "employee_history")):
+    if _readable(spark, cfg.table_path("silver", "employee_history")):
         step(
             "silver_employees_current",
             lambda: _overwrite(
@@ -133,10 +191,12 @@ def run_once(
         )
 
     # 6. Gold
-    have = lambda *names: all(_exists(spark, cfg.table_path("silver", n)) for n in names)
-    gold_out: dict[str, DataFrame] = {}
+    have = lambda *names: all(_readable(spark, cfg.table_path("silver", n)) for n in names)
+    gold_out: dict[str, DataFrame] = {}  # recomputed in full
+    gold_names: list[str] = []
     if have("sales"):
-        gold_out["sales_by_branch_month"] = gold.sales_by_branch_month(read_table(spark, cfg, "silver", "sales"))
+        step("gold_sales_by_branch_month", lambda: _monthly_sales(spark, cfg, summary))
+        gold_names.append("sales_by_branch_month")
     if have("products", "sales", "returns"):
         gold_out["product_sales_returns"] = gold.product_sales_returns(
             read_table(spark, cfg, "silver", "products"),
@@ -151,10 +211,11 @@ def run_once(
         )
     for name, df in gold_out.items():
         step(f"gold_{name}", lambda df=df, name=name: _overwrite(df, cfg.table_path("gold", name)))
+        gold_names.append(name)
 
     # 7. Checks
-    if gold_out:
-        counts = monitoring.row_counts({n: read_table(spark, cfg, "gold", n) for n in gold_out})
+    if gold_names:
+        counts = monitoring.row_counts({n: read_table(spark, cfg, "gold", n) for n in gold_names})
         _overwrite(counts, cfg.table_path("ops", "gold_row_counts"))
         rows = read_table(spark, cfg, "ops", "gold_row_counts").collect()  # one row per Gold table
         summary["gold_row_counts"] = {r["table_name"]: r["rows"] for r in rows}

@@ -30,13 +30,13 @@ LAYERS = {
 
 def register_views(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
     """``<layer>_<table>`` temp views for every table that exists."""
-    from ..flows import _exists
+    from ..flows import _readable
 
     names = []
     for layer, tables in LAYERS.items():
         for t in tables:
             path = cfg.table_path(layer, t)
-            if _exists(spark, path):
+            if _readable(spark, path):
                 name = f"{layer}_{t}"
                 spark.read.parquet(path).createOrReplaceTempView(name)
                 names.append(name)

@@ -61,16 +61,24 @@ def read_bronze_stream(spark: SparkSession, cfg: PipelineConfig, source: str, ma
     return reader.parquet(cfg.table_path("bronze", source))
 
 
-def _sink(df: DataFrame, path: str, checkpoint: str, trigger: dict, name: str) -> StreamingQuery:
-    return (
+# Silver tables partitioned on a derived column, so later steps prune by it.
+SILVER_PARTITIONS = {"sales": ("sale_month", lambda: F.trunc("sale_date", "month"))}
+
+
+def _sink(
+    df: DataFrame, path: str, checkpoint: str, trigger: dict, name: str, partition_by: list[str] | None = None
+) -> StreamingQuery:
+    writer = (
         df.writeStream.format("parquet")
         .queryName(name)
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(**trigger)
-        .start()
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    return writer.start()
 
 
 def start_bronze(
@@ -99,7 +107,13 @@ def start_silver(
         valid = typed.filter(quality.valid_predicate(spec.rules)).select(*silver._business(spec))
         out = dedup.keep_first_stream(valid, [spec.key])
     out = out.withColumn("updated_at", F.lit(cfg.run_ts).cast("timestamp"))
-    return _sink(out, cfg.table_path("silver", source), cfg.checkpoint_path(f"silver_{source}"), trigger, f"silver_{source}")
+    parts = None
+    if source in SILVER_PARTITIONS:
+        col, expr = SILVER_PARTITIONS[source]
+        out, parts = out.withColumn(col, expr()), [col]
+    return _sink(
+        out, cfg.table_path("silver", source), cfg.checkpoint_path(f"silver_{source}"), trigger, f"silver_{source}", parts
+    )
 
 
 def start_rejects(
@@ -201,13 +215,16 @@ def start_employee_history(
     )
 
 
-def run_streams(queries: list[StreamingQuery], timeout_s: float | None = None) -> dict[str, list[dict]]:
+def run_streams(queries: list[StreamingQuery], timeout_s: float = 6 * 3600) -> dict[str, list[dict]]:
     """Wait for availableNow queries; return each one's progress reports (one
     per micro-batch, as many as ``spark.sql.streaming.numRecentProgressUpdates``
-    keeps)."""
+    keeps).  A query still running after ``timeout_s`` is stopped and reported
+    as an error; its checkpoint lets the next run resume where it stopped."""
     progress = {}
     for q in queries:
-        q.awaitTermination(timeout_s)
+        if not q.awaitTermination(timeout_s):
+            q.stop()
+            raise TimeoutError(f"stream {q.name} did not finish within {timeout_s} s")
         if q.exception() is not None:
             raise q.exception()
         progress[q.name] = list(q.recentProgress or [])
