@@ -110,6 +110,42 @@ def _monthly_sales(spark: SparkSession, cfg: PipelineConfig, summary: dict) -> N
     )
 
 
+# Additive per-product partials, one partition per run (``run=<stamp>``), so
+# the product and review marts read one row per product and run instead of
+# the whole fact tables.
+PARTIAL_LOGS = {
+    "sales_by_product": ("sales", gold.sales_per_product),
+    "returns_by_product": ("returns", gold.returns_per_product),
+    "reviews_by_product": ("reviews", gold.reviews_per_product),
+}
+
+
+def _run_tag(cfg: PipelineConfig) -> str:
+    return cfg.run_ts.strftime("%Y%m%dT%H%M%S%f")
+
+
+def update_partials(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
+    """Append this run's partials of one fact table and return the merged
+    per-product totals.
+
+    The first run (or ``cfg.full_refresh``) writes the partials of all of
+    Silver as partition ``run=base``; later runs add the partials of the
+    Silver rows they appended (``updated_at`` = run stamp).  Streaming de-dup
+    appends each fact once, so the sums stay exact; re-running the same stamp
+    rewrites its own partition only.
+    """
+    silver_name, partials = PARTIAL_LOGS[name]
+    path = cfg.table_path("ops", name)
+    facts = read_table(spark, cfg, "silver", silver_name)
+    if cfg.full_refresh or not _readable(spark, path):
+        out, mode = partials(facts).withColumn("run", F.lit("base")), "static"
+    else:
+        mine = facts.filter(F.col("updated_at") == F.lit(cfg.run_ts).cast("timestamp"))
+        out, mode = partials(mine).withColumn("run", F.lit(_run_tag(cfg))), "dynamic"
+    out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("run").parquet(path)
+    return gold.merge_partials(spark.read.parquet(path))
+
+
 def run_once(
     spark: SparkSession,
     cfg: PipelineConfig,
@@ -198,16 +234,17 @@ def run_once(
         step("gold_sales_by_branch_month", lambda: _monthly_sales(spark, cfg, summary))
         gold_names.append("sales_by_branch_month")
     if have("products", "sales", "returns"):
-        gold_out["product_sales_returns"] = gold.product_sales_returns(
+        gold_out["product_sales_returns"] = gold.products_with_totals(
             read_table(spark, cfg, "silver", "products"),
-            read_table(spark, cfg, "silver", "sales"),
-            read_table(spark, cfg, "silver", "returns"),
+            step("partials_sales", lambda: update_partials(spark, cfg, "sales_by_product")),
+            step("partials_returns", lambda: update_partials(spark, cfg, "returns_by_product")),
         )
     if have("employees_current"):
         gold_out["headcount_by_branch"] = gold.headcount_by_branch(read_table(spark, cfg, "silver", "employees_current"))
     if have("reviews", "products"):
-        gold_out["negative_review_rate"] = gold.negative_review_rate(
-            read_table(spark, cfg, "silver", "reviews"), read_table(spark, cfg, "silver", "products")
+        gold_out["negative_review_rate"] = gold.rate_by_category(
+            step("partials_reviews", lambda: update_partials(spark, cfg, "reviews_by_product")),
+            read_table(spark, cfg, "silver", "products"),
         )
     for name, df in gold_out.items():
         step(f"gold_{name}", lambda df=df, name=name: _overwrite(df, cfg.table_path("gold", name)))

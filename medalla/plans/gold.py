@@ -36,36 +36,66 @@ def sales_by_branch_month(sales: DataFrame) -> DataFrame:
     )
 
 
-def product_sales_returns(products: DataFrame, sales: DataFrame, returns: DataFrame) -> DataFrame:
-    per_sale = sales.groupBy("product_id").agg(
+def sales_per_product(sales: DataFrame) -> DataFrame:
+    """Additive per-product partials of the sales facts (sums and counts), so
+    partials of disjoint row sets can be summed again."""
+    return sales.groupBy("product_id").agg(
         F.sum("quantity").alias("units_sold"),
         F.count("sale_id").alias("sales_count"),
-        F.round(F.sum("amount"), 2).alias("sales_amount"),
+        F.sum("amount").alias("sales_amount"),
     )
-    per_return = returns.groupBy("product_id").agg(
+
+
+def returns_per_product(returns: DataFrame) -> DataFrame:
+    return returns.groupBy("product_id").agg(
         F.count("return_id").alias("returns_count"),
-        F.round(F.sum("refund"), 2).alias("refund_amount"),
+        F.sum("refund").alias("refund_amount"),
+    )
+
+
+def reviews_per_product(reviews: DataFrame) -> DataFrame:
+    return reviews.groupBy("product_id").agg(
+        F.count("review_id").alias("n"),
+        F.count_if(F.col("rating") <= 2).alias("neg"),
+        F.sum("rating").alias("rating_sum"),
+        F.count("rating").alias("rated"),
     )
+
+
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """Sum stacked partials (e.g. one set per run) back to one row per product."""
+    measures = [c for c in partials.columns if c not in ("product_id", "run")]
+    return partials.groupBy("product_id").agg(*[F.sum(c).alias(c) for c in measures])
+
+
+def products_with_totals(products: DataFrame, sales_partials: DataFrame, returns_partials: DataFrame) -> DataFrame:
     joined = (
         products.select("product_id", "product_name", "category", "brand")
-        .join(per_sale, "product_id", "left")
-        .join(per_return, "product_id", "left")
+        .join(sales_partials, "product_id", "left")
+        .join(returns_partials, "product_id", "left")
+    )
+    return joined.select(
+        "product_id",
+        "product_name",
+        "category",
+        "brand",
+        F.coalesce(F.col("units_sold"), F.lit(0)).cast("bigint").alias("units_sold"),
+        F.coalesce(F.col("sales_count"), F.lit(0)).alias("sales_count"),
+        F.coalesce(F.round(F.col("sales_amount"), 2), F.lit(0)).alias("sales_amount"),
+        F.coalesce(F.col("returns_count"), F.lit(0)).alias("returns_count"),
+        F.coalesce(F.round(F.col("refund_amount"), 2), F.lit(0)).alias("refund_amount"),
     )
-    zero = {c: F.coalesce(F.col(c), F.lit(0)) for c in ("units_sold", "sales_count", "sales_amount", "returns_count", "refund_amount")}
-    return joined.withColumns(zero).withColumn("units_sold", F.col("units_sold").cast("bigint"))
+
+
+def product_sales_returns(products: DataFrame, sales: DataFrame, returns: DataFrame) -> DataFrame:
+    return products_with_totals(products, sales_per_product(sales), returns_per_product(returns))
 
 
 def headcount_by_branch(current_employees: DataFrame) -> DataFrame:
     return current_employees.groupBy("branch_id").agg(F.count("employee_id").alias("active_employees"))
 
 
-def negative_review_rate(reviews: DataFrame, products: DataFrame) -> DataFrame:
-    per_product = reviews.groupBy("product_id").agg(
-        F.count("review_id").alias("n"),
-        F.count_if(F.col("rating") <= 2).alias("neg"),
-        F.sum("rating").alias("rating_sum"),
-        F.count("rating").alias("rated"),
-    )
+def rate_by_category(per_product: DataFrame, products: DataFrame) -> DataFrame:
     by_cat = (
         per_product.join(products.select("product_id", "category"), "product_id", "inner")
         .groupBy("category")
@@ -84,3 +114,7 @@ def negative_review_rate(reviews: DataFrame, products: DataFrame) -> DataFrame:
         F.round(F.try_divide(F.col("rating_sum").cast("double"), F.col("rated").cast("double")), 2).alias("avg_rating"),
         F.round(rate, 2).cast("double").alias("negative_rate"),
     )
+
+
+def negative_review_rate(reviews: DataFrame, products: DataFrame) -> DataFrame:
+    return rate_by_category(reviews_per_product(reviews), products)

@@ -90,10 +90,14 @@ def test_run_once_end_to_end(spark):
     emp = [json.loads(r["message"]) for r in log.filter("event_type = 'rule_counters'").collect()]
     emp = [e["metrics"]["rules_employees"] for e in emp if e["flow"] == "silver_employee_history"]
     assert sum(e["failed_event_at_present"] for e in emp) == batch[("employees", "event_at_present")]
-    # a second run with no new files adds nothing to the streamed tables
+    # a second run with no new files adds nothing to the streamed tables or marts
     before = spark.read.parquet(cfg.table_path("silver", "sales")).count()
-    run.run_once(spark, cfg.with_options(run_ts=cfg.run_ts), tracking_reader=tracking)
+    marts = {n: sorted(map(tuple, spark.read.parquet(cfg.table_path("gold", n)).collect()), key=repr)
+             for n in ("product_sales_returns", "negative_review_rate")}
+    run.run_once(spark, cfg.with_options(run_ts=flows.stamp()), tracking_reader=tracking)
     assert spark.read.parquet(cfg.table_path("silver", "sales")).count() == before
+    for n, rows in marts.items():
+        assert sorted(map(tuple, spark.read.parquet(cfg.table_path("gold", n)).collect()), key=repr) == rows
 
 
 def test_ragged_csv_and_json_types(spark, tmp_path):
@@ -134,14 +138,23 @@ def test_incremental_monthly_mart_equals_full_recompute(spark):
     # drop 1 holds only the sales of 1998 onwards: the second run touches those months only
     late = F.col("sale_date") >= "1998-01-01"
     files.write_csv(sales.filter(~late | F.col("sale_date").isNull()), f"{cfg.landing_path('sales')}/drop=0")
+    files.write_csv(connectors._raw(adapters.returns(spark, SF_SMOKE), "returns"), f"{cfg.landing_path('returns')}/drop=0")
+    files.write_json_lines(connectors._raw(adapters.products(spark, SF_SMOKE), "products"), cfg.landing_path("products"))
     run.run_once(spark, cfg)
     files.write_csv(sales.filter(late), f"{cfg.landing_path('sales')}/drop=1")
     cfg2 = cfg.with_options(run_ts=flows.stamp())
     summary = run.run_once(spark, cfg2)
     assert 0 < summary["gold_months_recomputed"] < 100
+    silver_sales = spark.read.parquet(cfg.table_path("silver", "sales"))
     got = spark.read.parquet(cfg.table_path("gold", "sales_by_branch_month"))
-    full = gold.sales_by_branch_month(spark.read.parquet(cfg.table_path("silver", "sales")))
+    full = gold.sales_by_branch_month(silver_sales)
     cols = full.columns
     assert sorted(map(tuple, catalog.portable(got.select(*cols)).collect()), key=repr) == sorted(
         map(tuple, catalog.portable(full).collect()), key=repr
     )
+    # per-run partials summed == partials of the whole table
+    merged = spark.read.parquet(cfg.table_path("ops", "sales_by_product"))
+    assert merged.select("run").distinct().count() == 2
+    a = sorted(map(tuple, catalog.portable(gold.merge_partials(merged)).collect()), key=repr)
+    b = sorted(map(tuple, catalog.portable(gold.sales_per_product(silver_sales)).collect()), key=repr)
+    assert a == b
