@@ -23,7 +23,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -154,8 +154,24 @@ def apply_employee_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFr
     spec = silver.EMPLOYEES
     cls = silver.classified(spec, batch).persist()
     try:
-        silver.rejects_of(spec, cls, cfg.run_ts).write.mode("append").parquet(cfg.table_path("quarantine", "employees"))
-        clean = quality.accepted(cls.drop(silver.RAW)).select(*silver._business(spec))
+        # replay-safe: a re-run batch rewrites its own partition
+        (
+            silver.rejects_of(spec, cls, cfg.run_ts)
+            .withColumn(BATCH, F.lit(batch_id).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH)
+            .parquet(cfg.table_path("quarantine", "employees"))
+        )
+        # one pass writes the events and fills the rule counters and the set of
+        # touched buckets (at most ``history_buckets`` small integers)
+        obs = Observation(f"employees_batch_{batch_id}")
+        observed = cls.observe(
+            obs,
+            *quality.counter_columns(spec.rules),
+            F.collect_set(F.when(quality.is_valid(), _bucket(cfg))).alias("touched"),
+        )
+        clean = quality.accepted(observed.drop(silver.RAW)).select(*silver._business(spec))
         staged = clean.withColumn(BUCKET, _bucket(cfg)).withColumn(BATCH, F.lit(batch_id).cast("long"))
         (
             staged.write.mode("overwrite")
@@ -163,11 +179,10 @@ def apply_employee_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFr
             .partitionBy(BUCKET, BATCH)
             .parquet(cfg.table_path("silver", "employee_events"))
         )
-        # at most ``history_buckets`` small integers reach the driver
-        touched = sorted(r[0] for r in staged.select(BUCKET).distinct().collect())
-        counters = cls.agg(*quality.counter_columns(spec.rules)).first().asDict()  # one row
+        metrics = dict(obs.get)
+        touched = sorted(metrics.pop("touched") or [])
         log = monitoring.RunLog(spark, cfg.table_path("ops", "run_log"))
-        log.add("rule_counters", json.dumps({"flow": "silver_employee_history", "batch_id": batch_id, "metrics": {"rules_employees": counters}}))
+        log.add("rule_counters", json.dumps({"flow": "silver_employee_history", "batch_id": batch_id, "metrics": {"rules_employees": metrics}}))
         log.flush()
     finally:
         cls.unpersist()

@@ -94,3 +94,21 @@ def test_history_intervals_are_contiguous_disjoint_one_open(spark):
     assert chk.filter((F.col("rn") > 1) & (F.col("prev_end") != F.col("__START_AT"))).count() == 0
     per_key_open = h.groupBy("employee_id").agg(F.count_if(F.col("__END_AT").isNull()).alias("o"))
     assert per_key_open.filter("o != 1").count() == 0
+
+
+def test_replayed_micro_batch_changes_nothing(spark):
+    from medalla.plans import connectors
+    from medalla.sources import adapters
+    from medalla.streaming import flows
+
+    from .conftest import SF_SMOKE
+
+    cfg = connectors.scratch_config(spark, "t-replay")
+    bronze = adapters.employees(spark, SF_SMOKE)
+    flows.apply_employee_batch(spark, cfg, bronze, 0)
+    hist1 = sorted(map(tuple, flows.read_history(spark, cfg).collect()), key=repr)
+    q1 = spark.read.parquet(cfg.table_path("quarantine", "employees")).count()
+    flows.apply_employee_batch(spark, cfg, bronze, 0)  # the same batch again
+    assert sorted(map(tuple, flows.read_history(spark, cfg).collect()), key=repr) == hist1
+    assert spark.read.parquet(cfg.table_path("quarantine", "employees")).count() == q1
+    assert spark.read.parquet(cfg.table_path("silver", "employee_events")).count() == bronze.count() - q1
