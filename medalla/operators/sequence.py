@@ -35,7 +35,6 @@ LAST = "__last"
 
 def _local_successor(key: str, seq: str, out: str):
     def run(batches):
-        import pandas as pd
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()

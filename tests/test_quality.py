@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from medalla.operators import quality
 from medalla.operators.quality import Rule
