@@ -57,6 +57,11 @@ class PipelineConfig:
     ``dedup_first`` reference order: de-duplicate before the rules (S4)
     ``full_refresh`` recompute incremental Gold marts from all of Silver
     ``privileged``  reader may see personal data unmasked
+    ``generation``  namespace of everything derived from Bronze (Silver,
+                    quarantine, Gold, ops and their stream checkpoints).  A new
+                    generation rebuilds them all from Bronze; Bronze itself and
+                    its checkpoints are shared by every generation, so it is
+                    never reset (append-only).
     """
 
     warehouse: str
@@ -67,16 +72,21 @@ class PipelineConfig:
     dedup_first: bool = False
     full_refresh: bool = False
     privileged: bool = False
+    generation: str = "g0"
     jdbc_options: tuple[tuple[str, str], ...] = ()
 
     def table_path(self, layer: str, name: str) -> str:
-        return normalise_path(f"{self.warehouse}/{layer}/{name}")
+        if layer == "bronze":
+            return normalise_path(f"{self.warehouse}/bronze/{name}")
+        return normalise_path(f"{self.warehouse}/{self.generation}/{layer}/{name}")
 
     def landing_path(self, source: str) -> str:
         return normalise_path(f"{self.landing}/{source}")
 
     def checkpoint_path(self, flow: str) -> str:
-        return normalise_path(f"{self.checkpoints}/{flow}")
+        if flow.startswith("bronze_"):
+            return normalise_path(f"{self.checkpoints}/{flow}")
+        return normalise_path(f"{self.checkpoints}/{self.generation}/{flow}")
 
     def with_options(self, **kw) -> "PipelineConfig":
         return replace(self, **kw)
@@ -100,6 +110,7 @@ class PipelineConfig:
             dedup_first=(get("dedup_first", "false").lower() == "true"),
             full_refresh=(get("full_refresh", "false").lower() == "true"),
             privileged=(get("privileged", "false").lower() == "true"),
+            generation=get("generation", "g0"),
         )
         jdbc = {k[len(PREFIX + "jdbc."):]: v for k, v in _conf_items(spark) if k.startswith(PREFIX + "jdbc.")}
         if jdbc:

@@ -23,7 +23,8 @@ def test_config_from_session_keys(spark):
         assert cfg.warehouse == "/data/wh" and cfg.landing == "/data/landing"
         assert cfg.history_buckets == 128 and cfg.dedup_first and not cfg.full_refresh
         assert dict(cfg.jdbc_options) == {"url": "jdbc:derby:memory:x", "dbtable": "TRACKING"}
-        assert cfg.table_path("gold", "x") == "/data/wh/gold/x"
+        assert cfg.table_path("gold", "x") == "/data/wh/g0/gold/x"
+        assert cfg.table_path("bronze", "sales") == "/data/wh/bronze/sales"
         assert cfg.checkpoints.startswith(normalise_path(spark.conf.get("spark.checkpoint.dir")))
     finally:
         for k in keys:
