@@ -57,6 +57,7 @@ class PipelineConfig:
     ``dedup_first`` reference order: de-duplicate before the rules (S4)
     ``full_refresh`` recompute incremental Gold marts from all of Silver
     ``privileged``  reader may see personal data unmasked
+    ``dedup_watermark`` optional delay bounding streaming de-dup state
     ``generation``  namespace of everything derived from Bronze (Silver,
                     quarantine, Gold, ops and their stream checkpoints).  A new
                     generation rebuilds them all from Bronze; Bronze itself and
@@ -73,6 +74,7 @@ class PipelineConfig:
     full_refresh: bool = False
     privileged: bool = False
     generation: str = "g0"
+    dedup_watermark: str | None = None
     jdbc_options: tuple[tuple[str, str], ...] = ()
 
     def table_path(self, layer: str, name: str) -> str:
@@ -111,6 +113,7 @@ class PipelineConfig:
             full_refresh=(get("full_refresh", "false").lower() == "true"),
             privileged=(get("privileged", "false").lower() == "true"),
             generation=get("generation", "g0"),
+            dedup_watermark=get("dedup_watermark", None) or None,
         )
         jdbc = {k[len(PREFIX + "jdbc."):]: v for k, v in _conf_items(spark) if k.startswith(PREFIX + "jdbc.")}
         if jdbc:

@@ -37,7 +37,13 @@ def _first_per_batch(keys: list[str]):
     return run
 
 
-def keep_first_stream(df: DataFrame, keys: Sequence[str], combine: bool = True) -> DataFrame:
+def keep_first_stream(
+    df: DataFrame,
+    keys: Sequence[str],
+    combine: bool = True,
+    watermark: str | None = None,
+    event_time: str = "ingested_at",
+) -> DataFrame:
     """Streaming form: first arrival per key wins; state grows with keys.
 
     ``dropDuplicates`` on a stream has no map-side step: every copy of a key
@@ -46,8 +52,14 @@ def keep_first_stream(df: DataFrame, keys: Sequence[str], combine: bool = True)
     memory: one Arrow batch), so a key copied a million times reaches the
     shuffle at most once per batch.  The earliest copy in arrival order is the
     one kept, so the first-arrival semantics do not change.
+
+    ``watermark`` (e.g. ``"30 days"``) bounds the state: a key is forgotten
+    once the event-time watermark passes its first arrival plus the delay, so
+    a copy arriving later than that is let through.  Off by default.
     """
     keys = list(keys)
     if combine:
         df = df.mapInPandas(_first_per_batch(keys), df.schema)
+    if watermark:
+        return df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(keys)
     return df.dropDuplicates(keys)

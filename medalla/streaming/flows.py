@@ -101,11 +101,11 @@ def start_silver(
     bronze = read_bronze_stream(spark, cfg, source, max_files)
     typed = quality.observe_rules(silver.prepare(spec, bronze).drop(silver.RAW), f"rules_{source}", spec.rules)
     if cfg.dedup_first:  # reference order: first arrival, then the rules
-        first = dedup.keep_first_stream(typed, [spec.key])
+        first = dedup.keep_first_stream(typed, [spec.key], watermark=cfg.dedup_watermark)
         out = first.filter(quality.valid_predicate(spec.rules)).select(*silver._business(spec))
     else:
         valid = typed.filter(quality.valid_predicate(spec.rules)).select(*silver._business(spec))
-        out = dedup.keep_first_stream(valid, [spec.key])
+        out = dedup.keep_first_stream(valid, [spec.key], watermark=cfg.dedup_watermark)
     out = out.withColumn("updated_at", F.lit(cfg.run_ts).cast("timestamp"))
     parts = None
     if source in SILVER_PARTITIONS:
@@ -131,7 +131,9 @@ def start_review_replies(spark: SparkSession, cfg: PipelineConfig, trigger: dict
     separate flow over the Bronze reviews."""
     spec = silver.REVIEWS
     reviews = silver.prepare(spec, read_bronze_stream(spark, cfg, "reviews")).drop(silver.RAW)
-    reviews = dedup.keep_first_stream(reviews.filter(F.col(spec.key).isNotNull()), [spec.key])
+    reviews = dedup.keep_first_stream(
+        reviews.filter(F.col(spec.key).isNotNull()), [spec.key], watermark=cfg.dedup_watermark
+    )
     out = reviews.select("review_id", F.posexplode("replies").alias("reply_pos", "reply"), *spec.lineage).select(
         "review_id",
         F.col("reply_pos").cast("int").alias("reply_pos"),

@@ -71,3 +71,23 @@ def test_stream_dedup_combines_before_the_shuffle(spark, tmp_path):
     assert out.count() == 1 + 5000 // 4
     assert out.filter(F.col("k") == "hot").count() == 1
     q.stop()
+
+
+def test_stream_dedup_with_watermark_bounds_state(spark, tmp_path):
+    src = tmp_path / "in"
+    spark.createDataFrame(
+        [("a", 1, dt.datetime(2024, 1, 1)), ("a", 2, dt.datetime(2024, 1, 1, 0, 5)), ("b", 3, dt.datetime(2024, 1, 2))],
+        "k string, v long, ingested_at timestamp",
+    ).write.parquet(str(src))
+    stream = spark.readStream.schema("k string, v long, ingested_at timestamp").parquet(str(src))
+    q = (
+        dedup.keep_first_stream(stream, ["k"], watermark="1 hour")
+        .writeStream.format("memory")
+        .queryName("dedup_wm")
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    assert sorted(r["k"] for r in spark.table("dedup_wm").collect()) == ["a", "b"]
+    q.stop()
