@@ -85,7 +85,7 @@ def start_bronze(
     spark: SparkSession, cfg: PipelineConfig, source: str, trigger: dict = AVAILABLE_NOW, max_files: int | None = None
 ) -> StreamingQuery:
     feed = files.FEEDS[source]
-    df = files.read_stream(spark, feed, cfg.landing_path(source), max_files)
+    df = files.read_stream(spark, feed, cfg.landing_path(source), max_files or cfg.max_files_per_trigger)
     df = df.select(*[f.name for f in feed.schema.fields], schemas.INGESTED_AT, schemas.SOURCE_FILE)
     return _sink(df, cfg.table_path("bronze", source), cfg.checkpoint_path(f"bronze_{source}"), trigger, f"bronze_{source}")
 
@@ -98,7 +98,7 @@ def start_silver(
     max_files: int | None = None,
 ) -> StreamingQuery:
     spec = silver.SPECS[source]
-    bronze = read_bronze_stream(spark, cfg, source, max_files)
+    bronze = read_bronze_stream(spark, cfg, source, max_files or cfg.max_files_per_trigger)
     typed = quality.observe_rules(silver.prepare(spec, bronze).drop(silver.RAW), f"rules_{source}", spec.rules)
     if cfg.dedup_first:  # reference order: first arrival, then the rules
         first = dedup.keep_first_stream(typed, [spec.key], watermark=cfg.dedup_watermark)
@@ -120,7 +120,7 @@ def start_rejects(
     spark: SparkSession, cfg: PipelineConfig, source: str, trigger: dict = AVAILABLE_NOW, max_files: int | None = None
 ) -> StreamingQuery:
     spec = silver.SPECS[source]
-    bad = silver.rejects(spec, read_bronze_stream(spark, cfg, source, max_files), cfg.run_ts)
+    bad = silver.rejects(spec, read_bronze_stream(spark, cfg, source, max_files or cfg.max_files_per_trigger), cfg.run_ts)
     return _sink(
         bad, cfg.table_path("quarantine", source), cfg.checkpoint_path(f"quarantine_{source}"), trigger, f"quarantine_{source}"
     )
@@ -130,7 +130,7 @@ def start_review_replies(spark: SparkSession, cfg: PipelineConfig, trigger: dict
     """Replies keep their own first arrival per review (no rule), as a
     separate flow over the Bronze reviews."""
     spec = silver.REVIEWS
-    reviews = silver.prepare(spec, read_bronze_stream(spark, cfg, "reviews")).drop(silver.RAW)
+    reviews = silver.prepare(spec, read_bronze_stream(spark, cfg, "reviews", cfg.max_files_per_trigger)).drop(silver.RAW)
     reviews = dedup.keep_first_stream(
         reviews.filter(F.col(spec.key).isNotNull()), [spec.key], watermark=cfg.dedup_watermark
     )
@@ -218,7 +218,7 @@ def read_history(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
 def start_employee_history(
     spark: SparkSession, cfg: PipelineConfig, trigger: dict = AVAILABLE_NOW, max_files: int | None = None
 ) -> StreamingQuery:
-    bronze = read_bronze_stream(spark, cfg, "employees", max_files)
+    bronze = read_bronze_stream(spark, cfg, "employees", max_files or cfg.max_files_per_trigger)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         apply_employee_batch(spark, cfg, batch, batch_id)

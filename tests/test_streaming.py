@@ -172,3 +172,14 @@ def test_new_generation_rebuilds_downstream_from_untouched_bronze(spark):
     assert spark.read.parquet(g1.table_path("bronze", "sales")).count() == bronze_rows  # not re-ingested
     assert spark.read.parquet(g1.table_path("silver", "sales")).count() == first  # rebuilt from Bronze
     assert g1.table_path("silver", "sales") != cfg.table_path("silver", "sales")
+
+
+def test_backlog_is_worked_off_in_bounded_batches(spark):
+    cfg = connectors.scratch_config(spark, "t-backlog").with_options(max_files_per_trigger=1)
+    sales = adapters.sales(spark, SF_SMOKE).select(*SALES_COLS)
+    part = F.abs(F.xxhash64(*SALES_COLS)) % 3
+    for i in range(3):
+        files.write_csv(sales.filter(part == i).coalesce(1), f"{cfg.landing_path('sales')}/drop={i}")
+    reports = flows.run_streams([flows.start_bronze(spark, cfg, "sales")])["bronze_sales"]
+    assert len([r for r in reports if r.numInputRows > 0]) == 3
+    assert spark.read.parquet(cfg.table_path("bronze", "sales")).count() == sales.count()
