@@ -1,4 +1,4 @@
-"""``spark-submit -m medalla`` / ``python -m medalla``: one scheduled run.
+"""``python -m medalla`` (or ``spark-submit medalla/__main__.py``): one scheduled run.
 
 Everything comes from the session configuration (``medalla.*`` keys, see
 ``config.PipelineConfig``); the cluster's settings are kept and only missing

@@ -183,3 +183,22 @@ def test_backlog_is_worked_off_in_bounded_batches(spark):
     reports = flows.run_streams([flows.start_bronze(spark, cfg, "sales")])["bronze_sales"]
     assert len([r for r in reports if r.numInputRows > 0]) == 3
     assert spark.read.parquet(cfg.table_path("bronze", "sales")).count() == sales.count()
+
+
+def test_module_entry_point_runs_from_session_config(spark, capsys):
+    import json
+
+    from medalla import __main__ as cli
+
+    cfg = connectors.scratch_config(spark, "t-cli")
+    connectors.stage_landing(spark, cfg, SF_SMOKE)
+    keys = {"medalla.warehouse": cfg.warehouse, "medalla.landing": cfg.landing, "medalla.checkpoints": cfg.checkpoints}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        cli.main()
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert summary["gold_row_counts"]["product_sales_returns"] > 0
