@@ -7,10 +7,12 @@ every rule exactly once and attaches two arrays:
 * ``_warned`` - names of failed *warn* rules
 
 A NULL verdict counts as a failure (three-valued logic would otherwise let the
-row slip through both the accept and the reject side).  Accepted and rejected
-rows are two filters over the same classified frame, so the accept side and
-the quarantine can never disagree.  Counters are plain aggregates (or
-``DataFrame.observe`` metrics) over the same arrays.
+row slip through both the accept and the reject side).  ``valid_predicate`` is
+the same verdict as one boolean (the conjunction of the drop rules, each NULL
+taken as false): the accept side filters on it inside whole-stage codegen, the
+reject side on its negation and only then builds the arrays, so both sides
+always agree and accepted rows never pay for the arrays.  Counters are plain
+aggregates (or ``DataFrame.observe`` metrics) of each rule's predicate.
 """
 
 from __future__ import annotations

@@ -3,11 +3,12 @@
 Each feed is described by a ``SourceSpec`` (key, label steps, defaults, types,
 rules, lineage) and all six run through the same code path:
 
-    bronze --prepare--> typed row + raw struct --classify--> verdict arrays
-        accepted side: filter(valid) -> keep_first(key)      (Silver table)
-        rejected side: filter(invalid) -> quarantine rows    (no de-dup, S7)
+    bronze --prepare--> typed row + raw struct
+        accepted side: filter(all drop rules pass) -> keep_first(key)   (Silver table)
+        rejected side: filter(not all pass) -> failed-rule arrays
+                       -> quarantine rows                              (no de-dup, S7)
 
-The rules are evaluated once, on the typed row, so the two sides always agree
+Both sides test the same rules on the same typed row, so they always agree
 (S6).  De-duplication runs *after* the drop rules by default, so a valid later
 copy survives an invalid earlier one (S4); ``dedup_first=True`` restores the
 reference order.
