@@ -30,9 +30,21 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
 
 
 def _first_per_batch(keys: list[str]):
+    """Arrow-native: the first row of every key in each record batch, in
+    arrival order (no pandas conversion; NULL keys form one group, as in
+    ``dropDuplicates``)."""
+
     def run(batches):
-        for pdf in batches:
-            yield pdf.drop_duplicates(subset=keys, keep="first")
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            if batch.num_rows < 2:
+                yield batch
+                continue
+            rows = pa.Table.from_batches([batch]).append_column("__row", pa.array(np.arange(batch.num_rows)))
+            first = rows.group_by(keys, use_threads=False).aggregate([("__row", "min")]).column("__row_min")
+            yield batch.take(pa.array(np.sort(first.to_numpy())))
 
     return run
 
@@ -48,9 +60,9 @@ def keep_first_stream(
 
     ``dropDuplicates`` on a stream has no map-side step: every copy of a key
     is shuffled to the task owning its state.  With ``combine`` a stateless
-    Arrow pass first drops repeated keys inside each input batch (bounded
-    memory: one Arrow batch), so a key copied a million times reaches the
-    shuffle at most once per batch.  The earliest copy in arrival order is the
+    Arrow pass (``mapInArrow``, no pandas conversion) first drops repeated keys
+    inside each input record batch (bounded memory: one batch), so a key copied
+    a million times reaches the shuffle at most once per batch.  The earliest copy in arrival order is the
     one kept, so the first-arrival semantics do not change.
 
     ``watermark`` (e.g. ``"30 days"``) bounds the state: a key is forgotten
@@ -59,7 +71,7 @@ def keep_first_stream(
     """
     keys = list(keys)
     if combine:
-        df = df.mapInPandas(_first_per_batch(keys), df.schema)
+        df = df.mapInArrow(_first_per_batch(keys), df.schema)
     if watermark:
         return df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(keys)
     return df.dropDuplicates(keys)

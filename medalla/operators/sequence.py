@@ -12,7 +12,7 @@ key is spread over many equally sized, contiguous partitions:
    does not always reuse the exchange) and could number partitions
    differently, and a lost executor re-reads the checkpoint instead of
    re-sampling;
-2. inside each partition a vectorised (Arrow) pass computes the successor of
+2. inside each partition an Arrow pass (``mapInArrow``) computes the successor of
    every row whose successor lives in the same partition;
 3. the first ``(key, seq)`` of every non-empty partition - at most ``n`` rows,
    a size fixed by configuration, not by the data - is aggregated, shifted by
@@ -34,29 +34,42 @@ LAST = "__last"
 
 
 def _local_successor(key: str, seq: str, out: str):
+    """Arrow-native pass over one sorted partition: the successor of every
+    row whose successor is in the same partition (NULL otherwise); the last
+    row of the partition is flagged for the boundary fix-up.  Record batches
+    are processed in order with a one-row carry between them."""
+
     def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
+
+        def emit(rows, nxt, last):
+            n = rows.num_rows
+            return pa.RecordBatch.from_arrays(
+                list(rows.columns) + [nxt, pa.array([pid] * n, pa.int32()), pa.array([last] * n, pa.bool_())],
+                names=list(rows.schema.names) + [out, PID, LAST],
+            )
+
         pending = None
-        for pdf in batches:
-            if pdf.empty:
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
                 continue
-            nxt_key = pdf[key].shift(-1)
-            nxt_seq = pdf[seq].shift(-1)
-            pdf[out] = nxt_seq.where(nxt_key == pdf[key])
-            pdf[PID] = pid
-            pdf[LAST] = False
+            keys, seqs = batch.column(key), batch.column(seq)
             if pending is not None:
-                if pending[key].iloc[0] == pdf[key].iloc[0]:
-                    pending[out] = pdf[seq].iloc[0:1].to_numpy()
-                yield pending
-            pending = pdf.iloc[-1:].copy()
-            if len(pdf) > 1:
-                yield pdf.iloc[:-1]
+                same = pending.column(key)[0].as_py() == keys[0].as_py()
+                nxt = seqs.slice(0, 1) if same else pa.nulls(1, seqs.type)
+                yield emit(pending, nxt, False)
+            if n > 1:
+                same = pc.equal(keys.slice(0, n - 1), keys.slice(1))
+                nxt = pc.if_else(same, seqs.slice(1), pa.nulls(n - 1, seqs.type))
+                yield emit(batch.slice(0, n - 1), nxt, False)
+            pending = batch.slice(n - 1, 1)
         if pending is not None:
-            pending[LAST] = True
-            yield pending
+            yield emit(pending, pa.nulls(1, pending.column(seq).type), True)
 
     return run
 
@@ -76,7 +89,7 @@ def next_in_sequence(df: DataFrame, key: str, seq: str, out: str, partitions: in
             T.StructField(LAST, T.BooleanType(), False),
         ]
     )
-    local = ranged.mapInPandas(_local_successor(key, seq, out), schema)
+    local = ranged.mapInArrow(_local_successor(key, seq, out), schema)
 
     heads = (
         ranged.select(F.spark_partition_id().alias(PID), F.struct(key, seq).alias("h"))
