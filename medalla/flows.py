@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .config import PipelineConfig
-from .plans import employees, gold, governance, monitoring, silver
+from .plans import employees, gold, governance, monitoring, quarantine, silver
 from .sources import files, jdbc
 from .streaming import flows
 
@@ -268,6 +268,12 @@ def run_once(
         summary["orphan_sales"] = orphans
         log.add("orphan_keys", json.dumps({"table": "sales", "unknown_product_rows": orphans}), "WARN" if orphans else "INFO")
 
+    if any(_readable(spark, cfg.table_path("quarantine", n)) for n in silver.SPECS):
+        breakdown = quarantine.summary(read_quarantine(spark, cfg)).collect()  # one row per feed and reason
+        summary["quarantine"] = {f"{r['source_table']}/{r['reason']}": r["count"] for r in breakdown}
+        summary["quarantine_total"] = sum(r["count"] for r in breakdown)
+        log.add("quarantine", json.dumps({"total": summary["quarantine_total"], "by_reason": summary["quarantine"]}))
+
     log.add("run", json.dumps({"run_ts": summary["run_ts"], "steps": len(summary["steps"])}))
     log.flush()
     return summary

@@ -71,7 +71,7 @@ def test_run_once_end_to_end(spark):
         map(tuple, catalog.negative_review_rate(spark, SF_SMOKE).collect())
     )
     q = run.read_quarantine(spark, cfg)
-    assert q.count() == catalog.quarantine_rows(spark, SF_SMOKE).count()
+    assert q.count() == catalog.quarantine_rows(spark, SF_SMOKE).count() == summary["quarantine_total"]
     log = spark.read.parquet(cfg.table_path("ops", "run_log"))
     assert log.filter("event_type = 'rule_counters'").count() >= 3
     # stream counters summed over micro-batches equal the batch rule counters
