@@ -416,6 +416,10 @@ SQL["sales_stream_rejects"] = "WITH " + ",\n".join(FEEDS["sales"][:2]) + f"""
 SELECT 'sales' AS source_table, f[1] AS reason, array_to_string(f, '|') AS failed_rules, sale_id AS record_key
 FROM (SELECT {_fails(_REJECTS['sales'][2])} AS f, sale_id FROM t_sales) WHERE len(f) > 0"""
 
+SQL["sales_stream_ingest"] = "WITH " + ",\n".join(FEEDS["sales"][:2]) + """
+SELECT DISTINCT sale_id FROM t_sales
+WHERE sale_id IS NOT NULL AND amount IS NOT NULL AND amount > 0"""
+
 SQL["products_json_snapshot"] = with_feeds("products") + """
 SELECT product_id, product_name, category, brand, CAST(list_price AS DOUBLE) AS list_price, source_file
 FROM s_products"""

@@ -73,6 +73,21 @@ def sales_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(q.select("source_table", "reason", "failed_rules", "record_key"))
 
 
+def sales_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales as CSV drops -> Bronze stream -> Silver stream (rules, then
+    first-arrival de-dup).  Which copy of a key arrives first inside one
+    micro-batch is up to the stream, so the check is on what does not depend
+    on it: exactly one Silver row per sale id that has a valid copy."""
+    cfg = scratch_config(spark, "sales-silver")
+    sales = _raw(adapters.sales(spark, sf_dir), "sales")
+    drop_no = F.abs(F.xxhash64(*sales.columns)) % 2
+    for i in range(2):
+        files.write_csv(sales.filter(drop_no == i), f"{cfg.landing_path('sales')}/drop={i}")
+    flows.run_streams([flows.start_bronze(spark, cfg, "sales")])
+    flows.run_streams([flows.start_silver(spark, cfg, "sales")])
+    return spark.read.parquet(cfg.table_path("silver", "sales")).select("sale_id")
+
+
 def products_json_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product catalogue as JSON Lines, read as a snapshot and cleaned."""
     cfg = scratch_config(spark, "products")
@@ -115,6 +130,7 @@ QUERIES = {
     "history_stream_apply": history_stream_apply,
     "reviews_stream_ingest": reviews_stream_ingest,
     "sales_stream_rejects": sales_stream_rejects,
+    "sales_stream_ingest": sales_stream_ingest,
     "products_json_snapshot": products_json_snapshot,
     "tracking_jdbc": tracking_jdbc,
 }
