@@ -58,6 +58,8 @@ class PipelineConfig:
     ``full_refresh`` recompute incremental Gold marts from all of Silver
     ``privileged``  reader may see personal data unmasked
     ``dedup_watermark`` optional delay bounding streaming de-dup state
+    ``partials_compact_after`` live per-run partial partitions before they are
+                    folded into one compaction
     ``max_files_per_trigger`` files per micro-batch (a backlog is worked off
                     in bounded, separately committed batches); 0 = no limit
     ``generation``  namespace of everything derived from Bronze (Silver,
@@ -78,6 +80,7 @@ class PipelineConfig:
     generation: str = "g0"
     dedup_watermark: str | None = None
     max_files_per_trigger: int | None = 1000
+    partials_compact_after: int = 30
     jdbc_options: tuple[tuple[str, str], ...] = ()
 
     def table_path(self, layer: str, name: str) -> str:
@@ -118,6 +121,7 @@ class PipelineConfig:
             generation=get("generation", "g0"),
             dedup_watermark=get("dedup_watermark", None) or None,
             max_files_per_trigger=int(get("max_files_per_trigger", "1000")) or None,
+            partials_compact_after=int(get("partials_compact_after", "30")),
         )
         jdbc = {k[len(PREFIX + "jdbc."):]: v for k, v in _conf_items(spark) if k.startswith(PREFIX + "jdbc.")}
         if jdbc:

@@ -124,26 +124,72 @@ def _run_tag(cfg: PipelineConfig) -> str:
     return cfg.run_ts.strftime("%Y%m%dT%H%M%S%f")
 
 
+def _partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of one partition column, from the directory listing (one entry
+    per partition, no data read)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    prefix = f"{column}="
+    return sorted(
+        st.getPath().getName()[len(prefix):]
+        for st in fs.listStatus(root)
+        if st.isDirectory() and st.getPath().getName().startswith(prefix)
+    )
+
+
+def live_runs(tags: list[str]) -> list[str]:
+    """Partitions that make up the current totals: the newest compaction
+    (``c<stamp>``) and every run (``r<stamp>``) after it.  Runs folded into a
+    compaction stay on disk but are never read again, so a crash between
+    writing a compaction and anything after it cannot double-count."""
+    compactions = [t for t in tags if t.startswith("c")]
+    newest = max(compactions, key=lambda t: t[1:]) if compactions else None
+    after = [t for t in tags if t.startswith("r") and (newest is None or t[1:] > newest[1:])]
+    return ([newest] if newest else []) + sorted(after)
+
+
+def read_partials(spark: SparkSession, path: str) -> DataFrame:
+    live = live_runs(_partition_values(spark, path, "run"))
+    return spark.read.parquet(path).filter(F.col("run").isin(live))  # partition pruning
+
+
 def update_partials(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
     """Append this run's partials of one fact table and return the merged
     per-product totals.
 
     The first run (or ``cfg.full_refresh``) writes the partials of all of
-    Silver as partition ``run=base``; later runs add the partials of the
-    Silver rows they appended (``updated_at`` = run stamp).  Streaming de-dup
-    appends each fact once, so the sums stay exact; re-running the same stamp
-    rewrites its own partition only.
+    Silver as compaction ``run=c<stamp>``; later runs add the partials of the
+    Silver rows they appended (``updated_at`` = run stamp) as ``run=r<stamp>``.
+    Streaming de-dup appends each fact once, so the sums stay exact; re-running
+    a stamp rewrites only its own partition.  Once more than
+    ``cfg.partials_compact_after`` runs are live, their sum is written as a new
+    compaction, so reads stay at about one row per product.
     """
     silver_name, partials = PARTIAL_LOGS[name]
     path = cfg.table_path("ops", name)
     facts = read_table(spark, cfg, "silver", silver_name)
+    stamp = _run_tag(cfg)
     if cfg.full_refresh or not _readable(spark, path):
-        out, mode = partials(facts).withColumn("run", F.lit("base")), "static"
+        out, mode = partials(facts).withColumn("run", F.lit("c" + stamp)), "static"
     else:
         mine = facts.filter(F.col("updated_at") == F.lit(cfg.run_ts).cast("timestamp"))
-        out, mode = partials(mine).withColumn("run", F.lit(_run_tag(cfg))), "dynamic"
+        out, mode = partials(mine).withColumn("run", F.lit("r" + stamp)), "dynamic"
     out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("run").parquet(path)
-    return gold.merge_partials(spark.read.parquet(path))
+
+    live = live_runs(_partition_values(spark, path, "run"))
+    if len(live) > cfg.partials_compact_after + 1:
+        folded = gold.merge_partials(spark.read.parquet(path).filter(F.col("run").isin(live)))
+        (
+            folded.withColumn("run", F.lit("c" + stamp))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("run")
+            .parquet(path)
+        )
+    return gold.merge_partials(read_partials(spark, path))
 
 
 def run_once(

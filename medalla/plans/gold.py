@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RATE = T.DecimalType(24, 0)
+TOTAL = T.DecimalType(38, 2)  # money partials: one fixed type however often they are summed
 
 
 def sales_by_branch_month(sales: DataFrame) -> DataFrame:
@@ -42,14 +43,14 @@ def sales_per_product(sales: DataFrame) -> DataFrame:
     return sales.groupBy("product_id").agg(
         F.sum("quantity").alias("units_sold"),
         F.count("sale_id").alias("sales_count"),
-        F.sum("amount").alias("sales_amount"),
+        F.sum("amount").cast(TOTAL).alias("sales_amount"),
     )
 
 
 def returns_per_product(returns: DataFrame) -> DataFrame:
     return returns.groupBy("product_id").agg(
         F.count("return_id").alias("returns_count"),
-        F.sum("refund").alias("refund_amount"),
+        F.sum("refund").cast(TOTAL).alias("refund_amount"),
     )
 
 
@@ -64,8 +65,10 @@ def reviews_per_product(reviews: DataFrame) -> DataFrame:
 
 def merge_partials(partials: DataFrame) -> DataFrame:
     """Sum stacked partials (e.g. one set per run) back to one row per product."""
-    measures = [c for c in partials.columns if c not in ("product_id", "run")]
-    return partials.groupBy("product_id").agg(*[F.sum(c).alias(c) for c in measures])
+    measures = [f for f in partials.schema.fields if f.name not in ("product_id", "run")]
+    return partials.groupBy("product_id").agg(
+        *[F.sum(f.name).cast(f.dataType if isinstance(f.dataType, T.DecimalType) else "bigint").alias(f.name) for f in measures]
+    )
 
 
 def products_with_totals(products: DataFrame, sales_partials: DataFrame, returns_partials: DataFrame) -> DataFrame:

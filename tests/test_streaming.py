@@ -202,3 +202,31 @@ def test_module_entry_point_runs_from_session_config(spark, capsys):
             spark.conf.unset(k)
     summary = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert summary["gold_row_counts"]["product_sales_returns"] > 0
+
+
+def test_partial_logs_compact_without_changing_totals(spark):
+    from medalla.plans import gold
+
+    cfg = connectors.scratch_config(spark, "t-compact").with_options(partials_compact_after=1)
+    sales = adapters.sales(spark, SF_SMOKE).select(*SALES_COLS)
+    files.write_json_lines(connectors._raw(adapters.products(spark, SF_SMOKE), "products"), cfg.landing_path("products"))
+    files.write_csv(connectors._raw(adapters.returns(spark, SF_SMOKE), "returns"), f"{cfg.landing_path('returns')}/drop=0")
+    part = F.abs(F.xxhash64(*SALES_COLS)) % 3
+    path = cfg.table_path("ops", "sales_by_product")
+    live_counts = []
+    for i in range(3):
+        files.write_csv(sales.filter(part == i), f"{cfg.landing_path('sales')}/drop={i}")
+        run.run_once(spark, cfg.with_options(run_ts=flows.stamp()))
+        live_counts.append(len(run.live_runs(run._partition_values(spark, path, "run"))))
+    assert live_counts == [1, 2, 1]  # bootstrap, one run, then folded into a compaction
+    silver_sales = spark.read.parquet(cfg.table_path("silver", "sales"))
+    a = sorted(map(tuple, catalog.portable(gold.merge_partials(run.read_partials(spark, path))).collect()), key=repr)
+    b = sorted(map(tuple, catalog.portable(gold.sales_per_product(silver_sales)).collect()), key=repr)
+    assert a == b
+
+
+def test_live_runs_ignore_folded_runs():
+    tags = ["c20240101T000000000000", "r20240102T000000000000", "c20240103T000000000000", "r20240103T000000000000",
+            "r20240104T000000000000"]
+    assert run.live_runs(tags) == ["c20240103T000000000000", "r20240104T000000000000"]
+    assert run.live_runs(["r1", "r2"]) == ["r1", "r2"]
