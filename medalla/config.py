@@ -60,6 +60,7 @@ class PipelineConfig:
     ``dedup_watermark`` optional delay bounding streaming de-dup state
     ``partials_compact_after`` live per-run partial partitions before they are
                     folded into one compaction
+    ``run_duration_warn_seconds`` a longer run is logged at WARN level
     ``max_files_per_trigger`` files per micro-batch (a backlog is worked off
                     in bounded, separately committed batches); 0 = no limit
     ``generation``  namespace of everything derived from Bronze (Silver,
@@ -81,6 +82,7 @@ class PipelineConfig:
     dedup_watermark: str | None = None
     max_files_per_trigger: int | None = 1000
     partials_compact_after: int = 30
+    run_duration_warn_seconds: float = 1200.0
     jdbc_options: tuple[tuple[str, str], ...] = ()
 
     def table_path(self, layer: str, name: str) -> str:
@@ -122,6 +124,7 @@ class PipelineConfig:
             dedup_watermark=get("dedup_watermark", None) or None,
             max_files_per_trigger=int(get("max_files_per_trigger", "1000")) or None,
             partials_compact_after=int(get("partials_compact_after", "30")),
+            run_duration_warn_seconds=float(get("run_duration_warn_seconds", "1200")),
         )
         jdbc = {k[len(PREFIX + "jdbc."):]: v for k, v in _conf_items(spark) if k.startswith(PREFIX + "jdbc.")}
         if jdbc:

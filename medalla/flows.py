@@ -201,9 +201,16 @@ def run_once(
     log = monitoring.RunLog(spark, cfg.table_path("ops", "run_log"))
     summary: dict = {"run_ts": cfg.run_ts.isoformat(), "steps": {}}
 
+    run_start = time.perf_counter()
+
     def step(name: str, fn: Callable[[], object]):
         t0 = time.perf_counter()
-        out = fn()
+        try:
+            out = fn()
+        except Exception as err:  # record the failure in the run log, then fail the run
+            log.add("step_failed", json.dumps({"step": name, "error": f"{type(err).__name__}: {err}"[:2000]}), "ERROR")
+            log.flush()
+            raise
         secs = round(time.perf_counter() - t0, 3)
         summary["steps"][name] = secs
         log.add("step", json.dumps({"step": name, "seconds": secs}))
@@ -320,6 +327,12 @@ def run_once(
         summary["quarantine_total"] = sum(r["count"] for r in breakdown)
         log.add("quarantine", json.dumps({"total": summary["quarantine_total"], "by_reason": summary["quarantine"]}))
 
-    log.add("run", json.dumps({"run_ts": summary["run_ts"], "steps": len(summary["steps"])}))
+    summary["duration_s"] = round(time.perf_counter() - run_start, 3)
+    slow = summary["duration_s"] > cfg.run_duration_warn_seconds
+    log.add(
+        "run",
+        json.dumps({"run_ts": summary["run_ts"], "steps": len(summary["steps"]), "seconds": summary["duration_s"]}),
+        "WARN" if slow else "INFO",
+    )
     log.flush()
     return summary

@@ -230,3 +230,22 @@ def test_live_runs_ignore_folded_runs():
             "r20240104T000000000000"]
     assert run.live_runs(tags) == ["c20240103T000000000000", "r20240104T000000000000"]
     assert run.live_runs(["r1", "r2"]) == ["r1", "r2"]
+
+
+def test_failed_step_is_logged_and_slow_run_warned(spark):
+    import pytest
+
+    cfg = connectors.scratch_config(spark, "t-fail").with_options(run_duration_warn_seconds=0.0)
+    files.write_json_lines(connectors._raw(adapters.products(spark, SF_SMOKE), "products"), cfg.landing_path("products"))
+
+    def broken(_spark):
+        raise RuntimeError("tracking source down")
+
+    with pytest.raises(RuntimeError):
+        run.run_once(spark, cfg, tracking_reader=broken)
+    log = spark.read.parquet(cfg.table_path("ops", "run_log"))
+    row = log.filter("event_type = 'step_failed'").first()
+    assert row["level"] == "ERROR" and "tracking source down" in row["message"]
+    run.run_once(spark, cfg.with_options(run_ts=flows.stamp()))
+    log = spark.read.parquet(cfg.table_path("ops", "run_log"))
+    assert log.filter("event_type = 'run' AND level = 'WARN'").count() == 1
