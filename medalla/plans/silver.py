@@ -230,7 +230,7 @@ def classified(spec: SourceSpec, bronze: DataFrame) -> DataFrame:
     return quality.classify(prepare(spec, bronze), spec.rules)
 
 
-def _business(spec: SourceSpec) -> list[str]:
+def business_columns(spec: SourceSpec) -> list[str]:
     return [c for c, _ in spec.columns] + list(spec.passthrough) + list(spec.lineage)
 
 
@@ -261,7 +261,7 @@ def clean(
         out = kept.filter(~F.col(INVALID)).drop(INVALID)
     else:
         out = dedup.keep_first(typed.filter(valid), [spec.key], spec.order)
-    out = out.select(*_business(spec))
+    out = out.select(*business_columns(spec))
     if run_ts is not None:
         out = out.withColumn("updated_at", F.lit(run_ts).cast("timestamp"))
     return out
@@ -276,7 +276,7 @@ def first_copies(spec: SourceSpec, bronze: DataFrame) -> DataFrame:
     """
     typed = prepare(spec, bronze).drop(RAW).withColumn(INVALID, ~quality.valid_predicate(spec.rules))
     kept = dedup.keep_first(typed, [spec.key], [INVALID, *spec.order])
-    return kept.select(*_business(spec))
+    return kept.select(*business_columns(spec))
 
 
 def review_replies(bronze_reviews: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:

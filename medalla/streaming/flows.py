@@ -102,9 +102,9 @@ def start_silver(
     typed = quality.observe_rules(silver.prepare(spec, bronze).drop(silver.RAW), f"rules_{source}", spec.rules)
     if cfg.dedup_first:  # reference order: first arrival, then the rules
         first = dedup.keep_first_stream(typed, [spec.key], watermark=cfg.dedup_watermark)
-        out = first.filter(quality.valid_predicate(spec.rules)).select(*silver._business(spec))
+        out = first.filter(quality.valid_predicate(spec.rules)).select(*silver.business_columns(spec))
     else:
-        valid = typed.filter(quality.valid_predicate(spec.rules)).select(*silver._business(spec))
+        valid = typed.filter(quality.valid_predicate(spec.rules)).select(*silver.business_columns(spec))
         out = dedup.keep_first_stream(valid, [spec.key], watermark=cfg.dedup_watermark)
     out = out.withColumn("updated_at", F.lit(cfg.run_ts).cast("timestamp"))
     parts = None
@@ -173,7 +173,7 @@ def apply_employee_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFr
             *quality.counter_columns(spec.rules),
             F.collect_set(F.when(quality.is_valid(), _bucket(cfg))).alias("touched"),
         )
-        clean = quality.accepted(observed.drop(silver.RAW)).select(*silver._business(spec))
+        clean = quality.accepted(observed.drop(silver.RAW)).select(*silver.business_columns(spec))
         staged = clean.withColumn(BUCKET, _bucket(cfg)).withColumn(BATCH, F.lit(batch_id).cast("long"))
         (
             staged.write.mode("overwrite")
