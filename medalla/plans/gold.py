@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 RATE = T.DecimalType(24, 0)
 TOTAL = T.DecimalType(38, 2)  # money partials: one fixed type however often they are summed
+MART_MONEY = T.DecimalType(23, 2)  # published money columns, as in the table contract
 
 
 def sales_by_branch_month(sales: DataFrame) -> DataFrame:
@@ -84,9 +85,9 @@ def products_with_totals(products: DataFrame, sales_partials: DataFrame, returns
         "brand",
         F.coalesce(F.col("units_sold"), F.lit(0)).cast("bigint").alias("units_sold"),
         F.coalesce(F.col("sales_count"), F.lit(0)).alias("sales_count"),
-        F.coalesce(F.round(F.col("sales_amount"), 2), F.lit(0)).alias("sales_amount"),
+        F.coalesce(F.round(F.col("sales_amount"), 2), F.lit(0)).cast(MART_MONEY).alias("sales_amount"),
         F.coalesce(F.col("returns_count"), F.lit(0)).alias("returns_count"),
-        F.coalesce(F.round(F.col("refund_amount"), 2), F.lit(0)).alias("refund_amount"),
+        F.coalesce(F.round(F.col("refund_amount"), 2), F.lit(0)).cast(MART_MONEY).alias("refund_amount"),
     )
 
 
