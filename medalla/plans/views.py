@@ -29,7 +29,9 @@ LAYERS = {
 
 
 def register_views(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
-    """``<layer>_<table>`` temp views for every table that exists."""
+    """``<layer>_<table>`` temp views for every table that exists, plus
+    ``silver_employees_current_masked`` (personal data masked unless
+    ``cfg.privileged``)."""
     from ..flows import _readable
 
     names = []
@@ -40,6 +42,10 @@ def register_views(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
                 name = f"{layer}_{t}"
                 spark.read.parquet(path).createOrReplaceTempView(name)
                 names.append(name)
+    if "silver_employees_current" in names:
+        names.append(
+            masked_staff_view(spark, spark.table("silver_employees_current"), cfg.privileged, "silver_employees_current_masked")
+        )
     return names
 
 

@@ -128,6 +128,9 @@ def test_views_and_sql_row_counts(spark):
     assert {k: v for k, v in stored.items()} == {k: sql_counts[k] for k in stored}
     v = views.masked_staff_view(spark, spark.table("silver_employees_current"), privileged=False)
     assert spark.sql(f"SELECT DISTINCT national_id FROM {v}").first()[0] == "***REDACTADO***"
+    assert spark.sql("SELECT DISTINCT email FROM silver_employees_current_masked").first()[0] == "***REDACTADO***"
+    views.register_views(spark, cfg.with_options(privileged=True))
+    assert spark.sql("SELECT count(*) FROM silver_employees_current_masked WHERE email = '***REDACTADO***'").first()[0] == 0
 
 
 def test_incremental_monthly_mart_equals_full_recompute(spark):
