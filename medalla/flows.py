@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -50,7 +51,23 @@ def _readable(spark: SparkSession, path: str) -> bool:
 
 
 def _overwrite(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Publish a snapshot table: write it beside the live one, then swap it in
+    with two directory renames, so readers see the previous or the new table,
+    never a partly written one; the superseded version is kept as
+    ``<path>__previous`` until the next publish."""
+    spark = df.sparkSession
+    staging = f"{path}__staging_{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(staging)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    live, previous, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}__previous", staging))
+    fs = live.getFileSystem(conf)
+    if fs.exists(previous):
+        fs.delete(previous, True)
+    if fs.exists(live):
+        fs.rename(live, previous)
+    if not fs.rename(new, live):
+        raise OSError(f"could not publish {staging} as {path}")
 
 
 def read_table(spark: SparkSession, cfg: PipelineConfig, layer: str, name: str) -> DataFrame:

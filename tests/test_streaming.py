@@ -252,3 +252,16 @@ def test_failed_step_is_logged_and_slow_run_warned(spark):
     run.run_once(spark, cfg.with_options(run_ts=flows.stamp()))
     log = spark.read.parquet(cfg.table_path("ops", "run_log"))
     assert log.filter("event_type = 'run' AND level = 'WARN'").count() == 1
+
+
+def test_snapshot_publish_swaps_whole_tables(spark):
+    cfg = connectors.scratch_config(spark, "t-publish")
+    path = cfg.table_path("gold", "demo")
+    run._overwrite(spark.range(0, 5), path)
+    reader = spark.read.parquet(path)  # planned against the first version
+    run._overwrite(spark.range(0, 7), path)
+    assert spark.read.parquet(path).count() == 7
+    assert spark.read.parquet(path + "__previous").count() == 5
+    run._overwrite(spark.range(0, 9), path)
+    assert spark.read.parquet(path).count() == 9 and spark.read.parquet(path + "__previous").count() == 7
+    assert reader.columns == ["id"]
