@@ -265,3 +265,15 @@ def test_snapshot_publish_swaps_whole_tables(spark):
     run._overwrite(spark.range(0, 9), path)
     assert spark.read.parquet(path).count() == 9 and spark.read.parquet(path + "__previous").count() == 7
     assert reader.columns == ["id"]
+
+
+def test_streaming_replies_equal_batch_replies(spark):
+    cfg = connectors.scratch_config(spark, "t-replies")
+    threaded = connectors._raw(adapters.threaded_reviews(spark, SF_SMOKE), "reviews")
+    files.write_json_arrays(threaded, cfg.landing_path("reviews"), rows_per_file=40)
+    flows.run_streams([flows.start_bronze(spark, cfg, "reviews")])
+    flows.run_streams([flows.start_review_replies(spark, cfg)])
+    got = spark.read.parquet(cfg.table_path("silver", "review_replies")).select("review_id", "reply_pos", "author", "text")
+    exp = catalog.review_replies(spark, SF_SMOKE).select("review_id", "reply_pos", "author", "text")
+    assert got.count() > 0
+    assert sorted(map(tuple, catalog.portable(got).collect())) == sorted(map(tuple, exp.collect()))
