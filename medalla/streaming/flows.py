@@ -2,17 +2,21 @@
 
 * Bronze: one file stream per feed, appended to a Parquet table.  The file
   sink's commit log plus the query checkpoint give exactly-once appends, and a
-  file is never ingested twice across runs.
+  file is never ingested twice across runs.  At most
+  ``cfg.max_files_per_trigger`` files go into one micro-batch.
 * Silver: the Bronze table read as a stream, typed and rule-checked, then
-  ``dropDuplicates(key)`` (RocksDB state; first valid arrival wins) and
-  appended.  A second stream over the same Bronze table appends the rejects
-  to the feed's quarantine table; rule counters ride along as observed
-  metrics in every micro-batch's progress.
-* Employee history: ``foreachBatch`` appends the clean events of the batch,
-  partitioned by ``pmod(xxhash64(employee_id), N)``, then rebuilds the history
-  of the touched buckets only (dynamic partition overwrite).  The history is
-  always derived from the full event log of a bucket, so late events split
-  intervals correctly and a replayed batch rewrites identical files.
+  de-duplicated on its key: a stateless Arrow pass drops repeated keys inside
+  each record batch, then ``dropDuplicates`` (RocksDB state; first valid
+  arrival wins; ``cfg.dedup_watermark`` optionally bounds the state).  Silver
+  sales are partitioned by ``sale_month`` for the incremental monthly mart.
+  A second stream over the same Bronze table appends the rejects to the feed's
+  quarantine table; rule counters ride along as observed metrics in every
+  micro-batch's progress.
+* Employee history: ``foreachBatch`` writes the clean events of the batch,
+  partitioned by ``pmod(xxhash64(employee_id), N)`` and ``batch_id`` (dynamic
+  overwrite, so a replayed batch rewrites its own files), then rebuilds the
+  history of the touched buckets only.  The history is always derived from the
+  full event log of a bucket, so late events split intervals correctly.
 
 All queries run with ``trigger(availableNow=True)`` by default: process what
 has arrived, then stop - a scheduled incremental job.
