@@ -31,17 +31,26 @@ def normalise_path(path: str) -> str:
     return path.rstrip("/") or "/"
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    ``spark.checkpoint.dir`` is the cluster's shared, fault-tolerant folder.
-    Only when it is unset (a local test session) is a private one created.
+    ``spark.checkpoint.dir`` is the cluster's shared, fault-tolerant folder
+    (a core setting, fixed when the context starts).  Only when it is unset (a
+    local test session) is a private folder created - once per application -
+    and registered with ``SparkContext.setCheckpointDir``.
     """
+    sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="medalla-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
+        current = _LOCAL_ROOTS.get(sc.applicationId)
+        if current is None:
+            current = tempfile.mkdtemp(prefix="medalla-ckpt-")
+            _LOCAL_ROOTS[sc.applicationId] = current
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(current)
     return normalise_path(current)
 
 
