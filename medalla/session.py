@@ -44,12 +44,24 @@ RUNTIME_DEFAULTS: dict[str, str] = {
 }
 
 
+def _explicitly_set(spark: SparkSession) -> set[str]:
+    """Keys set by the cluster, the submit command or the session (not the
+    built-in defaults, which ``spark.conf.get`` also returns)."""
+    keys = {k for k, _ in spark.sparkContext.getConf().getAll()}
+    try:
+        keys |= set(spark.conf.getAll)  # PySpark 4: the session's set keys
+    except Exception:
+        pass
+    return keys
+
+
 def apply_defaults(spark: SparkSession) -> dict[str, str]:
-    """Set each of ``RUNTIME_DEFAULTS`` that the session does not define yet;
-    returns what was set."""
+    """Set each of ``RUNTIME_DEFAULTS`` that nobody set explicitly; returns
+    what was set."""
+    given = _explicitly_set(spark)
     applied = {}
     for key, value in RUNTIME_DEFAULTS.items():
-        if spark.conf.get(key, None) in (None, ""):
+        if key not in given:
             spark.conf.set(key, value)
             applied[key] = value
     return applied

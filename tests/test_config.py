@@ -29,3 +29,15 @@ def test_config_from_session_keys(spark):
     finally:
         for k in keys:
             spark.conf.unset(k)
+
+
+def test_apply_defaults_respects_explicit_settings(spark):
+    from medalla.session import RUNTIME_DEFAULTS, apply_defaults
+
+    applied = apply_defaults(spark)
+    # local_session set these explicitly: they must not be overridden
+    assert "spark.sql.adaptive.enabled" not in applied
+    assert "spark.sql.streaming.stateStore.providerClass" not in applied
+    for key, value in RUNTIME_DEFAULTS.items():
+        assert spark.conf.get(key) == (value if key in applied else spark.conf.get(key))
+    assert apply_defaults(spark) == {}  # idempotent
