@@ -120,6 +120,7 @@ def _monthly_sales(spark: SparkSession, cfg: PipelineConfig, summary: dict) -> N
         sales = sales.filter(cond)
     (
         gold.sales_by_branch_month(sales)
+        .hint("rebalance", "year", "month")  # few files per month partition
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if full else "dynamic")
         .partitionBy("year", "month")
@@ -194,13 +195,14 @@ def update_partials(spark: SparkSession, cfg: PipelineConfig, name: str) -> Data
     else:
         mine = facts.filter(F.col("updated_at") == F.lit(cfg.run_ts).cast("timestamp"))
         out, mode = partials(mine).withColumn("run", F.lit("r" + stamp)), "dynamic"
-    out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("run").parquet(path)
+    out.hint("rebalance", "run").write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("run").parquet(path)
 
     live = live_runs(_partition_values(spark, path, "run"))
     if len(live) > cfg.partials_compact_after + 1:
         folded = gold.merge_partials(spark.read.parquet(path).filter(F.col("run").isin(live)))
         (
             folded.withColumn("run", F.lit("c" + stamp))
+            .hint("rebalance", "run")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("run")

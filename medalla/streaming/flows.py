@@ -180,7 +180,8 @@ def apply_employee_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFr
         clean = quality.accepted(observed.drop(silver.RAW)).select(*silver.business_columns(spec))
         staged = clean.withColumn(BUCKET, _bucket(cfg)).withColumn(BATCH, F.lit(batch_id).cast("long"))
         (
-            staged.write.mode("overwrite")
+            staged.hint("rebalance", BUCKET)  # few files per bucket; AQE splits a skewed bucket
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(BUCKET, BATCH)
             .parquet(cfg.table_path("silver", "employee_events"))
@@ -208,7 +209,8 @@ def rebuild_history(spark: SparkSession, cfg: PipelineConfig, buckets: list[int]
     ev = read_employee_events(spark, cfg, buckets).drop(BATCH)
     hist = employees.history(ev.drop(BUCKET)).withColumn(BUCKET, _bucket(cfg))
     (
-        hist.write.mode("overwrite")
+        hist.hint("rebalance", BUCKET)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(BUCKET)
         .parquet(cfg.table_path("silver", "employee_history"))
