@@ -60,3 +60,7 @@ class RunLog:
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(RUN_LOG_SCHEMA).parquet(self.path)
+
+    def latest(self, n: int = 100) -> DataFrame:
+        """The newest ``n`` entries (the reference's "latest events" query)."""
+        return latest(self.read(), n)

@@ -277,3 +277,16 @@ def test_streaming_replies_equal_batch_replies(spark):
     exp = catalog.review_replies(spark, SF_SMOKE).select("review_id", "reply_pos", "author", "text")
     assert got.count() > 0
     assert sorted(map(tuple, catalog.portable(got).collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_run_log_latest_entries(spark):
+    import datetime as dt
+
+    from medalla.plans import monitoring
+
+    cfg = connectors.scratch_config(spark, "t-log")
+    log = monitoring.RunLog(spark, cfg.table_path("ops", "run_log"))
+    for i in range(5):
+        log.add("step", f"m{i}", at=dt.datetime(2024, 1, 1, 0, i))
+    log.flush()
+    assert [r["message"] for r in log.latest(3).collect()] == ["m4", "m3", "m2"]
