@@ -55,3 +55,9 @@ def test_query_matches_oracle(spark, duck, name):
     onames = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(onames)
     assert _bag(df.columns, df.collect()) == _bag(onames, cur.fetchall())
+
+
+def test_every_oracle_statement_runs_in_duckdb(duck):
+    for name, sql in entry.oracle_sql().items():
+        cur = duck.execute(sql)
+        assert cur.fetchall() is not None, name
