@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pack, token_store
+from . import decontaminate, near_dups, pack, syncmers, token_store
 from .common import table
 
 
@@ -24,6 +24,14 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.against_next(table(spark, sf_dir, "documents"))
+
+
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, manifest = token_store.write(table(spark, sf_dir, "documents"))
     return token_store.read(spark, folder, manifest)
@@ -35,6 +43,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
+    "op3_fingerprints": op3_fingerprints,
+    "op4_near_duplicates": op4_near_duplicates,
     "op6_token_ids": op6_token_ids,
     "op10_packing": op10_packing,
 }
