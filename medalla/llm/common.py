@@ -66,23 +66,23 @@ def in_slices(df: DataFrame, *order) -> DataFrame:
     return df.sort(*order).checkpoint().withColumn("slice", F.spark_partition_id())
 
 
-def first_k(df: DataFrame, k: int, *order) -> DataFrame:
-    """The first ``k`` rows in that order, exactly, without a task that sees
-    them all: whole slices up to the one in which row ``k`` lies, and of that
-    one the rows up to ``k``.  The driver gets one count for each slice."""
-    cols = df.columns
+def mark_first_k(df: DataFrame, k: int, *order) -> DataFrame:
+    """``df`` with ``kept``: whether a row is among the first ``k`` in that
+    order, exactly, without a task that sees all: every row of the slices
+    before the one in which row ``k`` lies, and of that one those up to ``k``.
+    The driver gets one count for each slice."""
     sliced = in_slices(df, *order)
     counts = sorted((r["slice"], r["count"]) for r in sliced.groupBy("slice").count().collect())
-    left = k
+    left, at = k, None
     for at, n in counts:
         if n >= left:
             break
         left -= n
-    else:
-        return sliced.select(*cols)
-    w = Window.partitionBy("slice").orderBy(*order)
-    part = sliced.filter(F.col("slice") == at).withColumn("place", F.row_number().over(w))
-    return sliced.filter(F.col("slice") < at).select(*cols).unionByName(part.filter(F.col("place") <= left).select(*cols))
+    here = F.col("slice") == F.lit(at)
+    place = F.row_number().over(Window.partitionBy("slice").orderBy(*order))
+    part = sliced.filter(here).withColumn("kept", place <= left)
+    rest = sliced.filter(~here).withColumn("kept", F.col("slice") < F.lit(at))
+    return rest.unionByName(part).drop("slice") if counts else df.withColumn("kept", F.lit(False))
 
 
 def salted_join(many: DataFrame, few: DataFrame, keys: list[str], how: str = "left", salts: int = 16) -> DataFrame:

@@ -60,11 +60,17 @@ def _segments(white, data):
         at = to
 
 
-def word_hashes(column):
-    """(hash of each word, where each text's words start and the last end)."""
+def words(column, marks=None, letters: bool = False):
+    """Of each word, or with ``letters`` of each run of ASCII letters, digits
+    and all bytes beyond ASCII: (hash, where its first byte is, how many bytes it has and,
+    by ``marks`` (bits for each byte value), the bits that any of its bytes has;
+    where each text's words start and the last end)."""
     white, value = _tables()
+    if letters:
+        byte = np.arange(256)
+        white = (byte < 128) & ~np.char.isalnum(np.array([chr(b) for b in byte]))
     data, bounds = text_bytes(column)
-    hashes, first = [np.empty(0, _U)], [np.empty(0, np.int64)]
+    hashes, first, sizes, bits = [np.empty(0, _U)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.uint8)]
     for a, b in _segments(white, data):
         part = data[a:b]
         inside = ~white[part]
@@ -84,23 +90,33 @@ def word_hashes(column):
         terms = np.where(inside, value[part] * power[place], _U(0))
         hashes.append(mix(np.add.reduceat(terms, at)))
         first.append(at + a)
+        sizes.append(np.add.reduceat(inside, at, dtype=np.int64))
+        if marks is not None:
+            bits.append(np.bitwise_or.reduceat(np.where(inside, marks[part], 0).astype(np.uint8), at))
     first = np.concatenate(first)
-    return np.concatenate(hashes), np.searchsorted(first, bounds)
+    found = np.concatenate(hashes), first, np.concatenate(sizes), np.concatenate(bits) if marks is not None else None
+    return *found, np.searchsorted(first, bounds)
+
+
+def word_hashes(column):
+    """(hash of each word, where each text's words start and the last end)."""
+    found = words(column)
+    return found[0], found[-1]
 
 
-def shingle_sets(column, words: int = 5) -> list[np.ndarray]:
-    """The sorted distinct shingle hashes of each text: ``words`` consecutive
+def shingle_sets(column, n: int = 5) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each text: ``n`` consecutive
     words, the whole sequence if there are fewer, nothing without a word."""
     hashes, bounds = word_hashes(column)
     factor = _U(0xD6E8FEB86659FD93)
-    rolled = np.zeros(max(0, len(hashes) - words + 1), dtype=_U)
-    for j in range(words):
+    rolled = np.zeros(max(0, len(hashes) - n + 1), dtype=_U)
+    for j in range(n):
         rolled = rolled * factor + hashes[j : j + len(rolled)]
     rolled = mix(rolled)
     out = []
     for a, b in zip(bounds[:-1], bounds[1:]):
-        if b - a >= words:
-            out.append(np.unique(rolled[a : b - words + 1]))
+        if b - a >= n:
+            out.append(np.unique(rolled[a : b - n + 1]))
         elif b > a:
             whole = np.zeros(1, dtype=_U)
             for h in hashes[a:b]:
