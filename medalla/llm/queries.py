@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, near_dups, pack, quality, syncmers, token_store
+from . import decontaminate, language, near_dups, pack, quality, syncmers, token_store
 from .common import table
 
 
@@ -37,6 +37,11 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(spark, folder, manifest)
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return language.predict(table(spark, sf_dir, "documents"), held_out)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_fingerprints": op3_fingerprints,
     "op4_near_duplicates": op4_near_duplicates,
     "op6_token_ids": op6_token_ids,
+    "op7_language": op7_language,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
