@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, near_dups, pack, quality, syncmers, token_store
+from . import decontaminate, language, line_templates, near_dups, pack, quality, syncmers, token_store, warc
 from .common import table
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_templates.without_recurring_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_lines",
+        F.size("dropped").cast("long").alias("n_dropped"),
+        F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped_lines"),
+        F.col("kept_text").alias("text"),
+    )
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), spans=False)
@@ -32,6 +43,11 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, manifest = warc.write(warc.chunk_table(table(spark, sf_dir, "pages")))
+    return warc.resolved(warc.read(spark, folder, manifest, with_data=False))
+
+
 def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, manifest = token_store.write(table(spark, sf_dir, "documents"))
     return token_store.read(spark, folder, manifest)
@@ -51,13 +67,15 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
     "op3_fingerprints": op3_fingerprints,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_warc": op5_warc,
     "op6_token_ids": op6_token_ids,
     "op7_language": op7_language,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {}  # by query, where SQL can express it
