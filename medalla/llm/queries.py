@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, line_templates, near_dups, pack, quality, syncmers, token_store, warc
+import corpus_pipeline
+
+from . import decontaminate, language, line_templates, near_dups, pack, quality, syncmers, token_store, tool_calls, warc
 from .common import table
 
 
@@ -58,6 +60,21 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(table(spark, sf_dir, "documents"), held_out)
 
 
+def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.turns_as_calls(table(spark, sf_dir, "conversations"))
+    out = tool_calls.link(calls, results, tool_calls.REPLY)
+    return out.select(
+        F.col("conversation").alias("conv_id"),
+        "call_id",
+        F.col("seq").alias("turn"),
+        "delay",
+        "n_results",
+        "valid",
+        F.array_join("errors", "; ").alias("errors"),
+        "message",
+    )
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -74,8 +91,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op6_token_ids": op6_token_ids,
     "op7_language": op7_language,
+    "op8_tool_calls": op8_tool_calls,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
+    "pipeline": corpus_pipeline.run,
 }
 
-SQL: dict[str, str] = {}  # by query, where SQL can express it
+_TOOL_CALLS_SQL = r"""
+WITH calls AS (
+  SELECT conv_id, turn, text, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS call_id,
+         CASE WHEN turn >= 2 THEN CAST(conv_id AS VARCHAR) || '-' || CAST(turn - 2 AS VARCHAR) END AS after_id,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '\S+')) AS BIGINT) AS words
+  FROM conversations WHERE role = 'user'),
+answers AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) || '-' || CAST(turn - 1 AS VARCHAR) AS call_id,
+         count(*) AS n_results, min_by(text, turn) AS content
+  FROM conversations WHERE role = 'assistant' GROUP BY ALL),
+checked AS (
+  SELECT c.conv_id, coalesce(c.call_id, a.call_id) AS call_id, c.turn, coalesce(a.n_results, 0) AS n_results,
+         a.content, c.text, c.words, c.call_id IS NOT NULL AS called,
+         concat_ws('; ',
+           CASE WHEN c.call_id IS NULL THEN 'no call' END,
+           CASE WHEN c.after_id IS NOT NULL AND p.call_id IS NULL THEN 'depends on no call: ' || c.after_id END,
+           CASE WHEN a.n_results > 1 THEN 'more than one result' END,
+           CASE WHEN c.call_id IS NOT NULL AND c.text IS NULL THEN 'prompt is missing' END,
+           CASE WHEN length(c.text) < 16 THEN 'prompt has less than 16 characters' END,
+           CASE WHEN c.words < 3 THEN 'words is below 3' END,
+           CASE WHEN c.words > 30 THEN 'words is above 30' END) AS errors,
+         coalesce(c.conv_id, a.conv_id) AS conversation
+  FROM calls c FULL JOIN answers a ON c.conv_id = a.conv_id AND c.call_id = a.call_id
+  LEFT JOIN calls p ON p.conv_id = c.conv_id AND p.call_id = c.after_id)
+SELECT conversation AS conv_id, call_id, turn, CAST(0 AS BIGINT) AS delay, n_results, errors = '' AS valid, errors,
+       '{"arguments":' || CASE WHEN called THEN
+           '{' || CASE WHEN text IS NULL THEN '' ELSE '"prompt":' || CAST(to_json(text) AS VARCHAR) || ',' END
+           || '"turn":' || CAST(turn AS VARCHAR) || ',"words":' || CAST(words AS VARCHAR) || '}' ELSE 'null' END
+         || ',"id":' || CAST(to_json(call_id) AS VARCHAR)
+         || ',"name":' || CASE WHEN called THEN '"reply"' ELSE 'null' END
+         || ',"result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS message
+FROM checked
+"""
+
+#: By query, where SQL can express it.
+SQL: dict[str, str] = {"op8_tool_calls": _TOOL_CALLS_SQL}
