@@ -10,8 +10,8 @@ of fixed depth and each node a hash of the path to it, so lines meet by
 grouping, in any order, without a task that holds a part of the tree.
 
 A template recurs if it is in two documents or more that are different texts:
-documents whose two smallest shingle hashes agree count as one family, and a
-template whose documents are of less than half as many families is left to
+documents whose smallest shingles agree in three random orders count as one
+family, and a template whose documents are of less than half as many families is left to
 near-duplicate detection, else copies of one document would be taken line by
 line.  Of a recurring template, the lines in the document with the smallest
 doc_id stay and those in all others are dropped.
@@ -53,19 +53,20 @@ def _digits():
 
 
 def families(hashes, at):
-    """One number for each text, from the smallest of its shingles by two orders."""
+    """One number for each text, from its smallest shingle in each of three orders."""
     import numpy as np
 
     u = np.uint64
     rolled = np.zeros(len(hashes), dtype=u)
     for j in range(SHINGLE):  # shorter at the end: shingles across texts are cut off below
-        rolled[: len(hashes) - j] = rolled[: len(hashes) - j] * u(0xD6E8FEB86659FD93) + hashes[j:]
-    low = np.zeros((2, len(at) - 1), dtype=u)
+        n = max(0, len(hashes) - j)
+        rolled[:n] = rolled[:n] * u(0xD6E8FEB86659FD93) + hashes[j:]
+    low = np.zeros((3, len(at) - 1), dtype=u)
     for i, (a, b) in enumerate(zip(at[:-1], at[1:])):
         own = rolled[a : max(a + 1, b - SHINGLE + 1)] if b - a >= SHINGLE else hashes[a:b]
         if len(own):
-            low[0, i], low[1, i] = mix(own + u(1)).min(), mix(own + u(2)).min()
-    return mix(low[0] + u(3) * low[1])
+            low[:, i] = [mix(own + u(order)).min() for order in (1, 2, 3)]
+    return mix(low[0] + u(3) * low[1] + u(5) * low[2])
 
 
 def line_keys(column):
