@@ -94,6 +94,33 @@ def salted_join(many: DataFrame, few: DataFrame, keys: list[str], how: str = "le
     return left.join(right, [*keys, "__salt"], how).drop("__salt")
 
 
+#: Bits of the bitmap that stands for a set of ids: its table has at most 2**18 rows.
+LEAST_BITS, MOST_BITS = 16, 24
+
+
+def possibly_in(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` as the struct ``row``, with ``id`` (the column) and
+    ``possible``: false only if the id is surely not among ``ids`` (one column,
+    any number of rows).  A bitmap of the ids' hashes of bounded size is
+    broadcast; with more ids than it can tell apart more rows are possible."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * ids.count()).bit_length()))
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << bits))
+    words = ids.select(place(ids.columns[0]).alias("p")).groupBy(F.expr("shiftright(p, 6)").alias("word"))
+    words = words.agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("bits"))
+    rows = df.select(F.struct("*").alias("row"), F.col(column).alias("id"), place(column).alias("p"))
+    met = rows.join(F.broadcast(words), F.expr("shiftright(p, 6) = word"), "left")
+    return met.select("row", "id", F.coalesce(F.expr("bit_get(bits, cast(p & 63 as int)) = 1"), F.lit(False)).alias("possible"))
+
+
+def without_ids(df: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+    """``df`` without the rows whose ``column`` is among ``ids``; only rows for
+    which that is possible are shuffled."""
+    ids = stored(ids.distinct(), "ids")
+    marked = possibly_in(df, ids, column)
+    rest = marked.filter("possible").join(ids.withColumnRenamed(ids.columns[0], "gone"), F.col("id") == F.col("gone"), "left_anti")
+    return marked.filter("not possible").select("row").unionByName(rest.select("row")).select("row.*")
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for the nodes of undirected ``edges`` (a, b long):
     component is the smallest node reachable.

@@ -14,18 +14,23 @@ stop after a few of the slots.
 3. Classes that share a band meet in a bucket.  A bucket compares its members
    with its smallest one, not all with all.  These pairs are verified on the
    full shingle sets, computed anew for the classes concerned.
-4. Union-find over the verified links.  Pairs in a bucket whose classes are
-   already connected need no further look: their link changes no component.
-   The others, across components, are compared too.  A bucket with too many of
-   them is split by further bands until it is small: pairs above the
-   similarity share those bands as surely as the first ones.
+4. Union-find over the verified links.  In a bucket whose other members are in
+   one component then, no further link can change a component.  The classes of
+   mixed buckets are compared across components, and which ones of them is
+   settled exactly, not by enumerating a bucket: with its shingles ordered from
+   the rarest to the most common, a set similar enough to one no smaller shares
+   a shingle of its first 1 - 2t/(1+t) part with the other's first 1 - t part,
+   far enough in front for both.  Texts kept apart by what they have to
+   themselves begin with that, and so meet nobody.
 
 With 32 bands of 4 slots a pair at the similarity itself, 0.75, is missed with
 probability 5e-6, a closer one less often.  No link is lost to a cap.
 
-Scale: texts are shuffled once, to gather those to verify; bands are shuffled
-as 16-byte rows.  A hot bucket or class is met by partial aggregates, by
-skew-joins, and by dealing the pairs of a busy smallest member over salts.
+Scale: texts are never shuffled.  Bands travel as 16-byte rows, shingle sets
+only for classes in a shared bucket, which a pass over the texts finds by a
+bitmap of bounded size and a join then makes exact.  A hot bucket or class is
+met by partial aggregates, by skew-joins, and by dealing the pairs of a busy
+smallest member over salts.
 
 Defined results: a document without words has an empty set and is linked with
 nothing; with fewer than five words its sequence is its one shingle.  Rows
@@ -35,20 +40,17 @@ Repeated rows share class and component.  Only ``doc_id`` and ``text`` are read.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, salted_join, stored, text_blocks
+from .common import components, possibly_in, salted_join, stored, text_blocks, without_ids
 from .shingles import SEGMENT, mix, shingle_sets
 
 WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
-#: A bucket may compare this many pairs for each of its members.
-PAIRS_PER_MEMBER = 32
-SPLITS = 3
+#: Size of the table of shingle frequencies.
+FREQUENCY_BITS = 20
 #: Pairs of one smallest member that one task verifies.
 PAIRS_PER_SALT = 256
 
@@ -117,22 +119,27 @@ def _setter(words: int):
 
         for batch in text_blocks(batches, limit=SEGMENT):
             sets = [s.view(np.int64) for s in shingle_sets(batch.column("text"), words)]
-            yield pa.RecordBatch.from_pydict({"class": batch.column("class"), "set": pa.array(sets, pa.list_(pa.int64()))})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "set": pa.array(sets, pa.list_(pa.int64()))})
 
     return run
 
 
+def _sets(docs: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+    """(class, set) of these classes.  The texts stay where they are read: a
+    bitmap lets through the classes and a few others, the join drops those."""
+    some = possibly_in(docs, classes.select("class"), "doc_id").filter("possible").select("row.doc_id", "row.text")
+    found = some.mapInArrow(_setter(words), "doc_id long, set array<long>")
+    found = found.join(classes.select("class"), F.col("doc_id") == F.col("class")).select("class", "set")
+    return stored(found, "shingle-sets")
+
+
 def _fits(a: str, b: str, percent: int) -> str:
     """Sets of these sizes can reach the similarity."""
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
 
-def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+def _verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose full sets are similar enough."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    texts = docs.join(needed, docs["doc_id"] == needed["class"]).select("class", "text")
-    sets = texts.mapInArrow(_setter(words), "class long, set array<long>")
-    sets = stored(sets, "shingle-sets")
     # the pairs of a busy class are dealt over salts, its set is repeated for each
     salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / PAIRS_PER_SALT).cast("int").alias("salts"))
     left = (
@@ -153,47 +160,50 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int,
     )
 
 
-def _across(members: DataFrame, major: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a bucket's members in different components.  At least one of a
-    pair is outside the bucket's largest component, so that one is never
-    compared with itself."""
-    x = members.join(major.select("key", "major"), "key")
-    y = x.filter("component <> major").select(
-        "key", F.col("class").alias("c2"), F.col("n").alias("n2"), F.col("component").alias("k2")
-    )
-    met = x.join(y, "key").filter("component <> k2 and (component = major or class < c2)").filter(_fits("n", "n2", percent))
-    return met.select(F.least("class", "c2").alias("a"), F.greatest("class", "c2").alias("b")).distinct()
-
-
-def _rest(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) that share a bucket but no component, hot buckets split."""
-    found: list[DataFrame] = []
-    for split in range(SPLITS + 1):
-        sizes = members.groupBy("key", "component").agg(F.count("*").alias("n"))
-        mixed = (
-            sizes.groupBy("key")
-            .agg(
-                F.sum("n").alias("all"),
-                ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"),
-                F.max_by("component", "n").alias("major"),
-                F.count("*").alias("parts"),
-            )
-            .filter("parts > 1")
-        )
-        mixed = stored(mixed, "mixed-buckets")
-        few = F.col("pairs") <= PAIRS_PER_MEMBER * F.col("all")
-        if split == SPLITS:
-            few = F.lit(True)  # whatever is left is compared, never dropped
-        found.append(_across(members, mixed.filter(few), percent))
-        hot = mixed.filter(~few)
-        if split == SPLITS or hot.isEmpty():
-            break
-        again = members.join(hot.select("key"), "key").join(classes.select("class", "bands"), "class")
-        members = again.select(
-            "class", "n", "component", F.explode(F.transform("bands", lambda b: F.xxhash64("key", b))).alias("key")
-        )
-        members = stored(members, "split-buckets")
-    return reduce(DataFrame.unionByName, found).distinct()
+def _fronter(shared, percent: int):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        frequency = shared.value
+        for batch in batches:
+            names, values = ("class", "n", "token", "place", "short"), ([], [], [], [], [])
+            for name, s in zip(batch.column("class").to_pylist(), batch.column("set")):
+                s, n = s.values.to_numpy(), len(s)
+                long = n - -(-percent * n // 100) + 1
+                short = n - -(-2 * percent * n // (100 + percent)) + 1
+                first = s[np.lexsort((s, frequency[s & (1 << FREQUENCY_BITS) - 1]))[:long]]
+                columns = (np.full(long, name), np.full(long, n), first, np.arange(1, long + 1), np.arange(1, long + 1) <= short)
+                for out, column in zip(values, columns):
+                    out.append(column)
+            if values[0]:
+                yield pa.RecordBatch.from_pydict({k: pa.array(np.concatenate(v)) for k, v in zip(names, values)})
+
+    return run
+
+
+def _across(sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Every pair (a, b) of ``classes`` (class, component) in different
+    components that can be similar enough, and few others."""
+    import numpy as np
+
+    each = sets.select(F.explode("set").alias("token")).groupBy(F.expr(f"token & {(1 << FREQUENCY_BITS) - 1}").alias("bucket"))
+    counted = each.agg(F.count("*").alias("n")).toArrow()
+    frequency = np.zeros(1 << FREQUENCY_BITS, np.int32)
+    frequency[counted.column("bucket").to_numpy()] = np.minimum(counted.column("n").to_numpy(), np.iinfo(np.int32).max)
+    shared = sets.sparkSession.sparkContext.broadcast(frequency)  # 4 MB whatever the input
+    fronts = sets.mapInArrow(_fronter(shared, percent), "class long, n long, token long, place long, short boolean")
+    fronts = stored(fronts.join(classes, "class"), "set-fronts")
+
+    of_token = fronts.groupBy("token", "component").agg(F.count("*").alias("n"))
+    mixed = of_token.groupBy("token").agg(F.max_by("component", "n").alias("major"), F.count("*").alias("parts")).filter("parts > 1")
+    # at least one of a pair is outside the token's largest component, so that is never compared with itself
+    x = fronts.join(mixed.select("token", "major"), "token")
+    y = x.filter("component <> major").select("token", *[F.col(c).alias(f"{c}_2") for c in ("class", "n", "component", "place", "short")])
+    met = x.join(y, "token").filter("component <> component_2 and (component = major or class < class_2)")
+    met = met.filter("(short and n <= n_2) or (short_2 and n_2 <= n)")
+    met = met.filter(f"(least(n - place, n_2 - place_2) + 1) * (100 + {percent}) >= {percent} * (n + n_2)").filter(_fits("n", "n_2", percent))
+    return met.select(F.least("class", "class_2").alias("a"), F.greatest("class", "class_2").alias("b")).distinct()
 
 
 def near_duplicates(
@@ -215,19 +225,20 @@ def near_duplicates(
 
     starred = members.filter("class <> least").select(F.col("least").alias("a"), F.col("class").alias("b"), "n").distinct()
     sizes = members.select(F.col("class").alias("a"), F.col("n").alias("n_a")).distinct()
-    starred = starred.join(sizes, "a").filter(_fits("n", "n_a", percent)).select("a", "b")
-    starred = stored(starred, "pairs")
-    links = stored(_verified(docs, classes, starred, words, percent), "links")
+    starred = stored(starred.join(sizes, "a").filter(_fits("n", "n_a", percent)).select("a", "b"), "pairs")
+    needed = stored(starred.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "classes-met")
+    links = stored(_verified(_sets(docs, needed, words), starred, percent), "links")
     joined = components(links)
 
     # the smallest member is compared with all; others that aren't connected yet are compared across components
-    others = members.filter("class <> least").select("key", "class", "n")
-    others = others.join(joined.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class")
-    )
-    more = stored(_rest(others, classes, percent).join(starred, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        links = links.unionByName(_verified(docs, classes, more, words, percent))
+    others = members.filter("class <> least").join(joined.withColumnRenamed("node", "class"), "class", "left")
+    others = others.select("key", "class", F.coalesce("component", "class").alias("component"))
+    mixed = others.groupBy("key").agg(F.min("component").alias("one"), F.max("component").alias("other")).filter("one <> other")
+    apart = stored(others.join(mixed.select("key"), "key").select("class", "component").distinct(), "classes-apart")
+    if not apart.isEmpty():
+        sets = _sets(docs, apart, words)
+        more = stored(_across(sets, apart, percent).join(starred, ["a", "b"], "left_anti"), "pairs")
+        links = links.unionByName(_verified(sets, more, percent))
         joined = components(links)
 
     of_set = first.join(joined, F.col("class") == F.col("node"), "left").select(
@@ -242,5 +253,4 @@ def near_duplicates(
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """``docs`` with the smallest doc_id of each group, all columns kept."""
-    dropped = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return without_ids(docs, near_duplicates(docs).filter(~F.col("kept")).select("doc_id"))
