@@ -16,6 +16,8 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import SparkSession
 
+from .sources.schemas import SOURCE_FOLDERS
+
 PREFIX = "medalla."
 
 
@@ -38,13 +40,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
     ``spark.checkpoint.dir`` is the cluster's shared, fault-tolerant folder
-    (a core setting, fixed when the context starts).  Only when it is unset (a
-    local test session) is a private folder created - once per application -
-    and registered with ``SparkContext.setCheckpointDir``.
+    (a core setting, fixed when the context starts).  Only when it is unset and
+    the master is local (a test session) is a private folder created - once per
+    application - and registered with ``SparkContext.setCheckpointDir``; on any
+    other master that is an error.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.split("[")[0] == "local":  # an executor would write to a disk of its own
+            raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
         current = _LOCAL_ROOTS.get(sc.applicationId)
         if current is None:
             current = tempfile.mkdtemp(prefix="medalla-ckpt-")
@@ -60,6 +65,7 @@ class PipelineConfig:
 
     ``warehouse``   root folder of the bronze, silver and gold tables
     ``landing``     root folder of the incoming files (one sub-folder per source)
+    ``landing_folders`` each feed's sub-folder (``medalla.landing.<feed>``)
     ``checkpoints`` root folder of the streaming checkpoints (shared storage)
     ``run_ts``      one timestamp stamped on every row written by this run
     ``history_buckets`` number of key buckets of the employee history table
@@ -67,8 +73,8 @@ class PipelineConfig:
     ``full_refresh`` recompute incremental Gold marts from all of Silver
     ``privileged``  reader may see personal data unmasked
     ``dedup_watermark`` optional delay bounding streaming de-dup state
-    ``partials_compact_after`` live per-run partial partitions before they are
-                    folded into one compaction
+    ``partials_compact_after`` live per-batch partial partitions before they
+                    are folded into one compaction
     ``run_duration_warn_seconds`` a longer run is logged at WARN level
     ``max_files_per_trigger`` files per micro-batch (a backlog is worked off
                     in bounded, separately committed batches); 0 = no limit
@@ -93,6 +99,7 @@ class PipelineConfig:
     partials_compact_after: int = 30
     run_duration_warn_seconds: float = 1200.0
     jdbc_options: tuple[tuple[str, str], ...] = ()
+    landing_folders: tuple[tuple[str, str], ...] = tuple(SOURCE_FOLDERS.items())
 
     def table_path(self, layer: str, name: str) -> str:
         if layer == "bronze":
@@ -100,7 +107,7 @@ class PipelineConfig:
         return normalise_path(f"{self.warehouse}/{self.generation}/{layer}/{name}")
 
     def landing_path(self, source: str) -> str:
-        return normalise_path(f"{self.landing}/{source}")
+        return normalise_path(f"{self.landing}/{dict(self.landing_folders).get(source, source)}")
 
     def checkpoint_path(self, flow: str) -> str:
         if flow.startswith("bronze_"):
@@ -136,6 +143,8 @@ class PipelineConfig:
             run_duration_warn_seconds=float(get("run_duration_warn_seconds", "1200")),
         )
         jdbc = {k[len(PREFIX + "jdbc."):]: v for k, v in _conf_items(spark) if k.startswith(PREFIX + "jdbc.")}
+        folders = {s: get(f"landing.{s}", folder) for s, folder in SOURCE_FOLDERS.items()}
+        kw["landing_folders"] = tuple(folders.items())
         if jdbc:
             kw["jdbc_options"] = tuple(sorted(jdbc.items()))
         kw.update(overrides)
@@ -147,16 +156,3 @@ def _conf_items(spark: SparkSession):
         return list(spark.conf.getAll.items())  # type: ignore[attr-defined]
     except Exception:
         return list(spark.sparkContext.getConf().getAll())
-
-
-def local_config(spark: SparkSession, root: str | None = None, **kw) -> PipelineConfig:
-    """Config for a test run rooted in a fresh scratch folder."""
-    root = root or tempfile.mkdtemp(prefix="medalla-run-")
-    os.makedirs(root, exist_ok=True)
-    return PipelineConfig.from_spark(
-        spark,
-        warehouse=f"{root}/warehouse",
-        landing=f"{root}/landing",
-        checkpoints=f"{root}/streams",
-        **kw,
-    )

@@ -1,7 +1,8 @@
 """One scheduled run of the whole medallion, as plain ordered calls.
 
     landing files --(availableNow streams)--> Bronze
-    Bronze --(streams: Silver + quarantine, SCD2 foreachBatch)--> Silver
+    Bronze --(one stream a feed)--> accepted rows, quarantine, rule counters
+    accepted --(streams)--> Silver + what Gold adds up; employee history
     product / tracking snapshots --> Bronze --> Silver (+ their rejects)
     Silver --> current staff --> Gold marts --> row-count check --> run log
 
@@ -14,7 +15,6 @@ from __future__ import annotations
 
 import json
 import time
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -23,146 +23,77 @@ from pyspark.sql import functions as F
 
 from .config import PipelineConfig
 from .plans import employees, gold, governance, monitoring, quarantine, silver
-from .sources import files, jdbc
+from .sources import files, jdbc, storage
 from .streaming import flows
 
 STREAMED = ("sales", "returns", "reviews", "employees")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(p))
-
-
-def _readable(spark: SparkSession, path: str) -> bool:
-    """The table exists and holds at least one data file (a stream that has
-    only committed empty batches leaves a folder Spark cannot read)."""
-    if not _exists(spark, path):
-        return False
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception as err:  # AnalysisException: no schema to infer
-        if "UNABLE_TO_INFER_SCHEMA" in str(err) or "Unable to infer schema" in str(err):
-            return False
-        raise
-
-
-def _overwrite(df: DataFrame, path: str) -> None:
-    """Publish a snapshot table: write it beside the live one, then swap it in
-    with two directory renames, so readers see the previous or the new table,
-    never a partly written one; the superseded version is kept as
-    ``<path>__previous`` until the next publish."""
-    spark = df.sparkSession
-    staging = f"{path}__staging_{uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").parquet(staging)
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    live, previous, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}__previous", staging))
-    fs = live.getFileSystem(conf)
-    if fs.exists(previous):
-        fs.delete(previous, True)
-    if fs.exists(live):
-        fs.rename(live, previous)
-    if not fs.rename(new, live):
-        raise OSError(f"could not publish {staging} as {path}")
-
-
 def read_table(spark: SparkSession, cfg: PipelineConfig, layer: str, name: str) -> DataFrame:
-    return spark.read.parquet(cfg.table_path(layer, name))
+    """A written table, without the columns that only place its files."""
+    return storage.read(spark, cfg.table_path(layer, name)).drop(flows.BATCH)
 
 
 def read_quarantine(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    parts = []
-    for name in silver.SPECS:
-        path = cfg.table_path("quarantine", name)
-        if _readable(spark, path):
-            parts.append(spark.read.parquet(path).drop(flows.BATCH))
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def touched_months(spark: SparkSession, cfg: PipelineConfig) -> tuple[list, bool]:
-    """Months of the Silver sales rows written by this run (``updated_at`` is
-    the run stamp) - at most one entry per calendar month - and whether an
-    undated sale arrived."""
-    rows = (
-        read_table(spark, cfg, "silver", "sales")
-        .filter(F.col("updated_at") == F.lit(cfg.run_ts).cast("timestamp"))
-        .select("sale_month")
-        .distinct()
-        .collect()
-    )
-    months = sorted(r[0] for r in rows if r[0] is not None)
-    return months, any(r[0] is None for r in rows)
+    parts = [read_table(spark, cfg, "quarantine", n) for n in silver.SPECS if _have(spark, cfg, "quarantine", n)]
+    empty = spark.createDataFrame([], silver.QUARANTINE_SCHEMA)
+    return reduce(lambda a, b: a.unionByName(b), parts, empty)
+
+
+def _have(spark: SparkSession, cfg: PipelineConfig, layer: str, *names: str) -> bool:
+    return all(storage.readable(spark, cfg.table_path(layer, n)) for n in names)
+
+
+def touched_months(spark: SparkSession, cfg: PipelineConfig) -> tuple[list, int]:
+    """Months with Silver sales of micro-batches that no published mart covers
+    yet - at most one entry per calendar month, NULL for undated sales - and
+    the last such micro-batch (-1 for none).  A run that died after its streams
+    had committed leaves its batches here for the next one."""
+    done = flows.latest_done(spark, cfg, "sales_by_branch_month")
+    new = spark.read.parquet(cfg.table_path("ops", "sales_months")).filter(F.col(flows.BATCH) > done)
+    rows = new.groupBy("sale_month").agg(F.max(flows.BATCH).alias(flows.BATCH)).collect()
+    return [r["sale_month"] for r in rows], max([-1, *(r[flows.BATCH] for r in rows)])
 
 
 def _monthly_sales(spark: SparkSession, cfg: PipelineConfig, summary: dict) -> None:
-    """Monthly branch sales, recomputed only for the months this run touched.
+    """Monthly branch sales, recomputed only for months with new sales.
 
     Silver sales are partitioned by ``sale_month`` and the mart by
     (``year``, ``month``): the touched months are read with partition pruning
     and their Gold partitions replaced (dynamic overwrite); other months keep
-    their files.  The first run, or ``cfg.full_refresh``, recomputes all.
+    their files.  The first run, or ``cfg.full_refresh``, recomputes all.  What
+    the mart covers is written down after the mart itself.
     """
     target = cfg.table_path("gold", "sales_by_branch_month")
     sales = read_table(spark, cfg, "silver", "sales")
-    full = cfg.full_refresh or not _readable(spark, target)
+    months, last = touched_months(spark, cfg)
+    full = cfg.full_refresh or not storage.readable(spark, target)
     if not full:
-        months, undated = touched_months(spark, cfg)
-        summary["gold_months_recomputed"] = len(months) + int(undated)
-        if not months and not undated:
+        summary["gold_months_recomputed"] = len(months)
+        if not months:
             return
-        cond = F.col("sale_month").isin(months) if months else F.lit(False)
-        if undated:
+        dated = [m for m in months if m is not None]
+        cond = F.col("sale_month").isin(dated) if dated else F.lit(False)
+        if len(dated) < len(months):
             cond = cond | F.col("sale_month").isNull()
         sales = sales.filter(cond)
     (
-        gold.sales_by_branch_month(sales)
+        gold.sales_by_branch_month(sales, repeats=bool(cfg.dedup_watermark))
         .hint("rebalance", "year", "month")  # few files per month partition
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if full else "dynamic")
         .partitionBy("year", "month")
         .parquet(target)
     )
-
-
-# Additive per-product partials, one partition per run (``run=<stamp>``), so
-# the product and review marts read one row per product and run instead of
-# the whole fact tables.
-PARTIAL_LOGS = {
-    "sales_by_product": ("sales", gold.sales_per_product),
-    "returns_by_product": ("returns", gold.returns_per_product),
-    "reviews_by_product": ("reviews", gold.reviews_per_product),
-}
-
-
-def _run_tag(cfg: PipelineConfig) -> str:
-    return cfg.run_ts.strftime("%Y%m%dT%H%M%S%f")
-
-
-def _partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Values of one partition column, from the directory listing (one entry
-    per partition, no data read)."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    prefix = f"{column}="
-    return sorted(
-        st.getPath().getName()[len(prefix):]
-        for st in fs.listStatus(root)
-        if st.isDirectory() and st.getPath().getName().startswith(prefix)
-    )
+    if last >= 0:
+        flows.mark_done(spark, cfg, "sales_by_branch_month", last)
 
 
 def live_runs(tags: list[str]) -> list[str]:
     """Partitions that make up the current totals: the newest compaction
-    (``c<stamp>``) and every run (``r<stamp>``) after it.  Runs folded into a
-    compaction stay on disk but are never read again, so a crash between
-    writing a compaction and anything after it cannot double-count."""
+    (``c<batch>``) and every micro-batch (``r<batch>``) after it.  Batches folded
+    into a compaction are never read again, so a crash between writing a
+    compaction and anything after it cannot double-count."""
     compactions = [t for t in tags if t.startswith("c")]
     newest = max(compactions, key=lambda t: t[1:]) if compactions else None
     after = [t for t in tags if t.startswith("r") and (newest is None or t[1:] > newest[1:])]
@@ -170,45 +101,47 @@ def live_runs(tags: list[str]) -> list[str]:
 
 
 def read_partials(spark: SparkSession, path: str) -> DataFrame:
-    live = live_runs(_partition_values(spark, path, "run"))
-    return spark.read.parquet(path).filter(F.col("run").isin(live))  # partition pruning
+    """The live partials; only their folders are listed."""
+    runs = live_runs(storage.partition_values(spark, path, "run"))
+    return spark.read.option("basePath", path).parquet(*[f"{path}/run={r}" for r in runs])
+
+
+def totals_by_product(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
+    """Per-product totals of one fact table, from the partials that the Silver
+    stream writes with each micro-batch: the facts themselves are not read.
+    More than ``cfg.partials_compact_after`` live micro-batches are folded into
+    a compaction.  ``cfg.full_refresh`` makes the compaction from the facts; a
+    bounded de-duplication, whose keys may repeat, counts them anew as well."""
+    silver_name, partials = gold.PARTIAL_LOGS[name]
+    path = cfg.table_path("ops", name)
+    live = live_runs(storage.partition_values(spark, path, "run"))
+    folded = None
+    if cfg.dedup_watermark:
+        return partials(read_table(spark, cfg, "silver", silver_name), repeats=True)
+    if cfg.full_refresh:
+        folded = partials(read_table(spark, cfg, "silver", silver_name))
+    elif len(live) > cfg.partials_compact_after + 1:
+        folded = gold.merge_partials(read_partials(spark, path))
+    if folded is not None and live:
+        folded = folded.withColumn("run", F.lit("c" + max(t[1:] for t in live)))
+        folded.hint("rebalance", "run").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run").parquet(path)
+    return gold.merge_partials(read_partials(spark, path))
 
 
-def update_partials(spark: SparkSession, cfg: PipelineConfig, name: str) -> DataFrame:
-    """Append this run's partials of one fact table and return the merged
-    per-product totals.
+def unknown_product_sales(products: DataFrame, sales_totals: DataFrame) -> int:
+    """Sales whose product is not in the catalogue, from the per-product totals;
+    a product id that is NULL is unknown too."""
+    unknown = sales_totals.join(products.select("product_id"), "product_id", "left_anti")
+    return unknown.agg(F.coalesce(F.sum("sales_count"), F.lit(0))).first()[0]
 
-    The first run (or ``cfg.full_refresh``) writes the partials of all of
-    Silver as compaction ``run=c<stamp>``; later runs add the partials of the
-    Silver rows they appended (``updated_at`` = run stamp) as ``run=r<stamp>``.
-    Streaming de-dup appends each fact once, so the sums stay exact; re-running
-    a stamp rewrites only its own partition.  Once more than
-    ``cfg.partials_compact_after`` runs are live, their sum is written as a new
-    compaction, so reads stay at about one row per product.
-    """
-    silver_name, partials = PARTIAL_LOGS[name]
-    path = cfg.table_path("ops", name)
-    facts = read_table(spark, cfg, "silver", silver_name)
-    stamp = _run_tag(cfg)
-    if cfg.full_refresh or not _readable(spark, path):
-        out, mode = partials(facts).withColumn("run", F.lit("c" + stamp)), "static"
-    else:
-        mine = facts.filter(F.col("updated_at") == F.lit(cfg.run_ts).cast("timestamp"))
-        out, mode = partials(mine).withColumn("run", F.lit("r" + stamp)), "dynamic"
-    out.hint("rebalance", "run").write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("run").parquet(path)
-
-    live = live_runs(_partition_values(spark, path, "run"))
-    if len(live) > cfg.partials_compact_after + 1:
-        folded = gold.merge_partials(spark.read.parquet(path).filter(F.col("run").isin(live)))
-        (
-            folded.withColumn("run", F.lit("c" + stamp))
-            .hint("rebalance", "run")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run")
-            .parquet(path)
-        )
-    return gold.merge_partials(read_partials(spark, path))
+
+def _counters_by_flow(spark: SparkSession, cfg: PipelineConfig) -> dict[str, dict]:
+    """Rule counters of all micro-batches so far, by flow (one row per rule)."""
+    out: dict[str, dict] = {}
+    for r in flows.stream_rule_counters(spark, cfg).collect():
+        metrics = out.setdefault(f"checked_{r['source_table']}", {}).setdefault(f"rules_{r['source_table']}", {})
+        metrics |= {"rows_in": r["rows_in"], f"failed_{r['rule']}": r["failed"]}
+    return out
 
 
 def run_once(
@@ -227,7 +160,7 @@ def run_once(
         try:
             out = fn()
         except Exception as err:  # record the failure in the run log, then fail the run
-            log.add("step_failed", json.dumps({"step": name, "error": f"{type(err).__name__}: {err}"[:2000]}), "ERROR")
+            log.add("step_failed", json.dumps({"step": name, "error": f"{type(err).__name__}: {err}"}), "ERROR")
             log.flush()
             raise
         secs = round(time.perf_counter() - t0, 3)
@@ -235,7 +168,7 @@ def run_once(
         log.add("step", json.dumps({"step": name, "seconds": secs}))
         return out
 
-    present = [s for s in STREAMED if _exists(spark, cfg.landing_path(s))]
+    present = [s for s in STREAMED if storage.exists(spark, cfg.landing_path(s))]
     for s in set(STREAMED) - set(present):
         log.add("source", f"no landing folder for {s}", level="WARN")
 
@@ -243,8 +176,8 @@ def run_once(
     step("bronze_streams", lambda: flows.run_streams([flows.start_bronze(spark, cfg, s) for s in present]))
 
     # 2. Bronze snapshots
-    if _exists(spark, cfg.landing_path("products")):
-        step("bronze_products", lambda: _overwrite(files.read_products(spark, cfg.landing_path("products")), cfg.table_path("bronze", "products")))
+    if storage.exists(spark, cfg.landing_path("products")):
+        step("bronze_products", lambda: storage.publish(files.read_products(spark, cfg.landing_path("products")), cfg.table_path("bronze", "products")))
     if tracking_reader is not None or cfg.jdbc_options:
         def tracking():
             if tracking_reader is not None:
@@ -252,95 +185,88 @@ def run_once(
             else:
                 opts = dict(cfg.jdbc_options)
                 raw = jdbc.read_table(spark, opts.pop("url"), opts.pop("dbtable"), opts)
-            _overwrite(jdbc.tracking_bronze(raw), cfg.table_path("bronze", "tracking"))
+            storage.publish(jdbc.tracking_bronze(raw), cfg.table_path("bronze", "tracking"))
 
         step("bronze_tracking", tracking)
 
-    # 3. Silver streams (+ quarantine streams, SCD2 apply)
+    # 3. Both verdicts and the rule counters of what is new in Bronze, in one pass each
+    loaded = [s for s in STREAMED if _have(spark, cfg, "bronze", s)]
+    step("checked_streams", lambda: flows.run_streams([flows.start_checked(spark, cfg, s) for s in loaded]))
+    if _have(spark, cfg, "ops", "rule_counters"):
+        for flow, metrics in _counters_by_flow(spark, cfg).items():
+            log.add("rule_counters", json.dumps({"flow": flow, "metrics": metrics}))
+
+    # Silver streams over the accepted rows; replies; then the employee history, once
     def silver_streams():
-        qs = []
-        for s in ("sales", "returns", "reviews"):
-            if _readable(spark, cfg.table_path("bronze", s)):
-                qs += [flows.start_silver(spark, cfg, s), flows.start_rejects(spark, cfg, s)]
-        if _readable(spark, cfg.table_path("bronze", "reviews")):
+        qs = [flows.start_silver(spark, cfg, s) for s in ("sales", "returns", "reviews") if _have(spark, cfg, "checked", s)]
+        if "reviews" in loaded:
             qs.append(flows.start_review_replies(spark, cfg))
-        if _readable(spark, cfg.table_path("bronze", "employees")):
-            qs.append(flows.start_employee_history(spark, cfg))
-        progress = flows.run_streams(qs)
-        for name, reports in progress.items():
-            metrics = flows.summed_metrics(reports)
-            if metrics:
-                log.add("rule_counters", json.dumps({"flow": name, "batches": len(reports), "metrics": metrics}))
-        return progress
+        flows.run_streams(qs)
 
     step("silver_streams", silver_streams)
+    if _have(spark, cfg, "silver", "employee_events"):
+        summary["history_buckets_rebuilt"] = len(step("employee_history", lambda: flows.rebuild_pending_history(spark, cfg)))
 
     # 4. Silver snapshots
     for s in ("products", "tracking"):
-        if _readable(spark, cfg.table_path("bronze", s)):
+        if _have(spark, cfg, "bronze", s):
             def snap(s=s):
                 bronze = read_table(spark, cfg, "bronze", s)
                 obs = Observation(f"rules_{s}")
                 clean = silver.clean(silver.SPECS[s], bronze, dedup_first=cfg.dedup_first, run_ts=cfg.run_ts, observation=obs)
-                _overwrite(clean, cfg.table_path("silver", s))
-                log.add("rule_counters", json.dumps({"flow": f"silver_{s}", "batches": 1, "metrics": {f"rules_{s}": obs.get}}))
-                _overwrite(silver.rejects(silver.SPECS[s], bronze, cfg.run_ts), cfg.table_path("quarantine", s))
+                storage.publish(clean, cfg.table_path("silver", s))
+                log.add("rule_counters", json.dumps({"flow": f"silver_{s}", "metrics": {f"rules_{s}": obs.get}}))
+                storage.publish(silver.rejects(silver.SPECS[s], bronze, cfg.run_ts), cfg.table_path("quarantine", s))
 
             step(f"silver_{s}", snap)
 
     # 5. Current staff (snapshot of the history), tagged personal data
-    if _readable(spark, cfg.table_path("silver", "employee_history")):
+    if _have(spark, cfg, "silver", "employee_history"):
         step(
             "silver_employees_current",
-            lambda: _overwrite(
+            lambda: storage.publish(
                 governance.tag_pii(employees.current(flows.read_history(spark, cfg))),
                 cfg.table_path("silver", "employees_current"),
             ),
         )
 
     # 6. Gold
-    have = lambda *names: all(_readable(spark, cfg.table_path("silver", n)) for n in names)
+    have = lambda *names: _have(spark, cfg, "silver", *names)
     gold_out: dict[str, DataFrame] = {}  # recomputed in full
     gold_names: list[str] = []
+    totals: dict[str, DataFrame] = {}
+    for name, (fact, _) in gold.PARTIAL_LOGS.items():
+        if have(fact):
+            totals[fact] = step(f"partials_{fact}", lambda name=name: totals_by_product(spark, cfg, name))
     if have("sales"):
         step("gold_sales_by_branch_month", lambda: _monthly_sales(spark, cfg, summary))
         gold_names.append("sales_by_branch_month")
     if have("products", "sales", "returns"):
         gold_out["product_sales_returns"] = gold.products_with_totals(
-            read_table(spark, cfg, "silver", "products"),
-            step("partials_sales", lambda: update_partials(spark, cfg, "sales_by_product")),
-            step("partials_returns", lambda: update_partials(spark, cfg, "returns_by_product")),
+            read_table(spark, cfg, "silver", "products"), totals["sales"], totals["returns"]
         )
     if have("employees_current"):
         gold_out["headcount_by_branch"] = gold.headcount_by_branch(read_table(spark, cfg, "silver", "employees_current"))
     if have("reviews", "products"):
-        gold_out["negative_review_rate"] = gold.rate_by_category(
-            step("partials_reviews", lambda: update_partials(spark, cfg, "reviews_by_product")),
-            read_table(spark, cfg, "silver", "products"),
-        )
+        gold_out["negative_review_rate"] = gold.rate_by_category(totals["reviews"], read_table(spark, cfg, "silver", "products"))
     for name, df in gold_out.items():
-        step(f"gold_{name}", lambda df=df, name=name: _overwrite(df, cfg.table_path("gold", name)))
+        step(f"gold_{name}", lambda df=df, name=name: storage.publish(df, cfg.table_path("gold", name)))
         gold_names.append(name)
 
     # 7. Checks
     if gold_names:
         counts = monitoring.row_counts({n: read_table(spark, cfg, "gold", n) for n in gold_names})
-        _overwrite(counts, cfg.table_path("ops", "gold_row_counts"))
+        storage.publish(counts, cfg.table_path("ops", "gold_row_counts"))
         rows = read_table(spark, cfg, "ops", "gold_row_counts").collect()  # one row per Gold table
         summary["gold_row_counts"] = {r["table_name"]: r["rows"] for r in rows}
         for r in rows:
             log.add("row_count", json.dumps({"table": r["table_name"], "rows": r["rows"]}), "INFO" if r["ok"] else "ERROR")
     if have("sales", "products"):
-        orphans = (
-            read_table(spark, cfg, "silver", "sales")
-            .join(read_table(spark, cfg, "silver", "products").select("product_id"), "product_id", "left_anti")
-            .agg(F.count(F.lit(1)))
-            .first()[0]
-        )
+        orphans = unknown_product_sales(read_table(spark, cfg, "silver", "products"), totals["sales"])
         summary["orphan_sales"] = orphans
         log.add("orphan_keys", json.dumps({"table": "sales", "unknown_product_rows": orphans}), "WARN" if orphans else "INFO")
 
-    if any(_readable(spark, cfg.table_path("quarantine", n)) for n in silver.SPECS):
+    if any(_have(spark, cfg, "quarantine", n) for n in silver.SPECS):
         breakdown = quarantine.summary(read_quarantine(spark, cfg)).collect()  # one row per feed and reason
         summary["quarantine"] = {f"{r['source_table']}/{r['reason']}": r["count"] for r in breakdown}
         summary["quarantine_total"] = sum(r["count"] for r in breakdown)

@@ -1,32 +1,10 @@
-"""Failure-free typing of raw text.
+"""Types of money columns.
 
-Under ANSI mode a plain cast of malformed text aborts the whole query; the
-``try_`` forms return NULL instead so the row reaches the quality rules and
-the quarantine.
+Raw text is typed with ``try_cast``: under ANSI mode a plain cast of malformed
+text aborts the whole query, the ``try_`` form returns NULL so the row reaches
+the quality rules and the quarantine.
 """
 
-from __future__ import annotations
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(12, 2)
-
-
-def as_type(c: Column | str, dtype: T.DataType) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return col.try_cast(dtype)
-
-
-def as_money(c: Column | str) -> Column:
-    return as_type(c, MONEY)
-
-
-def as_date(c: Column | str) -> Column:
-    """ISO text to DATE; anything unparsable becomes NULL."""
-    return as_type(c, T.DateType())
-
-
-def as_timestamp(c: Column | str) -> Column:
-    return as_type(c, T.TimestampType())

@@ -48,11 +48,10 @@ def build_history(
     seq: str,
     columns: Sequence[str],
     tiebreak: Sequence[str] = ("ingested_at", "source_file"),
-    partitions: int | None = None,
 ) -> DataFrame:
     evs = unique_events(events.select(*columns, *[c for c in tiebreak if c not in columns]), key, seq, tiebreak)
     evs = evs.select(*columns)
-    hist = next_in_sequence(evs, key, seq, END_AT, partitions)
+    hist = next_in_sequence(evs, key, seq, END_AT)
     return hist.select(*columns, F.col(seq).alias(START_AT), END_AT)
 
 

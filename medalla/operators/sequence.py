@@ -2,106 +2,53 @@
 
 ``lead(seq) OVER (PARTITION BY key ORDER BY seq)`` sends every row of a key to
 one task; a key holding a third of the table would stall the job in a single
-sort.  Here the rows are *range*-partitioned on ``(key, seq)`` instead, so a hot
-key is spread over many equally sized, contiguous partitions:
+sort.  Here a key's rows are cut into *slices* of the sequence (days of a
+timestamp, runs of 4096 numbers):
 
-1. ``repartitionByRange(n, key, seq)`` + ``sortWithinPartitions`` - one shuffle
-   - materialised once with a reliable ``checkpoint()`` into the shared
-   ``spark.checkpoint.dir``.  Both branches below read these exact partitions;
-   a second evaluation of the range exchange would re-sample its bounds (AQE
-   does not always reuse the exchange) and could number partitions
-   differently, and a lost executor re-reads the checkpoint instead of
-   re-sampling;
-2. inside each partition an Arrow pass (``mapInArrow``) computes the successor of
-   every row whose successor lives in the same partition;
-3. the first ``(key, seq)`` of every non-empty partition - at most ``n`` rows,
-   a size fixed by configuration, not by the data - is aggregated, shifted by
-   one partition and broadcast back to fill the last row of each partition.
+1. ``lead`` over (key, slice) finds the successor of every row but a slice's
+   last one - a hot key is spread over as many groups as it has slices;
+2. the first value of every (key, slice), a partial aggregate, is one row for
+   each slice a key occurs in; ``lead`` over those few rows gives the slice's
+   successor;
+3. a join back on (key, slice), which is how step 1 left its rows, fills in the
+   last row of each slice.
+
+Everything is lazy JVM work: filters and pruned columns reach the scan, nothing
+is written in between, and a lost executor recomputes its own partitions only.
 
 Requires ``(key, seq)`` to be unique and non-NULL (make it so first).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import checkpoint_root
-
-PID = "__pid"
-LAST = "__last"
-
-
-def _local_successor(key: str, seq: str, out: str):
-    """Arrow-native pass over one sorted partition: the successor of every
-    row whose successor is in the same partition (NULL otherwise); the last
-    row of the partition is flagged for the boundary fix-up.  Record batches
-    are processed in order with a one-row carry between them."""
-
-    def run(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-
-        def emit(rows, nxt, last):
-            n = rows.num_rows
-            return pa.RecordBatch.from_arrays(
-                list(rows.columns) + [nxt, pa.array([pid] * n, pa.int32()), pa.array([last] * n, pa.bool_())],
-                names=list(rows.schema.names) + [out, PID, LAST],
-            )
-
-        pending = None
-        for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
-            keys, seqs = batch.column(key), batch.column(seq)
-            if pending is not None:
-                same = pending.column(key)[0].as_py() == keys[0].as_py()
-                nxt = seqs.slice(0, 1) if same else pa.nulls(1, seqs.type)
-                yield emit(pending, nxt, False)
-            if n > 1:
-                same = pc.equal(keys.slice(0, n - 1), keys.slice(1))
-                nxt = pc.if_else(same, seqs.slice(1), pa.nulls(n - 1, seqs.type))
-                yield emit(batch.slice(0, n - 1), nxt, False)
-            pending = batch.slice(n - 1, 1)
-        if pending is not None:
-            yield emit(pending, pa.nulls(1, pending.column(seq).type), True)
-
-    return run
-
-
-def next_in_sequence(df: DataFrame, key: str, seq: str, out: str, partitions: int | None = None) -> DataFrame:
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seq_type = df.schema[seq].dataType
-    checkpoint_root(spark)
-    ranged = df.repartitionByRange(n, F.col(key), F.col(seq)).sortWithinPartitions(key, seq).checkpoint(eager=True)
-
-    schema = T.StructType(
-        list(df.schema.fields)
-        + [
-            T.StructField(out, seq_type, True),
-            T.StructField(PID, T.IntegerType(), False),
-            T.StructField(LAST, T.BooleanType(), False),
-        ]
-    )
-    local = ranged.mapInArrow(_local_successor(key, seq, out), schema)
-
-    heads = (
-        ranged.select(F.spark_partition_id().alias(PID), F.struct(key, seq).alias("h"))
-        .groupBy(PID)
-        .agg(F.min("h").alias("h"))
-    )
-    w = Window.orderBy(PID)  # at most n rows: one per non-empty partition
-    next_heads = heads.select(
-        PID,
-        F.lead("h.`{}`".format(key)).over(w).alias("__next_key"),
-        F.lead("h.`{}`".format(seq)).over(w).alias("__next_seq"),
-    )
-    joined = local.join(F.broadcast(next_heads), PID, "left")
-    fill = F.when(F.col(LAST) & (F.col("__next_key") == F.col(key)), F.col("__next_seq"))
-    return joined.withColumn(out, F.coalesce(F.col(out), fill)).select(*df.columns, out)
+SLICE = "__slice"
+NEXT_SLICE = "__next_slice"
+NUMBERS_PER_SLICE = 4096
+
+
+def slice_of(kind: T.DataType) -> Callable[[Column], Column]:
+    """Slices of a sequence of that type, ascending with it."""
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return lambda c: F.date_trunc("day", c)
+    if isinstance(kind, T.DateType):
+        return lambda c: F.trunc(c, "month")
+    return lambda c: F.floor(c / NUMBERS_PER_SLICE)
+
+
+def next_in_sequence(
+    df: DataFrame, key: str, seq: str, out: str, slices: Callable[[Column], Column] | None = None
+) -> DataFrame:
+    """``df`` with ``out``: the next larger ``seq`` of the same key, or NULL."""
+    cut = (slices or slice_of(df.schema[seq].dataType))(F.col(seq))
+    sliced = df.withColumn(SLICE, cut)
+    within = sliced.withColumn(out, F.lead(seq).over(Window.partitionBy(key, SLICE).orderBy(seq)))
+    heads = sliced.groupBy(key, SLICE).agg(F.min(seq).alias("__head"))
+    after = heads.select(key, SLICE, F.lead("__head").over(Window.partitionBy(key).orderBy(SLICE)).alias(NEXT_SLICE))
+    joined = within.join(after, [key, SLICE], "left")
+    return joined.withColumn(out, F.coalesce(out, NEXT_SLICE)).select(*df.columns, out)

@@ -9,7 +9,16 @@ the same double.
 
 from __future__ import annotations
 
-from .functions.labels import CATEGORY_MAP, DELIVERY_STATE_MAP, PAY_METHOD_MAP
+# Expected labels, written out here: the oracle shares no table with what it checks.
+PAY_METHOD = {
+    "Efv": "Efectivo",
+    "Tarjeta": "Tarjeta De Credito",
+    "Tarjeta Credito": "Tarjeta De Credito",
+    "Tc": "Tarjeta De Credito",
+    "Transferencia": "Transferencia Bancaria",
+}
+CATEGORY = {"Climatización": "Climatizacion", "Electrónica": "Electronica", "Línea Blanca": "Linea Blanca"}
+DELIVERY_STATE = {"En Camino": "En Transito"}
 
 
 def _q(s: str) -> str:
@@ -66,7 +75,7 @@ B_SALES = f"""b_sales AS (
 T_SALES = f"""t_sales AS (
   SELECT sale_id, COALESCE(branch_id, 'Sin Sucursal') AS branch_id, product_id,
     TRY_CAST(quantity AS INTEGER) AS quantity, TRY_CAST(amount AS DECIMAL(12,2)) AS amount,
-    {remap(std('pay_method'), PAY_METHOD_MAP)} AS pay_method,
+    {remap(std('pay_method'), PAY_METHOD)} AS pay_method,
     TRY_CAST(sale_date AS DATE) AS sale_date, channel, ingested_at, source_file
   FROM b_sales)"""
 
@@ -113,7 +122,7 @@ B_PRODUCTS = f"""b_products AS (
   FROM part)"""
 
 T_PRODUCTS = f"""t_products AS (
-  SELECT product_id, product_name, {remap(std('category'), CATEGORY_MAP)} AS category,
+  SELECT product_id, product_name, {remap(std('category'), CATEGORY)} AS category,
     COALESCE(brand, 'Sin Marca') AS brand, TRY_CAST(list_price AS DECIMAL(12,2)) AS list_price,
     ingested_at, source_file
   FROM b_products)"""
@@ -195,12 +204,12 @@ B_TRACKING = """b_tracking AS (
          WHEN o_orderstatus = 'O' THEN 'en_camino' ELSE 'Pendiente' END AS delivery_state,
     'S' || CAST(o_custkey % 100 AS VARCHAR) AS origin_branch,
     CASE WHEN o_orderkey % 59 = 0 THEN NULL ELSE CAST(o_orderdate AS VARCHAR) END AS updated_at_src,
-    o_orderdate AS ingested_at, 'tracking-db' AS source_system
+    o_orderdate AS ingested_at, 'Azure SQL Database' AS source_system
   FROM orders)"""
 
 T_TRACKING = f"""t_tracking AS (
   SELECT tracking_id, order_id, {std('courier', underscores=False)} AS courier,
-    {remap(std('delivery_state'), DELIVERY_STATE_MAP)} AS delivery_state,
+    {remap(std('delivery_state'), DELIVERY_STATE)} AS delivery_state,
     origin_branch, TRY_CAST(updated_at_src AS TIMESTAMP) AS updated_at_src, ingested_at, source_system
   FROM b_tracking)"""
 
@@ -416,9 +425,19 @@ SQL["sales_stream_rejects"] = "WITH " + ",\n".join(FEEDS["sales"][:2]) + f"""
 SELECT 'sales' AS source_table, f[1] AS reason, array_to_string(f, '|') AS failed_rules, sale_id AS record_key
 FROM (SELECT {_fails(_REJECTS['sales'][2])} AS f, sale_id FROM t_sales) WHERE len(f) > 0"""
 
-SQL["sales_stream_ingest"] = "WITH " + ",\n".join(FEEDS["sales"][:2]) + """
-SELECT DISTINCT sale_id FROM t_sales
-WHERE sale_id IS NOT NULL AND amount IS NOT NULL AND amount > 0"""
+SQL["sales_stream_ingest"] = f"SELECT * EXCLUDE (ingested_at, source_file) FROM ({SQL['sales_clean']})"
+
+SQL["returns_stream_ingest"] = f"SELECT * EXCLUDE (ingested_at, source_file) FROM ({SQL['returns_clean']})"
+
+SQL["review_replies_stream"] = f"SELECT review_id, reply_pos, author, text FROM ({SQL['review_replies']})"
+
+SQL["stream_rule_counters"] = (
+    f"SELECT * FROM ({SQL['rule_counters']}) WHERE source_table IN ('sales', 'returns', 'reviews', 'employees')"
+)
+
+SQL["sales_by_branch_month_incremental"] = SQL["sales_by_branch_month"]
+
+SQL["product_sales_returns_incremental"] = SQL["product_sales_returns"]
 
 SQL["products_json_snapshot"] = with_feeds("products") + """
 SELECT product_id, product_name, category, brand, CAST(list_price AS DOUBLE) AS list_price, source_file

@@ -12,11 +12,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig, checkpoint_root
-from ..sources import adapters, files, jdbc, schemas
+from ..sources import adapters, files, jdbc, schemas, storage
 from ..streaming import flows
 from . import silver
 from .catalog import portable
@@ -32,20 +32,50 @@ def scratch_config(spark: SparkSession, label: str) -> PipelineConfig:
 
 
 def _raw(df: DataFrame, source: str) -> DataFrame:
-    return df.select(*[f.name for f in schemas.BY_SOURCE[source].fields])
+    """A feed's own columns as the upstream system names them."""
+    return schemas.to_source_names(df, source)
+
+
+def _nth_copies(df: DataFrame, spec: silver.SourceSpec) -> DataFrame:
+    """The raw rows with ``_copy``: the row's number among those of its key, in
+    the order in which the batch plan prefers them."""
+    order = list(spec.lineage) + [c for c, _ in spec.columns if c != spec.key]
+    w = Window.partitionBy(spec.key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    ranked = silver.prepare(spec, df).withColumn("_copy", F.row_number().over(w))
+    return ranked.select(*[F.col(f"{silver.RAW}.{c}").alias(c) for c in spec.raw_columns], "_copy")
+
+
+def _drop(spark: SparkSession, cfg: PipelineConfig, source: str, rows: DataFrame, number: int) -> None:
+    """One landing drop of a CSV feed, taken through to Silver."""
+    files.write_csv(_raw(rows, source), f"{cfg.landing_path(source)}/drop={number}")
+    flows.run_streams([flows.start_bronze(spark, cfg, source)])
+    flows.run_streams([flows.start_checked(spark, cfg, source)])
+
+
+def _stream_in_copies(spark: SparkSession, cfg: PipelineConfig, source: str, bronze: DataFrame) -> DataFrame:
+    """The n-th copy of every key arrives in drop n: the stream must keep the
+    rows that the batch plan keeps.  Rows whose key is NULL all come first."""
+    spec = silver.SPECS[source]
+    copies = _nth_copies(bronze, spec)
+    drop = F.when(F.col(spec.key).isNull(), F.lit(1)).otherwise(F.col("_copy"))
+    last = copies.agg(F.max(drop)).first()[0]
+    for n in range(1, last + 1):
+        _drop(spark, cfg, source, copies.filter(drop == n), n)
+        flows.run_streams([flows.start_silver(spark, cfg, source)])
+    return portable(spark.read.parquet(cfg.table_path("silver", source)).select(*[c for c, _ in spec.columns]))
 
 
 def history_stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Employee events arrive in four CSV drops, each spanning the whole time
-    range (so drops 2-4 are late for every employee); each drop is ingested
-    by its own availableNow run of the Bronze and history flows."""
+    range (so drops 2-4 are late for every employee); each drop is taken in by
+    its own availableNow run, and the history of all buckets with new events is
+    rebuilt once."""
     cfg = scratch_config(spark, "history")
-    events = _raw(adapters.employees(spark, sf_dir), "employees")
+    events = adapters.employees(spark, sf_dir)
     drop_no = F.abs(F.xxhash64("employee_id", "event_at", "event_kind")) % LANDING_SPLITS
     for i in range(LANDING_SPLITS):
-        files.write_csv(events.filter(drop_no == i), f"{cfg.landing_path('employees')}/drop={i}")
-        flows.run_streams([flows.start_bronze(spark, cfg, "employees")])
-        flows.run_streams([flows.start_employee_history(spark, cfg)])
+        _drop(spark, cfg, "employees", events.filter(drop_no == i), i)
+    flows.rebuild_pending_history(spark, cfg)
     return portable(flows.read_history(spark, cfg))
 
 
@@ -54,38 +84,90 @@ def reviews_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = scratch_config(spark, "reviews")
     files.write_json_arrays(_raw(adapters.reviews(spark, sf_dir), "reviews"), cfg.landing_path("reviews"))
     flows.run_streams([flows.start_bronze(spark, cfg, "reviews")])
+    flows.run_streams([flows.start_checked(spark, cfg, "reviews")])
     flows.run_streams([flows.start_silver(spark, cfg, "reviews")])
     out = spark.read.parquet(cfg.table_path("silver", "reviews"))
-    return portable(out.drop("replies", "ingested_at", "source_file", "updated_at"))
+    return portable(out.drop("replies", "ingested_at", "source_file", "updated_at", flows.BATCH))
 
 
 def sales_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales as CSV drops -> Bronze stream -> quarantine stream (every
-    rejected row, one each)."""
+    """Sales as CSV drops -> Bronze stream -> checked stream: the quarantine
+    (every rejected row, one each)."""
     cfg = scratch_config(spark, "sales")
-    sales = _raw(adapters.sales(spark, sf_dir), "sales")
-    drop_no = F.abs(F.xxhash64(*sales.columns)) % 2
+    sales = adapters.sales(spark, sf_dir)
+    drop_no = F.abs(F.xxhash64("sale_id", "amount")) % 2
     for i in range(2):
-        files.write_csv(sales.filter(drop_no == i), f"{cfg.landing_path('sales')}/drop={i}")
-    flows.run_streams([flows.start_bronze(spark, cfg, "sales")])
-    flows.run_streams([flows.start_rejects(spark, cfg, "sales")])
+        _drop(spark, cfg, "sales", sales.filter(drop_no == i), i)
     q = spark.read.parquet(cfg.table_path("quarantine", "sales"))
     return portable(q.select("source_table", "reason", "failed_rules", "record_key"))
 
 
 def sales_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sales as CSV drops -> Bronze stream -> Silver stream (rules, then
-    first-arrival de-dup).  Which copy of a key arrives first inside one
-    micro-batch is up to the stream, so the check is on what does not depend
-    on it: exactly one Silver row per sale id that has a valid copy."""
-    cfg = scratch_config(spark, "sales-silver")
-    sales = _raw(adapters.sales(spark, sf_dir), "sales")
-    drop_no = F.abs(F.xxhash64(*sales.columns)) % 2
-    for i in range(2):
-        files.write_csv(sales.filter(drop_no == i), f"{cfg.landing_path('sales')}/drop={i}")
-    flows.run_streams([flows.start_bronze(spark, cfg, "sales")])
-    flows.run_streams([flows.start_silver(spark, cfg, "sales")])
-    return spark.read.parquet(cfg.table_path("silver", "sales")).select("sale_id")
+    """Sales as CSV drops -> Bronze -> checked -> Silver streams, every business
+    column."""
+    return _stream_in_copies(spark, scratch_config(spark, "sales-silver"), "sales", adapters.sales(spark, sf_dir))
+
+
+def returns_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for returns."""
+    return _stream_in_copies(spark, scratch_config(spark, "returns-silver"), "returns", adapters.returns(spark, sf_dir))
+
+
+def review_replies_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews with nested replies, some without a key, as multi-line JSON ->
+    Bronze stream -> one row per reply."""
+    cfg = scratch_config(spark, "replies")
+    threaded = adapters.threaded_reviews(spark, sf_dir)
+    keyless = threaded.filter(F.xxhash64("review_id") % 10 == 0).withColumn("review_id", F.lit(None).cast("string"))
+    rows = _raw(threaded.unionByName(keyless), "reviews")
+    files.write_json_arrays(rows, cfg.landing_path("reviews"))
+    flows.run_streams([flows.start_bronze(spark, cfg, "reviews")])
+    flows.run_streams([flows.start_review_replies(spark, cfg)])
+    out = spark.read.parquet(cfg.table_path("silver", "review_replies"))
+    return portable(out.select("review_id", "reply_pos", "author", "text"))
+
+
+def stream_rule_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counters of all streamed feeds, summed over their micro-batches."""
+    cfg = scratch_config(spark, "counters").with_options(max_files_per_trigger=1)
+    for name in ("sales", "returns", "employees"):
+        _drop(spark, cfg, name, adapters.BY_SOURCE[name](spark, sf_dir), 0)
+    files.write_json_arrays(_raw(adapters.reviews(spark, sf_dir), "reviews"), cfg.landing_path("reviews"))
+    flows.run_streams([flows.start_bronze(spark, cfg, "reviews")])
+    flows.run_streams([flows.start_checked(spark, cfg, "reviews")])
+    return portable(flows.stream_rule_counters(spark, cfg))
+
+
+def _incremental(spark: SparkSession, sf_dir: str, label: str) -> PipelineConfig:
+    """Sales and returns in three drops, each a run of its own."""
+    from .. import flows as run  # the run imports the plans
+
+    cfg = scratch_config(spark, label)
+    files.write_json_lines(_raw(adapters.products(spark, sf_dir), "products"), cfg.landing_path("products"))
+    copies = {n: _nth_copies(adapters.BY_SOURCE[n](spark, sf_dir), silver.SPECS[n]) for n in ("sales", "returns")}
+    for i in range(3):
+        for name, rows in copies.items():
+            key = silver.SPECS[name].key
+            # a key's first copy in drop 0 or 1, its others in the last one
+            first = F.coalesce(F.pmod(F.xxhash64(key), F.lit(2)), F.lit(0))
+            drop = F.when((F.col("_copy") > 1) & F.col(key).isNotNull(), F.lit(2)).otherwise(first)
+            files.write_csv(_raw(rows.filter(drop == i), name), f"{cfg.landing_path(name)}/drop={i}")
+        run.run_once(spark, cfg.with_options(run_ts=flows.stamp()))
+    return cfg
+
+
+def sales_by_branch_month_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monthly mart after three runs that each recomputed the months they touched."""
+    cfg = _incremental(spark, sf_dir, "months")
+    mart = spark.read.parquet(cfg.table_path("gold", "sales_by_branch_month"))
+    return portable(mart.select("branch_id", "year", "month", "sales_count", "units_sold", "sales_total", "avg_ticket"))
+
+
+def product_sales_returns_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product mart after three runs, from their partials; read back from
+    its published version."""
+    cfg = _incremental(spark, sf_dir, "products-mart")
+    return portable(storage.read(spark, cfg.table_path("gold", "product_sales_returns")))
 
 
 def products_json_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,24 +186,14 @@ def tracking_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = adapters.tracking(spark, sf_dir)
     table = src.select(
         "tracking_id",
-        F.col("order_id").cast("bigint").alias("order_id"),
+        F.col("order_id").cast("bigint").alias("pedido_id"),
         "courier",
-        "delivery_state",
-        "origin_branch",
-        F.col("updated_at_src").cast("timestamp_ntz").alias("updated_at_src"),
+        F.col("delivery_state").alias("estado_entrega"),
+        F.col("origin_branch").alias("sucursal_origen"),
+        F.col("updated_at_src").cast("timestamp_ntz").alias("fecha_actualizacion"),
     )
     jdbc.write_table(table, url, "TRACKING")
-    bounds = table.agg(F.min("order_id"), F.max("order_id")).first()
-    raw = jdbc.read_table(
-        spark,
-        url,
-        "TRACKING",
-        {"preferTimestampNTZ": "true"},
-        partition_column="order_id",
-        lower_bound=int(bounds[0]),
-        upper_bound=int(bounds[1]) + 1,
-        num_partitions=4,
-    )
+    raw = jdbc.read_table(spark, url, "TRACKING", {"preferTimestampNTZ": "true"}, partition_column='"pedido_id"', num_partitions=4)
     bronze = jdbc.tracking_bronze(raw, adapters.TRACKING_SYSTEM)
     return portable(silver.clean(silver.TRACKING, bronze).drop("ingested_at"))
 
@@ -131,6 +203,11 @@ QUERIES = {
     "reviews_stream_ingest": reviews_stream_ingest,
     "sales_stream_rejects": sales_stream_rejects,
     "sales_stream_ingest": sales_stream_ingest,
+    "returns_stream_ingest": returns_stream_ingest,
+    "review_replies_stream": review_replies_stream,
+    "stream_rule_counters": stream_rule_counters,
+    "sales_by_branch_month_incremental": sales_by_branch_month_incremental,
+    "product_sales_returns_incremental": product_sales_returns_incremental,
     "products_json_snapshot": products_json_snapshot,
     "tracking_jdbc": tracking_jdbc,
 }

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 
 from ..functions.labels import TERMINATION_EVENT
@@ -15,12 +13,8 @@ SEQUENCE = "event_at"
 HISTORY_COLUMNS = [c for c, _ in silver.EMPLOYEES.columns]
 
 
-def events_clean(bronze: DataFrame, run_ts: dt.datetime | None = None) -> DataFrame:
-    return silver.clean(silver.EMPLOYEES, bronze, run_ts=run_ts)
-
-
-def history(events: DataFrame, partitions: int | None = None) -> DataFrame:
-    return scd2.build_history(events, KEY, SEQUENCE, HISTORY_COLUMNS, partitions=partitions)
+def history(events: DataFrame) -> DataFrame:
+    return scd2.build_history(events, KEY, SEQUENCE, HISTORY_COLUMNS)
 
 
 def current(hist: DataFrame) -> DataFrame:

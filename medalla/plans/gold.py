@@ -8,7 +8,9 @@ reduced on the map side and never lands whole in one reducer.
 Keys are unique after Silver de-duplication (sales, returns, reviews) and the
 current employee view has one row per employee, so distinct counts are plain
 counts: the same number without the ``Expand`` + two-level aggregation Spark
-plans for ``count(DISTINCT ...)``.  Joins carry no hints: dimension sides are
+plans for ``count(DISTINCT ...)``.  Where de-duplication is bounded in time
+(``dedup_watermark``) a key may come again: then the marts are computed with
+``repeats=True``, which counts distinct keys.  Joins carry no hints: dimension sides are
 aggregated first and Spark (with AQE) broadcasts them only when their measured
 size is under ``spark.sql.autoBroadcastJoinThreshold``; otherwise it keeps a
 sort-merge join.
@@ -25,45 +27,59 @@ TOTAL = T.DecimalType(38, 2)  # money partials: one fixed type however often the
 MART_MONEY = T.DecimalType(23, 2)  # published money columns, as in the table contract
 
 
-def sales_by_branch_month(sales: DataFrame) -> DataFrame:
+def _n(key: str, repeats: bool, where=None):
+    """Number of keys; of distinct ones where a key may repeat."""
+    col = F.col(key) if where is None else F.when(where, F.col(key))
+    return F.count_distinct(col) if repeats else F.count(col)
+
+
+def sales_by_branch_month(sales: DataFrame, repeats: bool = False) -> DataFrame:
     return sales.groupBy(
         "branch_id",
         F.year("sale_date").alias("year"),
         F.month("sale_date").alias("month"),
     ).agg(
-        F.count("sale_id").alias("sales_count"),
+        _n("sale_id", repeats).alias("sales_count"),
         F.sum("quantity").alias("units_sold"),
         F.round(F.sum("amount"), 2).alias("sales_total"),
         F.round(F.avg("amount"), 2).alias("avg_ticket"),
     )
 
 
-def sales_per_product(sales: DataFrame) -> DataFrame:
+def sales_per_product(sales: DataFrame, repeats: bool = False) -> DataFrame:
     """Additive per-product partials of the sales facts (sums and counts), so
     partials of disjoint row sets can be summed again."""
     return sales.groupBy("product_id").agg(
         F.sum("quantity").alias("units_sold"),
-        F.count("sale_id").alias("sales_count"),
+        _n("sale_id", repeats).alias("sales_count"),
         F.sum("amount").cast(TOTAL).alias("sales_amount"),
     )
 
 
-def returns_per_product(returns: DataFrame) -> DataFrame:
+def returns_per_product(returns: DataFrame, repeats: bool = False) -> DataFrame:
     return returns.groupBy("product_id").agg(
-        F.count("return_id").alias("returns_count"),
+        _n("return_id", repeats).alias("returns_count"),
         F.sum("refund").cast(TOTAL).alias("refund_amount"),
     )
 
 
-def reviews_per_product(reviews: DataFrame) -> DataFrame:
+def reviews_per_product(reviews: DataFrame, repeats: bool = False) -> DataFrame:
     return reviews.groupBy("product_id").agg(
-        F.count("review_id").alias("n"),
-        F.count_if(F.col("rating") <= 2).alias("neg"),
+        _n("review_id", repeats).alias("n"),
+        _n("review_id", repeats, F.col("rating") <= 2).alias("neg"),
         F.sum("rating").alias("rating_sum"),
         F.count("rating").alias("rated"),
     )
 
 
+#: Additive per-product partials of each fact table: (Silver table, how to make them).
+PARTIAL_LOGS = {
+    "sales_by_product": ("sales", sales_per_product),
+    "returns_by_product": ("returns", returns_per_product),
+    "reviews_by_product": ("reviews", reviews_per_product),
+}
+
+
 def merge_partials(partials: DataFrame) -> DataFrame:
     """Sum stacked partials (e.g. one set per run) back to one row per product."""
     measures = [f for f in partials.schema.fields if f.name not in ("product_id", "run")]

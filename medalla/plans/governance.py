@@ -30,10 +30,14 @@ def pii_columns(df: DataFrame) -> list[str]:
 
 
 def masked(df: DataFrame, privileged: bool) -> DataFrame:
-    cols = pii_columns(df)
-    if privileged or not cols:
-        return df
-    return df.withColumns({c: F.lit(REDACTED) for c in cols})
+    """Tagged columns as text for either reader, so the schema is one."""
+    value = (lambda c: F.col(c).cast("string")) if privileged else (lambda c: F.lit(REDACTED))
+    return df.withColumns({c: value(c) for c in pii_columns(df)})
+
+
+def masked_by_function(df: DataFrame, name: str = "mask_pii") -> DataFrame:
+    """The same, decided by the SQL function ``name`` when the rows are read."""
+    return df.withColumns({c: F.call_function(name, F.col(c).cast("string")) for c in pii_columns(df)})
 
 
 def register_mask_function(spark: SparkSession, privileged_users: Iterable[str] = (), name: str = "mask_pii") -> None:

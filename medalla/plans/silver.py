@@ -30,6 +30,11 @@ from ..operators import dedup, quality
 from ..operators.quality import DROP, WARN, Rule
 from ..sources import schemas
 
+QUARANTINE_SCHEMA = (
+    "source_table string, reason string, failed_rules array<string>, record_key string, rejected_at timestamp, "
+    "ingested_at timestamp, source_file string, payload string"
+)
+
 RAW = "_raw"
 INVALID = "_invalid"
 
@@ -212,8 +217,9 @@ SPECS: dict[str, SourceSpec] = {s.name: s for s in (SALES, RETURNS, REVIEWS, PRO
 
 
 def prepare(spec: SourceSpec, bronze: DataFrame) -> DataFrame:
-    """Standardise and type a Bronze frame; keep the raw row for the payload."""
-    raw = F.struct(*[F.col(c) for c in spec.raw_columns]).alias(RAW)
+    """Standardise and type a Bronze frame; keep the raw row, lineage included,
+    for the payload."""
+    raw = F.struct(*[F.col(c) for c in (*spec.raw_columns, *spec.lineage)]).alias(RAW)
     derived = spec.derive()
     typed = []
     for name, dtype in spec.columns:
@@ -272,9 +278,10 @@ def first_copies(spec: SourceSpec, bronze: DataFrame) -> DataFrame:
 
     Used by tables derived from a feed without its rules (review replies,
     S14): they pick the same copy as the Silver table whenever a valid one
-    exists.
+    exists.  Rows without a key are no copies of each other and have no place
+    in such a table.
     """
-    typed = prepare(spec, bronze).drop(RAW).withColumn(INVALID, ~quality.valid_predicate(spec.rules))
+    typed = prepare(spec, bronze.filter(F.col(spec.key).isNotNull())).drop(RAW).withColumn(INVALID, ~quality.valid_predicate(spec.rules))
     kept = dedup.keep_first(typed, [spec.key], [INVALID, *spec.order])
     return kept.select(*business_columns(spec))
 

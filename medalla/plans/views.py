@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import PipelineConfig
+from ..sources import storage
 from . import governance
 
 LAYERS = {
@@ -32,15 +33,13 @@ def register_views(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
     """``<layer>_<table>`` temp views for every table that exists, plus
     ``silver_employees_current_masked`` (personal data masked unless
     ``cfg.privileged``)."""
-    from ..flows import _readable
-
     names = []
     for layer, tables in LAYERS.items():
         for t in tables:
             path = cfg.table_path(layer, t)
-            if _readable(spark, path):
+            if storage.readable(spark, path):
                 name = f"{layer}_{t}"
-                spark.read.parquet(path).createOrReplaceTempView(name)
+                storage.read(spark, path).drop("batch_id").createOrReplaceTempView(name)
                 names.append(name)
     if "silver_employees_current" in names:
         names.append(
@@ -56,5 +55,9 @@ def gold_row_counts_sql(spark: SparkSession) -> DataFrame:
 
 
 def masked_staff_view(spark: SparkSession, current: DataFrame, privileged: bool, name: str = "employees_current_masked") -> str:
-    governance.masked(governance.tag_pii(current), privileged).createOrReplaceTempView(name)
+    """A view that calls the mask function on every tagged column, so who reads
+    decides: the function asks for the reader's name (``privileged`` names the
+    one who makes the view).  The columns are text for every reader."""
+    governance.register_mask_function(spark, [spark.sql("SELECT current_user()").first()[0]] if privileged else [])
+    governance.masked_by_function(governance.tag_pii(current)).createOrReplaceTempView(name)
     return name

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import schemas
+from .jdbc import TRACKING_SYSTEM
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -215,7 +216,6 @@ def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conform(df, "employees", ["ingested_at", "source_file"])
 
 
-TRACKING_SYSTEM = "tracking-db"
 
 
 def tracking(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,17 @@ class FileFeed:
     def schema(self) -> T.StructType:
         return schemas.BY_SOURCE[self.source]
 
+    @property
+    def source_schema(self) -> T.StructType:
+        """The same fields under the names that the upstream system gives them."""
+        return schemas.under_source_names(self.source)
+
+    def renamed(self, df: DataFrame) -> DataFrame:
+        """Own names for a frame read with ``source_schema``; file metadata stays."""
+        names = schemas.SOURCE_NAMES[self.source]
+        cols = [F.col(names[f.name]).cast(f.dataType).alias(f.name) for f in self.schema.fields]
+        return df.select(*cols, F.col("_metadata"))
+
 
 _CSV = (("header", "true"), ("sep", ","), ("mode", "PERMISSIVE"))
 
@@ -39,6 +50,9 @@ FEEDS: dict[str, FileFeed] = {
     "products": FileFeed("products", "json", (("mode", "PERMISSIVE"),), streaming=False),
 }
 
+#: Files are taken whatever their modification time: a backfill may be years old.
+ANY_AGE = "36500d"
+
 PRODUCT_CATALOG = "catalogo_productos"  # fixed value: lineage name of the product snapshot
 
 
@@ -48,20 +62,20 @@ def _stamp(df: DataFrame, source_file=None) -> DataFrame:
             schemas.INGESTED_AT: F.current_timestamp(),
             schemas.SOURCE_FILE: source_file if source_file is not None else F.col("_metadata.file_name"),
         }
-    )
+    ).drop("_metadata")
 
 
 def read_stream(spark: SparkSession, feed: FileFeed, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Each file is read exactly once across runs (the checkpoint of the query
     that consumes this frame records which files were taken)."""
-    reader = spark.readStream.schema(feed.schema).options(**dict(feed.options))
+    reader = spark.readStream.schema(feed.source_schema).options(**dict(feed.options)).option("maxFileAge", ANY_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return _stamp(reader.format(feed.fmt).load(path))
+    return _stamp(feed.renamed(reader.format(feed.fmt).load(path)))
 
 
 def read_snapshot(spark: SparkSession, feed: FileFeed, path: str, source_name: str | None = None) -> DataFrame:
-    df = spark.read.schema(feed.schema).options(**dict(feed.options)).format(feed.fmt).load(path)
+    df = feed.renamed(spark.read.schema(feed.source_schema).options(**dict(feed.options)).format(feed.fmt).load(path))
     return _stamp(df, F.lit(source_name) if source_name else None)
 
 

@@ -1,7 +1,7 @@
 """External table over JDBC (tracking feed).
 
 The reference reads the table in one task; here a numeric partition column
-(when given) splits the read into ``num_partitions`` parallel range queries.
+(when named) splits the read into ``num_partitions`` parallel range queries.
 Filters on the returned frame are pushed into the database's WHERE clause.
 Every column is carried as text in Bronze, typing happens in Silver.
 """
@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from . import schemas
 
-TRACKING_SYSTEM = "tracking-db"
+#: Parallel range queries, where a column to cut by is named.
+DEFAULT_PARTITIONS = 8
+
+TRACKING_SYSTEM = "Azure SQL Database"  # fixed value: lineage name of the tracking system
 
 
 def read_table(
@@ -28,21 +31,41 @@ def read_table(
     upper_bound: int | None = None,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    for k, v in (options or {}).items():
-        reader = reader.option(k, v)
-    if partition_column:
-        reader = (
-            reader.option("partitionColumn", partition_column)
-            .option("lowerBound", str(lower_bound))
-            .option("upperBound", str(upper_bound))
-            .option("numPartitions", str(num_partitions or 1))
-        )
-    return reader.load()
+    """The table, read in parallel range queries when ``partition_column`` (or
+    the option ``partitionColumn``) names a numeric, date or timestamp column.
+    Bounds that aren't given are the column's minimum and maximum, which the
+    database computes."""
+    options = {k: v for k, v in (options or {}).items()}
+    column = partition_column or options.pop("partitionColumn", None)
+    low, high = lower_bound, upper_bound
+    low = options.pop("lowerBound", None) if low is None else low
+    high = options.pop("upperBound", None) if high is None else high
+    parts = num_partitions or int(options.pop("numPartitions", DEFAULT_PARTITIONS))
+    reader = spark.read.format("jdbc").options(**options).option("url", url)
+    if not column:
+        return reader.option("dbtable", table).load()
+    if low is None or high is None:
+        ends = reader.option("query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}").load().first()
+        if ends[0] is None:  # an empty table, or no value to cut at
+            return reader.option("dbtable", table).load()
+        low, high = ends
+    return (
+        spark.read.format("jdbc")
+        .options(**options)
+        .option("url", url)
+        .option("dbtable", table)
+        .option("partitionColumn", column)
+        .option("lowerBound", str(low))
+        .option("upperBound", str(high))
+        .option("numPartitions", str(parts))
+        .load()
+    )
 
 
 def tracking_bronze(raw: DataFrame, system: str = TRACKING_SYSTEM, ingested_at=None) -> DataFrame:
-    cols = [F.col(f.name).cast("string").alias(f.name) for f in schemas.TRACKING.fields]
+    """Bronze rows of a table whose columns have the upstream names."""
+    names = schemas.SOURCE_NAMES["tracking"]
+    cols = [F.col(names[f.name]).cast("string").alias(f.name) for f in schemas.TRACKING.fields]
     stamp = ingested_at if ingested_at is not None else F.current_timestamp()
     return raw.select(*cols, stamp.alias(schemas.INGESTED_AT), F.lit(system).alias(schemas.SOURCE_SYSTEM))
 

@@ -7,6 +7,8 @@ typing happens in Silver.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -64,6 +66,91 @@ BY_SOURCE: dict[str, T.StructType] = {
     "tracking": TRACKING,
 }
 
+# The names that the upstream systems give the fields, by own name.
+SOURCE_NAMES: dict[str, dict[str, str]] = {
+    "sales": {
+        "sale_id": "venta_id",
+        "branch_id": "sucursal_id",
+        "product_id": "producto_id",
+        "quantity": "cantidad",
+        "amount": "monto_total",
+        "pay_method": "metodo_pago",
+        "sale_date": "fecha_venta",
+        "channel": "canal",
+    },
+    "returns": {
+        "return_id": "devolucion_id",
+        "order_id": "pedido_id",
+        "branch_id": "sucursal_id",
+        "product_id": "producto_id",
+        "reason": "motivo",
+        "refund": "monto_reembolso",
+        "return_date": "fecha_devolucion",
+    },
+    "employees": {
+        "employee_id": "id_empleado",
+        "full_name": "nombre",
+        "national_id": "dni",
+        "email": "email",
+        "salary": "salario",
+        "branch_id": "sucursal_id",
+        "job_title": "cargo",
+        "event_kind": "tipo_evento",
+        "event_at": "fecha_evento",
+    },
+    "reviews": {
+        "review_id": "resena_id",
+        "product_id": "producto_id",
+        "customer_id": "cliente_id",
+        "rating": "calificacion",
+        "comment": "comentario",
+        "tags": "tags",
+        "replies": "respuestas",
+        "review_date": "fecha_resena",
+    },
+    "products": {
+        "product_id": "producto_id",
+        "product_name": "nombre_producto",
+        "category": "categoria",
+        "brand": "marca",
+        "list_price": "precio_lista",
+    },
+    "tracking": {
+        "tracking_id": "tracking_id",
+        "order_id": "pedido_id",
+        "courier": "courier",
+        "delivery_state": "estado_entrega",
+        "origin_branch": "sucursal_origen",
+        "updated_at_src": "fecha_actualizacion",
+    },
+}
+
+# The same for the fields of a review's replies.
+SOURCE_REPLY = T.ArrayType(T.StructType(_strings("autor", "texto")))
+
+# Each feed's folder below the landing root.
+SOURCE_FOLDERS = {
+    "sales": "ventas",
+    "returns": "devoluciones",
+    "employees": "empleados",
+    "reviews": "resenas",
+    "products": "productos",
+}
+
+
+def under_source_names(source: str) -> T.StructType:
+    """A feed's schema as its upstream system names the fields."""
+    names = SOURCE_NAMES[source]
+    kind = lambda f: SOURCE_REPLY if f.name == "replies" else f.dataType
+    return T.StructType([T.StructField(names[f.name], kind(f), True) for f in BY_SOURCE[source].fields])
+
+
+def to_source_names(df: DataFrame, source: str) -> DataFrame:
+    """A frame with own names as the upstream system would send it."""
+    target = under_source_names(source)
+    return df.select(*[F.col(f.name).cast(t.dataType).alias(t.name) for f, t in zip(BY_SOURCE[source].fields, target.fields)])
+
+
 # Lineage columns added at ingestion.
 INGESTED_AT = "ingested_at"
 SOURCE_FILE = "source_file"

@@ -1,22 +1,22 @@
-"""Structured Streaming flows: landing files -> Bronze -> Silver.
+"""Structured Streaming flows: landing files -> Bronze -> checked -> Silver.
 
 * Bronze: one file stream per feed, appended to a Parquet table.  The file
   sink's commit log plus the query checkpoint give exactly-once appends, and a
-  file is never ingested twice across runs.  At most
-  ``cfg.max_files_per_trigger`` files go into one micro-batch.
-* Silver: the Bronze table read as a stream, typed and rule-checked, then
-  de-duplicated on its key: a stateless Arrow pass drops repeated keys inside
-  each record batch, then ``dropDuplicates`` (RocksDB state; first valid
-  arrival wins; ``cfg.dedup_watermark`` optionally bounds the state).  Silver
-  sales are partitioned by ``sale_month`` for the incremental monthly mart.
-  A second stream over the same Bronze table appends the rejects to the feed's
-  quarantine table; rule counters ride along as observed metrics in every
-  micro-batch's progress.
-* Employee history: ``foreachBatch`` writes the clean events of the batch,
-  partitioned by ``pmod(xxhash64(employee_id), N)`` and ``batch_id`` (dynamic
-  overwrite, so a replayed batch rewrites its own files), then rebuilds the
-  history of the touched buckets only.  The history is always derived from the
-  full event log of a bucket, so late events split intervals correctly.
+  file is never ingested twice across runs, whatever its modification time.
+* Checked: one pass over each new part of a Bronze table types it, evaluates the
+  rules and writes both verdicts and the rule counters, each into the
+  micro-batch's own partition (dynamic overwrite), so a replayed batch rewrites
+  its files and is counted once.
+* Silver: the accepted rows as a stream, de-duplicated on the key
+  (``dropDuplicates`` with RocksDB state; first valid arrival wins;
+  ``cfg.dedup_watermark`` optionally bounds the state).  Each micro-batch is
+  written into its own partition together with what Gold needs of it: additive
+  per-product partials, and for sales the months touched.  Silver sales are
+  partitioned by ``sale_month`` and rebalanced on it, so a batch writes a few
+  files per month, not one for each task and month.
+* Employee history: accepted events are kept in key buckets; once the streams
+  have stopped, the history of all buckets with new events is rebuilt in one
+  job from the full event log, so late events split intervals correctly.
 
 All queries run with ``trigger(availableNow=True)`` by default: process what
 has arrived, then stop - a scheduled incremental job.
@@ -25,7 +25,6 @@ has arrived, then stop - a scheduled incremental job.
 from __future__ import annotations
 
 import datetime as dt
-import json
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -34,11 +33,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import PipelineConfig
 from ..operators import dedup, quality
-from ..plans import employees, monitoring, silver
-from ..sources import files, schemas
+from ..plans import employees, gold, silver
+from ..sources import files, schemas, storage
 
 BUCKET = "bucket"
 BATCH = "batch_id"
+VALID = "valid"
 
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -59,10 +59,14 @@ def read_bronze(spark: SparkSession, cfg: PipelineConfig, source: str) -> DataFr
 
 
 def read_bronze_stream(spark: SparkSession, cfg: PipelineConfig, source: str, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(bronze_schema(source))
+    return _file_stream(spark, bronze_schema(source), cfg.table_path("bronze", source), max_files)
+
+
+def _file_stream(spark: SparkSession, schema: T.StructType, path: str, max_files: int | None) -> DataFrame:
+    reader = spark.readStream.schema(schema).option("maxFileAge", files.ANY_AGE)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.parquet(cfg.table_path("bronze", source))
+    return reader.parquet(path)
 
 
 # Silver tables partitioned on a derived column, so later steps prune by it.
@@ -94,45 +98,134 @@ def start_bronze(
     return _sink(df, cfg.table_path("bronze", source), cfg.checkpoint_path(f"bronze_{source}"), trigger, f"bronze_{source}")
 
 
-def start_silver(
-    spark: SparkSession,
-    cfg: PipelineConfig,
-    source: str,
-    trigger: dict = AVAILABLE_NOW,
-    max_files: int | None = None,
-) -> StreamingQuery:
+def _write_partition(df: DataFrame, path: str, *partition_by: str) -> None:
+    """Replace the partitions that ``df`` holds, no others."""
+    (
+        df.hint("rebalance", partition_by[0])  # few files per partition; AQE splits a skewed one
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(path)
+    )
+
+
+# ------------------------------------------------------------------ checked rows
+def checked_schema(source: str) -> T.StructType:
+    """Schema of the accepted rows of a feed, as their stream reads them."""
     spec = silver.SPECS[source]
-    bronze = read_bronze_stream(spark, cfg, source, max_files or cfg.max_files_per_trigger)
-    typed = quality.observe_rules(silver.prepare(spec, bronze).drop(silver.RAW), f"rules_{source}", spec.rules)
-    if cfg.dedup_first:  # reference order: first arrival, then the rules
-        first = dedup.keep_first_stream(typed, [spec.key], watermark=cfg.dedup_watermark)
-        out = first.filter(quality.valid_predicate(spec.rules)).select(*silver.business_columns(spec))
-    else:
-        valid = typed.filter(quality.valid_predicate(spec.rules)).select(*silver.business_columns(spec))
-        out = dedup.keep_first_stream(valid, [spec.key], watermark=cfg.dedup_watermark)
-    out = out.withColumn("updated_at", F.lit(cfg.run_ts).cast("timestamp"))
-    parts = None
-    if source in SILVER_PARTITIONS:
-        col, expr = SILVER_PARTITIONS[source]
-        out, parts = out.withColumn(col, expr()), [col]
-    return _sink(
-        out, cfg.table_path("silver", source), cfg.checkpoint_path(f"silver_{source}"), trigger, f"silver_{source}", parts
+    raw = {f.name: f for f in bronze_schema(source).fields}
+    return T.StructType(
+        [T.StructField(c, t, True) for c, t in spec.columns]
+        + [raw[c] for c in (*spec.passthrough, *spec.lineage)]
+        + [T.StructField(VALID, T.BooleanType(), True), T.StructField(BATCH, T.LongType(), True)]
     )
 
 
-def start_rejects(
+def apply_checks(spark: SparkSession, cfg: PipelineConfig, source: str, batch: DataFrame, batch_id: int) -> None:
+    """Both verdicts and the rule counters of one micro-batch of Bronze rows."""
+    spec = silver.SPECS[source]
+    number = F.lit(batch_id).cast("long")
+    cls = silver.classified(spec, batch).persist()
+    try:
+        rejects = silver.rejects_of(spec, cls, cfg.run_ts).withColumn(BATCH, number)
+        _write_partition(rejects, cfg.table_path("quarantine", source), BATCH)
+        counters = Observation(f"rules_{source}_{batch_id}")
+        seen = cls.observe(counters, *quality.counter_columns(spec.rules)).withColumn(VALID, quality.is_valid())
+        kept = seen if cfg.dedup_first and spec.key else seen.filter(VALID)
+        rows = kept.select(*silver.business_columns(spec), VALID).withColumn(BATCH, number)
+        if source == "employees":
+            rows = rows.drop(VALID).withColumn(BUCKET, _bucket(cfg))
+            _write_partition(rows, cfg.table_path("silver", "employee_events"), BUCKET, BATCH)
+        else:
+            _write_partition(rows, cfg.table_path("checked", source), BATCH)
+        counts = [(spec.name, r.name, r.policy, counters.get["rows_in"], counters.get[f"failed_{r.name}"]) for r in spec.rules]
+        log = spark.createDataFrame(counts, "source_table string, rule string, policy string, rows_in long, failed long")
+        _write_partition(
+            log.withColumn("flow", F.lit(f"checked_{source}")).withColumn(BATCH, number),
+            cfg.table_path("ops", "rule_counters"),
+            "flow",
+            BATCH,
+        )
+    finally:
+        cls.unpersist()
+
+
+def start_checked(
     spark: SparkSession, cfg: PipelineConfig, source: str, trigger: dict = AVAILABLE_NOW, max_files: int | None = None
 ) -> StreamingQuery:
+    bronze = read_bronze_stream(spark, cfg, source, max_files or cfg.max_files_per_trigger)
+    return (
+        bronze.writeStream.queryName(f"checked_{source}")
+        .foreachBatch(lambda batch, number: apply_checks(spark, cfg, source, batch, number))
+        .option("checkpointLocation", cfg.checkpoint_path(f"checked_{source}"))
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def stream_rule_counters(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """Pass and fail counts of every rule over all micro-batches (J6)."""
+    rows = spark.read.parquet(cfg.table_path("ops", "rule_counters"))
+    return (
+        rows.groupBy("source_table", "rule", "policy")
+        .agg(F.sum("rows_in").alias("rows_in"), F.sum("failed").alias("failed"))
+        .withColumn("passed", F.col("rows_in") - F.col("failed"))
+    )
+
+
+# ------------------------------------------------------------------------ Silver
+def batch_tag(batch_id: int, kind: str = "r") -> str:
+    """Partition of a micro-batch's partials; tags sort as their numbers do."""
+    return f"{kind}{batch_id:012d}"
+
+
+def apply_silver_batch(spark: SparkSession, cfg: PipelineConfig, source: str, batch: DataFrame, batch_id: int) -> None:
+    """One micro-batch of first arrivals: its Silver rows, and what Gold adds up."""
+    rows = batch.persist()
+    try:
+        if source in SILVER_PARTITIONS:
+            column, value = SILVER_PARTITIONS[source]
+            rows_out = rows.withColumn(column, value()).withColumn(BATCH, F.lit(batch_id).cast("long"))
+            _write_partition(rows_out, cfg.table_path("silver", source), column, BATCH)
+            months = rows_out.select(column).distinct().withColumn(BATCH, F.lit(batch_id).cast("long"))
+            _write_partition(months, cfg.table_path("ops", f"{source}_months"), BATCH)
+        else:
+            _write_partition(rows.withColumn(BATCH, F.lit(batch_id).cast("long")), cfg.table_path("silver", source), BATCH)
+        for name, (fact, partials) in gold.PARTIAL_LOGS.items():
+            if fact == source:
+                sums = partials(rows).withColumn("run", F.lit(batch_tag(batch_id)))
+                _write_partition(sums, cfg.table_path("ops", name), "run")
+    finally:
+        rows.unpersist()
+
+
+def first_arrivals(spark: SparkSession, cfg: PipelineConfig, source: str, max_files: int | None = None) -> DataFrame:
+    """The accepted rows of a feed as a stream, one for each key."""
     spec = silver.SPECS[source]
-    bad = silver.rejects(spec, read_bronze_stream(spark, cfg, source, max_files or cfg.max_files_per_trigger), cfg.run_ts)
-    return _sink(
-        bad, cfg.table_path("quarantine", source), cfg.checkpoint_path(f"quarantine_{source}"), trigger, f"quarantine_{source}"
+    checked = _file_stream(spark, checked_schema(source), cfg.table_path("checked", source), max_files).drop(BATCH)
+    first = dedup.keep_first_stream(checked, [spec.key], watermark=cfg.dedup_watermark)
+    # in the reference's order the rules come after the first arrival is chosen
+    out = first.filter(VALID).select(*silver.business_columns(spec))
+    return out.withColumn("updated_at", F.lit(cfg.run_ts).cast("timestamp"))
+
+
+def start_silver(
+    spark: SparkSession, cfg: PipelineConfig, source: str, trigger: dict = AVAILABLE_NOW, max_files: int | None = None
+) -> StreamingQuery:
+    return (
+        first_arrivals(spark, cfg, source, max_files or cfg.max_files_per_trigger)
+        .writeStream.queryName(f"silver_{source}")
+        .foreachBatch(lambda batch, number: apply_silver_batch(spark, cfg, source, batch, number))
+        .option("checkpointLocation", cfg.checkpoint_path(f"silver_{source}"))
+        .outputMode("append")
+        .trigger(**trigger)
+        .start()
     )
 
 
 def start_review_replies(spark: SparkSession, cfg: PipelineConfig, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
     """Replies keep their own first arrival per review (no rule), as a
-    separate flow over the Bronze reviews."""
+    separate flow over the Bronze reviews; reviews without a key have none."""
     spec = silver.REVIEWS
     reviews = silver.prepare(spec, read_bronze_stream(spark, cfg, "reviews", cfg.max_files_per_trigger)).drop(silver.RAW)
     reviews = dedup.keep_first_stream(
@@ -154,50 +247,6 @@ def _bucket(cfg: PipelineConfig):
     return F.pmod(F.xxhash64(F.col(employees.KEY)), F.lit(cfg.history_buckets)).cast("int")
 
 
-def apply_employee_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, batch_id: int) -> list[int]:
-    """Append one micro-batch of Bronze employee events and rebuild the
-    history of the buckets it touches.  Returns the touched bucket numbers."""
-    spec = silver.EMPLOYEES
-    cls = silver.classified(spec, batch).persist()
-    try:
-        # replay-safe: a re-run batch rewrites its own partition
-        (
-            silver.rejects_of(spec, cls, cfg.run_ts)
-            .withColumn(BATCH, F.lit(batch_id).cast("long"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH)
-            .parquet(cfg.table_path("quarantine", "employees"))
-        )
-        # one pass writes the events and fills the rule counters and the set of
-        # touched buckets (at most ``history_buckets`` small integers)
-        obs = Observation(f"employees_batch_{batch_id}")
-        observed = cls.observe(
-            obs,
-            *quality.counter_columns(spec.rules),
-            F.collect_set(F.when(quality.is_valid(), _bucket(cfg))).alias("touched"),
-        )
-        clean = quality.accepted(observed.drop(silver.RAW)).select(*silver.business_columns(spec))
-        staged = clean.withColumn(BUCKET, _bucket(cfg)).withColumn(BATCH, F.lit(batch_id).cast("long"))
-        (
-            staged.hint("rebalance", BUCKET)  # few files per bucket; AQE splits a skewed bucket
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BUCKET, BATCH)
-            .parquet(cfg.table_path("silver", "employee_events"))
-        )
-        metrics = dict(obs.get)
-        touched = sorted(metrics.pop("touched") or [])
-        log = monitoring.RunLog(spark, cfg.table_path("ops", "run_log"))
-        log.add("rule_counters", json.dumps({"flow": "silver_employee_history", "batch_id": batch_id, "metrics": {"rules_employees": metrics}}))
-        log.flush()
-    finally:
-        cls.unpersist()
-    if touched:
-        rebuild_history(spark, cfg, touched)
-    return touched
-
-
 def read_employee_events(spark: SparkSession, cfg: PipelineConfig, buckets: list[int] | None = None) -> DataFrame:
     ev = spark.read.parquet(cfg.table_path("silver", "employee_events"))
     if buckets is not None:
@@ -221,50 +270,49 @@ def read_history(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
     return spark.read.parquet(cfg.table_path("silver", "employee_history")).drop(BUCKET)
 
 
-def start_employee_history(
-    spark: SparkSession, cfg: PipelineConfig, trigger: dict = AVAILABLE_NOW, max_files: int | None = None
-) -> StreamingQuery:
-    bronze = read_bronze_stream(spark, cfg, "employees", max_files or cfg.max_files_per_trigger)
+def rebuild_pending_history(spark: SparkSession, cfg: PipelineConfig) -> list[int]:
+    """Rebuild, in one job, the history of the buckets that got events since the
+    last rebuild.  The last micro-batch that it covers is written down after
+    the history, so a rebuild that failed is done again."""
+    done = latest_done(spark, cfg, "employee_history")
+    new = read_employee_events(spark, cfg).filter(F.col(BATCH) > done)
+    seen = new.groupBy(BUCKET).agg(F.max(BATCH).alias(BATCH)).collect()  # one row for each bucket
+    if seen:
+        buckets = sorted(r[BUCKET] for r in seen)
+        rebuild_history(spark, cfg, buckets)
+        mark_done(spark, cfg, "employee_history", max(r[BATCH] for r in seen))
+        return buckets
+    return []
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        apply_employee_batch(spark, cfg, batch, batch_id)
 
-    return (
-        bronze.writeStream.queryName("silver_employee_history")
-        .foreachBatch(each)
-        .option("checkpointLocation", cfg.checkpoint_path("silver_employee_history"))
-        .trigger(**trigger)
-        .start()
-    )
+def _done_path(cfg: PipelineConfig, step: str) -> str:
+    return cfg.table_path("ops", f"{step}_done")
+
+
+def latest_done(spark: SparkSession, cfg: PipelineConfig, step: str) -> int:
+    """Number of the last micro-batch that a derived table covers; -1 for none."""
+    if not storage.readable(spark, _done_path(cfg, step)):
+        return -1
+    return spark.read.schema("batch_id long").parquet(_done_path(cfg, step)).agg(F.max(BATCH)).first()[0]
 
 
-def run_streams(queries: list[StreamingQuery], timeout_s: float = 6 * 3600) -> dict[str, list[dict]]:
-    """Wait for availableNow queries; return each one's progress reports (one
-    per micro-batch, as many as ``spark.sql.streaming.numRecentProgressUpdates``
-    keeps).  A query still running after ``timeout_s`` is stopped and reported
-    as an error; its checkpoint lets the next run resume where it stopped."""
-    progress = {}
-    for q in queries:
-        if not q.awaitTermination(timeout_s):
-            q.stop()
-            raise TimeoutError(f"stream {q.name} did not finish within {timeout_s} s")
-        if q.exception() is not None:
-            raise q.exception()
-        progress[q.name] = list(q.recentProgress or [])
-    return progress
-
-
-def summed_metrics(reports: list[dict]) -> dict[str, dict[str, int]]:
-    """Observed metrics of all micro-batches of a run, summed per name."""
-    total: dict[str, dict[str, int]] = {}
-    for rep in reports:
-        observed = rep.get("observedMetrics") if isinstance(rep, dict) else getattr(rep, "observedMetrics", None)
-        for name, row in (observed or {}).items():
-            acc = total.setdefault(name, {})
-            values = row if isinstance(row, dict) else row.asDict()
-            for k, v in values.items():
-                acc[k] = acc.get(k, 0) + int(v or 0)
-    return total
+def mark_done(spark: SparkSession, cfg: PipelineConfig, step: str, batch_id: int) -> None:
+    spark.createDataFrame([(batch_id,)], "batch_id long").coalesce(1).write.mode("append").parquet(_done_path(cfg, step))
+
+
+def run_streams(queries: list[StreamingQuery]) -> dict[str, list[dict]]:
+    """Wait until every availableNow query has worked off what has arrived,
+    however long that takes; return the progress reports that Spark still has of
+    each.  If one fails, the others are stopped before its error is raised, so a
+    retry meets no live checkpoint."""
+    try:
+        for q in queries:
+            q.awaitTermination()  # raises the query's error
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+    return {q.name: list(q.recentProgress or []) for q in queries}
 
 
 def stamp(now: dt.datetime | None = None) -> dt.datetime:

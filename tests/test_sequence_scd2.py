@@ -13,7 +13,7 @@ def _lead_reference(df, key, seq):
     return df.withColumn("nxt", F.lead(seq).over(w))
 
 
-def test_next_in_sequence_equals_window_lead_under_skew(spark):
+def test_next_in_sequence_equals_window_lead_under_skew(spark, monkeypatch):
     rnd = random.Random(7)
     rows = []
     for i in range(3000):
@@ -21,24 +21,30 @@ def test_next_in_sequence_equals_window_lead_under_skew(spark):
         rows.append((k, i * 10 + rnd.randint(0, 5), f"v{i}"))
     df = spark.createDataFrame(rows, "k string, s long, v string").dropDuplicates(["k", "s"])
     exp = sorted(map(tuple, _lead_reference(df, "k", "s").select("k", "s", "v", "nxt").collect()))
-    for _ in range(3):  # an unstable partitioning shows up as a flaky mismatch
-        got = sequence.next_in_sequence(df, "k", "s", "nxt", partitions=8)
+    for per_slice in (1, 50, 10**9):  # a row a slice, several slices a key, one slice
+        monkeypatch.setattr(sequence, "NUMBERS_PER_SLICE", per_slice)
+        got = sequence.next_in_sequence(df, "k", "s", "nxt")
         assert sorted(map(tuple, got.collect())) == exp
 
 
-def test_next_in_sequence_many_partitions_few_rows(spark):
+def test_next_in_sequence_few_rows(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], "k string, s long")
-    got = {(r.k, r.s): r.nxt for r in sequence.next_in_sequence(df, "k", "s", "nxt", partitions=16).collect()}
+    got = {(r.k, r.s): r.nxt for r in sequence.next_in_sequence(df, "k", "s", "nxt").collect()}
     assert got == {("a", 1): 2, ("a", 2): None, ("b", 1): None}
 
 
-def test_range_partitions_are_materialised_once(spark):
+def test_next_in_sequence_is_lazy_and_jvm_only(spark):
     df = spark.range(0, 1000).selectExpr("CAST(id % 5 AS STRING) AS k", "id AS s")
-    out = sequence.next_in_sequence(df, "k", "s", "nxt", partitions=8)
-    out.collect()
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    # both branches read the checkpointed partitions: no range exchange left
-    assert "rangepartitioning" not in plan
+    plan = sequence.next_in_sequence(df, "k", "s", "nxt")._jdf.queryExecution().executedPlan().toString()
+    assert "Range (0, 1000" in plan  # nothing was run or cut off beforehand
+    assert not any(x in plan for x in ("MapInArrow", "MapInPandas", "Python", "ExistingRDD"))
+
+
+def test_next_in_sequence_over_days(spark):
+    stamps = [dt.datetime(2024, 1, 1, h) for h in (1, 5, 9)] + [dt.datetime(2024, 3, 1), dt.datetime(2024, 3, 2)]
+    df = spark.createDataFrame([("a", s) for s in stamps] + [("b", stamps[1])], "k string, s timestamp")
+    got = {(r.k, r.s): r.nxt for r in sequence.next_in_sequence(df, "k", "s", "nxt").collect()}
+    assert got == {("a", s): n for s, n in zip(stamps, [*stamps[1:], None])} | {("b", stamps[1]): None}
 
 
 EMP = "employee_id string, full_name string, national_id string, email string, salary decimal(12,2), branch_id string, job_title string, event_kind string, event_at timestamp, ingested_at timestamp, source_file string"
@@ -55,7 +61,7 @@ def t(d):
 
 
 def _hist(spark, rows):
-    return employees.history(spark.createDataFrame(rows, EMP), partitions=4)
+    return employees.history(spark.createDataFrame(rows, EMP))
 
 
 def test_late_event_splits_interval(spark):
@@ -105,10 +111,14 @@ def test_replayed_micro_batch_changes_nothing(spark):
 
     cfg = connectors.scratch_config(spark, "t-replay")
     bronze = adapters.employees(spark, SF_SMOKE)
-    flows.apply_employee_batch(spark, cfg, bronze, 0)
+    flows.apply_checks(spark, cfg, "employees", bronze, 0)
+    assert len(flows.rebuild_pending_history(spark, cfg)) > 1
+    assert flows.rebuild_pending_history(spark, cfg) == []
     hist1 = sorted(map(tuple, flows.read_history(spark, cfg).collect()), key=repr)
     q1 = spark.read.parquet(cfg.table_path("quarantine", "employees")).count()
-    flows.apply_employee_batch(spark, cfg, bronze, 0)  # the same batch again
+    counters = sorted(map(tuple, flows.stream_rule_counters(spark, cfg).collect()))
+    flows.apply_checks(spark, cfg, "employees", bronze, 0)  # the same batch again
+    assert sorted(map(tuple, flows.stream_rule_counters(spark, cfg).collect())) == counters
     assert sorted(map(tuple, flows.read_history(spark, cfg).collect()), key=repr) == hist1
     assert spark.read.parquet(cfg.table_path("quarantine", "employees")).count() == q1
     assert spark.read.parquet(cfg.table_path("silver", "employee_events")).count() == bronze.count() - q1
