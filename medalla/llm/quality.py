@@ -17,10 +17,13 @@ Gumbel noise drawn from the doc_id, of which the k largest stay.  k is the
 number of documents whose weight is above a limit; the limit is where labelled
 documents that took no part in the target model are told apart best.
 
-Scale: two passes over the texts.  Counts are gathered from all documents as
-(bucket, count) rows, merged by bucket; the driver gets one row for each
-bucket, histograms of weights and slice counts, all of fixed size.  The k
-largest keys are found over 16-byte rows in slices of equal size.
+Scale: two passes over the texts, which are never shuffled.  The target is a
+sample of at most about ``target_docs`` good documents, chosen by a hash of the
+doc_id, whose ids are broadcast (8 bytes each); the raw counts are of all
+documents.  They are gathered as (bucket, count) rows, merged by bucket; the
+driver gets one row for each bucket, histograms of weights and slice counts,
+all of fixed size.  The k largest keys are found over 16-byte rows in slices of
+equal size.
 
 Defined results: a null or empty text has no n-grams and the weight 0.  Without
 good labels there is no target: every weight is 0.  Without bad ones in the
@@ -36,7 +39,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mark_first_k, stored, text_blocks
+from .common import mark_first_k, stored, text_blocks, without_ids
 from .shingles import SEGMENT, mix, text_bytes, words
 
 GRAM = 4
@@ -45,6 +48,7 @@ SHAPES, WORDS, BUCKETS = 1 << 18, (1 << 18) + (1 << 12), (1 << 18) + (1 << 12) +
 SMOOTHING = 5.0  # n-grams each model has seen of every bucket beforehand
 TOLERANCE = 0.5  # a log ratio above minus this costs nothing
 TEMPER = 50.0  # weights are that much wider than Gumbel noise
+TARGET_DOCS = 100_000  # documents that the target model is fitted on, at most about
 HELD_OUT = 4  # one labelled document in so many sets the limit
 BIN = 0.05  # width of the histogram of weights, before tempering
 LOWEST = -20.0  # lower weights share its last bin
@@ -91,14 +95,17 @@ def grams(column):
     return byte_gram, bounds[:-1], byte_ends, shapes, at, word, np.searchsorted(once >> WORD_BITS, np.arange(len(column) + 1))
 
 
-def _counter():
+def _counter(shared):
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
+        chosen_ids = shared.value
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in text_blocks(batches, limit=SEGMENT):
-            good = np.array(batch.column("good").to_pylist(), dtype=bool)
+            ids = batch.column("doc_id")
+            known = ids.is_valid().to_numpy(zero_copy_only=False)
+            good = known & np.isin(ids.fill_null(0).to_numpy(), chosen_ids)
             byte_gram, a, b, shapes, at, word, parts = grams(batch.column("text"))
             for counts, chosen in ((raw, np.ones(len(good), bool)), (target, good)):
                 if not chosen.any():
@@ -174,9 +181,11 @@ def _limit(histogram) -> float:
     return best[1 + (len(best) - 1) // 2] * BIN
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, target_docs: int = TARGET_DOCS) -> DataFrame:
     """Per row: doc_id, weight (log importance, 0 at best), key (weight,
     tempered, plus Gumbel noise) and kept (its key is among the k largest)."""
+    import numpy as np
+
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = (
         labels.filter("doc_id is not null and quality is not null")
@@ -184,13 +193,13 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
         .agg((F.min("quality") + F.min(-F.coalesce("toxic", F.lit(0))) >= 1).alias("good"))
         .withColumn("held", F.pmod(F.xxhash64("doc_id"), F.lit(HELD_OUT)) == 0)
     )
-    target = known.filter("good and not held").select("doc_id", F.lit(True).alias("good"))
-    marked = docs.join(target, "doc_id", "left").select("text", F.coalesce("good", F.lit(False)).alias("good"))
-    counts = marked.mapInArrow(_counter(), "bucket int, raw long, target long")
+    target = known.filter("good and not held").select("doc_id")
+    share = min(1.0, target_docs / max(1, target.count()))
+    target = target.filter(F.pmod(F.xxhash64(F.lit("target"), "doc_id"), F.lit(1 << 40)) < int(share * (1 << 40)))
+    chosen = docs.sparkSession.sparkContext.broadcast(np.sort(target.toArrow().column("doc_id").to_numpy()))
+    counts = docs.mapInArrow(_counter(chosen), "bucket int, raw long, target long")
     got = counts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()
 
-    import numpy as np
-
     raw, wanted = (np.zeros(BUCKETS, np.int64) for _ in range(2))
     at = got.column("bucket").to_numpy()
     raw[at], wanted[at] = got.column("raw").to_numpy(), got.column("target").to_numpy()
@@ -207,5 +216,4 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rejected documents, all columns kept."""
-    rejected = classify(docs, labels).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    return without_ids(docs, classify(docs, labels).filter(~F.col("kept")).select("doc_id"))
