@@ -11,14 +11,15 @@ grouping, in any order, without a task that holds a part of the tree.
 
 A template recurs if it is in two documents or more that are different texts:
 documents whose smallest shingles agree in three random orders count as one
-family, and a template whose documents are of less than half as many families is left to
-near-duplicate detection, else copies of one document would be taken line by
-line.  Of a recurring template, the lines in the document with the smallest
+family, and a template whose documents are of less than half as many families
+is left to near-duplicate detection, else copies of one document would be taken
+line by line.  Of a recurring template, the lines in the document with the smallest
 doc_id stay and those in all others are dropped.
 
 Scale: texts are read once and only their lines' hashes are shuffled, grouped
 with partial aggregates; after the first grouping only keys seen in two
-families go on.  The line numbers to drop come back to the texts by one join.
+families go on.  The line numbers to drop come back to the texts by one join,
+which only texts that may lose a line go through.
 A template in a third of all documents is a hot key of small rows, dealt over
 salts.
 
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import salted_join, stored, text_blocks
+from .common import possibly_in, salted_join, stored, text_blocks
 from .shingles import SEGMENT, mix, text_bytes, words
 
 LEAD, FIELDS, MIN_REST, MIN_TOKENS = 3, 4, 8, 3
@@ -172,8 +173,9 @@ def recurring(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def without_recurring_lines(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` as the struct ``row``, with kept_text, n_lines and
-    ``dropped``, the numbers (from 0, ascending) of the lines left out."""
+    """Rows of ``docs`` with all columns but ``text`` as the struct ``row``, and
+    kept_text, n_lines and ``dropped``, the numbers (from 0, ascending) of the
+    lines left out."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _hash("text").alias("text_hash"))
     lines = stored(texts.mapInArrow(_liner(), LINES), "lines")
     templates, met = recurring(lines)
@@ -184,9 +186,15 @@ def without_recurring_lines(docs: DataFrame) -> DataFrame:
         .groupBy(F.col("doc_id").alias("d"), F.col("text_hash").alias("h"))
         .agg(F.sort_array(F.collect_set("line")).alias("dropped"))  # at most the lines of one document
     )
-    rows = docs.select(F.struct("*").alias("row"), "text", F.col("doc_id").cast("long").alias("id"))
-    both = rows.join(dropped, F.col("id").eqNullSafe(F.col("d")) & (_hash("text") == F.col("h")), "left")
-    both = both.select("row", "text", F.coalesce("dropped", F.expr("cast(array() as array<int>)")).alias("dropped"))
+    dropped = stored(dropped, "dropped-lines")
+    # only texts that may lose a line are shuffled
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    rows = docs.select(others, "text", F.col("doc_id").cast("long").alias("id"))
+    marked = possibly_in(rows, dropped.select("d"), "id").select("row.row", "row.text", "id", "possible")
+    none = F.expr("cast(array() as array<int>)")
+    whole = marked.filter("not possible").select("row", "text", none.alias("dropped"))
+    some = marked.filter("possible").join(dropped, F.col("id").eqNullSafe(F.col("d")) & (_hash("text") == F.col("h")), "left")
+    both = whole.unionByName(some.select("row", "text", F.coalesce("dropped", none).alias("dropped")))
     schema = T.StructType([f for f in both.schema.fields if f.name != "text"]).add("kept_text", "string").add("n_lines", "long")
     return both.mapInArrow(_dropper(), schema)
 
