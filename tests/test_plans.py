@@ -34,7 +34,7 @@ def test_gold_aggregates_before_joining_and_has_no_python(spark):
     plan = _plan(catalog.product_sales_returns(spark, SF_SMOKE))
     # every join input on the fact side is already aggregated per product
     assert plan.count("HashAggregate") >= 4
-    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "MapInPandas" not in plan
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan and "MapInPandas" not in plan and "MapInArrow" not in plan
 
 
 def test_silver_has_one_shuffle_per_feed(spark):

@@ -28,6 +28,7 @@ NODES = [
     ("Window", r"\bWindow\b"),
     ("TakeOrderedAndProject", r"TakeOrderedAndProject"),
     ("MapInPandas", r"MapInPandas"),
+    ("MapInArrow", r"MapInArrow"),
     ("checkpoint read (ExistingRDD)", r"Scan ExistingRDD"),
 ]
 
@@ -44,11 +45,6 @@ def main() -> None:
         "Counts are operator occurrences in the executed plan; scans list the columns read and the filters pushed",
         "into Parquet.",
         "",
-        "History queries read a checkpoint: the range-partitioned, sorted events are materialised once in",
-        "`spark.checkpoint.dir` (the job that wrote it scanned `events`), so their final plan starts at `Scan",
-        "ExistingRDD`; the `SinglePartition` exchange there carries at most one row per range partition (the",
-        "partition heads), which is then broadcast.",
-        "",
     ]
     for name, fn in QUERIES.items():
         df = fn(spark, sf)
