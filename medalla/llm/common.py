@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 import uuid
@@ -33,12 +35,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def worker_cache() -> dict:
+def worker_cache(owner: str) -> dict:
     """A dict that lives as long as the Python worker process, whatever task
     asks: the package's functions travel by value, so their module's globals
-    are new in each task."""
+    are new in each task.  A reused worker holds things of one operator at a
+    time: when another one asks, what the last one kept is given back."""
     holder = sys.modules.setdefault("medalla_worker_cache", types.ModuleType("medalla_worker_cache"))
-    return holder.__dict__.setdefault("cache", {})
+    if getattr(holder, "owner", None) != owner:
+        holder.owner, holder.kept = owner, {}
+        gc.collect()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+    return holder.kept
 
 
 def text_blocks(batches, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator:

@@ -86,7 +86,7 @@ def _scanner(shared, app: str, number: int):
     def run(batches):
         import pyarrow as pa
 
-        cache = worker_cache()
+        cache = worker_cache("decontaminate")
         key = ("automaton", app, number)
         if key not in cache:
             for old in [k for k in cache if k[0] == "automaton"]:

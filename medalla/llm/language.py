@@ -28,7 +28,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_blocks
+from .common import text_blocks, worker_cache
 from .shingles import SEGMENT, mix, text_bytes
 
 BITS = 12
@@ -154,6 +154,7 @@ def _predictor(shared):
         import numpy as np
         import pyarrow as pa
 
+        worker_cache("language")
         model = shared.value
         languages = model["languages"]
         families = sorted({family(lang) for lang in languages})

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import possibly_in, salted_join, stored, text_blocks
+from .common import possibly_in, salted_join, stored, text_blocks, worker_cache
 from .shingles import SEGMENT, mix, text_bytes, words
 
 LEAD, FIELDS, MIN_REST, MIN_TOKENS = 3, 4, 8, 3
@@ -115,6 +115,7 @@ def _liner():
         import numpy as np
         import pyarrow as pa
 
+        worker_cache("lines")
         for batch in text_blocks(batches, limit=SEGMENT):
             family, text, line, ends, keys, fresh = line_keys(batch.column("text"))
             lists = lambda values: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
@@ -136,6 +137,7 @@ def _dropper():
     def run(batches):
         import pyarrow as pa
 
+        worker_cache("lines")
         for batch in text_blocks(batches):
             texts, counts = [], []
             for text, dropped in zip(batch.column("text").to_pylist(), batch.column("dropped").to_pylist()):

@@ -43,7 +43,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, possibly_in, salted_join, stored, text_blocks, without_ids
+from .common import components, possibly_in, salted_join, stored, text_blocks, without_ids, worker_cache
 from .shingles import SEGMENT, mix, shingle_sets
 
 WORDS = 5
@@ -93,6 +93,7 @@ def _signer(words: int, bands: int, rows: int):
         import numpy as np
         import pyarrow as pa
 
+        worker_cache("near-duplicates")
         for batch in text_blocks(batches, limit=SEGMENT):
             sets = shingle_sets(batch.column("text"), words)
             ranks = super_min_hash(sets, bands * rows).reshape(len(sets), bands, rows)
@@ -117,6 +118,7 @@ def _setter(words: int):
         import numpy as np
         import pyarrow as pa
 
+        worker_cache("near-duplicates")
         for batch in text_blocks(batches, limit=SEGMENT):
             sets = [s.view(np.int64) for s in shingle_sets(batch.column("text"), words)]
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "set": pa.array(sets, pa.list_(pa.int64()))})

@@ -39,7 +39,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mark_first_k, stored, text_blocks, without_ids
+from .common import mark_first_k, stored, text_blocks, without_ids, worker_cache
 from .shingles import SEGMENT, mix, text_bytes, words
 
 GRAM = 4
@@ -100,6 +100,7 @@ def _counter(shared):
         import numpy as np
         import pyarrow as pa
 
+        worker_cache("quality")
         chosen_ids = shared.value
         raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in text_blocks(batches, limit=SEGMENT):
@@ -145,6 +146,7 @@ def _weigher(shared):
         import numpy as np
         import pyarrow as pa
 
+        worker_cache("quality")
         ratio = shared.value
         sums = lambda values, a, b: np.append(0, np.cumsum(values))[np.stack([a, np.maximum(a, b)])]
         for batch in text_blocks(batches, limit=SEGMENT):

@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Bytes hashed at once: numpy needs some 30 bytes for each.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 
 _U = np.uint64
 

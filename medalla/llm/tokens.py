@@ -19,7 +19,7 @@ import numpy as np
 from .common import worker_cache
 
 #: Pieces a task's memo holds at most; further ones are encoded each time.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 250_000
 
 
 def default_tokenizer() -> str:
@@ -31,7 +31,7 @@ def default_tokenizer() -> str:
 
 def shared_encoder(path: str, memo_pieces: int = MEMO_PIECES) -> "Encoder":
     """One encoder for each worker process and file."""
-    cache = worker_cache()
+    cache = worker_cache("tokens")
     if ("encoder", path, memo_pieces) not in cache:
         cache["encoder", path, memo_pieces] = Encoder(path, memo_pieces)
     return cache["encoder", path, memo_pieces]
