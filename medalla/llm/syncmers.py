@@ -110,23 +110,30 @@ def against_next(docs: DataFrame, sketch: int = SKETCH) -> DataFrame:
     doc_id (those without one last), then by a hash of the text, and equal
     rows are one document in that order."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.withColumn("h", F.xxhash64("text"))
-    keys = texts.select("doc_id", "h", F.char_length("text").alias("n")).distinct()
-    following = next_documents(keys)
-    same = lambda a, b: (F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id"))) & (F.col(f"{a}.h") == F.col(f"{b}.h"))
-    texts = with_sketch(texts, "text", "own", sketch)
+    # id and h are never null, so that grouping and joins by them share one partitioning
+    hashed = F.when(F.col("doc_id").isNull(), F.xxhash64(F.lit("no id"), "text")).otherwise(F.xxhash64("text"))
+    following = next_documents(texts.select("doc_id", hashed.alias("h"), F.char_length("text").alias("n")).distinct())
+    # read by two joins with the same columns, so that one shuffle of the texts serves both
+    texts = texts.select(F.coalesce("doc_id", F.lit(0)).alias("id"), hashed.alias("h"), "text")
     # each document lends the one before it its beginning and its sketch
     asked = following.select(
-        F.col("next_id").alias("doc_id"), F.col("next_h").alias("h"), F.col("doc_id").alias("to_id"), F.col("h").alias("to_h"), "n"
+        F.coalesce("next_id", F.lit(0)).alias("id"),
+        F.col("next_h").alias("h"),
+        F.coalesce("doc_id", F.lit(0)).alias("to_id"),
+        F.col("h").alias("to_h"),
+        F.col("doc_id").alias("to_doc"),
+        F.floor(F.col("n") / 3).cast("int").alias("asked"),
     )
-    lent = texts.alias("t").join(asked.alias("q"), same("t", "q")).select(
-        F.col("q.to_id").alias("doc_id"),
-        F.col("q.to_h").alias("h"),
-        F.substring(F.col("t.text"), F.lit(1), F.floor(F.col("q.n") / 3).cast("int")).alias("beginning"),
-        F.col("t.own").alias("next"),
+    lent = with_sketch(texts.join(asked, ["id", "h"]), "text", "next", sketch)
+    lent = lent.select(
+        F.col("to_id").alias("id"),
+        F.col("to_h").alias("h"),
+        F.col("to_doc").alias("doc_id"),
+        F.substring("text", F.lit(1), F.col("asked")).alias("beginning"),
+        "next",
     )
-    lent = lent.groupBy("doc_id", "h").agg(F.any_value("beginning").alias("beginning"), F.any_value("next").alias("next"))
-    both = texts.alias("t").join(lent.alias("l"), same("t", "l"), "left").select("t.doc_id", "t.text", "t.own", "l.beginning", "l.next")
+    lent = lent.groupBy("id", "h").agg(*[F.any_value(c).alias(c) for c in ("doc_id", "beginning", "next")])
+    both = with_sketch(texts.join(lent, ["id", "h"]).drop("id", "h"), "text", "own", sketch)  # every document has a next one
     n = F.char_length("text")
     kept = F.substring(F.col("text"), F.lit(1), (n - F.floor(n / 3)).cast("int"))
     both = _let(both.withColumn("n_chars", n.cast("long")), edited=F.concat(kept, "beginning")).drop("text", "beginning")
