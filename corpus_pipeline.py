@@ -41,7 +41,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, ids (little-endian
-    unsigned 32-bit integers), sequence_id and offset."""
+    unsigned integers, 16-bit for this vocabulary), sequence_id and offset."""
     return pack.pack(pack.pieces(docs))
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored, text_blocks
-from .tokens import default_tokenizer, shared_encoder
+from .tokens import default_tokenizer, id_width, shared_encoder
 
 SEQUENCE = 2048
 GROUP_PIECES = 20_000
@@ -43,6 +43,7 @@ def _cutter(path: str, end_id: int, size: int, with_ids: bool):
         import pyarrow as pa
 
         encoder = shared_encoder(path)
+        width = id_width(encoder, end_id)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in text_blocks(batches):
             out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
@@ -55,7 +56,7 @@ def _cutter(path: str, end_id: int, size: int, with_ids: bool):
                     out["start"].append(at // 4)
                     out["length"].append(len(part) // 4)
                     out["ids_crc32"].append(zlib.crc32(part))
-                    out["ids"].append(part)
+                    out["ids"].append(np.frombuffer(part, "<u4").astype(f"<u{width}").tobytes())
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             cols = {k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)}
             if not with_ids:
@@ -68,8 +69,9 @@ def _cutter(path: str, end_id: int, size: int, with_ids: bool):
 def pieces(
     docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, size: int = SEQUENCE, with_ids: bool = True
 ) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 and, if asked
-    for, the ids as little-endian unsigned 32-bit integers."""
+    """One row per piece: doc_id, piece, start, length, ids_crc32 (of the ids as
+    32-bit integers) and, if asked for, the ids as little-endian unsigned
+    integers of 16 bits (32 if the vocabulary needs them)."""
     schema = PIECE + (", ids binary" if with_ids else "")
     # a doc_id of another integer type is a long from here on
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")

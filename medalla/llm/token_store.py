@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shared_folder, stored, text_blocks
-from .tokens import default_tokenizer, shared_encoder
+from .tokens import default_tokenizer, id_width, shared_encoder
 
 END_ID = 2
 STEP = 256  # values from one stored place to the next
@@ -114,7 +114,7 @@ def _writer(folder: str, path: str, end_id: int):
         from pyspark import TaskContext
 
         encoder = shared_encoder(path)
-        width = 2 if max(encoder.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else 4
+        width = id_width(encoder, end_id)
         shard = TaskContext.get().partitionId()
         name = f"shard-{shard:06d}-{uuid.uuid4().hex}"
         store, root = _store(folder)

@@ -37,6 +37,11 @@ def shared_encoder(path: str, memo_pieces: int = MEMO_PIECES) -> "Encoder":
     return cache["encoder", path, memo_pieces]
 
 
+def id_width(encoder: "Encoder", end_id: int) -> int:
+    """Bytes that hold any id of the vocabulary and the end id."""
+    return 2 if max(encoder.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else 4
+
+
 class Encoder:
     def __init__(self, path: str, memo_pieces: int = MEMO_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
