@@ -108,6 +108,20 @@ def test_line_dedup_recurrence(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in out.values())
 
 
+def test_line_dedup_copies_do_not_hide_a_template(spark):
+    """Plain Python: a passage in two families stays in the first document's family only."""
+    passage, other = odd.prose(300, 60), odd.prose(301, 60)
+    text = lambda seed, line: f"{odd.prose(seed, 90)}\n{line}\n{odd.prose(seed + 1, 70)}"
+    edited = lambda t, i: " ".join(f"edit{i}" if j == 3 else w for j, w in enumerate(t.split(" ")))
+    family = lambda seed, line, n: [text(seed, line)] * (n // 2) + [edited(text(seed, line), i) for i in range(n - n // 2)]
+    texts = [text(310 + 2 * i, passage) for i in range(9)] + family(340, passage, 30)  # many copies among the later documents
+    texts += family(350, other, 4) + [text(360, other)]  # copies of the document that keeps the line
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts, 1)] + [(None, text(370, other))], "doc_id long, text string")
+    for r in line_templates.without_recurring_lines(docs).collect():
+        doc = r["row"]["doc_id"]
+        assert r["dropped"] == ([] if doc == 1 or doc in range(40, 44) else [1]), doc
+
+
 def test_line_dedup_empty(empty):
     assert line_templates.deduplicated(empty).count() == 0
 
