@@ -9,8 +9,15 @@ one of these runs open, so lines that differ within one run meet.  The tree is
 of fixed depth and each node a hash of the path to it, so lines meet by
 grouping, in any order, without a task that holds a part of the tree.
 
-A template recurs if it is in two families of documents or more, whatever the
-number of copies in each.  A family is what near-duplicate detection would put
+Shorter lines say less, so chance brings them together sooner.  They too belong
+to templates with open fields, of one run or two after the leading tokens (of
+which there are ``SHORT_LEAD`` from five tokens on), where half the tokens or
+more stay fixed, but these ask for ``SHORT_FAMILIES`` families in place of two.
+So does a line of less than ``MIN_TOKENS`` tokens as a whole; if all its tokens
+have digits, they are none of them variable.
+
+A template recurs if it is in two families of documents (or
+``SHORT_FAMILIES``) or more, whatever the number of copies in each.  A family is what near-duplicate detection would put
 together: a text's sketch is its smallest shingle in each of ``BANDS * ROWS``
 random orders, texts with one sketch are a unit, and units that share a band of
 ``ROWS`` values and agree in ``AGREE`` values or more are joined, also through
@@ -29,8 +36,8 @@ lose a line go through.
 A template in a third of all documents is a hot key of small rows, dealt over
 salts.
 
-Defined results: a null text has one empty line and stays null; lines of less
-than ``MIN_TOKENS`` tokens are never dropped; repeated lines within one
+Defined results: a null text has one empty line and stays null; lines without
+a token are never dropped; repeated lines within one
 document are no recurrence; rows equal in doc_id and text are one document;
 rows without a doc_id come after all others.  Only ``doc_id`` and ``text`` are
 read; all columns are handed on in the struct ``row``.
@@ -47,6 +54,7 @@ from .shingles import SEGMENT, mix, text_bytes, words
 
 LEAD, FIELDS, MIN_REST, MIN_TOKENS = 3, 4, 8, 3
 SHINGLE = 5
+SHORT_LEAD, SHORT_FAMILIES = 2, 10
 NEWLINE = 10
 BANDS, ROWS, AGREE = 12, 3, 22
 
@@ -91,10 +99,55 @@ def units(low):
     return mix((low * mix(np.arange(101, 101 + low.shape[1], dtype=u))).sum(axis=1, dtype=u))
 
 
-def line_keys(column):
+def short_keys(hashes, digit, start, n):
+    """(line, key) of the templates of short lines that ask for more families."""
+    import numpy as np
+
+    u = np.uint64
+    longest = LEAD + MIN_REST - 1
+    run_of = np.full((longest + 1, longest), -1)  # by number of tokens and place
+    for size in range(LEAD + 1, longest + 1):
+        lead = SHORT_LEAD if size > LEAD + 1 else LEAD
+        rest = size - lead
+        runs = min(FIELDS, rest)
+        for r in range(runs):
+            run_of[size, lead + rest * r // runs : lead + rest * (r + 1) // runs] = r
+    rows = np.flatnonzero((n > 0) & (n <= longest))
+    size, place = n[rows], np.arange(longest)
+    inside = place < size[:, None]
+    at = np.where(inside, start[rows][:, None] + place, 0)
+    token = hashes[at] if len(hashes) else np.zeros(at.shape, u)
+    fixed = inside & (digit[at] == 0) if len(hashes) else inside
+    alone = (size < MIN_TOKENS) & ~fixed.any(axis=1)
+    token = np.where(fixed | alone[:, None], token, u(0x2545F4914F6CDD1D))
+    power = np.multiply.accumulate(np.full(longest, 0xD6E8FEB86659FD93, dtype=u))
+    run, runs = run_of[size], run_of.max(axis=1)[size] + 1
+
+    def key(chosen, opened):
+        path = np.where(inside, np.where(opened, u(0x9E3779B97F4A7C15), token) * power, u(0)).sum(axis=1, dtype=u)
+        return rows[chosen], mix(path + mix(size.astype(u) + u(1 << 32)))[chosen]
+
+    def may(*which):
+        opened = np.isin(run, which)
+        return (runs > max(which)) & (2 * (fixed & ~opened).sum(axis=1) >= size), opened
+
+    found = [key(size < MIN_TOKENS, np.zeros_like(inside))]
+    in_pair = np.zeros((FIELDS, len(rows)), dtype=bool)
+    for a in range(FIELDS):
+        for b in range(a + 1, FIELDS):
+            chosen, opened = may(a, b)
+            in_pair[[a, b]] |= chosen
+            found.append(key(chosen, opened))
+    for a in range(FIELDS):  # lines that meet with one run open also do with two
+        chosen, opened = may(a)
+        found.append(key(chosen & ~in_pair[a], opened))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def line_keys(column, short: bool = False):
     """(text, line, first key, number of keys) of each line with keys, the keys,
     and whether a key is the first such in its text; before them the sketch of
-    each text."""
+    each text.  Keys are even; with ``short``, odd ones are of ``short_keys``."""
     import numpy as np
 
     u = np.uint64
@@ -123,7 +176,14 @@ def line_keys(column):
     have = np.where(n < MIN_TOKENS, 0, np.where(n < LEAD + MIN_REST, 1, 1 + FIELDS))
     of_text = np.repeat(np.arange(len(column)), np.diff(base))
     chosen = np.arange(1 + FIELDS) < have[:, None]
-    flat, owner = keys[chosen].view(np.int64), np.repeat(of_text, have)
+    flat, line_of = keys[chosen] & ~u(1), np.repeat(np.arange(len(n)), have)
+    if short:
+        more_of, more = short_keys(hashes, digit, start, n)
+        flat, line_of = np.append(flat, more | u(1)), np.append(line_of, more_of)
+        order = np.argsort(line_of, kind="stable")
+        flat, line_of = flat[order], line_of[order]
+        have = np.bincount(line_of, minlength=len(n))
+    flat, owner = flat.view(np.int64), of_text[line_of]
     order = np.lexsort((flat, owner))
     fresh = np.ones(len(flat), dtype=np.int32)
     same = (flat[order][1:] == flat[order][:-1]) & (owner[order][1:] == owner[order][:-1])
@@ -139,7 +199,7 @@ def _liner():
 
         worker_cache("lines")
         for batch in text_blocks(batches, limit=SEGMENT):
-            low, text, line, ends, keys, _ = line_keys(batch.column("text"))
+            low, text, line, ends, keys, _ = line_keys(batch.column("text"), short=True)
             once = np.diff(text, prepend=-1) > 0  # a text's sketch goes with its first line
             part = (mix(low[text[once]]) >> np.uint64(32)).astype(np.uint32).view(np.int32)
             to = np.append(0, np.cumsum(once * low.shape[1]))
@@ -212,7 +272,7 @@ def recurring(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     templates = (
         by_family.groupBy("key")
         .agg(F.count("*").alias("n_families"), F.min(F.struct("first", "family"))["family"].alias("first_family"))
-        .filter("n_families >= 2")
+        .filter(F.col("n_families") >= F.when(F.expr("key & 1 = 1"), SHORT_FAMILIES).otherwise(2))
     )
     return templates, met
 

@@ -122,6 +122,22 @@ def test_line_dedup_copies_do_not_hide_a_template(spark):
         assert r["dropped"] == ([] if doc == 1 or doc in range(40, 44) else [1]), doc
 
 
+def test_line_dedup_short_lines(spark):
+    """Plain Python: short lines recur from SHORT_FAMILIES families on, with their fields open."""
+    few = line_templates.SHORT_FAMILIES
+    place = ["news", "sport", "arts"]
+    texts = []
+    for i in range(few + 2):
+        lines = [odd.prose(400 + i, 40), "Les.", "And ornd.", f"Page {i}", f"Posted by {odd.prose(500 + i, 1)} in {place[i % 3]}", f"{i}"]
+        lines += ["Ja.", f"Written by {odd.prose(600 + i, 1)} in {place[i % 3]}"] if i < few - 1 else []
+        texts.append("\n".join([*lines, odd.prose(700 + i, 40)]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in line_templates.without_recurring_lines(docs).collect():
+        doc = r["row"]["doc_id"]
+        assert r["dropped"] == ([] if doc == 0 else [1, 2, 3, 4]), doc
+        assert r["kept_text"].split("\n") == [x for j, x in enumerate(texts[doc].split("\n")) if j not in r["dropped"]]
+
+
 def test_line_dedup_empty(empty):
     assert line_templates.deduplicated(empty).count() == 0
 
