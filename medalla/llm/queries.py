@@ -75,6 +75,10 @@ def op8_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_other_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.other_turns(table(spark, sf_dir, "conversations"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_ids": op6_token_ids,
     "op7_language": op7_language,
     "op8_tool_calls": op8_tool_calls,
+    "op8_other_turns": op8_other_turns,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
     "pipeline": corpus_pipeline.run,

@@ -213,3 +213,14 @@ def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("conv_id").alias("conversation"), name(1).alias("call_id"), F.col("turn").alias("seq"), F.col("text").alias("content")
     )
     return calls, results
+
+
+def other_turns(conversations: DataFrame) -> DataFrame:
+    """The turns that ``turns_as_calls`` leaves out, a row for each: those of the
+    role ``system`` (status ``no call``) and of any other or none (``unknown
+    role``), with the message as canonical JSON."""
+    status = F.when(F.col("role") == "system", F.lit("no call")).otherwise(F.lit("unknown role"))
+    value = lambda c: F.coalesce(json_string(c), F.lit("null"))
+    message = F.concat(F.lit('{"content":'), value("text"), F.lit(',"role":'), value("role"), F.lit("}"))
+    others = conversations.filter("role is null or role not in ('user', 'assistant')")
+    return others.select("conv_id", "turn", "role", status.alias("status"), message.alias("message"))

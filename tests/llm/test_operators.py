@@ -439,6 +439,30 @@ def test_tool_call_query_matches_sql(spark):
     assert rows(got) == sorted(want, key=str) and len(want) == 48
 
 
+def test_every_turn_is_accounted_for(spark, tmp_path):
+    turns = [
+        (1, 0, "system", 'Say "é"\n'),
+        (1, 1, "user", "what is the time now please"),
+        (1, 2, "assistant", "late"),
+        (1, 3, "tool", None),
+        (1, 4, None, "x"),
+        (None, 5, "System", ""),
+        (2, 0, "system", None),
+        (2, 0, "system", None),
+    ]
+    path = f"{tmp_path}/conversations.parquet"
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(path)
+    calls, results = tool_calls.turns_as_calls(spark.read.parquet(path))
+    others = queries.QUERIES["op8_other_turns"](spark, str(tmp_path))
+    assert calls.count() + results.count() + others.count() == len(turns)
+    want = [
+        (c, t, r, "no call" if r == "system" else "unknown role", json.dumps({"content": x, "role": r}, ensure_ascii=False, separators=(",", ":")))
+        for c, t, r, x in turns
+        if r not in ("user", "assistant")
+    ]
+    assert rows(others) == sorted(want, key=str)
+
+
 # --- 9: quality --------------------------------------------------------------
 
 
