@@ -39,7 +39,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mark_first_k, stored, text_blocks, without_ids, worker_cache
+from .common import mark_first_k, possibly_in, stored, text_blocks, worker_cache
 from .shingles import SEGMENT, mix, text_bytes, words
 
 GRAM = 4
@@ -76,7 +76,8 @@ def grams(column):
     for j in range(GRAM):
         code = (code << u(8)) | lower[data[j : j + n]]
     byte_gram = (mix(code + u(1)) >> u(64 - GRAM_BITS)).astype(np.int32)
-    byte_ends = np.maximum(bounds[:-1], np.minimum(bounds[1:] - GRAM + 1, n))  # none across texts
+    byte_starts = np.minimum(bounds[:-1], n)  # an empty text at the end has none
+    byte_ends = np.maximum(byte_starts, np.minimum(bounds[1:] - GRAM + 1, n))  # none across texts
 
     hashes, first, sizes, bits, at = words(column, _kinds())
     again = lambda k: np.concatenate([np.zeros(min(k, len(hashes)), bool), hashes[k:] == hashes[:-k]])
@@ -92,7 +93,7 @@ def grams(column):
     owner = np.repeat(np.arange(len(column), dtype=np.int64), np.diff(parts))
     once = np.unique((owner << WORD_BITS) | (hashes >> u(64 - WORD_BITS)).astype(np.int64))
     word = (once & (1 << WORD_BITS) - 1).astype(np.int32)
-    return byte_gram, bounds[:-1], byte_ends, shapes, at, word, np.searchsorted(once >> WORD_BITS, np.arange(len(column) + 1))
+    return byte_gram, byte_starts, byte_ends, shapes, at, word, np.searchsorted(once >> WORD_BITS, np.arange(len(column) + 1))
 
 
 def _counter(shared):
@@ -157,7 +158,8 @@ def _weigher(shared):
             low3, high3 = sums(ratio[WORDS + word].astype(np.float64), parts[:-1], parts[1:])
             n = np.maximum(0, b - a) + 2 * np.diff(at)
             weight = np.minimum(0, ((high - low) + (high2 - low2)) / np.sqrt(n + 1) + (high3 - low3))
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "weight": pa.array(np.round(weight, 9))})
+            cols = {c: batch.column(c) for c in batch.schema.names if c != "text"}
+            yield pa.RecordBatch.from_pydict(cols | {"weight": pa.array(np.round(weight, 9))})
 
     return run
 
@@ -183,12 +185,13 @@ def _limit(histogram) -> float:
     return best[1 + (len(best) - 1) // 2] * BIN
 
 
-def classify(docs: DataFrame, labels: DataFrame, target_docs: int = TARGET_DOCS) -> DataFrame:
-    """Per row: doc_id, weight (log importance, 0 at best), key (weight,
-    tempered, plus Gumbel noise) and kept (its key is among the k largest)."""
+def classify(docs: DataFrame, labels: DataFrame, target_docs: int = TARGET_DOCS, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, the columns ``carried`` (of longs), weight (log
+    importance, 0 at best), key (weight, tempered, plus Gumbel noise) and kept
+    (its key is among the k largest)."""
     import numpy as np
 
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *[F.col(c) for c in carried])
     known = (
         labels.filter("doc_id is not null and quality is not null")
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
@@ -206,7 +209,8 @@ def classify(docs: DataFrame, labels: DataFrame, target_docs: int = TARGET_DOCS)
     at = got.column("bucket").to_numpy()
     raw[at], wanted[at] = got.column("raw").to_numpy(), got.column("target").to_numpy()
     shared = docs.sparkSession.sparkContext.broadcast(log_ratios(raw, wanted))  # one float for each bucket
-    weighed = stored(docs.mapInArrow(_weigher(shared), "doc_id long, weight double"), "weights")
+    columns = ", ".join(["doc_id long", *[f"{c} long" for c in carried], "weight double"])
+    weighed = stored(docs.mapInArrow(_weigher(shared), columns), "weights")
 
     bins = F.floor(F.greatest("weight", F.lit(LOWEST)) / BIN).cast("int").alias("bin")
     limit = _limit(weighed.join(known.filter("held"), "doc_id").groupBy("good", bins).agg(F.count("*").alias("n")).collect())
@@ -217,5 +221,14 @@ def classify(docs: DataFrame, labels: DataFrame, target_docs: int = TARGET_DOCS)
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rejected documents, all columns kept."""
-    return without_ids(docs, classify(docs, labels).filter(~F.col("kept")).select("doc_id"))
+    """``docs`` without the rejected rows, all columns kept.  A decision is about
+    a doc_id (null is one, too) and its text: another text of the same id has
+    its own, rows equal in both go together."""
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    marked = classify(docs.select("doc_id", "text", text_hash.alias("text_hash")), labels, carried=("text_hash",))
+    gone = marked.filter(~F.col("kept")).select(F.col("doc_id").alias("gone"), F.col("text_hash").alias("gone_hash"))
+    gone = stored(gone.distinct(), "rejected")
+    rows = possibly_in(docs, gone.select("gone"), "doc_id")
+    own = F.xxhash64(F.coalesce(F.col("row.text"), F.lit("")))
+    rest = rows.filter("possible").join(gone, F.col("id").eqNullSafe(F.col("gone")) & (own == F.col("gone_hash")), "left_anti")
+    return rows.filter("not possible").select("row").unionByName(rest.select("row")).select("row.*")

@@ -503,3 +503,13 @@ def test_quality(spark, empty):
     assert quality.classify(docs, none).filter("not kept").count() == 0
     assert quality.classify(docs, marks.filter("quality = 1 and toxic = 0")).filter("not kept").count() == 0
     assert quality.accepted(empty, marks).count() == 0
+
+
+def test_quality_decides_by_row(spark):
+    data, labels = _graded()
+    junk = "!! ".join(data[4][1].split("!! ")[::-1])  # rejected, under an id of a kept text and under none
+    data += [(0, junk), (None, junk), (None, data[1][1]), (None, None)]
+    docs, marks = odd.frame(spark, data), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    left = Counter((r["doc_id"], r["text"]) for r in quality.accepted(docs, marks).collect())
+    assert left[0, data[0][1]] == left[None, data[1][1]] == left[None, None] == 1
+    assert not left[0, junk] and not left[None, junk]
