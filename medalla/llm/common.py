@@ -76,6 +76,26 @@ def in_slices(df: DataFrame, *order) -> DataFrame:
     return df.sort(*order).checkpoint().withColumn("slice", F.spark_partition_id())
 
 
+def numbered(df: DataFrame, group: str, *order) -> DataFrame:
+    """``df`` with ``position``, a row's number from 0 among those with the same
+    (non-null) ``group`` in that order, and ``size``, how many those are.
+    Nothing is grouped but one row for each slice and group: a checkpoint of
+    the sorted rows gives each row its number in its slice.  Rows equal in all
+    of the order stand in any order."""
+    checkpoint_root(df.sparkSession)
+    kept = df.sort(group, *order, F.monotonically_increasing_id()).checkpoint()
+    rows = kept.withColumn("__at", F.monotonically_increasing_id())
+    rows = rows.withColumn("__slice", F.shiftright("__at", 33)).withColumn("__at", F.expr("__at & 8589934591"))
+    runs = rows.groupBy("__slice", group).agg(F.min("__at").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    every = Window.partitionBy(group)
+    before = F.sum("__n").over(every.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1))
+    runs = runs.select(
+        "__slice", group, (F.coalesce(before, F.lit(0)) - F.col("__first")).alias("__shift"), F.sum("__n").over(every).alias("size")
+    )
+    out = rows.join(runs, ["__slice", group])
+    return out.select(*[F.col(c) for c in df.columns], (F.col("__at") + F.col("__shift")).alias("position"), "size")
+
+
 def mark_first_k(df: DataFrame, k: int, *order) -> DataFrame:
     """``df`` with ``kept``: whether a row is among the first ``k`` in that
     order, exactly, without a task that sees all: every row of the slices

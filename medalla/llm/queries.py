@@ -9,7 +9,19 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import decontaminate, language, line_templates, near_dups, pack, quality, syncmers, token_store, tool_calls, warc
+from . import (
+    decontaminate,
+    language,
+    line_templates,
+    merkle,
+    near_dups,
+    pack,
+    quality,
+    syncmers,
+    token_store,
+    tool_calls,
+    warc,
+)
 from .common import table
 
 
@@ -87,6 +99,24 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.pack(pack.pieces(table(spark, sf_dir, "documents"), with_ids=False))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    n_chars = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    claimed = merkle.leaf([n_chars if c == "n_chars" else F.col(c) for c in merkle.FIELDS])
+    out = merkle.verified(merkle.manifest(docs, claimed=claimed))
+    digest = lambda c: F.lower(F.hex(c))
+    return out.select(
+        "doc_id",
+        digest("leaf").alias("leaf"),
+        digest("subroot").alias("subroot"),
+        digest("root").alias("root"),
+        digest("proof").alias("proof_sha256"),
+        digest("folded").alias("folded_root"),
+        "verified",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
@@ -99,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_other_turns": op8_other_turns,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
+    "op11_merkle": op11_merkle,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -136,5 +167,80 @@ SELECT conversation AS conv_id, call_id, turn, CAST(0 AS BIGINT) AS delay, n_res
 FROM checked
 """
 
+def _crc_table() -> list[int]:
+    """The remainders of all bytes, by the rule of crc32."""
+    table = list(range(256))
+    for _ in range(8):
+        table = [c >> 1 ^ (0xEDB88320 if c & 1 else 0) for c in table]
+    return table
+
+
+_CRC = f"xor(list_reduce([4294967295] || {{bytes}}, lambda c, b: xor(c >> 8, {_crc_table()}[xor(c & 255, b) + 1])), 4294967295)"
+
+
+def _crc(numbers: str) -> str:
+    """SQL of the unsigned crc32 of a list of byte values."""
+    return _CRC.replace("{bytes}", numbers)
+
+
+_DIGITS = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ord(d) AS BIGINT))"
+
+
+def _field(column: str) -> str:
+    value = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(CAST(strlen({value}) AS VARCHAR) || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(n_chars if c == "n_chars" else c) for c in merkle.FIELDS) + ")"
+
+
+_MERKLE_SQL = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf("n_chars")} AS leaf,
+         {_leaf(f"(n_chars + CASE WHEN {_crc(_DIGITS)} % 7 = 0 THEN 1 ELSE 0 END)")} AS claimed
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS n
+  FROM docs),
+low AS (
+  SELECT tree, 0 AS level, pos, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM low WHERE n > 1 GROUP BY tree, level, pos // 2),
+subroots AS (
+  SELECT tree, level AS height, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n
+  FROM low WHERE n = 1),
+high AS (
+  SELECT 0 AS level, pos, n, subroot AS h FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM high WHERE n > 1 GROUP BY level, pos // 2),
+steps AS (
+  SELECT p.tree, p.pos, l.level AS step, l.pos % 2 AS side, s.h AS sibling
+  FROM placed p JOIN low l ON l.tree = p.tree AND l.pos = p.pos >> l.level AND l.n > 1
+  LEFT JOIN low s ON s.tree = l.tree AND s.level = l.level AND s.pos = xor(l.pos, 1)
+  UNION ALL
+  SELECT p.tree, p.pos, r.height + l.level, l.pos % 2, s.h
+  FROM placed p JOIN subroots r ON r.tree = p.tree JOIN high l ON l.pos = r.pos >> l.level AND l.n > 1
+  LEFT JOIN high s ON s.level = l.level AND s.pos = xor(l.pos, 1)),
+proofs AS (
+  SELECT tree, pos, sha256(coalesce(string_agg(sibling, '' ORDER BY step), '')) AS proof_sha256, count(*) AS height
+  FROM steps GROUP BY tree, pos),
+folds AS (
+  SELECT tree, pos, 0 AS step, claimed AS h FROM placed
+  UNION ALL
+  SELECT f.tree, f.pos, f.step + 1,
+         sha256(CASE WHEN s.side = 1 THEN s.sibling || f.h ELSE f.h || coalesce(s.sibling, '') END)
+  FROM folds f JOIN steps s ON s.tree = f.tree AND s.pos = f.pos AND s.step = f.step)
+SELECT p.doc_id, p.leaf, r.subroot, t.h AS root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256,
+       f.h AS folded_root, f.h = t.h AS verified
+FROM placed p JOIN subroots r ON r.tree = p.tree
+LEFT JOIN proofs q ON q.tree = p.tree AND q.pos = p.pos
+JOIN folds f ON f.tree = p.tree AND f.pos = p.pos AND f.step = coalesce(q.height, 0)
+CROSS JOIN (SELECT h FROM high WHERE n = 1) t
+"""
+
 #: By query, where SQL can express it.
-SQL: dict[str, str] = {"op8_tool_calls": _TOOL_CALLS_SQL}
+SQL: dict[str, str] = {"op8_tool_calls": _TOOL_CALLS_SQL, "op11_merkle": _MERKLE_SQL}
