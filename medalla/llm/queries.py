@@ -14,6 +14,7 @@ from . import (
     language,
     line_templates,
     merkle,
+    mixing,
     near_dups,
     pack,
     quality,
@@ -117,6 +118,11 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
@@ -130,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
     "op11_merkle": op11_merkle,
+    "op12_mixing": op12_mixing,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -242,5 +249,39 @@ JOIN folds f ON f.tree = p.tree AND f.pos = p.pos AND f.step = coalesce(q.height
 CROSS JOIN (SELECT h FROM high WHERE n = 1) t
 """
 
+_MIXING_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, coalesce('0' || source, '1') AS source, text,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+sized AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source),
+weighed AS (
+  SELECT *, [3, 1, 2][(row_number() OVER (ORDER BY source) - 1) % 3 + 1] AS weight, 2 * source_size AS cap FROM sized),
+-- with the sources in the order in which they fill up, the level if those before are full
+filled AS (
+  SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM weighed WINDOW before AS (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+-- the first source that is not full sets the level
+levels AS (SELECT min_by(level, cap / weight) AS level FROM filled WHERE cap > weight * level),
+goals AS (SELECT source, source_size, coalesce(least(CAST(cap AS DOUBLE), weight * level), cap) AS target FROM weighed, levels),
+expected AS (
+  SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS e,
+         (CAST('0x' || substr(sha256('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM docs d JOIN goals USING (source)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY (u / (1 - u)) / ((e - floor(e)) / (1 - (e - floor(e)))), doc_id) AS place
+  FROM expected WHERE e > floor(e) AND size > 0),
+fitted AS (
+  SELECT source, CAST(floor(any_value(target) - sum(floor(e) * size)) AS BIGINT) AS gap, 0 AS place, CAST(NULL AS BIGINT) AS doc_id, false AS more
+  FROM expected GROUP BY source
+  UNION ALL
+  SELECT f.source, CASE WHEN r.size <= f.gap THEN f.gap - r.size ELSE f.gap END, r.place, r.doc_id, r.size <= f.gap
+  FROM fitted f JOIN ranked r ON r.source = f.source AND r.place = f.place + 1)
+SELECT e.doc_id, e.size, e.source_size, e.target,
+       e.size * (CAST(floor(e.e) AS BIGINT) + CASE WHEN f.more THEN 1 ELSE 0 END) AS taken
+FROM expected e LEFT JOIN fitted f ON f.source = e.source AND f.doc_id = e.doc_id AND f.place > 0
+"""
+
 #: By query, where SQL can express it.
-SQL: dict[str, str] = {"op8_tool_calls": _TOOL_CALLS_SQL, "op11_merkle": _MERKLE_SQL}
+SQL: dict[str, str] = {"op8_tool_calls": _TOOL_CALLS_SQL, "op11_merkle": _MERKLE_SQL, "op12_mixing": _MIXING_SQL}
