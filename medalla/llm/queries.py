@@ -18,6 +18,7 @@ from . import (
     near_dups,
     pack,
     quality,
+    spelling,
     syncmers,
     token_store,
     tool_calls,
@@ -123,6 +124,12 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.runs(table(spark, sf_dir, "documents"))
+    words = runs.select(spelling.slipped(F.col("doc"), F.col("run")).alias("word"))
+    return spelling.variants(spelling.vocabulary(words))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
@@ -137,6 +144,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
     "op11_merkle": op11_merkle,
     "op12_mixing": op12_mixing,
+    "op13_spelling": op13_spelling,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -283,5 +291,58 @@ SELECT e.doc_id, e.size, e.source_size, e.target,
 FROM expected e LEFT JOIN fitted f ON f.source = e.source AND f.doc_id = e.doc_id AND f.place > 0
 """
 
+_SPELLING_SQL = f"""
+WITH RECURSIVE runs AS MATERIALIZED (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents),
+counted AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, run, n, flatten(list_transform(string_split(CAST(doc_id AS VARCHAR) || ':' || run, ''),
+         lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [195, CAST(ord(c) - 64 AS BIGINT)] END)) AS bytes
+  FROM (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL)),
+longest AS MATERIALIZED (SELECT max(len(bytes)) AS m FROM counted),
+-- crc32 is linear: what a byte adds to it depends on the byte and on how many follow
+bytes AS MATERIALIZED (SELECT unnest(range(256)) AS byte, unnest({_crc_table()}) AS crc),
+adds AS (
+  SELECT byte, 0 AS behind, crc FROM bytes
+  UNION ALL
+  SELECT a.byte, a.behind + 1, xor(a.crc >> 8, b.crc) FROM adds a JOIN bytes b ON b.byte = a.crc & 255
+  WHERE a.behind < (SELECT m FROM longest)),
+zeros AS (
+  SELECT 0 AS length, 4294967295 AS crc
+  UNION ALL
+  SELECT z.length + 1, xor(z.crc >> 8, b.crc) FROM zeros z JOIN bytes b ON b.byte = z.crc & 255
+  WHERE z.length < (SELECT m FROM longest)),
+hashes AS MATERIALIZED (
+  SELECT id, bit_xor(a.crc) AS h
+  FROM (SELECT id, unnest(bytes) AS byte, len(bytes) - unnest(range(1, len(bytes) + 1)) AS behind FROM counted) c
+  JOIN adds a ON a.byte = c.byte AND a.behind = c.behind GROUP BY id),
+hashed AS MATERIALIZED (
+  SELECT run, n, xor(xor(h, z.crc), 4294967295) AS h
+  FROM counted c JOIN hashes USING (id) JOIN zeros z ON z.length = len(c.bytes)),
+vocab AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT CASE WHEN h % 97 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word, n FROM hashed)
+  GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+cuts AS MATERIALIZED (SELECT word, n, i, word[:i - 1] || word[i + 1:] AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocab)),
+near AS MATERIALIZED (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION
+  SELECT c.word, v.word, v.n FROM cuts c JOIN vocab v ON v.word = c.rest
+  UNION
+  SELECT v.word, c.word, c.n FROM cuts c JOIN vocab v ON v.word = c.rest),
+best AS (
+  SELECT word, count(*) AS n_near, min_by(other, {{'n': -other_n, 'w': encode(other)}}) AS other, max(other_n) AS other_n
+  FROM near GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * v.n THEN other END AS form,
+         CASE WHEN other_n >= 2 * v.n THEN other_n END AS form_n
+  FROM vocab v LEFT JOIN best b ON b.word = v.word),
+paths AS (
+  SELECT word, word AS at, form AS next FROM forms
+  UNION ALL
+  SELECT p.word, f.word, f.form FROM paths p JOIN forms f ON f.word = p.next)
+SELECT f.word, f.form, p.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN paths p ON p.word = f.word AND p.next IS NULL
+"""
+
 #: By query, where SQL can express it.
-SQL: dict[str, str] = {"op8_tool_calls": _TOOL_CALLS_SQL, "op11_merkle": _MERKLE_SQL, "op12_mixing": _MIXING_SQL}
+SQL: dict[str, str] = {"op8_tool_calls": _TOOL_CALLS_SQL, "op11_merkle": _MERKLE_SQL, "op12_mixing": _MIXING_SQL, "op13_spelling": _SPELLING_SQL}
