@@ -8,15 +8,19 @@ packed, the high bits in unary, about 2 + log2(universe / n) bits a value, and
 the bit place of every 256th value, from which ``select`` walks to any other.
 No 64-bit table is kept.
 
-Writing sorts the documents by doc_id (one shuffle of the texts), so a task
-writes one shard of an ascending range and memory holds the shard's numbers
-only, not its ids.  A task's files have a name of their own, and only those that the
-manifest table names are read: what a lost or repeated attempt leaves behind
-is ignored.  The manifest has a row for each shard; the driver sums their ids.
-Reading gives each shard to a task that goes through it block by block.
+Texts are encoded where they are read, so the one shuffle moves ids, half the
+size of the texts.  It deals the documents to shards by doc_id and, where ids
+are missing or repeat, by row; the cuts come from a sample of at most
+``SAMPLE`` rows and decide on nothing but how even the shards are.  A task
+sorts a shard and writes it batch by batch: memory holds the shard's numbers
+only, not its ids.  A task's files have a name of their own, and only those
+that the manifest table names are read: what a lost or repeated attempt leaves
+behind is ignored.  The manifest has a row for each shard; the driver sums
+their ids.  Reading gives each shard to a task that goes through it block by
+block.
 
 Defined results: a null or empty text is the end id alone; documents without a
-doc_id come first; repeated rows are documents each; an empty table has no
+doc_id come first; those of one id stand in the order in which they are read; repeated rows are documents each; an empty table has no
 shards.  Only ``doc_id`` and ``text`` are read, other columns may have any name.
 """
 
@@ -36,6 +40,8 @@ from .tokens import default_tokenizer, id_width, shared_encoder
 END_ID = 2
 STEP = 256  # values from one stored place to the next
 READ_IDS = 1 << 20  # ids a reading task holds at once
+SHARD_BYTES = 48 << 20  # of text
+SAMPLE = 100_000
 
 MANIFEST = "shard int, name string, width int, n_docs long, n_ids long"
 
@@ -107,49 +113,94 @@ def _store(folder: str):
     return fs.FileSystem.from_uri(folder)
 
 
-def _writer(folder: str, path: str, end_id: int):
+def place(doc: int | None, row: int) -> tuple[bool, int, int]:
+    """Order of the documents: null first, then by id, then as read."""
+    return doc is not None, doc or 0, row
+
+
+def cuts(docs: DataFrame, shards: int) -> list[tuple]:
+    """``shards`` - 1 places that part the documents (doc_id, row) about evenly."""
+    n = docs.count()
+    share = min(1.0, min(SAMPLE, 50 * shards) / max(n, 1))
+    some = sorted(place(*r) for r in docs.sample(share, seed=1).limit(2 * SAMPLE).collect())
+    return [some[len(some) * i // shards] for i in range(1, shards)] if some else []
+
+
+def _encoder(path: str, end_id: int, parts: list[tuple]):
     def run(batches):
+        from bisect import bisect_right
+
         import numpy as np
         import pyarrow as pa
-        from pyspark import TaskContext
 
         encoder = shared_encoder(path)
         width = id_width(encoder, end_id)
-        shard = TaskContext.get().partitionId()
-        name = f"shard-{shard:06d}-{uuid.uuid4().hex}"
-        store, root = _store(folder)
-        out, ends, docs, nulls = None, [], [], 0
         for batch in text_blocks(batches):
+            ids, ends = encoder.encode_block(batch.column("text").to_pylist())
+            ids = np.insert(ids, ends, end_id).astype(f"<u{width}")
+            offsets = width * np.concatenate([[0], ends + np.arange(1, len(ends) + 1)])
+            column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+            docs, rows = batch.column("doc_id"), batch.column("row")
+            shard = [bisect_right(parts, place(d, r)) for d, r in zip(docs.to_pylist(), rows.to_pylist())]
+            names = ["shard", "doc_id", "row", "width", "ids"]
+            arrays = [pa.array(shard, pa.int32()), docs, rows, pa.array([width] * len(ends), pa.int32()), column.cast(pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    return run
+
+
+def _writer(folder: str):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        store, root = _store(folder)
+        out, name, shard, width, docs, ends, nulls = None, None, None, 2, [], [np.zeros(1, dtype=np.int64)], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
             if out is None:
+                shard, width = batch.column("shard")[0].as_py(), batch.column("width")[0].as_py()
+                name = f"shard-{shard:06d}-{uuid.uuid4().hex}"
                 out = store.open_output_stream(f"{root}/{name}.ids")
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
-                ids = np.append(np.frombuffer(ids, "<u4"), end_id)
-                ends.append((ends[-1] if ends else 0) + len(ids))
-                nulls += doc is None
-                docs.append(doc)
-                out.write(ids.astype(f"<u{width}").tobytes())
+            column = batch.column("ids").cast(pa.large_binary())
+            offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset)
+            out.write(column.buffers()[2].slice(int(offsets[0]), int(offsets[-1] - offsets[0])))
+            ends.append((offsets[1:] - offsets[0]) // width + ends[-1][-1])
+            nulls += batch.column("doc_id").null_count
+            docs.append(batch.column("doc_id").drop_null().to_numpy())
         if out is None:
             return
         out.close()
-        base = docs[nulls] if nulls < len(docs) else 0
-        known = np.array(docs[nulls:], dtype=np.int64).astype(np.uint64) - np.uint64(base & (1 << 64) - 1)
+        ends = np.concatenate(ends)[1:]
+        docs = np.concatenate(docs).astype(np.int64)
+        base = int(docs[0]) if len(docs) else 0
+        known = docs.astype(np.uint64) - np.uint64(base & (1 << 64) - 1)
         with store.open_output_stream(f"{root}/{name}.index") as index:
             index.write(struct.pack("<qQ", base, nulls) + EliasFano.of(ends).to_bytes() + EliasFano.of(known).to_bytes())
-        row = {"shard": [shard], "name": [name], "width": [width], "n_docs": [len(docs)], "n_ids": [ends[-1]]}
+        row = {"shard": [shard], "name": [name], "width": [width], "n_docs": [len(ends)], "n_ids": [int(ends[-1])]}
         kinds = [pa.int32(), pa.string(), pa.int32(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_pydict({k: pa.array(v, t) for (k, v), t in zip(row.items(), kinds)})
 
     return run
 
 
-def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, folder: str | None = None) -> tuple[str, DataFrame]:
+def write(
+    docs: DataFrame, tokenizer: str | None = None, end_id: int = END_ID, folder: str | None = None, shard_bytes: int = SHARD_BYTES
+) -> tuple[str, DataFrame]:
     """(folder, manifest): the shards in ascending doc_id order."""
     folder = folder or shared_folder(docs.sparkSession, "token-ids")
     store, root = _store(folder)
     store.create_dir(root, recursive=True)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").sort(F.col("doc_id").asc_nulls_first())
-    rows = texts.mapInArrow(_writer(folder, tokenizer or default_tokenizer(), end_id), MANIFEST)
-    return folder, stored(rows, "token-manifest")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"))
+    size = docs.agg(F.sum(F.octet_length("text") + 16)).first()[0] or 0
+    shards = int(-(-size // shard_bytes)) or 1
+    coded = texts.mapInArrow(
+        _encoder(tokenizer or default_tokenizer(), end_id, cuts(texts.select("doc_id", "row"), shards)),
+        "shard int, doc_id long, row long, width int, ids binary",
+    )
+    dealt = coded.repartitionById(shards, F.col("shard")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "row")
+    return folder, stored(dealt.mapInArrow(_writer(folder), MANIFEST), "token-manifest")
 
 
 def _reader(folder: str, with_ids: bool):
