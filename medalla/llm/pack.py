@@ -9,12 +9,13 @@ longest first, and a new sequence is opened only when no open one has room:
 weighing a new one by the same sum as well, as an unsorted stream asks for,
 took 0.5 to 4 % more sequences in this order.
 
-Scale: texts are read once and their pieces written to the shared folder.  The
-pieces are dealt by a hash into groups of about ``group_pieces``; a task packs
-a group longest piece first and sees only (uid, length) rows, so memory is
-bounded by the group and not by the corpus.  A group leaves a few part-filled
-sequences; on the test documents the groups together took no more than 0.1 %
-over what their ids need at least.
+Scale: one shuffle, of the pieces with their ids.  They are dealt by a hash
+into groups of about ``GROUP_DOCS`` documents or ``GROUP_BYTES`` of text,
+whichever is less; a task packs a group longest piece first and emits its
+pieces, so memory is bounded by the group and not by the corpus, and nothing is
+stored or joined.  A group leaves a few part-filled sequences; on the test
+documents the groups together took no more than 0.1 % over what their ids need
+at least.
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 packed each; an empty table gives no pieces.  Only ``doc_id`` and ``text`` are
@@ -27,55 +28,53 @@ import zlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import stored, text_blocks
+from .common import text_blocks
 from .tokens import default_tokenizer, id_width, shared_encoder
 
 SEQUENCE = 2048
-GROUP_PIECES = 20_000
+GROUP_DOCS, GROUP_BYTES = 16_000, 48 << 20
 
-PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECE = "doc_id long, piece int, start long, length long, ids binary"
 
 
-def _cutter(path: str, end_id: int, size: int, with_ids: bool):
+def _cutter(path: str, end_id: int, size: int):
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
         encoder = shared_encoder(path)
         width = id_width(encoder, end_id)
-        end = np.array([end_id], dtype="<u4").tobytes()
         for batch in text_blocks(batches):
-            out: dict[str, list] = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-            for doc, ids in zip(batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text").to_pylist())):
-                ids += end
-                for piece, at in enumerate(range(0, len(ids), 4 * size)):
-                    part = ids[at : at + 4 * size]
-                    out["doc_id"].append(doc)
-                    out["piece"].append(piece)
-                    out["start"].append(at // 4)
-                    out["length"].append(len(part) // 4)
-                    out["ids_crc32"].append(zlib.crc32(part))
-                    out["ids"].append(np.frombuffer(part, "<u4").astype(f"<u{width}").tobytes())
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            cols = {k: pa.array(v, t) for (k, v), t in zip(out.items(), kinds)}
-            if not with_ids:
-                del cols["ids"]
-            yield pa.RecordBatch.from_pydict(cols)
+            ids, ends = encoder.encode_block(batch.column("text").to_pylist())
+            ids = np.insert(ids, ends, end_id).astype(f"<u{width}")
+            ends = ends + np.arange(1, len(ends) + 1)
+            begins = np.append(0, ends[:-1])
+            n_pieces = -(-(ends - begins) // size)
+            which = np.repeat(np.arange(len(ends)), n_pieces)
+            piece = np.arange(len(which)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+            first = begins[which] + piece * size
+            offsets = np.append(first, ends[-1] if len(ends) else 0) * width
+            column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(which), [None, pa.py_buffer(offsets), pa.py_buffer(ids)])
+            cols = [batch.column("doc_id").take(pa.array(which)), pa.array(piece, pa.int32()), pa.array(piece * size), pa.array(np.diff(offsets) // width)]
+            yield pa.RecordBatch.from_arrays([*cols, column.cast(pa.binary())], ["doc_id", "piece", "start", "length", "ids"])
 
     return run
 
 
-def pieces(
-    docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, size: int = SEQUENCE, with_ids: bool = True
-) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 (of the ids as
-    32-bit integers) and, if asked for, the ids as little-endian unsigned
-    integers of 16 bits (32 if the vocabulary needs them)."""
-    schema = PIECE + (", ids binary" if with_ids else "")
+def pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, size: int = SEQUENCE) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length and the ids as
+    little-endian unsigned integers of 16 bits (32 if the vocabulary needs them)."""
     # a doc_id of another integer type is a long from here on
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.mapInArrow(_cutter(tokenizer or default_tokenizer(), end_id, size, with_ids), schema)
+    return texts.mapInArrow(_cutter(tokenizer or default_tokenizer(), end_id, size), PIECE)
+
+
+def n_groups(docs: DataFrame, group_docs: int = GROUP_DOCS, group_bytes: int = GROUP_BYTES) -> int:
+    """Groups that the documents' pieces are dealt into; an id is a byte of text at least."""
+    n, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    return max(1, -(-n // group_docs), -(-size // group_bytes))
 
 
 def sum_of_squares(lengths, size: int):
@@ -108,20 +107,37 @@ def sum_of_squares(lengths, size: int):
 
 def _packer(size: int):
     def run(group):
-        group = group.sort_values(["length", "uid"], ascending=[False, True])
-        sequence, offset = sum_of_squares(group["length"].to_numpy(), size)
-        return group.assign(sequence_id=group["group"].to_numpy() * (1 << 32) + sequence, offset=offset)[
-            ["uid", "sequence_id", "offset"]
-        ]
+        import numpy as np
+        import pyarrow as pa
+
+        lengths = group.column("length").to_numpy()
+        order = np.lexsort([group.column("uid").to_numpy(), -lengths])
+        placed = sum_of_squares(lengths[order], size)
+        sequence, offset = np.empty_like(lengths), np.empty_like(lengths)
+        sequence[order], offset[order] = placed
+        number = group.column("group")[0].as_py() * (1 << 32) if len(lengths) else 0
+        crc = []
+        for ids, n in zip(group.column("ids").to_pylist(), lengths.tolist()):
+            crc.append(zlib.crc32(np.frombuffer(ids, f"<u{len(ids) // n}").astype("<u4")))
+        kept = group.select([c for c in group.column_names if c not in ("uid", "group")])
+        for name, values in (("ids_crc32", crc), ("sequence_id", sequence + number), ("offset", offset)):
+            kept = kept.append_column(name, pa.array(values, pa.int64()))
+        return kept
 
     return run
 
 
-def pack(parts: DataFrame, size: int = SEQUENCE, group_pieces: int = GROUP_PIECES) -> DataFrame:
-    """``parts`` (``pieces`` or any table with a ``length`` from 1 to ``size``)
-    with ``sequence_id`` and ``offset``, the gapless place in that sequence."""
-    kept = stored(parts.withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    groups = max(1, -(-kept.count() // group_pieces))
-    dealt = kept.select("uid", "length", F.pmod(F.xxhash64("uid"), F.lit(groups)).alias("group"))
-    placed = dealt.groupBy("group").applyInPandas(_packer(size), "uid long, sequence_id long, offset long")
-    return kept.join(placed, "uid").drop("uid")
+def pack(parts: DataFrame, groups: int, size: int = SEQUENCE) -> DataFrame:
+    """``parts`` (``pieces``, or any table with ``ids`` and a ``length`` from 1 to
+    ``size``) with ``ids_crc32`` (of the ids as 32-bit integers), ``sequence_id``
+    and ``offset``, the gapless place in that sequence."""
+    dealt = parts.withColumn("uid", F.monotonically_increasing_id())
+    dealt = dealt.withColumn("group", F.pmod(F.xxhash64("uid"), F.lit(groups)))
+    places = [T.StructField(c, T.LongType()) for c in ("ids_crc32", "sequence_id", "offset")]
+    dealt = dealt.repartition(groups, "group")  # as many tasks as groups, however many those are
+    return dealt.groupBy("group").applyInArrow(_packer(size), T.StructType([*parts.schema, *places]))
+
+
+def packed(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, size: int = SEQUENCE, groups: int | None = None) -> DataFrame:
+    """The documents' pieces in their sequences."""
+    return pack(pieces(docs, tokenizer, end_id, size), groups or n_groups(docs), size)

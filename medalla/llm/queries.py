@@ -98,7 +98,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack.pack(pack.pieces(table(spark, sf_dir, "documents"), with_ids=False))
+    return pack.packed(table(spark, sf_dir, "documents"))
 
 
 def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:

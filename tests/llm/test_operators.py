@@ -318,12 +318,18 @@ def test_token_store(spark, docs, empty, encoder):
     for r in ordered:
         assert r["start"] == at and r["n_tokens"] == len(r["ids"]) // 4 and r["ids_crc32"] == zlib.crc32(r["ids"])
         at += r["n_tokens"]
+    # null and repeated ids are dealt over shards, and the order is kept
+    same = odd.frame(docs.sparkSession, [(d, f"t{i} x") for d in (None, 5) for i in range(200)] + [(9, "z")]).repartition(4)
+    folder, manifest = token_store.write(same, shard_bytes=1000)
+    assert manifest.count() > 4 and manifest.agg(F.max("n_docs")).first()[0] < 150
+    back = sorted(token_store.read(spark, folder, manifest).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in back] == [None] * 200 + [5] * 200 + [9]
     folder, manifest = token_store.write(empty)
     assert token_store.read(spark, folder, manifest).count() == 0
 
 
 def test_packing(docs, empty, encoder):
-    got = pack.pack(pack.pieces(docs), group_pieces=10).collect()
+    got = pack.packed(docs, groups=3).collect()
     by_doc: dict = {}
     for r in got:
         by_doc.setdefault(r["doc_id"], []).append(r)
@@ -342,7 +348,8 @@ def test_packing(docs, empty, encoder):
     for own in sequences.values():
         ends = [0, *np.cumsum([n for _, n in sorted(own)]).tolist()]
         assert [o for o, _ in sorted(own)] == ends[:-1] and ends[-1] <= 2048
-    assert pack.pack(pack.pieces(empty)).count() == 0
+    assert pack.packed(empty).count() == 0
+    assert pack.n_groups(empty) == 1 and pack.n_groups(docs, group_docs=4) == 5 and pack.n_groups(docs, group_bytes=100_000) == 3
 
 
 # --- 7: language -------------------------------------------------------------
