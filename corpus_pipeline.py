@@ -40,9 +40,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids_crc32, ids (little-endian
-    unsigned integers, 16-bit for this vocabulary), sequence_id and offset."""
-    return pack.pack(pack.pieces(docs))
+    """Per piece: doc_id, piece, start, length, ids (little-endian unsigned
+    integers, 16-bit for this vocabulary), ids_crc32, sequence_id and offset."""
+    return pack.packed(docs)
 
 
 STAGES = [
