@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from .config import PipelineConfig
 from .plans import employees, gold, governance, monitoring, quarantine, silver
-from .sources import files, jdbc, storage
+from .sources import files, jdbc, schemas, storage
+from .sources.storage import live_runs
 from .streaming import flows
 
 STREAMED = ("sales", "returns", "reviews", "employees")
@@ -89,17 +90,6 @@ def _monthly_sales(spark: SparkSession, cfg: PipelineConfig, summary: dict) -> N
         flows.mark_done(spark, cfg, "sales_by_branch_month", last)
 
 
-def live_runs(tags: list[str]) -> list[str]:
-    """Partitions that make up the current totals: the newest compaction
-    (``c<batch>``) and every micro-batch (``r<batch>``) after it.  Batches folded
-    into a compaction are never read again, so a crash between writing a
-    compaction and anything after it cannot double-count."""
-    compactions = [t for t in tags if t.startswith("c")]
-    newest = max(compactions, key=lambda t: t[1:]) if compactions else None
-    after = [t for t in tags if t.startswith("r") and (newest is None or t[1:] > newest[1:])]
-    return ([newest] if newest else []) + sorted(after)
-
-
 def read_partials(spark: SparkSession, path: str) -> DataFrame:
     """The live partials; only their folders are listed."""
     runs = live_runs(storage.partition_values(spark, path, "run"))
@@ -184,7 +174,10 @@ def run_once(
                 raw = tracking_reader(spark)
             else:
                 opts = dict(cfg.jdbc_options)
-                raw = jdbc.read_table(spark, opts.pop("url"), opts.pop("dbtable"), opts)
+                url = opts.pop("url")
+                # by the table's key, unless another column is named
+                key = jdbc.quoted(spark, url, schemas.SOURCE_NAMES["tracking"][silver.TRACKING.key])
+                raw = jdbc.read_table(spark, url, opts.pop("dbtable"), opts, opts.pop("partitionColumn", key))
             storage.publish(jdbc.tracking_bronze(raw), cfg.table_path("bronze", "tracking"))
 
         step("bronze_tracking", tracking)
@@ -205,7 +198,7 @@ def run_once(
 
     step("silver_streams", silver_streams)
     if _have(spark, cfg, "silver", "employee_events"):
-        summary["history_buckets_rebuilt"] = len(step("employee_history", lambda: flows.rebuild_pending_history(spark, cfg)))
+        summary["history_rows_written"] = step("employee_history", lambda: flows.patch_pending_history(spark, cfg))
 
     # 4. Silver snapshots
     for s in ("products", "tracking"):

@@ -29,49 +29,9 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
     return picked.select(*out).select(*cols)
 
 
-def _first_per_batch(keys: list[str]):
-    """Arrow-native: the first row of every key in each record batch, in
-    arrival order (no pandas conversion; NULL keys form one group, as in
-    ``dropDuplicates``)."""
-
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-
-        for batch in batches:
-            if batch.num_rows < 2:
-                yield batch
-                continue
-            rows = pa.Table.from_batches([batch]).append_column("__row", pa.array(np.arange(batch.num_rows)))
-            first = rows.group_by(keys, use_threads=False).aggregate([("__row", "min")]).column("__row_min")
-            yield batch.take(pa.array(np.sort(first.to_numpy())))
-
-    return run
-
-
-def keep_first_stream(
-    df: DataFrame,
-    keys: Sequence[str],
-    combine: bool = True,
-    watermark: str | None = None,
-    event_time: str = "ingested_at",
-) -> DataFrame:
-    """Streaming form: first arrival per key wins; state grows with keys.
-
-    ``dropDuplicates`` on a stream has no map-side step: every copy of a key
-    is shuffled to the task owning its state.  With ``combine`` a stateless
-    Arrow pass (``mapInArrow``, no pandas conversion) first drops repeated keys
-    inside each input record batch (bounded memory: one batch), so a key copied
-    a million times reaches the shuffle at most once per batch.  The earliest copy in arrival order is the
-    one kept, so the first-arrival semantics do not change.
-
-    ``watermark`` (e.g. ``"30 days"``) bounds the state: a key is forgotten
-    once the event-time watermark passes its first arrival plus the delay, so
-    a copy arriving later than that is let through.  Off by default.
-    """
-    keys = list(keys)
-    if combine:
-        df = df.mapInArrow(_first_per_batch(keys), df.schema)
-    if watermark:
-        return df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(keys)
-    return df.dropDuplicates(keys)
+def keep_first_stream(df: DataFrame, keys: Sequence[str], watermark: str, event_time: str = "ingested_at") -> DataFrame:
+    """Streaming form with bounded state: first arrival per key wins, and a key
+    is forgotten once the event-time ``watermark`` (e.g. ``"30 days"``) passes
+    its first arrival plus the delay, so a copy arriving later than that is let
+    through.  ``operators.seen`` is the exact form, which holds no state."""
+    return df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(list(keys))

@@ -287,6 +287,16 @@ EMP_OUT = (
 
 SQL["employee_history"] = with_feeds("employees") + f"SELECT {EMP_OUT} FROM h_employees"
 
+SQL["employee_history_collapsed"] = with_feeds("employees") + f""",
+runs AS (
+  SELECT *, lag(branch_id) OVER k IS NOT DISTINCT FROM branch_id AND lag(job_title) OVER k IS NOT DISTINCT FROM job_title
+            AND lag(event_kind) OVER k IS NOT DISTINCT FROM event_kind AND lag(event_at) OVER k IS NOT NULL AS same
+  FROM h_employees WINDOW k AS (PARTITION BY employee_id ORDER BY event_at)),
+opened AS (
+  SELECT * REPLACE (LEAD(event_at) OVER (PARTITION BY employee_id ORDER BY event_at) AS __END_AT) FROM runs WHERE NOT same)
+SELECT {EMP_OUT} FROM opened"""
+SQL["employee_history_collapsed"] = SQL["employee_history_collapsed"].replace("\n,\nruns AS", ",\nruns AS")
+
 SQL["employees_current"] = with_feeds("employees") + f"SELECT {EMP_OUT} FROM c_employees"
 
 SQL["employees_masked"] = with_feeds("employees") + """
@@ -361,13 +371,40 @@ def _fails(rules) -> str:
     return f"list_filter([{items}], lambda x: x IS NOT NULL)"
 
 
-def _rejects_union() -> str:
-    parts = []
+# The raw fields of a rejected row, by name, as its payload must hold them.
+_PAYLOAD = {
+    "sales": "amount branch_id channel ingested_at pay_method product_id quantity sale_date sale_id source_file",
+    "returns": "branch_id ingested_at order_id product_id reason refund return_date return_id source_file",
+    "reviews": "comment customer_id ingested_at product_id rating replies review_date review_id source_file tags",
+    "employees": "branch_id email employee_id event_at event_kind full_name ingested_at job_title national_id salary source_file",
+    "products": "brand category ingested_at list_price product_id product_name source_file",
+    "tracking": "courier delivery_state ingested_at order_id origin_branch source_system tracking_id updated_at_src",
+}
+_PAYLOAD_VALUE = {
+    "ingested_at": "strftime(CAST(ingested_at AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S')",
+    "replies": "CAST(NULL AS VARCHAR)",
+    "tags": """'["' || tags || '"]'""",
+}
+
+
+def _payload(src: str) -> str:
+    value = lambda c: _PAYLOAD_VALUE.get(c, f"CAST({c} AS VARCHAR)")
+    return " || '|' || ".join(f"'{c}=' || coalesce({value(c)}, '<null>')" for c in _PAYLOAD[src].split())
+
+
+def _with_payload(src: str) -> str:
+    """The typed rows of a feed, with the raw ones' fields in ``payload``."""
+    raw = f"FROM b_{src})"
+    return FEEDS[src][1].replace(raw, f", {_payload(src)} AS payload {raw}")
+
+
+def _rejects_union(payload: bool = False) -> str:
+    parts, more = [], ", payload" if payload else ""
     for src, (tbl, key, rules, origin) in _REJECTS.items():
         parts.append(
             f"SELECT '{src}' AS source_table, f[1] AS reason, array_to_string(f, '|') AS failed_rules, "
-            f"CAST(b_key AS VARCHAR) AS record_key, ingested_at, {origin} AS source_file "
-            f"FROM (SELECT {_fails(rules)} AS f, {key} AS b_key, ingested_at, {origin} FROM {tbl}) WHERE len(f) > 0"
+            f"CAST(b_key AS VARCHAR) AS record_key, ingested_at, {origin} AS source_file{more} "
+            f"FROM (SELECT {_fails(rules)} AS f, {key} AS b_key, ingested_at, {origin}{more} FROM {tbl}) WHERE len(f) > 0"
         )
     return "\nUNION ALL\n".join(parts)
 
@@ -375,7 +412,9 @@ def _rejects_union() -> str:
 _ALL = ("sales", "returns", "reviews", "employees", "products", "tracking")
 _T_ONLY = ",\n".join(FEEDS[n][i] for n in _ALL for i in (0, 1))
 
-SQL["quarantine_rows"] = "WITH " + _T_ONLY + "\n" + _rejects_union()
+_RAW_AND_TYPED = ",\n".join(x for n in _ALL for x in (FEEDS[n][0], _with_payload(n)))
+
+SQL["quarantine_rows"] = "WITH " + _RAW_AND_TYPED + "\n" + _rejects_union(payload=True)
 
 SQL["quarantine_summary"] = (
     "WITH " + _T_ONLY + ",\nq AS (" + _rejects_union() + ")\n"
@@ -427,6 +466,11 @@ FROM (SELECT {_fails(_REJECTS['sales'][2])} AS f, sale_id FROM t_sales) WHERE le
 
 SQL["sales_stream_ingest"] = f"SELECT * EXCLUDE (ingested_at, source_file) FROM ({SQL['sales_clean']})"
 
+SQL["sales_stream_lineage"] = """
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS sale_id,
+  'ventas-' || CAST(l_linenumber AS VARCHAR) || '.csv' AS source_file
+FROM lineitem"""
+
 SQL["returns_stream_ingest"] = f"SELECT * EXCLUDE (ingested_at, source_file) FROM ({SQL['returns_clean']})"
 
 SQL["review_replies_stream"] = f"SELECT review_id, reply_pos, author, text FROM ({SQL['review_replies']})"
@@ -443,6 +487,17 @@ SQL["products_json_snapshot"] = with_feeds("products") + """
 SELECT product_id, product_name, category, brand, CAST(list_price AS DOUBLE) AS list_price, source_file
 FROM s_products"""
 
+SQL["employees_masked_by_group"] = with_feeds("employees") + """
+SELECT employee_id, full_name, branch_id, job_title, event_kind, event_at, __START_AT, __END_AT, reader,
+  CASE WHEN seen THEN national_id ELSE '***REDACTADO***' END AS national_id,
+  CASE WHEN seen THEN email ELSE '***REDACTADO***' END AS email,
+  CASE WHEN seen THEN CAST(salary AS VARCHAR) ELSE '***REDACTADO***' END AS salary
+FROM c_employees CROSS JOIN (
+  SELECT n_name AS reader, r_name = 'EUROPE' AS seen FROM nation JOIN region ON n_regionkey = r_regionkey
+  WHERE n_name IN ('NATION_3', 'NATION_0'))"""
+
 SQL["tracking_jdbc"] = with_feeds("tracking") + """
 SELECT tracking_id, order_id, courier, delivery_state, origin_branch, updated_at_src, source_system
 FROM s_tracking"""
+
+SQL["tracking_jdbc_text_key"] = SQL["tracking_jdbc"]

@@ -9,9 +9,10 @@ run-time stamps (``updated_at``, ``rejected_at``) are left out.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,6 +83,11 @@ def employee_history(spark, sf_dir):
     return portable(_history(spark, sf_dir))
 
 
+def employee_history_collapsed(spark, sf_dir):
+    """Versions that differ from the one before in branch, job or kind of event."""
+    return portable(employees.collapsed(_history(spark, sf_dir)))
+
+
 def employees_current(spark, sf_dir):
     return portable(employees.current(_history(spark, sf_dir)))
 
@@ -109,9 +115,18 @@ def negative_review_rate(spark, sf_dir):
 ALL_SOURCES = ("sales", "returns", "reviews", "employees", "products", "tracking")
 
 
+def payload_fields(payload: Column) -> Column:
+    """Every field of a payload as ``name=value``, by name: JSON text is
+    spelled differently by other engines.  Instants to the second."""
+    fields = F.map_entries(F.from_json(payload, "map<string,string>"))
+    value = lambda e: F.when(e["key"] == "ingested_at", F.substring(e["value"], 1, 19)).otherwise(e["value"])
+    named = F.transform(fields, lambda e: F.concat(e["key"], F.lit("="), F.coalesce(value(e), F.lit("<null>"))))
+    return F.array_join(F.array_sort(named), "|")
+
+
 def quarantine_rows(spark, sf_dir):
     q = quarantine.quarantine(_bronze(spark, sf_dir, *ALL_SOURCES))
-    return portable(q.drop("rejected_at", "payload"))
+    return portable(q.drop("rejected_at").withColumn("payload", payload_fields(F.col("payload"))))
 
 
 def quarantine_summary(spark, sf_dir):
@@ -155,6 +170,20 @@ def employees_masked(spark, sf_dir):
     return portable(governance.masked(cur, privileged=False))
 
 
+def employees_masked_by_group(spark, sf_dir):
+    """One view, two readers: nations are members of their region's group, and
+    only Europe's sees personal data."""
+    cur = governance.tag_pii(employees.current(_history(spark, sf_dir)))
+    nations = adapters.table(spark, sf_dir, "nation").join(adapters.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    name = f"employees_{uuid.uuid4().hex[:8]}"
+    nations.select(F.col("n_name").alias("member"), F.col("r_name").alias("group_name")).createOrReplaceTempView(f"{name}_groups")
+    parts = []
+    for reader in ("NATION_3", "NATION_0"):
+        governance.create_masked_view(spark, cur, f"{name}_{reader}", f"{name}_groups", "EUROPE", f"'{reader}'")
+        parts.append(spark.table(f"{name}_{reader}").withColumn("reader", F.lit(reader)))
+    return portable(parts[0].unionByName(parts[1]))
+
+
 QUERIES: dict[str, Query] = {
     "sales_clean": sales_clean,
     "returns_clean": returns_clean,
@@ -164,6 +193,7 @@ QUERIES: dict[str, Query] = {
     "tracking_clean": tracking_clean,
     "employee_events_clean": employee_events_clean,
     "employee_history": employee_history,
+    "employee_history_collapsed": employee_history_collapsed,
     "employees_current": employees_current,
     "sales_by_branch_month": sales_by_branch_month,
     "product_sales_returns": product_sales_returns,
@@ -175,4 +205,5 @@ QUERIES: dict[str, Query] = {
     "gold_row_counts": gold_row_counts,
     "latest_events": latest_events,
     "employees_masked": employees_masked,
+    "employees_masked_by_group": employees_masked_by_group,
 }

@@ -12,10 +12,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import PipelineConfig, checkpoint_root
+from ..operators import quality
 from ..sources import adapters, files, jdbc, schemas, storage
 from ..streaming import flows
 from . import silver
@@ -36,13 +37,12 @@ def _raw(df: DataFrame, source: str) -> DataFrame:
     return schemas.to_source_names(df, source)
 
 
-def _nth_copies(df: DataFrame, spec: silver.SourceSpec) -> DataFrame:
-    """The raw rows with ``_copy``: the row's number among those of its key, in
-    the order in which the batch plan prefers them."""
+def _preferred(df: DataFrame, spec: silver.SourceSpec) -> DataFrame:
+    """The raw row of each key's accepted copy that the batch plan prefers."""
     order = list(spec.lineage) + [c for c, _ in spec.columns if c != spec.key]
-    w = Window.partitionBy(spec.key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    ranked = silver.prepare(spec, df).withColumn("_copy", F.row_number().over(w))
-    return ranked.select(*[F.col(f"{silver.RAW}.{c}").alias(c) for c in spec.raw_columns], "_copy")
+    valid = silver.prepare(spec, df).filter(quality.valid_predicate(spec.rules))
+    picked = valid.groupBy(spec.key).agg(F.min(F.struct(*order, silver.RAW)).alias("p"))
+    return picked.select(*[F.col(f"p.{silver.RAW}.{c}").alias(c) for c in spec.raw_columns])
 
 
 def _drop(spark: SparkSession, cfg: PipelineConfig, source: str, rows: DataFrame, number: int) -> None:
@@ -53,29 +53,28 @@ def _drop(spark: SparkSession, cfg: PipelineConfig, source: str, rows: DataFrame
 
 
 def _stream_in_copies(spark: SparkSession, cfg: PipelineConfig, source: str, bronze: DataFrame) -> DataFrame:
-    """The n-th copy of every key arrives in drop n: the stream must keep the
-    rows that the batch plan keeps.  Rows whose key is NULL all come first."""
+    """The preferred copy of every key arrives first, then the whole feed: the
+    stream must keep the rows that the batch plan keeps."""
     spec = silver.SPECS[source]
-    copies = _nth_copies(bronze, spec)
-    drop = F.when(F.col(spec.key).isNull(), F.lit(1)).otherwise(F.col("_copy"))
-    last = copies.agg(F.max(drop)).first()[0]
-    for n in range(1, last + 1):
-        _drop(spark, cfg, source, copies.filter(drop == n), n)
+    for number, rows in enumerate((_preferred(bronze, spec), bronze)):
+        _drop(spark, cfg, source, rows, number)
         flows.run_streams([flows.start_silver(spark, cfg, source)])
     return portable(spark.read.parquet(cfg.table_path("silver", source)).select(*[c for c, _ in spec.columns]))
 
 
 def history_stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Employee events arrive in four CSV drops, each spanning the whole time
-    range (so drops 2-4 are late for every employee); each drop is taken in by
-    its own availableNow run, and the history of all buckets with new events is
-    rebuilt once."""
+    """Employee events arrive in two landings of two CSV drops, each drop spanning
+    the whole time range (so the later ones are late for every employee); each
+    landing is taken in by its own availableNow run and patched into the history."""
     cfg = scratch_config(spark, "history")
     events = adapters.employees(spark, sf_dir)
     drop_no = F.abs(F.xxhash64("employee_id", "event_at", "event_kind")) % LANDING_SPLITS
-    for i in range(LANDING_SPLITS):
-        _drop(spark, cfg, "employees", events.filter(drop_no == i), i)
-    flows.rebuild_pending_history(spark, cfg)
+    for i in range(0, LANDING_SPLITS, 2):
+        for number in (i, i + 1):
+            files.write_csv(_raw(events.filter(drop_no == number), "employees"), f"{cfg.landing_path('employees')}/drop={number}")
+        flows.run_streams([flows.start_bronze(spark, cfg, "employees")])
+        flows.run_streams([flows.start_checked(spark, cfg, "employees")])
+        flows.patch_pending_history(spark, cfg)
     return portable(flows.read_history(spark, cfg))
 
 
@@ -108,6 +107,15 @@ def sales_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream_in_copies(spark, scratch_config(spark, "sales-silver"), "sales", adapters.sales(spark, sf_dir))
 
 
+def sales_stream_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file that each Bronze sale came from: a landing file for each line number."""
+    cfg = scratch_config(spark, "lineage")
+    raw = _raw(adapters.sales(spark, sf_dir), "sales")
+    files.write_named_csv(raw, cfg.landing_path("sales"), F.concat(F.lit("ventas-"), F.substring_index("venta_id", "-", -1)))
+    flows.run_streams([flows.start_bronze(spark, cfg, "sales")])
+    return portable(flows.read_bronze(spark, cfg, "sales").select("sale_id", "source_file"))
+
+
 def returns_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for returns."""
     return _stream_in_copies(spark, scratch_config(spark, "returns-silver"), "returns", adapters.returns(spark, sf_dir))
@@ -144,14 +152,14 @@ def _incremental(spark: SparkSession, sf_dir: str, label: str) -> PipelineConfig
 
     cfg = scratch_config(spark, label)
     files.write_json_lines(_raw(adapters.products(spark, sf_dir), "products"), cfg.landing_path("products"))
-    copies = {n: _nth_copies(adapters.BY_SOURCE[n](spark, sf_dir), silver.SPECS[n]) for n in ("sales", "returns")}
+    feeds = {n: adapters.BY_SOURCE[n](spark, sf_dir) for n in ("sales", "returns")}
     for i in range(3):
-        for name, rows in copies.items():
-            key = silver.SPECS[name].key
-            # a key's first copy in drop 0 or 1, its others in the last one
-            first = F.coalesce(F.pmod(F.xxhash64(key), F.lit(2)), F.lit(0))
-            drop = F.when((F.col("_copy") > 1) & F.col(key).isNotNull(), F.lit(2)).otherwise(first)
-            files.write_csv(_raw(rows.filter(drop == i), name), f"{cfg.landing_path(name)}/drop={i}")
+        for name, rows in feeds.items():
+            # a key's preferred copy in drop 0 or 1, then the whole feed
+            if i < 2:
+                spec = silver.SPECS[name]
+                rows = _preferred(rows, spec).filter(F.pmod(F.xxhash64(spec.key), F.lit(2)) == i)
+            files.write_csv(_raw(rows, name), f"{cfg.landing_path(name)}/drop={i}")
         run.run_once(spark, cfg.with_options(run_ts=flows.stamp()))
     return cfg
 
@@ -178,10 +186,8 @@ def products_json_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(silver.clean(silver.PRODUCTS, bronze).drop("ingested_at"))
 
 
-def tracking_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tracking rows in an embedded in-memory Derby database (inside the
-    Spark JVM, no network port), read back over JDBC in 4 parallel range
-    queries on the numeric order id."""
+def _tracking_table(spark: SparkSession, sf_dir: str) -> str:
+    """Tracking rows in a new in-memory Derby database of this process; its URL."""
     url = f"jdbc:derby:memory:medalla_{uuid.uuid4().hex[:12]};create=true"
     src = adapters.tracking(spark, sf_dir)
     table = src.select(
@@ -192,17 +198,34 @@ def tracking_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("origin_branch").alias("sucursal_origen"),
         F.col("updated_at_src").cast("timestamp_ntz").alias("fecha_actualizacion"),
     )
-    jdbc.write_table(table, url, "TRACKING")
-    raw = jdbc.read_table(spark, url, "TRACKING", {"preferTimestampNTZ": "true"}, partition_column='"pedido_id"', num_partitions=4)
+    jdbc.write_table(table, url, "TRACKING", {"createTableColumnTypes": "tracking_id VARCHAR(40)"})
+    return url
+
+
+def _tracking_read(spark: SparkSession, url: str, column: str, parts: int) -> DataFrame:
+    raw = jdbc.read_table(spark, url, "TRACKING", {"preferTimestampNTZ": "true"}, partition_column=column, num_partitions=parts)
     bronze = jdbc.tracking_bronze(raw, adapters.TRACKING_SYSTEM)
     return portable(silver.clean(silver.TRACKING, bronze).drop("ingested_at"))
 
 
+def tracking_jdbc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tracking rows in an embedded in-memory Derby database (inside the
+    Spark JVM, no network port), read back over JDBC in 4 parallel range
+    queries on the numeric order id."""
+    return _tracking_read(spark, _tracking_table(spark, sf_dir), '"pedido_id"', 4)
+
+
+def tracking_jdbc_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in 8 parallel ranges of the text key and one query for NULLs."""
+    return _tracking_read(spark, _tracking_table(spark, sf_dir), '"tracking_id"', 8)
+
+
 QUERIES = {
     "history_stream_apply": history_stream_apply,
     "reviews_stream_ingest": reviews_stream_ingest,
     "sales_stream_rejects": sales_stream_rejects,
     "sales_stream_ingest": sales_stream_ingest,
+    "sales_stream_lineage": sales_stream_lineage,
     "returns_stream_ingest": returns_stream_ingest,
     "review_replies_stream": review_replies_stream,
     "stream_rule_counters": stream_rule_counters,
@@ -210,6 +233,7 @@ QUERIES = {
     "product_sales_returns_incremental": product_sales_returns_incremental,
     "products_json_snapshot": products_json_snapshot,
     "tracking_jdbc": tracking_jdbc,
+    "tracking_jdbc_text_key": tracking_jdbc_text_key,
 }
 
 

@@ -48,3 +48,18 @@ def register_mask_function(spark: SparkSession, privileged_users: Iterable[str]
         f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(value STRING) RETURNS STRING "
         f"RETURN CASE WHEN current_user() IN ({users}) THEN value ELSE '{REDACTED}' END"
     )
+
+
+def create_masked_view(
+    spark: SparkSession, df: DataFrame, view: str, members: str, group: str, reader: str = "current_user()"
+) -> None:
+    """A temporary view of ``df`` whose tagged columns only the members of
+    ``group`` see.  ``members`` names a table (member, group_name) that is read
+    whenever the view is, so a grant or a revocation is a row there and needs no
+    new view.  ``reader`` is the SQL expression for who reads."""
+    df.createOrReplaceTempView(f"{view}__rows")
+    name = group.replace("'", "''")
+    allowed = f"(SELECT count(*) > 0 FROM {members} m WHERE m.member = {reader} AND m.group_name = '{name}')"
+    hidden = set(pii_columns(df))
+    columns = [f"CASE WHEN {allowed} THEN CAST(`{c}` AS STRING) ELSE '{REDACTED}' END AS `{c}`" if c in hidden else f"`{c}`" for c in df.columns]
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS SELECT {', '.join(columns)} FROM {view}__rows")

@@ -8,13 +8,14 @@ hidden ``_metadata`` column).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import schemas
+from . import schemas, storage
 
 
 @dataclass(frozen=True)
@@ -95,6 +96,20 @@ def write_csv(df: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
+def write_named_csv(df: DataFrame, path: str, name: Column) -> None:
+    """CSV files under names of their own: rows with the same ``name`` go into
+    one file ``<name>.csv``.  Files are written aside, where no reader looks,
+    and moved; their number is that of the names."""
+    spark = df.sparkSession
+    aside = f"{path}/_{uuid.uuid4().hex}"
+    named = df.withColumn("__name", name).repartition("__name")
+    named.write.partitionBy("__name").option("header", "true").csv(aside)
+    for value in storage.partition_values(spark, aside, "__name"):
+        parts = storage.data_files(spark, f"{aside}/__name={value}")
+        for i, part in enumerate(parts):
+            storage.move(spark, part, f"{path}/{value}{f'-{i}' if i else ''}.csv")
+
+
 def write_json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 

@@ -1,7 +1,9 @@
 """External table over JDBC (tracking feed).
 
-The reference reads the table in one task; here a numeric partition column
-(when named) splits the read into ``num_partitions`` parallel range queries.
+The reference reads the table in one task; here a partition column splits the
+read into ``num_partitions`` parallel range queries: a numeric, date or
+timestamp column by Spark's own bounds, a text column by ranges of its values
+that hold about equally many rows, with a query of their own for NULLs.
 Filters on the returned frame are pushed into the database's WHERE clause.
 Every column is carried as text in Bronze, typing happens in Silver.
 """
@@ -12,12 +14,16 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import schemas
 
 #: Parallel range queries, where a column to cut by is named.
 DEFAULT_PARTITIONS = 8
 
+#: Prefixes, and their length, by which a text column is cut at most.
+MOST_PREFIXES, MOST_PREFIX_LENGTH = 5_000, 12
+
 TRACKING_SYSTEM = "Azure SQL Database"  # fixed value: lineage name of the tracking system
 
 
@@ -32,9 +38,9 @@ def read_table(
     num_partitions: int | None = None,
 ) -> DataFrame:
     """The table, read in parallel range queries when ``partition_column`` (or
-    the option ``partitionColumn``) names a numeric, date or timestamp column.
-    Bounds that aren't given are the column's minimum and maximum, which the
-    database computes."""
+    the option ``partitionColumn``) names a column, as SQL spells it.  Bounds
+    that aren't given are the column's minimum and maximum, which the database
+    computes; a text column is cut by ``text_ranges``."""
     options = {k: v for k, v in (options or {}).items()}
     column = partition_column or options.pop("partitionColumn", None)
     low, high = lower_bound, upper_bound
@@ -44,6 +50,9 @@ def read_table(
     reader = spark.read.format("jdbc").options(**options).option("url", url)
     if not column:
         return reader.option("dbtable", table).load()
+    if isinstance(reader.option("query", f"SELECT {column} AS k FROM {table} WHERE 1 = 0").load().schema[0].dataType, T.StringType):
+        ranges = text_ranges(spark, url, table, column, parts, options)
+        return spark.read.jdbc(url, table, predicates=ranges, properties=dict(options))
     if low is None or high is None:
         ends = reader.option("query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}").load().first()
         if ends[0] is None:  # an empty table, or no value to cut at
@@ -62,6 +71,47 @@ def read_table(
     )
 
 
+def quoted(spark: SparkSession, url: str, name: str) -> str:
+    """A column's name as the database's SQL spells it."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(name)
+
+
+def text_ranges(
+    spark: SparkSession, url: str, table: str, column: str, parts: int, options: Mapping[str, str] | None = None
+) -> list[str]:
+    """Predicates that part a table by a text column: every row meets just one.
+
+    The database counts its rows by the column's first characters, taking more
+    of them until no prefix holds more than half a share (or there would be more
+    than ``MOST_PREFIXES``), and lists the prefixes in its own order, by which the
+    ranges are compared as well; so any collation gives disjoint ranges.
+    """
+    read = lambda sql: spark.read.format("jdbc").options(**(options or {})).option("url", url).option("query", sql).load()
+    counts: list = []
+    for length in range(1, MOST_PREFIX_LENGTH + 1):
+        prefix = f"SUBSTR({column}, 1, {length})"
+        grouped = f"SELECT {prefix} AS p, COUNT(*) AS n FROM {table} WHERE {column} IS NOT NULL GROUP BY {prefix}"
+        size = read(f"SELECT COUNT(*) AS k FROM ({grouped}) g").first()[0]
+        if counts and size > MOST_PREFIXES:
+            break
+        counts = [(r[0], r[1]) for r in read(grouped + f" ORDER BY {prefix}").collect()]  # MOST_PREFIXES rows at most
+        total = sum(n for _, n in counts)
+        if max((n for _, n in counts), default=0) * 2 * parts <= total:
+            break
+    cuts, held = [], 0
+    for prefix, n in counts:
+        if held * parts >= total * (len(cuts) + 1) and prefix:
+            cuts.append(prefix)
+        held += n
+    text = ["'" + c.replace("'", "''") + "'" for c in cuts]
+    ends = [None, *text, None]
+    ranges = [
+        " AND ".join([f"{column} >= {a}"] * (a is not None) + [f"{column} < {b}"] * (b is not None)) or f"{column} IS NOT NULL"
+        for a, b in zip(ends, ends[1:])
+    ]
+    return [*ranges, f"{column} IS NULL"]
+
+
 def tracking_bronze(raw: DataFrame, system: str = TRACKING_SYSTEM, ingested_at=None) -> DataFrame:
     """Bronze rows of a table whose columns have the upstream names."""
     names = schemas.SOURCE_NAMES["tracking"]

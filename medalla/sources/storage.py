@@ -10,7 +10,10 @@ a reader that planned against the one before can finish.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 KEEP = 2
 
@@ -31,6 +34,16 @@ def _names(spark: SparkSession, path: str) -> list[str]:
     return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
 
 
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    return [f"{path}/{n}" for n in sorted(_names(spark, path)) if not n.startswith(("_", "."))]
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    fs, p = _fs(spark, source)
+    if not fs.rename(p, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of one partition column, from the folder listing (no data read)."""
     prefix = f"{column}="
@@ -50,7 +63,7 @@ def live(spark: SparkSession, path: str) -> str:
 def readable(spark: SparkSession, path: str) -> bool:
     """The table exists and holds data (a stream that has only committed empty
     batches, or a publish that never finished, leaves a folder without)."""
-    if _published(spark, path):
+    if _published(spark, path) or published_runs(spark, path):
         return True
     return any(not n.startswith(("_", ".", "v=")) for n in _names(spark, path))
 
@@ -73,3 +86,41 @@ def publish(df: DataFrame, path: str) -> None:
         if old.isdigit() and int(old) not in keep:
             fs.delete(Path(f"{path}/_current/{old}"), False)
             fs.delete(Path(f"{path}/v={old}"), True)
+
+
+def live_runs(tags: list[str]) -> list[str]:
+    """Runs that make up the current table: the newest compaction (``c<step>``)
+    and every step (``r<step>``) after it.  Steps folded into a compaction are
+    never read again, so a crash between writing a compaction and anything
+    after it cannot double-count."""
+    compactions = [t for t in tags if t.startswith("c")]
+    newest = max(compactions, key=lambda t: t[1:]) if compactions else None
+    after = [t for t in tags if t.startswith("r") and (newest is None or t[1:] > newest[1:])]
+    return ([newest] if newest else []) + sorted(after)
+
+
+def published_runs(spark: SparkSession, path: str) -> list[str]:
+    return sorted(_names(spark, f"{path}/_live"))
+
+
+def read_runs(spark: SparkSession, path: str, tags: Sequence[str], schema: T.StructType) -> DataFrame:
+    """Rows of some runs (which may have none), with the column ``run``."""
+    whole = T.StructType([*schema, T.StructField("run", T.StringType())])
+    return spark.read.schema(whole).option("basePath", path).parquet(*[f"{path}/run={t}" for t in tags])
+
+
+def publish_run(df: DataFrame, path: str, tag: str, *partition_by: str) -> None:
+    """Write a run; a compaction lets go of what the one before it has folded."""
+    spark = df.sparkSession
+    fs, p = _fs(spark, path)
+    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs.delete(Path(f"{path}/_live/{tag}"), False)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/run={tag}")
+    fs.create(Path(f"{path}/_live/{tag}")).close()
+    compactions = [t for t in published_runs(spark, path) if t.startswith("c")]
+    if tag.startswith("c") and len(compactions) >= KEEP:
+        oldest = compactions[-KEEP]
+        for old in published_runs(spark, path):
+            if old[1:] < oldest[1:] or (old[1:] == oldest[1:] and old.startswith("r")):
+                fs.delete(Path(f"{path}/_live/{old}"), False)
+                fs.delete(Path(f"{path}/run={old}"), True)

@@ -7,16 +7,20 @@
   rules and writes both verdicts and the rule counters, each into the
   micro-batch's own partition (dynamic overwrite), so a replayed batch rewrites
   its files and is counted once.
-* Silver: the accepted rows as a stream, de-duplicated on the key
-  (``dropDuplicates`` with RocksDB state; first valid arrival wins;
-  ``cfg.dedup_watermark`` optionally bounds the state).  Each micro-batch is
+* Silver: the accepted rows as a stream, de-duplicated on the key: the first
+  valid arrival wins, of one micro-batch the smallest.  No state is held: the keys
+  taken so far are a table, and a micro-batch is joined with it behind a bitmap of
+  the keys' hashes (``operators.seen``).  With ``cfg.dedup_watermark`` Spark's own
+  bounded state is used in its place.  Each micro-batch is
   written into its own partition together with what Gold needs of it: additive
   per-product partials, and for sales the months touched.  Silver sales are
   partitioned by ``sale_month`` and rebalanced on it, so a batch writes a few
   files per month, not one for each task and month.
-* Employee history: accepted events are kept in key buckets; once the streams
-  have stopped, the history of all buckets with new events is rebuilt in one
-  job from the full event log, so late events split intervals correctly.
+* Employee history: once the streams have stopped, one job writes what the new
+  events change in it - their own versions and those that now end at them - as a
+  patch; readers take a version from the newest patch that has it.  Patches are
+  folded into the table when they have grown to a share of it, so the rows
+  written grow with the events and not with the history.
 
 All queries run with ``trigger(availableNow=True)`` by default: process what
 has arrived, then stop - a scheduled incremental job.
@@ -32,7 +36,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import PipelineConfig
-from ..operators import dedup, quality
+from ..operators import dedup, quality, scd2, seen
 from ..plans import employees, gold, silver
 from ..sources import files, schemas, storage
 
@@ -134,8 +138,7 @@ def apply_checks(spark: SparkSession, cfg: PipelineConfig, source: str, batch: D
         kept = seen if cfg.dedup_first and spec.key else seen.filter(VALID)
         rows = kept.select(*silver.business_columns(spec), VALID).withColumn(BATCH, number)
         if source == "employees":
-            rows = rows.drop(VALID).withColumn(BUCKET, _bucket(cfg))
-            _write_partition(rows, cfg.table_path("silver", "employee_events"), BUCKET, BATCH)
+            _write_partition(rows.drop(VALID), cfg.table_path("silver", "employee_events"), BATCH)
         else:
             _write_partition(rows, cfg.table_path("checked", source), BATCH)
         counts = [(spec.name, r.name, r.policy, counters.get["rows_in"], counters.get[f"failed_{r.name}"]) for r in spec.rules]
@@ -179,9 +182,23 @@ def batch_tag(batch_id: int, kind: str = "r") -> str:
     return f"{kind}{batch_id:012d}"
 
 
+def never_seen(spark: SparkSession, cfg: PipelineConfig, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
+    """The first arrivals of a micro-batch, one row for each new key; the keys
+    are taken down as the batch's own, so a replay finds the same ones new."""
+    key = silver.SPECS[name.removesuffix("_replies")].key
+    order = [c for c in (schemas.INGESTED_AT, schemas.SOURCE_FILE) if c in rows.columns]
+    return seen.first_arrivals(spark, cfg.table_path("ops", f"seen_{name}"), rows, key, order, batch_id)
+
+
 def apply_silver_batch(spark: SparkSession, cfg: PipelineConfig, source: str, batch: DataFrame, batch_id: int) -> None:
-    """One micro-batch of first arrivals: its Silver rows, and what Gold adds up."""
-    rows = batch.persist()
+    """One micro-batch of accepted rows: its first arrivals as Silver rows, and
+    what Gold adds up."""
+    spec = silver.SPECS[source]
+    if not cfg.dedup_watermark:
+        batch = never_seen(spark, cfg, source, batch, batch_id)
+    # in the reference's order the rules come after the first arrival is chosen
+    rows = batch.filter(VALID).select(*silver.business_columns(spec))
+    rows = rows.withColumn("updated_at", F.lit(cfg.run_ts).cast("timestamp")).persist()
     try:
         if source in SILVER_PARTITIONS:
             column, value = SILVER_PARTITIONS[source]
@@ -199,22 +216,15 @@ def apply_silver_batch(spark: SparkSession, cfg: PipelineConfig, source: str, ba
         rows.unpersist()
 
 
-def first_arrivals(spark: SparkSession, cfg: PipelineConfig, source: str, max_files: int | None = None) -> DataFrame:
-    """The accepted rows of a feed as a stream, one for each key."""
-    spec = silver.SPECS[source]
-    checked = _file_stream(spark, checked_schema(source), cfg.table_path("checked", source), max_files).drop(BATCH)
-    first = dedup.keep_first_stream(checked, [spec.key], watermark=cfg.dedup_watermark)
-    # in the reference's order the rules come after the first arrival is chosen
-    out = first.filter(VALID).select(*silver.business_columns(spec))
-    return out.withColumn("updated_at", F.lit(cfg.run_ts).cast("timestamp"))
-
-
 def start_silver(
     spark: SparkSession, cfg: PipelineConfig, source: str, trigger: dict = AVAILABLE_NOW, max_files: int | None = None
 ) -> StreamingQuery:
+    schema, files_a_time = checked_schema(source), max_files or cfg.max_files_per_trigger
+    rows = _file_stream(spark, schema, cfg.table_path("checked", source), files_a_time).drop(BATCH)
+    if cfg.dedup_watermark:
+        rows = dedup.keep_first_stream(rows, [silver.SPECS[source].key], cfg.dedup_watermark)
     return (
-        first_arrivals(spark, cfg, source, max_files or cfg.max_files_per_trigger)
-        .writeStream.queryName(f"silver_{source}")
+        rows.writeStream.queryName(f"silver_{source}")
         .foreachBatch(lambda batch, number: apply_silver_batch(spark, cfg, source, batch, number))
         .option("checkpointLocation", cfg.checkpoint_path(f"silver_{source}"))
         .outputMode("append")
@@ -223,23 +233,38 @@ def start_silver(
     )
 
 
-def start_review_replies(spark: SparkSession, cfg: PipelineConfig, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
-    """Replies keep their own first arrival per review (no rule), as a
-    separate flow over the Bronze reviews; reviews without a key have none."""
-    spec = silver.REVIEWS
-    reviews = silver.prepare(spec, read_bronze_stream(spark, cfg, "reviews", cfg.max_files_per_trigger)).drop(silver.RAW)
-    reviews = dedup.keep_first_stream(
-        reviews.filter(F.col(spec.key).isNotNull()), [spec.key], watermark=cfg.dedup_watermark
-    )
-    out = reviews.select("review_id", F.posexplode("replies").alias("reply_pos", "reply"), *spec.lineage).select(
+def apply_replies_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFrame, batch_id: int) -> None:
+    """Replies of the first arrival of each review in a micro-batch."""
+    if not cfg.dedup_watermark:
+        batch = never_seen(spark, cfg, "reviews_replies", batch, batch_id)
+    out = batch.select("review_id", F.posexplode("replies").alias("reply_pos", "reply"), *silver.REVIEWS.lineage).select(
         "review_id",
         F.col("reply_pos").cast("int").alias("reply_pos"),
         F.col("reply.author").alias("author"),
         F.col("reply.text").alias("text"),
-        *spec.lineage,
+        *silver.REVIEWS.lineage,
         F.lit(cfg.run_ts).cast("timestamp").alias("updated_at"),
+        F.lit(batch_id).cast("long").alias(BATCH),
+    )
+    _write_partition(out, cfg.table_path("silver", "review_replies"), BATCH)
+
+
+def start_review_replies(spark: SparkSession, cfg: PipelineConfig, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:
+    """Replies keep their own first arrival per review (no rule), as a
+    separate flow over the Bronze reviews; reviews without a key have none."""
+    spec = silver.REVIEWS
+    reviews = silver.prepare(spec, read_bronze_stream(spark, cfg, "reviews", cfg.max_files_per_trigger)).drop(silver.RAW)
+    reviews = reviews.filter(F.col(spec.key).isNotNull())
+    if cfg.dedup_watermark:
+        reviews = dedup.keep_first_stream(reviews, [spec.key], cfg.dedup_watermark)
+    return (
+        reviews.writeStream.queryName("silver_review_replies")
+        .foreachBatch(lambda batch, number: apply_replies_batch(spark, cfg, batch, number))
+        .option("checkpointLocation", cfg.checkpoint_path("silver_review_replies"))
+        .outputMode("append")
+        .trigger(**trigger)
+        .start()
     )
-    return _sink(out, cfg.table_path("silver", "review_replies"), cfg.checkpoint_path("silver_review_replies"), trigger, "silver_review_replies")
 
 
 # ------------------------------------------------------------ employee history
@@ -247,42 +272,84 @@ def _bucket(cfg: PipelineConfig):
     return F.pmod(F.xxhash64(F.col(employees.KEY)), F.lit(cfg.history_buckets)).cast("int")
 
 
-def read_employee_events(spark: SparkSession, cfg: PipelineConfig, buckets: list[int] | None = None) -> DataFrame:
-    ev = spark.read.parquet(cfg.table_path("silver", "employee_events"))
-    if buckets is not None:
-        ev = ev.filter(F.col(BUCKET).isin(buckets))  # partition pruning
-    return ev
+#: Patches are folded once they hold this share of the table's rows, or are this many.
+PATCH_SHARE, MOST_PATCHES = 0.5, 32
+HISTORY_TIEBREAK = ("ingested_at", "source_file")
 
 
-def rebuild_history(spark: SparkSession, cfg: PipelineConfig, buckets: list[int] | None = None) -> None:
-    ev = read_employee_events(spark, cfg, buckets).drop(BATCH)
-    hist = employees.history(ev.drop(BUCKET)).withColumn(BUCKET, _bucket(cfg))
-    (
-        hist.hint("rebalance", BUCKET)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BUCKET)
-        .parquet(cfg.table_path("silver", "employee_history"))
-    )
+def _history_path(cfg: PipelineConfig) -> str:
+    return cfg.table_path("silver", "employee_history")
+
+
+def read_employee_events(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    return spark.read.parquet(cfg.table_path("silver", "employee_events"))
+
+
+def _history_schema(spark: SparkSession, cfg: PipelineConfig) -> T.StructType:
+    events = read_employee_events(spark, cfg).drop(BATCH).schema
+    instant = events[employees.SEQUENCE].dataType
+    ends = [T.StructField(c, instant) for c in (scd2.START_AT, scd2.END_AT)]
+    columns = (*employees.HISTORY_COLUMNS, *HISTORY_TIEBREAK)
+    return T.StructType([events[c] for c in columns] + ends + [T.StructField(BUCKET, T.IntegerType())])
+
+
+def _history_as_of(spark: SparkSession, cfg: PipelineConfig, batch_id: int | None = None) -> DataFrame:
+    """The stored history, tiebreak columns included, as of a micro-batch."""
+    path, schema = _history_path(cfg), _history_schema(spark, cfg)
+    tags = storage.live_runs(storage.published_runs(spark, path))
+    tags = [t for t in tags if batch_id is None or int(t[1:]) <= batch_id]
+    if not tags:
+        return spark.createDataFrame([], schema)
+    base = storage.read_runs(spark, path, tags[:1], schema).drop("run")
+    if not tags[1:]:
+        return base
+    return scd2.merge_patches(base, storage.read_runs(spark, path, tags[1:], schema), employees.KEY, "run")
 
 
 def read_history(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    return spark.read.parquet(cfg.table_path("silver", "employee_history")).drop(BUCKET)
+    return _history_as_of(spark, cfg).select(*employees.HISTORY_COLUMNS, scd2.START_AT, scd2.END_AT)
+
 
+def patch_pending_history(spark: SparkSession, cfg: PipelineConfig) -> int:
+    """Bring the history up to the accepted events; returns the rows written.
 
-def rebuild_pending_history(spark: SparkSession, cfg: PipelineConfig) -> list[int]:
-    """Rebuild, in one job, the history of the buckets that got events since the
-    last rebuild.  The last micro-batch that it covers is written down after
-    the history, so a rebuild that failed is done again."""
+    What the new micro-batches change is found against the history as of the
+    last one that is written down as covered, and that is written down after
+    the patch: a run that died in between is done again, and its patch, if
+    it was published at all, is one of versions that the new one has as well.
+    """
     done = latest_done(spark, cfg, "employee_history")
     new = read_employee_events(spark, cfg).filter(F.col(BATCH) > done)
-    seen = new.groupBy(BUCKET).agg(F.max(BATCH).alias(BATCH)).collect()  # one row for each bucket
-    if seen:
-        buckets = sorted(r[BUCKET] for r in seen)
-        rebuild_history(spark, cfg, buckets)
-        mark_done(spark, cfg, "employee_history", max(r[BATCH] for r in seen))
-        return buckets
-    return []
+    last = new.agg(F.max(BATCH)).first()[0]
+    if last is None:
+        return 0
+    path, tag = _history_path(cfg), batch_tag(last)
+    new = new.drop(BATCH)
+    buckets = sorted(r[0] for r in new.select(_bucket(cfg)).distinct().collect())  # one for each bucket
+    before = _history_as_of(spark, cfg, done).filter(F.col(BUCKET).isin(buckets)).drop(BUCKET)
+    new = new.select(*employees.HISTORY_COLUMNS, *HISTORY_TIEBREAK)
+    patch = scd2.patch_history(before, new, employees.KEY, employees.SEQUENCE, employees.HISTORY_COLUMNS, HISTORY_TIEBREAK)
+    storage.publish_run(patch.withColumn(BUCKET, _bucket(cfg)).hint("rebalance", BUCKET), path, tag, BUCKET)
+    mark_done(spark, cfg, "employee_history", last)
+    written = storage.read_runs(spark, path, [tag], _history_schema(spark, cfg)).count()
+    fold_history(spark, cfg, last)
+    return written
+
+
+def fold_history(spark: SparkSession, cfg: PipelineConfig, batch_id: int) -> bool:
+    """Make the history as of a covered micro-batch a compaction, if its patches
+    have grown large or many (or ``cfg.full_refresh`` asks for it)."""
+    path = _history_path(cfg)
+    tags = storage.live_runs(storage.published_runs(spark, path))
+    if len(tags) < 2:
+        return False
+    schema = _history_schema(spark, cfg)
+    rows = [storage.read_runs(spark, path, part, schema).count() for part in (tags[:1], tags[1:])]
+    if rows[1] <= PATCH_SHARE * rows[0] and len(tags) <= MOST_PATCHES and not cfg.full_refresh:
+        return False
+    whole = _history_as_of(spark, cfg, batch_id).hint("rebalance", BUCKET)
+    storage.publish_run(whole, path, batch_tag(batch_id, "c"), BUCKET)
+    return True
 
 
 def _done_path(cfg: PipelineConfig, step: str) -> str:

@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from medalla.operators import dedup
 from medalla.plans import silver
 
@@ -50,27 +52,44 @@ def test_hot_key_is_combined_map_side(spark):
     assert got[0] == 0 and len(got) == 1 + 20000 // 3
 
 
-def test_stream_dedup_combines_before_the_shuffle(spark, tmp_path):
-    from pyspark.sql import functions as F
+def _arrive(spark, path, rows, batch_id):
+    from medalla.operators import seen
 
-    src = tmp_path / "in"
-    spark.range(0, 5000).selectExpr(
-        "CASE WHEN id % 4 = 0 THEN CAST(id AS STRING) ELSE 'hot' END AS k", "id AS v"
-    ).repartition(4).write.parquet(str(src))
-    stream = spark.readStream.schema("k string, v long").parquet(str(src))
-    q = (
-        dedup.keep_first_stream(stream, ["k"])
-        .writeStream.format("memory")
-        .queryName("dedup_hot")
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    out = spark.table("dedup_hot")
-    assert out.count() == 1 + 5000 // 4
-    assert out.filter(F.col("k") == "hot").count() == 1
-    q.stop()
+    df = spark.createDataFrame(rows, "k string, v long, note string")
+    return sorted(map(tuple, seen.first_arrivals(spark, path, df, "k", ["v"], batch_id).collect()), key=repr)
+
+
+@pytest.mark.parametrize("least, most", [(6, 30), (20, 30), (2, 2)])
+def test_first_arrivals_over_batches(spark, tmp_path, monkeypatch, least, most):
+    """New keys, copies within and across batches, NULL keys, replays, folded runs
+    and bitmaps that grow or are full: always those of plain Python."""
+    from medalla.operators import seen
+
+    monkeypatch.setattr(seen, "LEAST_BITS", least)
+    monkeypatch.setattr(seen, "MOST_BITS", most)
+    monkeypatch.setattr(seen, "MOST_RUNS", 2)
+    rnd, path, taken = random.Random(least), str(tmp_path / "seen"), set()
+    for number in range(6):
+        rows = [(rnd.choice([None, "hot", f"k{rnd.randint(0, 60)}"]), rnd.randint(0, 99), f"n{number}") for _ in range(80)]
+        first = {}
+        for r in sorted(rows, key=lambda r: (r[1], r[2])):
+            first.setdefault(r[0], r)
+        want = sorted((r for k, r in first.items() if k not in taken), key=repr)
+        assert _arrive(spark, path, rows, number) == want
+        if number % 2:
+            assert _arrive(spark, path, rows, number) == want  # the batch is run again
+        taken |= set(first)
+
+
+def test_first_arrivals_need_no_python_and_no_state(spark, tmp_path):
+    from medalla.operators import seen
+
+    path = str(tmp_path / "seen")
+    df = spark.range(1000).selectExpr("CAST(id % 300 AS STRING) AS k", "id AS v")
+    seen.first_arrivals(spark, path, df.limit(10), "k", ["v"], 0)
+    out = seen.first_arrivals(spark, path, df, "k", ["v"], 1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "MapInArrow", "StateStore")) and out.count() == 290
 
 
 def test_stream_dedup_with_watermark_bounds_state(spark, tmp_path):

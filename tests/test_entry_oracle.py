@@ -13,8 +13,6 @@ from .conftest import SF_SMOKE
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 RETAIL = {**entry.BATCH_QUERIES, **entry.CONNECTOR_QUERIES}
-SLOW = ("history_stream_apply", "reviews_stream_ingest", "sales_stream_rejects", "stream_rule_counters")
-FAST = [k for k in RETAIL if k not in SLOW and not k.endswith("_incremental")]
 
 
 def test_entry_smoke(spark):
@@ -50,7 +48,7 @@ def _bag(names, records):
     return collections.Counter(tuple(norm(r[i]) for i in order) for r in records)
 
 
-@pytest.mark.parametrize("name", FAST)
+@pytest.mark.parametrize("name", RETAIL)
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMOKE)
     cur = duck.execute(entry.oracle_sql()[name])
