@@ -197,6 +197,7 @@ def run_once(
         flows.run_streams(qs)
 
     step("silver_streams", silver_streams)
+    step("merge_silver", lambda: flows.merge_silver(spark, cfg))
     if _have(spark, cfg, "silver", "employee_events"):
         summary["history_rows_written"] = step("employee_history", lambda: flows.patch_pending_history(spark, cfg))
 

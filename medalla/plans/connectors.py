@@ -59,7 +59,7 @@ def _stream_in_copies(spark: SparkSession, cfg: PipelineConfig, source: str, bro
     for number, rows in enumerate((_preferred(bronze, spec), bronze)):
         _drop(spark, cfg, source, rows, number)
         flows.run_streams([flows.start_silver(spark, cfg, source)])
-    return portable(spark.read.parquet(cfg.table_path("silver", source)).select(*[c for c, _ in spec.columns]))
+    return portable(storage.read(spark, cfg.table_path("silver", source)).select(*[c for c, _ in spec.columns]))
 
 
 def history_stream_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,8 +85,8 @@ def reviews_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     flows.run_streams([flows.start_bronze(spark, cfg, "reviews")])
     flows.run_streams([flows.start_checked(spark, cfg, "reviews")])
     flows.run_streams([flows.start_silver(spark, cfg, "reviews")])
-    out = spark.read.parquet(cfg.table_path("silver", "reviews"))
-    return portable(out.drop("replies", "ingested_at", "source_file", "updated_at", flows.BATCH))
+    out = storage.read(spark, cfg.table_path("silver", "reviews"))
+    return portable(out.drop("replies", "ingested_at", "source_file", "updated_at"))
 
 
 def sales_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,7 +131,7 @@ def review_replies_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     files.write_json_arrays(rows, cfg.landing_path("reviews"))
     flows.run_streams([flows.start_bronze(spark, cfg, "reviews")])
     flows.run_streams([flows.start_review_replies(spark, cfg)])
-    out = spark.read.parquet(cfg.table_path("silver", "review_replies"))
+    out = storage.read(spark, cfg.table_path("silver", "review_replies"))
     return portable(out.select("review_id", "reply_pos", "author", "text"))
 
 

@@ -33,13 +33,16 @@ def register_views(spark: SparkSession, cfg: PipelineConfig) -> list[str]:
     """``<layer>_<table>`` temp views for every table that exists, plus
     ``silver_employees_current_masked`` (personal data masked unless
     ``cfg.privileged``)."""
+    from ..streaming import flows  # which imports the plans
+
     names = []
     for layer, tables in LAYERS.items():
         for t in tables:
             path = cfg.table_path(layer, t)
             if storage.readable(spark, path):
                 name = f"{layer}_{t}"
-                storage.read(spark, path).drop("batch_id").createOrReplaceTempView(name)
+                rows = flows.read_history(spark, cfg) if name == "silver_employee_history" else storage.read(spark, path)
+                rows.drop("batch_id").createOrReplaceTempView(name)
                 names.append(name)
     if "silver_employees_current" in names:
         names.append(

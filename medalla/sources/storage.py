@@ -6,6 +6,16 @@ take.  A version is written completely before its pointer appears, so a crash
 at any point leaves the last published table readable, and no step needs a
 rename, which object stores do not have.  The last ``KEEP`` versions stay, so
 a reader that planned against the one before can finish.
+
+A patched table is a folder of runs: a compaction ``run=c<n>`` holds the table
+as of step n, a patch ``run=r<n>`` what step n changed.  A run counts once its
+pointer file ``_live/<run>`` is there, so one that was cut short is ignored.
+
+An appended table is a folder of runs too: ``run=r<n>`` holds the rows of step
+n, and a merge ``run=m<a>-<b>`` those of the steps a to b.  Of runs that hold
+the same steps the widest counts.  ``merge_small`` merges ``FAN`` runs of a kind
+at a time, so a row is rewritten once each time the number of steps grows by
+``FAN``, and the files of a partition grow with the logarithm of the steps.
 """
 
 from __future__ import annotations
@@ -16,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 KEEP = 2
+FAN = 8
 
 
 def _fs(spark: SparkSession, path: str):
@@ -69,7 +80,71 @@ def readable(spark: SparkSession, path: str) -> bool:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(live(spark, path))
+    """A snapshot table, an appended one, or plain files."""
+    tags = [] if _published(spark, path) else appended_runs(published_runs(spark, path))
+    if not tags:
+        return spark.read.parquet(live(spark, path))
+    return _rows_of(spark, path, tags)
+
+
+def _rows_of(spark: SparkSession, path: str, tags: Sequence[str]) -> DataFrame:
+    return spark.read.option("basePath", path).parquet(*[f"{path}/run={t}" for t in tags]).drop("run")
+
+
+def steps_of(tag: str) -> tuple[int, int]:
+    """First and last step of a run of an appended table."""
+    ends = [int(x) for x in tag[1:].split("-")]
+    return ends[0], ends[-1]
+
+
+def appended_runs(tags: Sequence[str]) -> list[str]:
+    """The runs that make up an appended table, in order: those whose steps no
+    wider one holds."""
+    out: list[str] = []
+    for tag in sorted(tags, key=lambda t: (steps_of(t)[0], -steps_of(t)[1])):
+        if not out or steps_of(tag)[1] > steps_of(out[-1])[1]:
+            out.append(tag)
+    return out
+
+
+def append_run(df: DataFrame, path: str, step: int, *partition_by: str) -> None:
+    """Write the rows of a step (again, if it was written before); none, no run."""
+    if not df.isEmpty():
+        few = df.hint("rebalance", *partition_by) if partition_by else df
+        _write_run(few, path, f"r{step:012d}", *partition_by)
+
+
+def small_runs(tags: Sequence[str]) -> list[str]:
+    """The newest runs that are due to be merged: ``FAN`` or more of one kind,
+    by how many steps they span."""
+    live, kind = appended_runs(tags), FAN
+    while kind <= FAN ** len(live):
+        tail: list[str] = []
+        for tag in reversed(live):
+            first, last = steps_of(tag)
+            if last - first + 1 >= kind:
+                break
+            tail.insert(0, tag)
+        if len(tail) >= FAN:
+            return tail
+        kind *= FAN
+    return []
+
+
+def merge_small(spark: SparkSession, path: str, *partition_by: str) -> int:
+    """Merge runs until none are due; returns how many merges were made.  Runs
+    stay on disk until the merge that holds them is itself merged, for readers
+    that have planned already."""
+    done = 0
+    while tags := small_runs(published_runs(spark, path)):
+        name = f"m{steps_of(tags[0])[0]:012d}-{steps_of(tags[-1])[1]:012d}"
+        _write_run(_rows_of(spark, path, tags).hint("rebalance", *partition_by), path, name, *partition_by)
+        done += 1
+        for old in published_runs(spark, path):
+            a, b = steps_of(old)
+            if any(steps_of(m)[0] <= a and b <= steps_of(m)[1] for m in tags if m.startswith("m") and m != old):
+                _remove_run(spark, path, old)
+    return done
 
 
 def publish(df: DataFrame, path: str) -> None:
@@ -109,18 +184,30 @@ def read_runs(spark: SparkSession, path: str, tags: Sequence[str], schema: T.Str
     return spark.read.schema(whole).option("basePath", path).parquet(*[f"{path}/run={t}" for t in tags])
 
 
+def _write_run(df: DataFrame, path: str, tag: str, *partition_by: str) -> None:
+    """A run's files, then its pointer."""
+    spark = df.sparkSession
+    fs, _ = _fs(spark, path)
+    pointer = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_live/{tag}")
+    fs.delete(pointer, False)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/run={tag}")
+    fs.create(pointer).close()
+
+
+def _remove_run(spark: SparkSession, path: str, tag: str) -> None:
+    """Its pointer first, then its files."""
+    fs, _ = _fs(spark, path)
+    for place in (f"{path}/_live/{tag}", f"{path}/run={tag}"):
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place), True)
+
+
 def publish_run(df: DataFrame, path: str, tag: str, *partition_by: str) -> None:
     """Write a run; a compaction lets go of what the one before it has folded."""
+    _write_run(df, path, tag, *partition_by)
     spark = df.sparkSession
-    fs, p = _fs(spark, path)
-    Path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs.delete(Path(f"{path}/_live/{tag}"), False)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/run={tag}")
-    fs.create(Path(f"{path}/_live/{tag}")).close()
     compactions = [t for t in published_runs(spark, path) if t.startswith("c")]
     if tag.startswith("c") and len(compactions) >= KEEP:
         oldest = compactions[-KEEP]
         for old in published_runs(spark, path):
             if old[1:] < oldest[1:] or (old[1:] == oldest[1:] and old.startswith("r")):
-                fs.delete(Path(f"{path}/_live/{old}"), False)
-                fs.delete(Path(f"{path}/run={old}"), True)
+                _remove_run(spark, path, old)

@@ -15,7 +15,8 @@
   written into its own partition together with what Gold needs of it: additive
   per-product partials, and for sales the months touched.  Silver sales are
   partitioned by ``sale_month`` and rebalanced on it, so a batch writes a few
-  files per month, not one for each task and month.
+  files per month, not one for each task and month; between the streams' runs
+  the batches' files are merged, eight of a size at a time.
 * Employee history: once the streams have stopped, one job writes what the new
   events change in it - their own versions and those that now end at them - as a
   patch; readers take a version from the newest patch that has it.  Patches are
@@ -202,12 +203,12 @@ def apply_silver_batch(spark: SparkSession, cfg: PipelineConfig, source: str, ba
     try:
         if source in SILVER_PARTITIONS:
             column, value = SILVER_PARTITIONS[source]
-            rows_out = rows.withColumn(column, value()).withColumn(BATCH, F.lit(batch_id).cast("long"))
-            _write_partition(rows_out, cfg.table_path("silver", source), column, BATCH)
+            rows_out = rows.withColumn(column, value())
+            storage.append_run(rows_out, cfg.table_path("silver", source), batch_id, column)
             months = rows_out.select(column).distinct().withColumn(BATCH, F.lit(batch_id).cast("long"))
             _write_partition(months, cfg.table_path("ops", f"{source}_months"), BATCH)
         else:
-            _write_partition(rows.withColumn(BATCH, F.lit(batch_id).cast("long")), cfg.table_path("silver", source), BATCH)
+            storage.append_run(rows, cfg.table_path("silver", source), batch_id)
         for name, (fact, partials) in gold.PARTIAL_LOGS.items():
             if fact == source:
                 sums = partials(rows).withColumn("run", F.lit(batch_tag(batch_id)))
@@ -244,9 +245,18 @@ def apply_replies_batch(spark: SparkSession, cfg: PipelineConfig, batch: DataFra
         F.col("reply.text").alias("text"),
         *silver.REVIEWS.lineage,
         F.lit(cfg.run_ts).cast("timestamp").alias("updated_at"),
-        F.lit(batch_id).cast("long").alias(BATCH),
     )
-    _write_partition(out, cfg.table_path("silver", "review_replies"), BATCH)
+    storage.append_run(out, cfg.table_path("silver", "review_replies"), batch_id)
+
+
+def merge_silver(spark: SparkSession, cfg: PipelineConfig) -> dict[str, int]:
+    """Merge the small files that the micro-batches have left in Silver; merges
+    made, by table.  Not while its streams run."""
+    out = {}
+    for source in ("sales", "returns", "reviews", "review_replies"):
+        columns = SILVER_PARTITIONS[source][:1] if source in SILVER_PARTITIONS else ()
+        out[source] = storage.merge_small(spark, cfg.table_path("silver", source), *columns)
+    return out
 
 
 def start_review_replies(spark: SparkSession, cfg: PipelineConfig, trigger: dict = AVAILABLE_NOW) -> StreamingQuery:

@@ -34,3 +34,43 @@ def test_json_array_files_hold_one_bounded_array_each(spark, tmp_path):
             sizes.append(len(arr))
             assert "x" in arr[0]  # NULL fields kept
     assert sum(sizes) == 2500 and len(sizes) == 3 and max(sizes) < 1300
+
+
+def test_text_key_is_read_in_ranges_that_meet_every_row_once(spark):
+    url = f"jdbc:derby:memory:t_{uuid.uuid4().hex[:8]};create=true"
+    key = F.when(F.col("id") % 50 == 0, None).when(F.col("id") % 7 == 0, F.concat(F.lit("o'b"), F.col("id"))).otherwise(F.concat(F.lit("T"), F.col("id")))
+    jdbc.write_table(spark.range(3000).select(key.alias("k"), F.col("id").alias("v")), url, "ROWS", {"createTableColumnTypes": "k VARCHAR(20)"})
+    out = jdbc.read_table(spark, url, "ROWS", partition_column='"k"', num_partitions=8)
+    assert 8 <= out.rdd.getNumPartitions() <= 9  # one of them for the NULLs
+    assert sorted(r["v"] for r in out.collect()) == list(range(3000))
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 2 * 3000 / 8
+    assert jdbc.quoted(spark, url, "k") == '"k"'
+    # an empty table, and one key only
+    jdbc.write_table(spark.range(0).select(F.col("id").cast("string").alias("k")), url, "NONE", {"createTableColumnTypes": "k VARCHAR(20)"})
+    assert jdbc.read_table(spark, url, "NONE", partition_column='"k"').count() == 0
+    jdbc.write_table(spark.range(40).select(F.lit("same").alias("k")), url, "ONE", {"createTableColumnTypes": "k VARCHAR(20)"})
+    assert jdbc.read_table(spark, url, "ONE", partition_column='"k"', num_partitions=4).count() == 40
+
+
+def test_one_view_shows_each_reader_what_the_groups_allow(spark):
+    from medalla.functions.labels import REDACTED
+    from medalla.plans import governance
+
+    staff = governance.tag_pii(spark.createDataFrame([("E1", "D1", "a@x")], "employee_id string, national_id string, email string"))
+    spark.createDataFrame([("ana", "hr"), ("leo", "sales")], "member string, group_name string").createOrReplaceTempView("t_members")
+    spark.sql("DECLARE OR REPLACE VARIABLE t_reader STRING DEFAULT 'ana'")
+    governance.create_masked_view(spark, staff, "t_staff", "t_members", "hr", "t_reader")
+    read = lambda: tuple(spark.table("t_staff").first())
+    assert read() == ("E1", "D1", "a@x")
+    spark.sql("SET VAR t_reader = 'leo'")
+    assert read() == ("E1", REDACTED, REDACTED)
+    spark.sql("SET VAR t_reader = NULL")
+    assert read() == ("E1", REDACTED, REDACTED)
+
+
+def test_files_under_names_of_their_own(spark, tmp_path):
+    df = spark.range(20).select(F.col("id").cast("string").alias("a"), (F.col("id") % 3).cast("string").alias("b"))
+    files.write_named_csv(df, str(tmp_path), F.concat(F.lit("day-"), F.col("b")))
+    assert sorted(p.name for p in tmp_path.glob("*.csv")) == ["day-0.csv", "day-1.csv", "day-2.csv"]
+    assert spark.read.option("header", True).csv(str(tmp_path)).count() == 20

@@ -55,7 +55,7 @@ def test_sales_stream_equals_batch_when_copies_arrive_in_order(spark):
         flows.run_streams([flows.start_bronze(spark, cfg, "sales")])
         flows.run_streams([flows.start_checked(spark, cfg, "sales")])
         flows.run_streams([flows.start_silver(spark, cfg, "sales")])
-    streamed = spark.read.parquet(cfg.table_path("silver", "sales"))
+    streamed = storage.read(spark, cfg.table_path("silver", "sales"))
     assert _business(streamed, silver.SALES) == _business(silver.clean(silver.SALES, bronze), silver.SALES)
 
 
@@ -96,11 +96,11 @@ def test_run_once_end_to_end(spark):
                 if k.startswith("failed_"):
                     assert batch[(src, k.removeprefix("failed_"))] == v, (src, k)
     # a second run with no new files adds nothing to the streamed tables or marts
-    before = spark.read.parquet(cfg.table_path("silver", "sales")).count()
+    before = storage.read(spark, cfg.table_path("silver", "sales")).count()
     marts = {n: sorted(map(tuple, _read(spark, cfg, "gold", n).collect()), key=repr)
              for n in ("product_sales_returns", "negative_review_rate")}
     run.run_once(spark, cfg.with_options(run_ts=flows.stamp()), tracking_reader=tracking)
-    assert spark.read.parquet(cfg.table_path("silver", "sales")).count() == before
+    assert storage.read(spark, cfg.table_path("silver", "sales")).count() == before
     for n, rows in marts.items():
         assert sorted(map(tuple, _read(spark, cfg, "gold", n).collect()), key=repr) == rows
 
@@ -153,7 +153,7 @@ def test_incremental_monthly_mart_equals_full_recompute(spark):
     cfg2 = cfg.with_options(run_ts=flows.stamp())
     summary = run.run_once(spark, cfg2)
     assert 0 < summary["gold_months_recomputed"] < 100
-    silver_sales = spark.read.parquet(cfg.table_path("silver", "sales"))
+    silver_sales = storage.read(spark, cfg.table_path("silver", "sales"))
     got = spark.read.parquet(cfg.table_path("gold", "sales_by_branch_month"))
     full = gold.sales_by_branch_month(silver_sales)
     cols = full.columns
@@ -174,11 +174,11 @@ def test_new_generation_rebuilds_downstream_from_untouched_bronze(spark):
     _land(cfg, sales, 0)
     run.run_once(spark, cfg)
     bronze_rows = spark.read.parquet(cfg.table_path("bronze", "sales")).count()
-    first = spark.read.parquet(cfg.table_path("silver", "sales")).count()
+    first = storage.read(spark, cfg.table_path("silver", "sales")).count()
     g1 = cfg.with_options(generation="g1", run_ts=flows.stamp())
     run.run_once(spark, g1)
     assert spark.read.parquet(g1.table_path("bronze", "sales")).count() == bronze_rows  # not re-ingested
-    assert spark.read.parquet(g1.table_path("silver", "sales")).count() == first  # rebuilt from Bronze
+    assert storage.read(spark, g1.table_path("silver", "sales")).count() == first  # rebuilt from Bronze
     assert g1.table_path("silver", "sales") != cfg.table_path("silver", "sales")
 
 
@@ -227,7 +227,7 @@ def test_partial_logs_compact_without_changing_totals(spark):
         run.run_once(spark, cfg.with_options(run_ts=flows.stamp()))
         live_counts.append(len(run.live_runs(storage.partition_values(spark, path, "run"))))
     assert live_counts == [1, 2, 1]  # two micro-batches, then folded into a compaction
-    silver_sales = spark.read.parquet(cfg.table_path("silver", "sales"))
+    silver_sales = storage.read(spark, cfg.table_path("silver", "sales"))
     a = sorted(map(tuple, catalog.portable(gold.merge_partials(run.read_partials(spark, path))).collect()), key=repr)
     b = sorted(map(tuple, catalog.portable(gold.sales_per_product(silver_sales)).collect()), key=repr)
     assert a == b
@@ -285,7 +285,7 @@ def test_streaming_replies_equal_batch_replies(spark):
     files.write_json_arrays(threaded, cfg.landing_path("reviews"), rows_per_file=40)
     flows.run_streams([flows.start_bronze(spark, cfg, "reviews")])
     flows.run_streams([flows.start_review_replies(spark, cfg)])
-    got = spark.read.parquet(cfg.table_path("silver", "review_replies")).select("review_id", "reply_pos", "author", "text")
+    got = storage.read(spark, cfg.table_path("silver", "review_replies")).select("review_id", "reply_pos", "author", "text")
     exp = catalog.review_replies(spark, SF_SMOKE).select("review_id", "reply_pos", "author", "text")
     assert got.count() > 0
     assert sorted(map(tuple, catalog.portable(got).collect())) == sorted(map(tuple, exp.collect()))
@@ -434,3 +434,34 @@ def test_distinct_counts_where_keys_repeat(spark):
     assert gold.sales_per_product(sales, repeats=True).first()["sales_count"] == 2
     reviews = spark.createDataFrame([("r", "p", 1)] * 2 + [("q", "p", 5)], "review_id string, product_id string, rating int")
     assert (lambda r: (r["n"], r["neg"]))(gold.reviews_per_product(reviews, repeats=True).first()) == (2, 1)
+
+
+def test_files_grow_with_the_logarithm_of_the_batches(spark):
+    cfg = connectors.scratch_config(spark, "t-merge")
+    path = cfg.table_path("silver", "sales")
+    months = F.add_months(F.lit("2024-01-01").cast("date"), (F.col("id") % 2).cast("int"))
+    for batch in range(40):
+        rows = spark.range(batch * 6, batch * 6 + 6).select(F.col("id").cast("string").alias("sale_id"), months.alias("sale_month"))
+        storage.append_run(rows.coalesce(1), path, batch, "sale_month")
+        if batch in (7, 20):
+            old = storage.read(spark, path)  # a reader that has planned before the merge
+            assert storage.merge_small(spark, path, "sale_month") >= 1
+            assert old.count() == 6 * (batch + 1)
+    storage.merge_small(spark, path, "sale_month")
+    tags = storage.appended_runs(storage.published_runs(spark, path))
+    assert len(tags) <= 8 and storage.steps_of(tags[0])[0] == 0 and storage.steps_of(tags[-1])[1] == 39
+    got = storage.read(spark, path)
+    assert sorted(int(r["sale_id"]) for r in got.collect()) == list(range(240)) and got.columns == ["sale_id", "sale_month"]
+    assert len(got.inputFiles()) / 2 <= 8  # of either month
+    # a batch that is run again after it was merged counts once
+    again = spark.range(0, 6).select(F.col("id").cast("string").alias("sale_id"), months.alias("sale_month"))
+    storage.append_run(again, path, 0, "sale_month")
+    assert storage.read(spark, path).count() == 240
+
+
+def test_runs_of_an_appended_table():
+    r = [f"r{i:012d}" for i in range(9)]
+    wide = "m000000000000-000000000007"
+    assert storage.appended_runs([*r, wide]) == [wide, r[8]]
+    assert storage.small_runs(r[:7]) == [] and storage.small_runs(r[:8]) == r[:8]
+    assert storage.small_runs([wide, *r]) == []
