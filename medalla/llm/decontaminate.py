@@ -10,8 +10,8 @@ the original text.
 
 Scale: the texts are read once and never shuffled.  The windows of the
 benchmark are counted first and broadcast in blocks of at most about
-``block_windows`` (window, item) pairs; a larger benchmark makes more passes
-in the same job, and hits add up exactly.
+``block_windows`` (window, item) pairs, each pair computed once; a larger
+benchmark makes more passes in the same job, and hits add up exactly.
 
 Defined results: a null or wordless text has no words, hits or items; repeated
 rows each get their own result; items with a null or wordless text have no
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_blocks, worker_cache
+from .common import stored, text_blocks, worker_cache
 
 #: Fixed by contract: what a word is, after A-Z are lower-cased.
 WORD = rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -40,6 +40,9 @@ WORDS_SQL = (
 #: (window, item) pairs of one automaton: it takes some hundred bytes for each.
 BLOCK_WINDOWS = 100_000
 
+_SPAN = T.StructType([T.StructField(c, T.IntegerType()) for c in ("start", "end", "words")])
+SPANS = T.StructField("spans", T.ArrayType(_SPAN))
+
 
 def item_windows(items: DataFrame, n: int) -> DataFrame:
     """Distinct (window, item): the window's words joined by blanks."""
@@ -80,8 +83,23 @@ def _merged(spans: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def _scanner(shared, app: str, number: int):
-    """Adds one block's hits to ``runs`` and ``items``."""
+def _spelled(raw: bytes, runs: list[int], word) -> list[dict]:
+    """Runs of words as code point offsets [start, end) of the original text,
+    with the number of their words."""
+    at = [m.span() for m in word.finditer(raw.lower())]
+    out, seen, chars = [], 0, 0
+    for a, b in zip(runs[::2], runs[1::2]):
+        begin, end = at[a][0], at[b - 1][1]
+        chars += len(raw[seen:begin].decode())
+        start, seen = chars, end
+        chars += len(raw[begin:end].decode())
+        out.append({"start": start, "end": chars, "words": b - a})
+    return out
+
+
+def _scanner(shared, app: str, number: int, last: bool):
+    """Adds one block's hits to ``runs`` and ``items``; the last block's scan
+    maps the runs back to the text."""
 
     def run(batches):
         import pyarrow as pa
@@ -94,6 +112,7 @@ def _scanner(shared, app: str, number: int):
             cache[key] = automaton(shared.value)
         tree, numbers = cache[key]
         word, get = re.compile(WORD), numbers.get
+        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("words", pa.int32())]))
         for batch in text_blocks(batches):
             n_words, runs, items = [], batch.column("runs").to_pylist(), batch.column("items").to_pylist()
             for i, text in enumerate(batch.column("text")):
@@ -114,43 +133,22 @@ def _scanner(shared, app: str, number: int):
                 "runs": pa.array(runs, pa.list_(pa.int32())),
                 "items": pa.array(items, pa.list_(pa.string())),
             }
+            if last:
+                texts = batch.column("text")
+                spans = [_spelled(texts[i].as_py().encode(), r, word) if r else [] for i, r in enumerate(runs)]
+                cols |= {"spans": pa.array(spans, kind)}
+                del cols["text"], cols["runs"]
             yield pa.RecordBatch.from_pydict(cols)
 
     return run
 
 
-def _speller():
-    """Word runs to code point offsets [start, end) of the original text."""
-
-    def run(batches):
-        import pyarrow as pa
-
-        word = re.compile(WORD)
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for batch in text_blocks(batches):
-            spans = []
-            for text, runs in zip(batch.column("text"), batch.column("runs").to_pylist()):
-                if not runs:
-                    spans.append([])
-                    continue
-                raw = text.as_py().encode()
-                at = [m.span() for m in word.finditer(raw.lower())]
-                chars = lambda b: len(raw[:b].decode())
-                spans.append([{"start": chars(at[a][0]), "end": chars(at[b - 1][1])} for a, b in zip(runs[::2], runs[1::2])])
-            cols = {c: batch.column(c) for c in batch.schema.names}
-            yield pa.RecordBatch.from_pydict(cols | {"spans": pa.array(spans, kind)})
-
-    return run
-
-
-def decontaminate(
-    docs: DataFrame, items: DataFrame, n: int = 10, block_windows: int = BLOCK_WINDOWS, spans: bool = True
-) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
     """Rows of ``docs`` as the struct ``row``, with n_words, n_hit (words inside
     an occurrence), items (ids, sorted as strings) and ``spans``: the hit runs
-    as code point offsets [start, end) of the text."""
+    as code point offsets [start, end) of the text, with their words."""
     spark, run = docs.sparkSession, uuid.uuid4().hex
-    pairs = item_windows(items, n)
+    pairs = stored(item_windows(items, n), "windows")
     blocks = max(1, -(-pairs.count() // block_windows))
     state = docs.select(
         F.struct("*").alias("row"),
@@ -162,16 +160,14 @@ def decontaminate(
     for number in range(blocks):
         block = pairs.filter(F.pmod(F.xxhash64("window", "item"), F.lit(blocks)) == number)
         shared = spark.sparkContext.broadcast([(r["window"], r["item"]) for r in block.collect()])
-        state = state.mapInArrow(_scanner(shared, run, number), state.schema)
-    if spans:
-        kind = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
-        out = T.StructType([*state.schema.fields, T.StructField("spans", kind)])
-        state = state.mapInArrow(_speller(), out)
-    hit = F.expr("aggregate(sequence(0, size(runs) - 1, 2), 0L, (s, i) -> s + runs[i + 1] - runs[i])")
-    n_hit = F.when(F.size("runs") > 0, hit).otherwise(F.lit(0).cast("long"))
-    return state.select("row", "n_words", n_hit.alias("n_hit"), "items", *(["spans"] if spans else []))
+        last = number == blocks - 1
+        kept = [f for f in state.schema.fields if not last or f.name not in ("text", "runs")]
+        out = T.StructType([*kept, *([SPANS] if last else [])])
+        state = state.mapInArrow(_scanner(shared, run, number, last), out)
+    n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.words)")
+    return state.select("row", "n_words", n_hit.alias("n_hit"), "items", "spans")
 
 
 def clean(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
     """``docs`` without the rows that hold a window of an item, all columns kept."""
-    return decontaminate(docs, items, n, spans=False).filter("n_hit = 0").select("row.*")
+    return decontaminate(docs, items, n).filter("n_hit = 0").select("row.*")
