@@ -40,7 +40,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), spans=False)
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return found.select(
         F.col("row.doc_id").alias("doc_id"),
         "n_words",
@@ -48,6 +48,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        "spans",
     )
 
 
@@ -151,16 +152,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _TOOL_CALLS_SQL = r"""
 WITH calls AS (
   SELECT conv_id, turn, text, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS call_id,
-         CASE WHEN turn >= 2 THEN CAST(conv_id AS VARCHAR) || '-' || CAST(turn - 2 AS VARCHAR) END AS after_id,
+         (conv_id + turn // 2) % 7 = 3 AS late,
+         CAST(conv_id AS VARCHAR) || '-' || CAST(CASE
+           WHEN (conv_id + turn // 2) % 7 = 3 THEN turn + 2
+           WHEN turn >= 2 AND (conv_id + (turn - 2) // 2) % 7 <> 3 THEN turn - 2 END AS VARCHAR) AS after_id,
          CAST(len(regexp_extract_all(coalesce(text, ''), '\S+')) AS BIGINT) AS words
   FROM conversations WHERE role = 'user'),
-answers AS (
-  SELECT conv_id, CAST(conv_id AS VARCHAR) || '-' || CAST(turn - 1 AS VARCHAR) AS call_id,
-         count(*) AS n_results, min_by(text, turn) AS content
-  FROM conversations WHERE role = 'assistant' GROUP BY ALL),
+results AS (
+  SELECT conv_id, CAST(conv_id AS VARCHAR) || '-' || CAST(turn - 1 AS VARCHAR) AS call_id, turn, text,
+         count(*) OVER w AS n_results, row_number() OVER (w ORDER BY turn, text NULLS FIRST) AS place
+  FROM conversations WHERE role = 'assistant' WINDOW w AS (PARTITION BY conv_id, turn)),
+answers AS (SELECT *, text AS content FROM results WHERE place = 1),
 checked AS (
   SELECT c.conv_id, coalesce(c.call_id, a.call_id) AS call_id, c.turn, coalesce(a.n_results, 0) AS n_results,
-         a.content, c.text, c.words, c.call_id IS NOT NULL AS called,
+         a.content, c.text, c.words, c.call_id IS NOT NULL AS called, coalesce(c.late AND p.call_id IS NOT NULL, false) AS delayed,
          concat_ws('; ',
            CASE WHEN c.call_id IS NULL THEN 'no call' END,
            CASE WHEN c.after_id IS NOT NULL AND p.call_id IS NULL THEN 'depends on no call: ' || c.after_id END,
@@ -172,7 +177,7 @@ checked AS (
          coalesce(c.conv_id, a.conv_id) AS conversation
   FROM calls c FULL JOIN answers a ON c.conv_id = a.conv_id AND c.call_id = a.call_id
   LEFT JOIN calls p ON p.conv_id = c.conv_id AND p.call_id = c.after_id)
-SELECT conversation AS conv_id, call_id, turn, CAST(0 AS BIGINT) AS delay, n_results, errors = '' AS valid, errors,
+SELECT conversation AS conv_id, call_id, turn, CAST(delayed AS BIGINT) AS delay, n_results, errors = '' AS valid, errors,
        '{"arguments":' || CASE WHEN called THEN
            '{' || CASE WHEN text IS NULL THEN '' ELSE '"prompt":' || CAST(to_json(text) AS VARCHAR) || ',' END
            || '"turn":' || CAST(turn AS VARCHAR) || ',"words":' || CAST(words AS VARCHAR) || '}' ELSE 'null' END
@@ -180,6 +185,17 @@ SELECT conversation AS conv_id, call_id, turn, CAST(0 AS BIGINT) AS delay, n_res
          || ',"name":' || CASE WHEN called THEN '"reply"' ELSE 'null' END
          || ',"result":' || coalesce(CAST(to_json(content) AS VARCHAR), 'null') || '}' AS message
 FROM checked
+UNION ALL
+SELECT conv_id, call_id, turn, 0, n_results, false, 'further result',
+       '{"arguments":null,"id":' || CAST(to_json(call_id) AS VARCHAR) || ',"name":null,"result":'
+         || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || '}'
+FROM results WHERE place > 1
+"""
+
+_OTHER_TURNS_SQL = """
+SELECT conv_id, turn, role, CASE WHEN role = 'system' THEN 'no call' ELSE 'unknown role' END AS status,
+       '{"content":' || coalesce(CAST(to_json(text) AS VARCHAR), 'null') || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || '}' AS message
+FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
 """
 
 def _crc_table() -> list[int]:
@@ -345,4 +361,10 @@ SELECT f.word, f.form, p.at AS root, f.n, f.n_near, f.form_n FROM forms f JOIN p
 """
 
 #: By query, where SQL can express it.
-SQL: dict[str, str] = {"op8_tool_calls": _TOOL_CALLS_SQL, "op11_merkle": _MERKLE_SQL, "op12_mixing": _MIXING_SQL, "op13_spelling": _SPELLING_SQL}
+SQL: dict[str, str] = {
+    "op8_tool_calls": _TOOL_CALLS_SQL,
+    "op8_other_turns": _OTHER_TURNS_SQL,
+    "op11_merkle": _MERKLE_SQL,
+    "op12_mixing": _MIXING_SQL,
+    "op13_spelling": _SPELLING_SQL,
+}

@@ -1,7 +1,8 @@
 """Chat formatting: tool calls linked to their results, in DataFrame functions only.
 
-1. Link: calls and results are hash-joined by conversation and call id; the
-   results of an id are reduced to their number and the earliest one first.
+1. Link: calls and results are hash-joined by conversation and call id.  The
+   earliest result of an id stands in its call; further ones are rows of their
+   own, so a call with any number of results is no larger than another.
 2. Order: a call may depend on others (``after``).  Where every dependency
    comes earlier, the order of ``seq`` is topological already.  A call that
    depends on a later one is delayed: ``delay`` is the largest number of such
@@ -22,9 +23,11 @@ over salts.
 
 Defined results: a call without a conversation or id is linked with nothing and
 says so; an id used again names its earliest call (smallest seq), later ones
-are errors; rows equal in all columns get equal results; results of no call
-come out as rows of their own with the error ``no call``; a null content is
-JSON null; null or malformed arguments are an error and serialised as null; an
+are errors; rows equal in all columns get equal results; an id's results stand
+in order of (seq, content); the first result of no call comes out as a row with
+the error ``no call``, every result but the first of its id as one with the
+error ``further result``; results without a conversation or id are rows with
+the error ``no identifier``; a null content is JSON null; null or malformed arguments are an error and serialised as null; an
 unknown function or dependency is an error.  Only the named columns are read.
 """
 
@@ -125,11 +128,42 @@ def delays(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
             return now.select(*KEY, F.when(F.col("delay") <= F.col("forward"), F.col("delay")).alias("delay")), unknown
 
 
+def message(arguments: Column, content: Column) -> Column:
+    """Canonical JSON of a call and its result."""
+    fields = [
+        ("arguments", F.coalesce(arguments, F.lit("null"))),
+        ("id", F.coalesce(json_string("call_id"), F.lit("null"))),
+        ("name", F.coalesce(json_string("name"), F.lit("null"))),
+        ("result", F.coalesce(json_string(content), F.lit("null"))),
+    ]
+    inner = reduce(lambda a, b: F.concat(a, F.lit(","), b), [F.concat(F.lit(f'"{k}":'), v) for k, v in fields])
+    return F.concat(F.lit("{"), inner, F.lit("}"))
+
+
+def further_results(results: DataFrame, info: DataFrame) -> DataFrame:
+    """A row for every result that its id's row has no room for: each but the
+    first of (seq, content), and those without an identifier.  ``info`` has
+    the first result and the number of them for each id."""
+    alike = results.select(*KEY, "seq", "content").groupBy(*KEY, "seq", "content").agg(F.count(F.lit(1)).alias("copies"))
+    firsts = info.filter("n_results > 0").select(*KEY, F.col("result_seq").alias("__seq"), F.col("content").alias("__content"), "n_results")
+    rows = salted_join(alike, firsts, KEY, "left")
+    is_first = F.col("seq").eqNullSafe(F.col("__seq")) & F.col("content").eqNullSafe(F.col("__content")) & F.col("n_results").isNotNull()
+    left = F.col("copies") - F.when(is_first, F.lit(1)).otherwise(F.lit(0))
+    rows = rows.withColumn("n_results", F.coalesce("n_results", F.lit(1))).withColumn("left", left).filter("left > 0")
+    named = F.col("conversation").isNotNull() & F.col("call_id").isNotNull()
+    errors = F.array(F.when(named, F.lit("further result")).otherwise(F.lit("no identifier")))
+    rows = rows.withColumn("name", F.lit(None).cast("string")).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "left")))
+    return rows.select(
+        *KEY, "seq", "name", F.lit(0).cast("long").alias("delay"), "n_results", F.lit(False).alias("valid"), errors.alias("errors"),
+        message(F.lit(None), F.col("content")).alias("message"),
+    )
+
+
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     """``calls``: conversation, call_id, seq, name, arguments (JSON), after
     (array of ids).  ``results``: conversation, call_id, seq, content.  Per call,
-    and per result id without one: conversation, call_id, seq, name, delay,
-    n_results, valid, errors, message (canonical JSON)."""
+    per result id without one and per further result: conversation, call_id, seq,
+    name, delay, n_results, valid, errors, message (canonical JSON)."""
     calls = calls.select(*KEY, "seq", "name", "arguments", F.coalesce("after", F.expr("cast(array() as array<string>)")).alias("after"))
     known = calls.filter("conversation is not null and call_id is not null")
     first = known.groupBy(*KEY).agg(F.min("seq").alias("first_seq"))
@@ -137,11 +171,12 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     delayed, unknown = delays(of_id)
 
     answers = results.filter("conversation is not null and call_id is not null").groupBy(*KEY)
-    earliest = F.min_by(F.struct("content"), F.struct("seq", "content"))
-    answers = answers.agg(F.count("*").alias("n_results"), earliest["content"].alias("content"))
+    earliest = F.min(F.struct("seq", "content"))
+    answers = answers.agg(F.count("*").alias("n_results"), earliest.alias("r"))
+    answers = answers.select(*KEY, "n_results", F.col("r.seq").alias("result_seq"), F.col("r.content").alias("content"))
     info = first.join(answers.hint("shuffle_hash"), KEY, "full").join(unknown, KEY, "left")
     info = info.join(delayed.withColumn("listed", F.lit(True)), KEY, "left").select(
-        *KEY, "first_seq", F.coalesce("n_results", F.lit(0)).alias("n_results"), "content", "unknown", "listed", "delay"
+        *KEY, "first_seq", F.coalesce("n_results", F.lit(0)).alias("n_results"), "result_seq", "content", "unknown", "listed", "delay"
     )
     linked = salted_join(calls, info, KEY, "left").withColumn("call", F.lit(True))
     orphans = info.join(first.select(*KEY), KEY, "left_anti").withColumn("call", F.lit(False))
@@ -163,14 +198,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     errors = F.when(F.col("call"), F.concat(own, argument_errors(schemas))).otherwise(own)
     canonical = F.when(F.col("__names").isNotNull(), F.to_json("__parsed"))
     content = F.when(F.coalesce(again, F.lit(False)), F.lit(None)).otherwise(F.col("content"))
-    fields = [
-        ("arguments", F.coalesce(canonical, F.lit("null"))),
-        ("id", json_string("call_id")),
-        ("name", json_string("name")),
-        ("result", json_string(content)),
-    ]
-    message = reduce(lambda a, b: F.concat(a, F.lit(","), b), [F.concat(F.lit(f'"{k}":'), v) for k, v in fields])
-    return rows.select(
+    linked = rows.select(
         *KEY,
         "seq",
         "name",
@@ -178,8 +206,9 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
         F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"),
         (F.size(errors) == 0).alias("valid"),
         errors.alias("errors"),
-        F.concat(F.lit("{"), message, F.lit("}")).alias("message"),
+        message(canonical, content).alias("message"),
     )
+    return linked.unionByName(further_results(results, info))
 
 
 #: Schema of the calls that turns stand for.
@@ -197,17 +226,21 @@ REPLY = {
 
 
 def turns_as_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Each user turn as a call of ``reply`` that depends on the user turn two
-    before it, and each assistant turn as the result of the call a turn before."""
+    """Each user turn as a call of ``reply``, and each assistant turn as the result
+    of the call a turn before.  A call depends on the user turn two before it; but
+    one in seven, by conversation and turn, depends on the one two after it, which
+    then depends on none."""
     name = lambda back: F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string"))
     words = F.size(F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"\S+"), F.lit(0)))
+    late = lambda turn: F.pmod(F.col("conv_id") + F.floor(turn / 2), F.lit(7)) == 3
+    after = F.when(late(F.col("turn")), F.array(name(-2))).when((F.col("turn") >= 2) & ~late(F.col("turn") - 2), F.array(name(2)))
     calls = conversations.filter("role = 'user'").select(
         F.col("conv_id").alias("conversation"),
         name(0).alias("call_id"),
         F.col("turn").alias("seq"),
         F.lit("reply").alias("name"),
         F.to_json(F.struct(words.alias("words"), F.col("text").alias("prompt"), "turn")).alias("arguments"),
-        F.when(F.col("turn") >= 2, F.array(name(2))).otherwise(F.expr("cast(array() as array<string>)")).alias("after"),
+        F.coalesce(after, F.expr("cast(array() as array<string>)")).alias("after"),
     )
     results = conversations.filter("role = 'assistant'").select(
         F.col("conv_id").alias("conversation"), name(1).alias("call_id"), F.col("turn").alias("seq"), F.col("text").alias("content")
