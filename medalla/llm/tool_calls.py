@@ -140,19 +140,23 @@ def message(arguments: Column, content: Column) -> Column:
     return F.concat(F.lit("{"), inner, F.lit("}"))
 
 
-def further_results(results: DataFrame, info: DataFrame) -> DataFrame:
+def further_results(results: DataFrame, answers: DataFrame) -> DataFrame:
     """A row for every result that its id's row has no room for: each but the
-    first of (seq, content), and those without an identifier.  ``info`` has
-    the first result and the number of them for each id."""
-    alike = results.select(*KEY, "seq", "content").groupBy(*KEY, "seq", "content").agg(F.count(F.lit(1)).alias("copies"))
-    firsts = info.filter("n_results > 0").select(*KEY, F.col("result_seq").alias("__seq"), F.col("content").alias("__content"), "n_results")
-    rows = salted_join(alike, firsts, KEY, "left")
-    is_first = F.col("seq").eqNullSafe(F.col("__seq")) & F.col("content").eqNullSafe(F.col("__content")) & F.col("n_results").isNotNull()
-    left = F.col("copies") - F.when(is_first, F.lit(1)).otherwise(F.lit(0))
-    rows = rows.withColumn("n_results", F.coalesce("n_results", F.lit(1))).withColumn("left", left).filter("left > 0")
+    first of (seq, content), and those without an identifier.  ``answers`` has
+    the first result and the number of them for each id; only ids with more
+    than one are met with their results."""
     named = F.col("conversation").isNotNull() & F.col("call_id").isNotNull()
+    rows = results.select(*KEY, "seq", "content")
+    several = answers.filter("n_results > 1").select(*KEY, "n_results", F.struct("result_seq", "content").alias("first"))
+    met = salted_join(rows.filter(named), several, KEY, "inner")
+    alike = met.groupBy(*met.columns).agg(F.count(F.lit(1)).alias("copies"))
+    is_first = F.struct(F.col("seq").alias("result_seq"), "content").eqNullSafe(F.col("first"))
+    left = F.col("copies") - F.when(is_first, F.lit(1)).otherwise(F.lit(0))
+    alike = alike.withColumn("left", left).filter("left > 0").select(*rows.columns, "n_results", "left")
+    one = F.lit(1).cast("long")
+    rows = alike.unionByName(rows.filter(~named).withColumns({"n_results": one, "left": one}))
+    rows = rows.withColumn("name", F.lit(None).cast("string")).withColumn("__copy", F.explode(F.sequence(one, "left")))
     errors = F.array(F.when(named, F.lit("further result")).otherwise(F.lit("no identifier")))
-    rows = rows.withColumn("name", F.lit(None).cast("string")).withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "left")))
     return rows.select(
         *KEY, "seq", "name", F.lit(0).cast("long").alias("delay"), "n_results", F.lit(False).alias("valid"), errors.alias("errors"),
         message(F.lit(None), F.col("content")).alias("message"),
@@ -208,7 +212,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
         errors.alias("errors"),
         message(canonical, content).alias("message"),
     )
-    return linked.unionByName(further_results(results, info))
+    return linked.unionByName(further_results(results, answers))
 
 
 #: Schema of the calls that turns stand for.
