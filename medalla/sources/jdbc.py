@@ -50,13 +50,15 @@ def read_table(
     reader = spark.read.format("jdbc").options(**options).option("url", url)
     if not column:
         return reader.option("dbtable", table).load()
-    if isinstance(reader.option("query", f"SELECT {column} AS k FROM {table} WHERE 1 = 0").load().schema[0].dataType, T.StringType):
-        ranges = text_ranges(spark, url, table, column, parts, options)
-        return spark.read.jdbc(url, table, predicates=ranges, properties=dict(options))
     if low is None or high is None:
-        ends = reader.option("query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}").load().first()
+        probe = reader.option("query", f"SELECT {column} AS k FROM {table} WHERE 1 = 0").load()
+        if isinstance(probe.schema[0].dataType, T.StringType):
+            ranges = text_ranges(spark, url, table, column, parts, options)
+            return spark.read.jdbc(url, table, predicates=ranges, properties=dict(options))
+        ends = spark.read.format("jdbc").options(**options).option("url", url)
+        ends = ends.option("query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}").load().first()
         if ends[0] is None:  # an empty table, or no value to cut at
-            return reader.option("dbtable", table).load()
+            return spark.read.format("jdbc").options(**options).option("url", url).option("dbtable", table).load()
         low, high = ends
     return (
         spark.read.format("jdbc")
