@@ -39,18 +39,18 @@ def test_json_array_files_hold_one_bounded_array_each(spark, tmp_path):
 def test_text_key_is_read_in_ranges_that_meet_every_row_once(spark):
     url = f"jdbc:derby:memory:t_{uuid.uuid4().hex[:8]};create=true"
     key = F.when(F.col("id") % 50 == 0, None).when(F.col("id") % 7 == 0, F.concat(F.lit("o'b"), F.col("id"))).otherwise(F.concat(F.lit("T"), F.col("id")))
-    jdbc.write_table(spark.range(3000).select(key.alias("k"), F.col("id").alias("v")), url, "ROWS", {"createTableColumnTypes": "k VARCHAR(20)"})
-    out = jdbc.read_table(spark, url, "ROWS", partition_column='"k"', num_partitions=8)
+    jdbc.write_table(spark.range(3000).select(key.alias("k"), F.col("id").alias("v")), url, "KEYED", {"createTableColumnTypes": "k VARCHAR(20)"})
+    out = jdbc.read_table(spark, url, "KEYED", partition_column='"k"', num_partitions=8)
     assert 8 <= out.rdd.getNumPartitions() <= 9  # one of them for the NULLs
     assert sorted(r["v"] for r in out.collect()) == list(range(3000))
     sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 2 * 3000 / 8
     assert jdbc.quoted(spark, url, "k") == '"k"'
     # an empty table, and one key only
-    jdbc.write_table(spark.range(0).select(F.col("id").cast("string").alias("k")), url, "NONE", {"createTableColumnTypes": "k VARCHAR(20)"})
-    assert jdbc.read_table(spark, url, "NONE", partition_column='"k"').count() == 0
-    jdbc.write_table(spark.range(40).select(F.lit("same").alias("k")), url, "ONE", {"createTableColumnTypes": "k VARCHAR(20)"})
-    assert jdbc.read_table(spark, url, "ONE", partition_column='"k"', num_partitions=4).count() == 40
+    jdbc.write_table(spark.range(0).select(F.col("id").cast("string").alias("k")), url, "NO_ROWS", {"createTableColumnTypes": "k VARCHAR(20)"})
+    assert jdbc.read_table(spark, url, "NO_ROWS", partition_column='"k"').count() == 0
+    jdbc.write_table(spark.range(40).select(F.lit("same").alias("k")), url, "ONE_KEY", {"createTableColumnTypes": "k VARCHAR(20)"})
+    assert jdbc.read_table(spark, url, "ONE_KEY", partition_column='"k"', num_partitions=4).count() == 40
 
 
 def test_one_view_shows_each_reader_what_the_groups_allow(spark):
