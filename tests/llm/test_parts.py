@@ -166,3 +166,12 @@ def test_archive_reads_in_any_piece_size(size):
     assert sorted(got.items()) == want
     with pytest.raises((EOFError, ValueError)):
         list(warc.records(io.BytesIO(raw[:-30]), size))
+
+
+def test_packing_encodes_little_text_at_once(monkeypatch):
+    sizes, real = [], Encoder.encode_block
+    monkeypatch.setattr(Encoder, "encode_block", lambda self, texts: sizes.append(sum(len(t or "") for t in texts)) or real(self, texts))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(30)), "text": ["some words " * 10_000] * 30})
+    out = list(pack._cutter(default_tokenizer(), 0, 2048)([batch]))
+    assert max(sizes) <= 1 << 20 and sum(s for s in sizes if s > 100) == 30 * 110_000  # the encoder probes itself with a short one
+    assert [i for b in out for i, p in zip(b.column("doc_id").to_pylist(), b.column("piece").to_pylist()) if p == 0] == list(range(30))
