@@ -110,3 +110,14 @@ def test_stream_dedup_with_watermark_bounds_state(spark, tmp_path):
     q.awaitTermination()
     assert sorted(r["k"] for r in spark.table("dedup_wm").collect()) == ["a", "b"]
     q.stop()
+
+
+def test_rows_of_a_batch_are_joined_only_if_some_keys_were_taken(spark, tmp_path):
+    from medalla.operators import seen
+
+    path = str(tmp_path / "seen")
+    df = spark.range(1000).selectExpr("CAST(id AS STRING) AS k", "id AS v")
+    plan = lambda rows, n: seen.first_arrivals(spark, path, rows, "k", ["v"], n)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan(df.limit(100), 0) and "Join" not in plan(df.filter("v >= 500"), 1)
+    some = plan(df, 2)  # dropped below the grouping
+    assert some.index("Aggregate") < some.index("Join")
