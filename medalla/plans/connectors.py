@@ -23,6 +23,8 @@ from . import silver
 from .catalog import portable
 
 LANDING_SPLITS = 4
+#: Micro-batches that a feed's landing is worked off in where there are to be several.
+MICRO_BATCHES = 4
 
 
 def scratch_config(spark: SparkSession, label: str) -> PipelineConfig:
@@ -58,6 +60,11 @@ def _drop(spark: SparkSession, cfg: PipelineConfig, source: str, rows: DataFrame
     flows.run_streams([flows.start_checked(spark, cfg, source)])
 
 
+def _share(df: DataFrame) -> int:
+    """Files a micro-batch if there are to be ``MICRO_BATCHES`` (or as many as there are files)."""
+    return max(1, -(-len(df.inputFiles()) // MICRO_BATCHES))
+
+
 def _stream_in_copies(spark: SparkSession, cfg: PipelineConfig, source: str, bronze: DataFrame) -> DataFrame:
     """The preferred copy of every key arrives first, then the whole feed: the
     stream must keep the rows that the batch plan keeps."""
@@ -142,13 +149,18 @@ def review_replies_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_rule_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule counters of all streamed feeds, summed over their micro-batches."""
-    cfg = scratch_config(spark, "counters").with_options(max_files_per_trigger=1)
-    for name in ("sales", "returns", "employees"):
-        _drop(spark, cfg, name, adapters.BY_SOURCE[name](spark, sf_dir), 0)
-    files.write_json_arrays(_raw(adapters.reviews(spark, sf_dir), "reviews"), cfg.landing_path("reviews"))
-    flows.run_streams([flows.start_bronze(spark, cfg, "reviews")])
-    flows.run_streams([flows.start_checked(spark, cfg, "reviews")])
+    """Rule counters of all streamed feeds, summed over their micro-batches:
+    ``MICRO_BATCHES`` a feed, however many files there are, so that a batch grows
+    with the feed and not their number."""
+    cfg = scratch_config(spark, "counters")
+    for name in ("sales", "returns", "employees", "reviews"):
+        rows, landing = _raw(adapters.BY_SOURCE[name](spark, sf_dir), name), cfg.landing_path(name)
+        if name == "reviews":
+            files.write_json_arrays(rows, landing)
+        else:
+            files.write_csv(rows, f"{landing}/drop=0")
+        flows.run_streams([flows.start_bronze(spark, cfg, name, max_files=_share(spark.read.text(landing)))])
+        flows.run_streams([flows.start_checked(spark, cfg, name, max_files=_share(flows.read_bronze(spark, cfg, name)))])
     return portable(flows.stream_rule_counters(spark, cfg))
 
 

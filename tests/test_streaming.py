@@ -465,3 +465,46 @@ def test_runs_of_an_appended_table():
     assert storage.appended_runs([*r, wide]) == [wide, r[8]]
     assert storage.small_runs(r[:7]) == [] and storage.small_runs(r[:8]) == r[:8]
     assert storage.small_runs([wide, *r]) == []
+
+
+def test_a_batch_is_neither_cached_nor_typed_twice_over(spark, monkeypatch):
+    cfg = connectors.scratch_config(spark, "t-lean")
+    bronze = adapters.sales(spark, SF_SMOKE)
+
+    def cached(*a, **k):
+        raise AssertionError("cached")
+
+    monkeypatch.setattr(type(bronze), "persist", cached)
+    flows.apply_checks(spark, cfg, "sales", bronze, 0)
+    rejected = _read(spark, cfg, "quarantine", "sales").count()
+    accepted = spark.read.parquet(cfg.table_path("checked", "sales"))
+    assert rejected == silver.rejects(silver.SALES, bronze).count() and rejected + accepted.count() == bronze.count()
+    assert {r["rows_in"] for r in flows.stream_rule_counters(spark, cfg).collect()} == {bronze.count()}
+    for number in range(2):  # the second time no key is new
+        flows.apply_silver_batch(spark, cfg, "sales", accepted.drop(flows.BATCH), number)
+    assert _business(storage.read(spark, cfg.table_path("silver", "sales")), silver.SALES) == _business(silver.clean(silver.SALES, bronze), silver.SALES)
+    assert storage.published_runs(spark, cfg.table_path("silver", "sales")) == ["r000000000000"]
+
+
+def test_counters_take_as_many_batches_whatever_the_files(spark, monkeypatch):
+    real, started = files.write_csv, []
+    monkeypatch.setattr(files, "write_csv", lambda df, path, **k: real(df.repartition(13), path, **k))
+    start = flows.start_checked
+    monkeypatch.setattr(flows, "start_checked", lambda s, cfg, name, **k: started.append((cfg, name)) or start(s, cfg, name, **k))
+    got = connectors.stream_rule_counters(spark, SF_SMOKE)
+    assert got.count() == 10
+    for cfg, name in started:
+        batches = storage.partition_values(spark, f"{cfg.table_path('ops', 'rule_counters')}/flow=checked_{name}", "batch_id")
+        assert 1 <= len(batches) <= connectors.MICRO_BATCHES
+
+
+def test_preferred_copies_are_those_of_the_whole_order(spark):
+    spec = silver.SALES
+    assert silver.as_sent(spec) == {"sale_id", "product_id", "channel"}
+    rows = adapters.sales(spark, SF_SMOKE)
+    rows = rows.unionByName(rows.withColumn("amount", F.concat(F.lit(" "), "amount")))  # the same when typed
+    valid = silver.prepare(spec, rows).filter("sale_id IS NOT NULL AND amount > 0")
+    order = list(spec.lineage) + [c for c, _ in spec.columns if c != spec.key]
+    want = valid.groupBy(spec.key).agg(F.min(F.struct(*order, silver.RAW)).alias("p")).select(*[f"p.{silver.RAW}.{c}" for c in spec.raw_columns])
+    key = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    assert key(connectors._preferred(rows, spec)) == key(want)
