@@ -74,3 +74,21 @@ def test_files_under_names_of_their_own(spark, tmp_path):
     files.write_named_csv(df, str(tmp_path), F.concat(F.lit("day-"), F.col("b")))
     assert sorted(p.name for p in tmp_path.glob("*.csv")) == ["day-0.csv", "day-1.csv", "day-2.csv"]
     assert spark.read.option("header", True).csv(str(tmp_path)).count() == 20
+
+
+def test_null_texts_are_written_to_declared_columns(spark):
+    url = f"jdbc:derby:memory:t_{uuid.uuid4().hex[:8]};create=true"
+    rows = [(a, b, i) for i, (a, b) in enumerate([("x", "y"), (None, "y"), ("x", None), (None, None)])]
+    df = spark.createDataFrame(rows, "a string, b string, v int")
+    jdbc.write_table(df, url, "PARTLY", {"createTableColumnTypes": "a VARCHAR(9), b VARCHAR(9)"})
+    assert sorted(map(tuple, jdbc.read_table(spark, url, "PARTLY").collect()), key=lambda r: r[2]) == rows
+
+
+def test_large_files_under_names_of_their_own_are_dealt(spark, tmp_path):
+    df = spark.range(2000).select(F.col("id").cast("string").alias("a"), F.when(F.col("id") < 1900, "x").otherwise("y").alias("b"))
+    files.write_named_csv(df, str(tmp_path), F.col("b"), rows_per_file=500)
+    found = sorted(p.relative_to(tmp_path) for p in tmp_path.glob("part=*/*.csv"))
+    assert {p.name for p in found} == {"x.csv", "y.csv"} and len({p.parent for p in found}) == 4
+    assert max(len((tmp_path / p).read_text().splitlines()) for p in found) < 700
+    back = spark.read.option("header", True).schema("a string, b string").csv(str(tmp_path)).select("a", "b", F.col("_metadata.file_name").alias("f"))
+    assert sorted(int(r["a"]) for r in back.collect()) == list(range(2000)) and back.filter("f <> b || '.csv'").isEmpty()
