@@ -39,10 +39,14 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
+#: Packing comes when the stages before it have grown the executors' JVMs, and the pipeline has time to spare.
+PACKING_MEMORY = {"memo_pieces": 60_000, "encode_bytes": 1 << 18}
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids (little-endian unsigned
     integers, 16-bit for this vocabulary), ids_crc32, sequence_id and offset."""
-    return pack.packed(docs)
+    return pack.packed(docs, **PACKING_MEMORY)
 
 
 STAGES = [

@@ -39,18 +39,27 @@ def worker_cache(owner: str) -> dict:
     """A dict that lives as long as the Python worker process, whatever task
     asks: the package's functions travel by value, so their module's globals
     are new in each task.  A reused worker holds things of one operator at a
-    time: when another one asks, what the last one kept is given back."""
+    time: when another one asks, what the last one kept is given back.  What
+    a task asked for and freed goes back to the system when the next one asks."""
     holder = sys.modules.setdefault("medalla_worker_cache", types.ModuleType("medalla_worker_cache"))
     if getattr(holder, "owner", None) != owner:
         holder.owner, holder.kept = owner, {}
         gc.collect()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (OSError, AttributeError):  # another C library
-            pass
+    give_back()
     return holder.kept
 
 
+def give_back() -> None:
+    """Returns freed memory of this process, which its allocators keep, to the system."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def text_blocks(batches, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator:
     """Each Arrow batch in slices of about ``limit`` bytes of text."""
     import numpy as np

@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import text_blocks
-from .tokens import default_tokenizer, id_width, shared_encoder
+from .common import text_blocks, worker_cache
+from .tokens import MEMO_PIECES, default_tokenizer, id_width, shared_encoder
 
 SEQUENCE = 2048
 GROUP_DOCS, GROUP_BYTES = 16_000, 48 << 20
@@ -41,14 +41,14 @@ ENCODE_BYTES = 1 << 20
 PIECE = "doc_id long, piece int, start long, length long, ids binary"
 
 
-def _cutter(path: str, end_id: int, size: int):
+def _cutter(path: str, end_id: int, size: int, memo_pieces: int = MEMO_PIECES, encode_bytes: int = ENCODE_BYTES):
     def run(batches):
         import numpy as np
         import pyarrow as pa
 
-        encoder = shared_encoder(path)
+        encoder = shared_encoder(path, memo_pieces)
         width = id_width(encoder, end_id)
-        for batch in text_blocks(batches, limit=ENCODE_BYTES):
+        for batch in text_blocks(batches, limit=encode_bytes):
             ids, ends = encoder.encode_block(batch.column("text").to_pylist())
             ids = np.insert(ids, ends, end_id).astype(f"<u{width}")
             ends = ends + np.arange(1, len(ends) + 1)
@@ -65,12 +65,14 @@ def _cutter(path: str, end_id: int, size: int):
     return run
 
 
-def pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, size: int = SEQUENCE) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, size: int = SEQUENCE, **memory: int) -> DataFrame:
     """One row per piece: doc_id, piece, start, length and the ids as
-    little-endian unsigned integers of 16 bits (32 if the vocabulary needs them)."""
+    little-endian unsigned integers of 16 bits (32 if the vocabulary needs them).
+    ``memory``: memo_pieces and encode_bytes; with less of them a worker takes
+    less memory and more time for the same ids."""
     # a doc_id of another integer type is a long from here on
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.mapInArrow(_cutter(tokenizer or default_tokenizer(), end_id, size), PIECE)
+    return texts.mapInArrow(_cutter(tokenizer or default_tokenizer(), end_id, size, **memory), PIECE)
 
 
 def n_groups(docs: DataFrame, group_docs: int = GROUP_DOCS, group_bytes: int = GROUP_BYTES) -> int:
@@ -112,6 +114,7 @@ def _packer(size: int):
         import numpy as np
         import pyarrow as pa
 
+        worker_cache("packing")  # the encoder that cut the pieces is not needed beside a group
         lengths = group.column("length").to_numpy()
         order = np.lexsort([group.column("uid").to_numpy(), -lengths])
         placed = sum_of_squares(lengths[order], size)
@@ -141,6 +144,6 @@ def pack(parts: DataFrame, groups: int, size: int = SEQUENCE) -> DataFrame:
     return dealt.groupBy("group").applyInArrow(_packer(size), T.StructType([*parts.schema, *places]))
 
 
-def packed(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, size: int = SEQUENCE, groups: int | None = None) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, size: int = SEQUENCE, groups: int | None = None, **memory: int) -> DataFrame:
     """The documents' pieces in their sequences."""
-    return pack(pieces(docs, tokenizer, end_id, size), groups or n_groups(docs), size)
+    return pack(pieces(docs, tokenizer, end_id, size, **memory), groups or n_groups(docs), size)

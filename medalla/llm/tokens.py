@@ -24,7 +24,7 @@ import numpy as np
 
 from .common import worker_cache
 
-#: Pieces in a generation of a task's memo, which has two.
+#: Pieces in a generation of a task's memo, which has two; a piece takes some 200 bytes.
 MEMO_PIECES = 250_000
 CALL_PIECES = 500  # pieces in a call of the library
 
@@ -54,9 +54,11 @@ def default_tokenizer() -> str:
 
 
 def shared_encoder(path: str, memo_pieces: int = MEMO_PIECES) -> "Encoder":
-    """One encoder for each worker process and file."""
+    """One encoder for each worker process and file, with the memo last asked for."""
     cache = worker_cache("tokens")
     if ("encoder", path, memo_pieces) not in cache:
+        for old in [k for k in cache if k[:2] == ("encoder", path)]:
+            del cache[old]
         cache["encoder", path, memo_pieces] = Encoder(path, memo_pieces)
     return cache["encoder", path, memo_pieces]
 

@@ -2,6 +2,7 @@
 
 import io
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -10,7 +11,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from medalla.llm import language, near_dups, pack, quality, shingles, warc
+import corpus_pipeline
+from medalla.llm import common, language, near_dups, pack, quality, shingles, warc
 from medalla.llm.line_templates import line_keys
 from medalla.llm.token_store import EliasFano
 from medalla.llm.tokens import Encoder, default_tokenizer
@@ -175,3 +177,32 @@ def test_packing_encodes_little_text_at_once(monkeypatch):
     out = list(pack._cutter(default_tokenizer(), 0, 2048)([batch]))
     assert max(sizes) <= 1 << 20 and sum(s for s in sizes if s > 100) == 30 * 110_000  # the encoder probes itself with a short one
     assert [i for b in out for i, p in zip(b.column("doc_id").to_pylist(), b.column("piece").to_pylist()) if p == 0] == list(range(30))
+
+
+def test_packing_in_the_pipeline_keeps_a_small_memo():
+    texts = [" ".join(f"{i:06d}" for i in range(at, at + 20_000)) for at in range(0, 400_000, 20_000)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    cut = lambda **memory: pa.Table.from_batches(list(pack._cutter(default_tokenizer(), 0, 2048, **memory)([batch])))
+    small = cut(**corpus_pipeline.PACKING_MEMORY)
+    (kept,) = sys.modules["medalla_worker_cache"].kept.values()
+    assert 50_000 < len(kept.young) + len(kept.old) <= 120_000
+    common.worker_cache("packing")
+    assert small == cut()
+
+
+def test_groups_are_packed_without_the_encoder_beside_them():
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["some words", None]})
+    cut = pa.Table.from_batches(list(pack._cutter(default_tokenizer(), 0, 2048)([batch])))
+    kept = sys.modules["medalla_worker_cache"]
+    assert kept.owner == "tokens" and kept.kept
+    group = cut.append_column("uid", pa.array([0, 1])).append_column("group", pa.array([0, 0], pa.int64()))
+    assert pack._packer(2048)(group).column("offset").to_pylist() == [0, cut.column("length")[0].as_py()]
+    assert kept.owner != "tokens" and not kept.kept
+
+
+def test_each_task_gives_freed_memory_back(monkeypatch):
+    times = []
+    monkeypatch.setattr(common, "give_back", lambda: times.append(1), raising=False)
+    for _ in range(3):
+        common.worker_cache("some operator")
+    assert len(times) == 3
