@@ -121,3 +121,53 @@ def test_rows_of_a_batch_are_joined_only_if_some_keys_were_taken(spark, tmp_path
     assert "Join" not in plan(df.limit(100), 0) and "Join" not in plan(df.filter("v >= 500"), 1)
     some = plan(df, 2)  # dropped below the grouping
     assert some.index("Aggregate") < some.index("Join")
+
+
+@pytest.mark.parametrize("share, few", [(100, 100_000), (100, 1), (0, 1)])
+def test_first_arrivals_by_bitmap_and_by_join(spark, tmp_path, monkeypatch, share, few):
+    """Batches small and large beside the keys taken, few and many copies."""
+    from medalla.operators import seen
+
+    monkeypatch.setattr(seen, "LARGE_SHARE", share)
+    monkeypatch.setattr(seen, "FEW_KEYS", few)
+    monkeypatch.setattr(seen, "LEAST_BITS", 6)
+    rnd, path, taken = random.Random(few), str(tmp_path / "seen"), set()
+    for number in range(3):
+        # the second batch has new keys only, some of them copied
+        name = "n" if number == 1 else "k"
+        rows = [(rnd.choice([f"{name}{number}", None if number else "a", f"{name}{rnd.randint(0, 90)}"]), rnd.randint(0, 99), f"n{number}") for _ in range(90)]
+        first = {}
+        for r in sorted(rows, key=lambda r: (r[1], r[2])):
+            first.setdefault(r[0], r)
+        want = sorted((r for k, r in first.items() if k not in taken), key=repr)
+        assert _arrive(spark, path, rows, number) == want
+        assert _arrive(spark, path, rows, number) == want  # the batch is run again
+        taken |= set(first)
+
+
+def test_rows_without_copies_are_not_shuffled(spark, tmp_path):
+    from medalla.operators import seen
+
+    path = str(tmp_path / "seen")
+    df = spark.range(1000).selectExpr("CAST(id AS STRING) AS k", "id AS v")
+    plan = lambda out: out._jdf.queryExecution().optimizedPlan().toString()
+    out = seen.first_arrivals(spark, path, df, "k", ["v"], 0)
+    assert "Aggregate" not in plan(out) and out.count() == 1000
+    more = df.selectExpr("k || 'x' AS k", "v").unionByName(spark.sql("SELECT '7x' AS k, -1L AS v"))
+    out = seen.first_arrivals(spark, path, more, "k", ["v"], 1)
+    assert "LeftAnti" in plan(out) and "Union" in plan(out)
+    assert out.count() == 1000 and [r["v"] for r in out.filter("k = '7x'").collect()] == [-1]
+
+
+def test_a_bitmap_has_room_for_its_keys_at_once(spark, tmp_path, monkeypatch):
+    from medalla.operators import seen
+
+    monkeypatch.setattr(seen, "LEAST_BITS", 6)
+    path = str(tmp_path / "seen")
+    df = spark.range(3000).selectExpr("CAST(id AS STRING) AS k", "id AS v")
+    seen.first_arrivals(spark, path, df.filter("v < 1000"), "k", ["v"], 0)
+    assert seen.sizes(spark, path, 1) == [14]  # 8 bits a key or more
+    seen.first_arrivals(spark, path, df.filter("v < 1010"), "k", ["v"], 1)
+    seen.first_arrivals(spark, path, df, "k", ["v"], 2)
+    assert seen.sizes(spark, path, 3) == [14, 18]
+    assert seen.first_arrivals(spark, path, df.limit(100), "k", ["v"], 3).isEmpty()
