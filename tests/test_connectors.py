@@ -92,3 +92,14 @@ def test_large_files_under_names_of_their_own_are_dealt(spark, tmp_path):
     assert max(len((tmp_path / p).read_text().splitlines()) for p in found) < 700
     back = spark.read.option("header", True).schema("a string, b string").csv(str(tmp_path)).select("a", "b", F.col("_metadata.file_name").alias("f"))
     assert sorted(int(r["a"]) for r in back.collect()) == list(range(2000)) and back.filter("f <> b || '.csv'").isEmpty()
+
+
+def test_gzip_drops_are_written_at_the_fastest_level(spark, tmp_path):
+    import gzip
+
+    df = spark.range(20_000).selectExpr("CONCAT('T', id) AS a", "CAST(id * 7919 % 997 AS STRING) AS b").coalesce(1)
+    files.write_csv(df, str(tmp_path / "d"), compression="gzip")
+    (path,) = glob.glob(f"{tmp_path}/d/*.csv.gz")
+    packed = open(path, "rb").read()
+    assert len(packed) > 1.05 * len(gzip.compress(gzip.decompress(packed), 6))
+    assert spark.read.option("header", True).csv(str(tmp_path / "d")).exceptAll(df).isEmpty()
